@@ -96,6 +96,9 @@ def flatten(raw: DataFrame, fields: Sequence[str] | None = None, on_error: str =
     task in ``"fail"`` mode.
     """
     fields = list(fields or ALL_FIELDS)
+    if set(fields) <= set(raw.columns):
+        # already flattened (a typed table written once per run): no parsing
+        return raw.select(*keep, *fields, *(["payload"] if keep_payload else []))
     doc = parse_payload(F.col("payload"), fields, on_error)
     staged = raw.select(*keep, *(["payload"] if keep_payload else []), doc.alias("_doc"))
     cols = [F.col(k) for k in keep]

@@ -42,7 +42,7 @@ def landed_keys(events: DataFrame) -> DataFrame:
         (F.col("ts").cast("date").cast("timestamp_ntz") + F.expr("INTERVAL 6 HOURS")).alias("ingested_at"),
         u.alias("u"),
         F.col("value").alias("v"),
-        F.col("event_type"),
+        (F.col("event_type") == "error").alias("is_error"),
         F.dayofmonth("ts").alias("d"),
     )
 
@@ -53,7 +53,8 @@ def payload_expr() -> Column:
     eid = F.col("event_id")
     vn, an = u % 20, u % 40
 
-    status = (F.when((F.col("event_type") == "error") & (v >= 100), F.lit("moved"))
+    is_error = F.col("is_error")
+    status = (F.when(is_error & (v >= 100), F.lit("moved"))
               .when(v >= 150, F.lit("cancelled"))
               .when(v >= 80, F.lit("offsale"))
               .otherwise(F.lit("onsale")))
@@ -70,7 +71,7 @@ def payload_expr() -> Column:
         F.lit(',"classifications":[{"genre":{"name":"'), genre,
         F.lit('"},"subGenre":{"name":"Sub '), _s(u % 3), F.lit('"}}]')))
     p = 20 + 5 * (u % 8) + F.when(v >= 80, 10).otherwise(0)
-    prices = _opt(F.col("event_type") != "error", F.concat(
+    prices = _opt(~is_error, F.concat(
         F.lit(',"priceRanges":[{"currency":"USD","min":'), _s(p),
         F.lit(',"max":'), _s(2 * p), F.lit('.5}]')))
     venue_name = F.concat(F.lit("Venue "), _s(vn), _opt((vn % 3 == 0) & (d > 15), F.lit(" Hall")))

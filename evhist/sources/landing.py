@@ -30,7 +30,8 @@ def dedup_run(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     A hash aggregate with ``min_by`` instead of ``row_number``: partial
     aggregation collapses a hot key inside every map task before the shuffle,
     so one key observed a billion times costs one row per task on the wire.
-    ``order`` must make the winner unique (add tie-break columns if needed).
+    ``order`` must make the winner unique per key (add tie-break columns);
+    it is required anyway for a deterministic result.
     """
     keys, order = list(keys), _cols(order)
     rest = [c for c in df.columns if c not in keys]
@@ -40,8 +41,12 @@ def dedup_run(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
             cond = cond & F.col(k).isNotNull()
         df = df.where(cond)
     ordering = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    won = df.groupBy(*keys).agg(F.min_by(F.struct(*[F.col(c) for c in rest]), ordering).alias("_w"))
-    return won.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*df.columns)
+    # One min_by per column: with a unique order all of them pick the same row,
+    # and fixed-width columns keep fixed-width buffers, so Spark can plan a
+    # hash aggregate instead of a sort aggregate.
+    won = df.groupBy(*keys).agg(*[(F.min(c) if c in order and len(order) == 1
+                                   else F.min_by(c, ordering)).alias(c) for c in rest])
+    return won.select(*df.columns)
 
 
 def pages_from_landed(landed: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
@@ -61,24 +66,38 @@ def pages_from_landed(landed: DataFrame, page_size: int = PAGE_SIZE) -> DataFram
     return grouped.select("fetched_city", "ingested_at", "page_no", text.alias("page_text"))
 
 
-def read_pages(spark: SparkSession, path: str, run_ts: str,
-               max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
-    """S1-S3 from files: ``<path>/<city>/page-<n>.json``, one page per file.
+PAGE_FILE_SCHEMA = "value string, run string, city string, page int"
+RUN_FORMAT = "yyyyMMdd'T'HHmmss"
 
-    The city label comes from the folder, the page number from the file name,
-    ``ingested_at`` is the run's single timestamp.  Page numbers are API page
-    indexes starting at 0, so the cap is a plain filter on them.
+
+def write_pages(pages: DataFrame, path: str) -> None:
+    """Store page documents as ``<path>/run=<stamp>/city=<label>/page=<n>/*.txt``.
+
+    One line per page document; ``page`` restarts at 0 per (city, run) like the
+    API's page index (ranked over page rows, never over event rows).
     """
-    raw = spark.read.text(f"{path.rstrip('/')}/*/page-*.json", wholetext=True)
-    fp = F.col("_metadata.file_path")
-    pages = raw.select(
-        F.regexp_extract(fp, r"/([^/]+)/page-(\d+)\.json$", 1).alias("fetched_city"),
-        F.lit(run_ts).cast("timestamp_ntz").alias("ingested_at"),
-        F.regexp_extract(fp, r"/([^/]+)/page-(\d+)\.json$", 2).cast("long").alias("page_no"),
-        F.col("value").alias("page_text"))
-    # _metadata.file_path is a URI: folder names such as "New York" come back %-encoded
-    pages = pages.withColumn("fetched_city", F.url_decode("fetched_city"))
-    return land_pages(pages.where(F.col("page_no") < max_pages))
+    w = Window.partitionBy("fetched_city", "ingested_at").orderBy("page_no")
+    (pages.select(F.col("page_text").alias("value"),
+                  F.date_format("ingested_at", RUN_FORMAT).alias("run"),
+                  F.col("fetched_city").alias("city"),
+                  (F.dense_rank().over(w) - 1).alias("page"))
+     .write.mode("append").partitionBy("run", "city", "page").text(path))
+
+
+def pages_frame(files: DataFrame, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
+    """S2/S3 on stored pages: run stamp and city from the folders, page cap as
+    a partition filter (pages beyond the cap are never read)."""
+    return (files.where(F.col("page") < max_pages)
+            .select(F.col("city").alias("fetched_city"),
+                    F.to_timestamp("run", RUN_FORMAT).cast("timestamp_ntz").alias("ingested_at"),
+                    F.col("page").cast("long").alias("page_no"),
+                    F.col("value").alias("page_text")))
+
+
+def read_pages(spark: SparkSession, path: str, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
+    """S1-S3 from files written by ``write_pages``: landed rows of all runs."""
+    files = spark.read.format("text").schema(PAGE_FILE_SCHEMA).load(path)
+    return land_pages(pages_frame(files, max_pages))
 
 
 def land_pages(pages: DataFrame) -> DataFrame:
@@ -129,8 +148,17 @@ def append_raw(df: DataFrame, path: str, files_per_partition: int = 4) -> None:
        .write.mode("append").partitionBy("ingest_date", "fetched_city").parquet(path))
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """S7 over a table written by ``append_raw`` (partition columns dropped)."""
-    return (spark.read.option("basePath", path).parquet(path)
+RAW_FILE_SCHEMA = "event_id string, ingested_at timestamp_ntz, payload string"
+
+
+def read_raw(spark: SparkSession, path: str, batch_level: bool = False) -> DataFrame:
+    """S7 over a table written by ``append_raw`` (or per stream batch).
+
+    The schema is given, so partition values keep their types (a city label is
+    always a string) and filters on ``ingest_date``/``fetched_city`` prune
+    folders before any file is opened.
+    """
+    parts = ("batch_id bigint, " if batch_level else "") + "ingest_date date, fetched_city string"
+    return (spark.read.schema(f"{RAW_FILE_SCHEMA}, {parts}").parquet(path)
             .select("event_id", "fetched_city", "ingested_at", "payload"))
 
