@@ -57,7 +57,7 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     """J5 as a DataFrame: matched keys take the source row, new keys are inserted."""
     key = _list(key)
     keep = target.join(source.select(*key), key, "left_anti")
-    return keep.unionByName(source.select(*target.columns))
+    return keep.unionByName(source.select(*target.columns)).select(*target.columns)
 
 
 def merge_upsert(table: TableDir, source: DataFrame, key: str | Sequence[str],
@@ -116,7 +116,8 @@ def fct_incremental_frame(stored: DataFrame | None, raw: DataFrame, batch: DataF
     fresh = fct_rows_for_keys(raw, keys, as_of, rule)
     if stored is None:
         return fresh
-    return stored.join(keys, KEYS, "left_anti").unionByName(fresh.select(*stored.columns))
+    kept = stored.join(keys, KEYS, "left_anti")
+    return kept.unionByName(fresh.select(*stored.columns)).select(*stored.columns)
 
 
 def fct_incremental(table: TableDir, raw: DataFrame, batch: DataFrame,
