@@ -86,32 +86,39 @@ def events_over_time(daily: DataFrame, as_of: str | dt.date | None = None,
 def price_distribution(f: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Box-plot figures of ``price_min`` per city.
 
-    Quartiles interpolate linearly (``percentile``; its buffer holds one
-    entry per *distinct* price, merged map-side).  ``exact=False`` uses
-    ``percentile_approx`` for unbounded value domains.  Whiskers are the most
-    extreme prices inside the 1.5 x IQR fences; the per-city figures are
-    joined back to the rows (one row per city on the small side).
+    Rows are first reduced to (city, price, count) with a map-side-combined
+    aggregate — a hot city costs one row per distinct price, not per event.
+    Exact quartiles interpolate linearly (``percentile`` weighted by the
+    counts); whiskers are the most extreme prices inside the 1.5 x IQR
+    fences, from a join of the two small tables.  ``exact=False`` uses
+    ``percentile_approx`` for unbounded price domains.
     """
-    priced = f.where(F.col("price_min").isNotNull()).select("fetched_city", "price_min")
+    priced = f.where(F.col("price_min").isNotNull())
+    counts = priced.groupBy("fetched_city", "price_min").agg(F.count(F.lit(1)).alias("_n"))
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = (F.percentile("price_min", probs) if exact
-         else F.percentile_approx("price_min", probs, accuracy))
-    stats = (priced.groupBy("fetched_city")
-             .agg(F.count(F.lit(1)).alias("n"), F.min("price_min").alias("min_price"),
+    if exact:
+        q = F.percentile("price_min", probs, F.col("_n"))
+        source, n = counts, F.sum("_n")
+    else:
+        q = F.percentile_approx("price_min", probs, accuracy)
+        source, n = priced, F.count(F.lit(1))
+    stats = (source.groupBy("fetched_city")
+             .agg(n.cast("long").alias("n"), F.min("price_min").alias("min_price"),
                   q.alias("_q"), F.max("price_min").alias("max_price"))
              .select("fetched_city", "n", "min_price",
                      F.col("_q")[0].cast("double").alias("q1"),
                      F.col("_q")[1].cast("double").alias("median"),
                      F.col("_q")[2].cast("double").alias("q3"), "max_price"))
-    stats = stats.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * (F.col("q3") - F.col("q1"))) \
-                 .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * (F.col("q3") - F.col("q1")))
+    iqr = F.col("q3") - F.col("q1")
+    stats = (stats.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
+                  .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
     p = F.col("price_min")
     inside = p.between(F.col("lower_fence"), F.col("upper_fence"))
-    whiskers = (priced.join(stats.select("fetched_city", "lower_fence", "upper_fence"), "fetched_city")
+    whiskers = (counts.join(stats.select("fetched_city", "lower_fence", "upper_fence"), "fetched_city")
                 .groupBy("fetched_city")
                 .agg(F.min(F.when(inside, p)).alias("lower_whisker"),
                      F.max(F.when(inside, p)).alias("upper_whisker"),
-                     F.count(F.when(~inside, F.lit(1))).alias("n_outliers")))
+                     F.sum(F.when(~inside, F.col("_n")).otherwise(0)).cast("long").alias("n_outliers")))
     return stats.join(whiskers, "fetched_city")
 
 
