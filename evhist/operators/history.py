@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..sources.landing import dedup_run
 
-__all__ = ["latest_per_key", "dedup_per_run", "change_flags", "version_numbers", "scd2"]
+__all__ = ["latest_per_key", "dedup_per_run", "change_flags", "version_numbers", "scd2", "scd2_extend"]
 
 
 def _list(x: str | Sequence[str]) -> list[str]:
@@ -107,3 +107,37 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     return starts.select(*keys, "version", F.col(ts).alias("valid_from"), "valid_to",
                          F.col("valid_to").isNull().alias("is_current"),
                          *tracked, *carried)
+
+
+def scd2_extend(current: DataFrame, new_obs: DataFrame, keys: Sequence[str], order: str,
+                tracked: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
+    """Extend a (documented-rule) history with observations newer than every
+    stored observation of their key.
+
+    ``current``: the stored current version per key (keys, valid_from,
+    [version], tracked, carried).  ``new_obs``: (keys, order, tracked, carried).
+    The stored current row is the anchor: it is the first row of its key, the
+    first new observation is compared with it, and version numbers continue
+    from it.  Returns the rows that replace the anchors — the anchor with its
+    new ``valid_to``/``is_current`` and every new version — in ``scd2``'s
+    layout.  Work is proportional to the batch, not to the stored history.
+    """
+    keys = list(keys)
+    version = F.col("version") if "version" in current.columns else F.lit(0).cast("long")
+    anchors = (current.join(new_obs.select(*keys).distinct(), keys, "left_semi")
+               .select(*keys, F.col("valid_from").alias(order), version.cast("long").alias("version"),
+                       *tracked, *carried, F.lit(True).alias("_anchor")))
+    obs = new_obs.select(*keys, order, F.lit(None).cast("long").alias("version"),
+                         *tracked, *carried, F.lit(False).alias("_anchor"))
+    w = _window(keys, [order])
+    changed = _changed(tracked, w) | F.lag(order).over(w).isNull()
+    flag = F.when(F.col("_anchor"), 0).when(changed, 1).otherwise(0)
+    base = F.coalesce(F.first("version").over(w), F.lit(0).cast("long"))
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (anchors.unionByName(obs)
+            .withColumn("_flag", flag)
+            .withColumn("version", (base + F.sum("_flag").over(run)).cast("long"))
+            .where(F.col("_anchor") | (F.col("_flag") == 1))
+            .withColumn("valid_to", F.lead(order).over(w)))
+    return rows.select(*keys, "version", F.col(order).alias("valid_from"), "valid_to",
+                       F.col("valid_to").isNull().alias("is_current"), *tracked, *carried)

@@ -65,33 +65,51 @@ def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str
     raise ValueError(f"unknown rule {rule!r}")
 
 
-def _dim_source(raw: DataFrame, fields: list[str], on_error: str) -> DataFrame:
-    return flatten(raw, fields, on_error)
+ARTIST_RUN_COLUMNS = ["artist_id", "ingested_at", "artist_name"]
+VENUE_RUN_COLUMNS = ["venue_id", "ingested_at", *VENUE_TRACKED, *VENUE_CARRIED]
 
 
-def dim_artists(raw: DataFrame, on_error: str = "null") -> DataFrame:
-    """M3: artist history; JSON-null ids/names count as missing."""
-    src = (_dim_source(raw, ["artist_id", "artist_name"], on_error)
+def artist_runs(raw: DataFrame, on_error: str = "null") -> DataFrame:
+    """One artist observation per (artist_id, run): JSON-null ids/names count
+    as missing (T8), ties go to the smallest (event_id, fetched_city) (T7)."""
+    src = (flatten(raw, ["artist_id", "artist_name"], on_error)
            .where(F.col("artist_id").isNotNull() & F.col("artist_name").isNotNull()))
     per_run = dedup_per_run(src.select("artist_id", "ingested_at", "event_id", "fetched_city", "artist_name"),
                             ["artist_id"], "ingested_at", tiebreak=["event_id", "fetched_city"])
-    hist = scd2(per_run, ["artist_id"], "ingested_at", ["artist_name"])
-    return hist.select(surrogate_key("artist_id", ts_text("valid_from")).alias("artist_sk"),
-                       "artist_id", "artist_name", "valid_from", "valid_to", "is_current")
+    return per_run.select(*ARTIST_RUN_COLUMNS)
 
 
-def dim_venues(raw: DataFrame, on_error: str = "null") -> DataFrame:
-    """M4: venue history; tracked name/city/state/address, carried country/lat/lon."""
+def venue_runs(raw: DataFrame, on_error: str = "null") -> DataFrame:
+    """One venue observation per (venue_id, run), same tie-break."""
     cols = ["venue_id", *VENUE_TRACKED, *VENUE_CARRIED]
-    src = _dim_source(raw, cols, on_error).where(F.col("venue_id").isNotNull())
+    src = flatten(raw, cols, on_error).where(F.col("venue_id").isNotNull())
     per_run = dedup_per_run(src.select("venue_id", "ingested_at", "event_id", "fetched_city", *cols[1:]),
                             ["venue_id"], "ingested_at", tiebreak=["event_id", "fetched_city"])
-    hist = scd2(per_run, ["venue_id"], "ingested_at", VENUE_TRACKED, VENUE_CARRIED)
+    return per_run.select(*VENUE_RUN_COLUMNS)
+
+
+def artist_rows(hist: DataFrame) -> DataFrame:
+    return hist.select(surrogate_key("artist_id", ts_text("valid_from")).alias("artist_sk"),
+                       "artist_id", "artist_name", "valid_from", "valid_to", "is_current")
+
+
+def venue_rows(hist: DataFrame) -> DataFrame:
     return hist.select(surrogate_key("venue_id", ts_text("valid_from")).alias("venue_sk"),
                        "venue_id", *VENUE_TRACKED[:3], "venue_country_code", "venue_address",
                        "venue_latitude", "venue_longitude", "valid_from", "valid_to", "is_current")
 
 
+def dim_artists(raw: DataFrame, on_error: str = "null") -> DataFrame:
+    """M3: artist history (tracked: name)."""
+    return artist_rows(scd2(artist_runs(raw, on_error), ["artist_id"], "ingested_at", ["artist_name"]))
+
+
+def dim_venues(raw: DataFrame, on_error: str = "null") -> DataFrame:
+    """M4: venue history; tracked name/city/state/address, carried country/lat/lon."""
+    return venue_rows(scd2(venue_runs(raw, on_error), ["venue_id"], "ingested_at",
+                           VENUE_TRACKED, VENUE_CARRIED))
+
+
 def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues: DataFrame,
                broadcast_dims: bool | int | None = None) -> DataFrame:
     """M5: every event version with latest static attributes and PIT dimension keys.

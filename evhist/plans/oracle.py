@@ -400,6 +400,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT * FROM tgt WHERE event_sk NOT IN (SELECT event_sk FROM src)
         UNION ALL SELECT * FROM src""", "fct_events_b", "fct_events")
     q["fct_incremental"] = _q(f"SELECT {_FCT_COLS} FROM fct_events", "fct_events")
+    q["fct_extend"] = _q(f"SELECT {_FCT_COLS} FROM fct_events", "fct_events")
     # aggregations
     q["fct_events_by_city"] = _q("SELECT * FROM fct_events_by_city", "fct_events_by_city")
     q["events_by_city"] = _q("SELECT fetched_city, count(*) AS total_events FROM filt GROUP BY fetched_city",

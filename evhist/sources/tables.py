@@ -76,3 +76,38 @@ class TableDir:
         for v in self._all_versions():
             if v not in keep_set and v < newest:
                 self._fs.delete(self._Path(self.path_of(v)), True)
+
+
+class StateDir(TableDir):
+    """Several tables committed together: ``v=<n>/<name>/`` plus a ``_COMMITTED``
+    marker created after the last table is written.  Readers use the newest
+    version with the marker, so a crash between two table writes exposes
+    neither of them."""
+
+    MARKER = "_COMMITTED"
+
+    def _committed(self) -> list[int]:
+        root = self._Path(self.root)
+        if not self._fs.exists(root):
+            return []
+        out = []
+        for st in self._fs.listStatus(root):
+            m = _VERSION.match(st.getPath().getName())
+            if m and self._fs.exists(self._Path(st.getPath(), self.MARKER)):
+                out.append(int(m.group(1)))
+        return sorted(out)
+
+    def read(self, name: str) -> DataFrame:  # type: ignore[override]
+        v = self.current_version()
+        if v is None:
+            raise FileNotFoundError(f"no committed version under {self.root}")
+        return self.spark.read.parquet(f"{self.path_of(v)}/{name}")
+
+    def write(self, tables: dict[str, DataFrame]) -> int:  # type: ignore[override]
+        versions = self._all_versions()
+        nxt = (versions[-1] + 1) if versions else 1
+        base = self.path_of(nxt)
+        for name, df in tables.items():
+            df.write.mode("errorifexists").parquet(f"{base}/{name}")
+        self._fs.create(self._Path(f"{base}/{self.MARKER}")).close()
+        return nxt

@@ -6,8 +6,9 @@ micro-batch
 1. lands them (parse pages, cap, in-run dedup),
 2. writes the batch's raw rows to ``raw_events/batch_id=<id>`` with overwrite,
    so a replayed batch rewrites the same rows instead of appending twice,
-3. updates the fact by changed keys (``fct_incremental``) as the next version
-   of ``fct_events``.
+3. advances the fact and both dimensions (``advance``): extend mode when the
+   batch is newer than everything processed (work ~ batch), changed-key replay
+   from raw otherwise; fact, dimensions and watermark commit together.
 
 The checkpoint folder (on shared storage) records which files belong to which
 batch, so after a crash Spark replays the unfinished batch with the same id;
@@ -24,17 +25,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import fct_incremental
+from ..operators.merge import advance
 from ..sources.landing import PAGE_FILE_SCHEMA, land_pages, landed_to_raw, pages_frame, read_raw
-from ..sources.tables import TableDir
+from ..sources.tables import StateDir
 
 
 def raw_path(warehouse: str) -> str:
     return f"{warehouse.rstrip('/')}/raw_events"
 
 
-def fct_table(spark: SparkSession, warehouse: str) -> TableDir:
-    return TableDir(spark, f"{warehouse.rstrip('/')}/fct_events")
+def state_dir(spark: SparkSession, warehouse: str) -> StateDir:
+    """Fact, dimensions and watermark, committed together per batch."""
+    return StateDir(spark, f"{warehouse.rstrip('/')}/state")
 
 
 def process_batch(spark: SparkSession, files: DataFrame, batch_id: int, warehouse: str,
@@ -48,8 +50,7 @@ def process_batch(spark: SparkSession, files: DataFrame, batch_id: int, warehous
     landed = spark.read.parquet(out).select("event_id", "fetched_city", "ingested_at", "payload")
     if not landed.limit(1).collect():
         return
-    fct_incremental(fct_table(spark, warehouse), read_raw(spark, raw_path(warehouse), batch_level=True),
-                    landed, as_of)
+    advance(state_dir(spark, warehouse), read_raw(spark, raw_path(warehouse), batch_level=True), landed, as_of)
 
 
 def run_stream(spark: SparkSession, in_dir: str, warehouse: str, checkpoint: str,

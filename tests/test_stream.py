@@ -6,7 +6,7 @@ from conftest import SF001
 from evhist.plans.models import Models
 from evhist.sources.feed import landed_feed, raw_feed, read_table
 from evhist.sources.landing import pages_from_landed, write_pages
-from evhist.streaming.stream import fct_table, process_batch, run_stream
+from evhist.streaming.stream import process_batch, run_stream, state_dir
 
 
 def rows(df):
@@ -22,13 +22,15 @@ def test_stream_equals_rebuild_and_replay_is_idempotent(spark, scratch):
     write_pages(pages.where(F.col("ingested_at") >= split), in_dir)
     run_stream(spark, in_dir, wh, ck, as_of="2024-01-30").awaitTermination()
 
-    table = fct_table(spark, wh)
-    full = Models(raw_feed(spark, SF001), as_of="2024-01-30").fct_events
-    got = rows(table.read())
-    assert got == rows(full)
+    state = state_dir(spark, wh)
+    m = Models(raw_feed(spark, SF001), as_of="2024-01-30")
+    got = rows(state.read("fct_events"))
+    assert got == rows(m.fct_events)
+    assert rows(state.read("dim_artists")) == rows(m.dim_artists)
+    assert rows(state.read("dim_venues")) == rows(m.dim_venues)
 
     # replay the second batch (same id, same files): nothing changes
     files = spark.read.format("text").schema("value string, run string, city string, page int") \
         .load(in_dir).where(F.to_date(F.to_timestamp("run", "yyyyMMdd'T'HHmmss")) >= F.lit("2024-01-16"))
     process_batch(spark, files, 1, wh, as_of="2024-01-30")
-    assert rows(table.read()) == got
+    assert rows(state.read("fct_events")) == got
