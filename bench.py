@@ -26,7 +26,7 @@ sys.path.insert(0, ROOT)
 HEADLINE = [
     "raw_events", "stg_events", "stg_event_snapshots", "dim_artists", "dim_venues", "fct_events",
     "fct_events_by_city", "kpis", "events_by_city", "top_genres", "events_over_time",
-    "price_distribution", "venue_map", "upcoming_events", "price_changes", "fct_incremental",
+    "price_distribution", "venue_map", "upcoming_events", "price_changes", "fct_incremental", "fct_extend",
     "dq_report",
 ]
 

@@ -60,6 +60,12 @@ def kpis(f: DataFrame) -> DataFrame:
                  F.avg("price_min").alias("avg_min_price"))
 
 
+def price_text(c: Column | str) -> Column:
+    """Display form ``$x.xx``, ``N/A`` when there is no value."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(F.format_string("$%.2f", c), F.lit("N/A"))
+
+
 def events_by_city(f: DataFrame) -> DataFrame:
     """K2/A2: events per city, ascending."""
     return (f.groupBy("fetched_city").agg(F.count(F.lit(1)).alias("total_events"))

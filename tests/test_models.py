@@ -54,3 +54,15 @@ def test_fct_columns_in_order(m001):
     from evhist.plans.models import FCT_COLUMNS
     assert m001.fct_events.columns == FCT_COLUMNS
     assert len(FCT_COLUMNS) == 26
+
+
+def test_views_and_bounded_handoff(spark, m001):
+    import pytest as _pytest
+
+    from evhist.plans.views import ResultTooLarge, register_views, to_local
+    names = register_views(m001, prefix="t_")
+    assert "t_fct_events" in names
+    assert spark.sql("SELECT count(*) AS n FROM t_fct_events WHERE is_current").first().n == 30
+    assert len(to_local(m001.fct_events_by_city, 100)) == 28
+    with _pytest.raises(ResultTooLarge):
+        to_local(m001.fct_events, 10)
