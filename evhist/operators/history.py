@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..sources.landing import dedup_run
 
-__all__ = ["latest_per_key", "dedup_per_run", "change_flags", "version_numbers", "scd2", "scd2_extend"]
+__all__ = ["latest_per_key", "dedup_per_run", "change_flags", "version_numbers", "scd2", "scd2_extend",
+           "scd2_segmented"]
 
 
 def _list(x: str | Sequence[str]) -> list[str]:
@@ -141,3 +142,58 @@ def scd2_extend(current: DataFrame, new_obs: DataFrame, keys: Sequence[str], ord
             .withColumn("valid_to", F.lead(order).over(w)))
     return rows.select(*keys, "version", F.col(order).alias("valid_from"), "valid_to",
                        F.col("valid_to").isNull().alias("is_current"), *tracked, *carried)
+
+
+def scd2_segmented(df: DataFrame, keys: Sequence[str], order: str, tracked: Sequence[str],
+                   carried: Sequence[str] = (), segment: Column | None = None) -> DataFrame:
+    """``scd2`` (documented rule) for keys too hot for one task.
+
+    Rows are windowed per (key, segment) — ``segment`` is a value that never
+    decreases with ``order``, e.g. the month of the observation — so one key's
+    rows spread over as many tasks as it has segments.  Per segment, one
+    aggregate row summarises what the next segment needs (first and last
+    tracked values, local change count, first local change); a window over
+    these summaries (one row per key and segment) carries the state across
+    segments: whether a segment's first row starts a version, how many
+    versions precede it, and where the next version starts.  The summaries
+    are repartitioned like the rows, so joining them back does not move the
+    rows again.  Same output as ``scd2``.
+    """
+    keys = list(keys)
+    seg = segment if segment is not None else F.date_trunc("month", F.col(order))
+    rows = df.withColumn("_seg", seg)
+    w1 = Window.partitionBy(*keys, "_seg").orderBy(order)
+    local = (rows.withColumn("_first", F.lag(order).over(w1).isNull())
+                 .withColumn("_chg", F.when(F.col("_first"), F.lit(False)).otherwise(_changed(tracked, w1))))
+    tracked_struct = F.struct(*[F.col(c) for c in tracked])
+    summary = (local.groupBy(*keys, "_seg")
+               .agg(F.min(order).alias("_seg_first_ts"),
+                    F.min_by(tracked_struct, F.col(order)).alias("_seg_first"),
+                    F.max_by(tracked_struct, F.col(order)).alias("_seg_last"),
+                    F.count_if("_chg").alias("_seg_changes"),
+                    F.min(F.when(F.col("_chg"), F.col(order))).alias("_seg_first_change")))
+    w2 = Window.partitionBy(*keys).orderBy("_seg")
+    prev = F.lag("_seg_last").over(w2)
+    differs = reduce(lambda a, b: a | b,
+                     [~prev.getField(c).eqNullSafe(F.col("_seg_first").getField(c)) for c in tracked])
+    first_flag = F.when(F.lag("_seg").over(w2).isNull() | differs, 1).otherwise(0)
+    carried_state = (summary.withColumn("_first_flag", first_flag)
+                     .withColumn("_seg_flags", F.col("_first_flag") + F.col("_seg_changes"))
+                     .withColumn("_before", F.coalesce(F.sum("_seg_flags").over(
+                         w2.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+                     .withColumn("_seg_first_start", F.when(F.col("_first_flag") == 1, F.col("_seg_first_ts"))
+                                 .otherwise(F.col("_seg_first_change")))
+                     .withColumn("_next_start", F.first("_seg_first_start", ignorenulls=True).over(
+                         w2.rowsBetween(1, Window.unboundedFollowing)))
+                     .select(*keys, "_seg", "_first_flag", "_before", "_next_start"))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    carried_state = carried_state.repartition(n, *[F.col(k) for k in keys], F.col("_seg"))
+    joined = local.join(carried_state, [*keys, "_seg"])
+    flag = F.when(F.col("_first"), F.col("_first_flag")).otherwise(F.col("_chg").cast("int"))
+    run = w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    starts = (joined.withColumn("_flag", flag)
+              .withColumn("version", (F.col("_before") + F.sum("_flag").over(run)).cast("long"))
+              .where(F.col("_flag") == 1)
+              .withColumn("valid_to", F.coalesce(F.lead(order).over(w1), F.col("_next_start"))))
+    return starts.select(*keys, "version", F.col(order).alias("valid_from"), "valid_to",
+                         F.col("valid_to").isNull().alias("is_current"), *tracked, *carried)

@@ -10,13 +10,13 @@ import datetime as dt
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import plausible_dates
 from ..functions.keys import surrogate_key, ts_text
 from ..functions.paths import ALL_FIELDS, flatten
-from ..operators.history import dedup_per_run, latest_per_key, scd2
+from ..operators.history import dedup_per_run, latest_per_key, scd2, scd2_segmented
 from ..operators.pit import pit_join
 
 KEYS = ["event_id", "fetched_city"]
@@ -54,9 +54,16 @@ def stg_events(raw: DataFrame, as_of: str | dt.date | None = None, on_error: str
     return plausible_dates(typed, "event_date", as_of)
 
 
-def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str = "null") -> DataFrame:
-    """M2: event history.  ``rule="literal"`` reproduces the reference SQL."""
+def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str = "null",
+                        segment: Column | None = None) -> DataFrame:
+    """M2: event history.  ``rule="literal"`` reproduces the reference SQL.
+
+    ``segment`` (documented rule only), e.g. ``date_trunc('month', ingested_at)``,
+    splits each key's window into per-segment tasks for keys too hot for one task.
+    """
     typed = flatten(raw, EVENT_TRACKED + EVENT_CARRIED, on_error)
+    if rule == "documented" and segment is not None:
+        return scd2_segmented(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED, segment)
     if rule == "documented":
         return scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED)
     if rule == "literal":
@@ -153,6 +160,7 @@ class Models:
     as_of: str | dt.date | None = None
     rule: str = "documented"
     broadcast_dims: bool | int | None = None
+    segment: Column | None = None
 
     @cached_property
     def stg_events(self) -> DataFrame:
@@ -164,7 +172,7 @@ class Models:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return stg_event_snapshots(self.raw, self.rule)
+        return stg_event_snapshots(self.raw, self.rule, segment=self.segment)
 
     @cached_property
     def dim_artists(self) -> DataFrame:

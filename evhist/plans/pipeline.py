@@ -17,6 +17,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.paths import ALL_FIELDS, flatten
 from ..sources.tables import TableDir
@@ -32,6 +33,8 @@ class PipelineResult:
     tables: dict[str, str]
     dim_rows: dict[str, int]
     broadcast_dims: bool
+    hottest_key_rows: int
+    segmented_history: bool
 
 
 def table(spark: SparkSession, warehouse: str, name: str) -> TableDir:
@@ -44,7 +47,14 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
-                 as_of: str | dt.date | None = None, broadcast_max_rows: int = 2_000_000) -> PipelineResult:
+                 as_of: str | dt.date | None = None, broadcast_max_rows: int = 2_000_000,
+                 hot_key_rows: int = 5_000_000) -> PipelineResult:
+    """Write every model; returns the table paths and the plan decisions taken.
+
+    The event history is windowed per key unless the hottest key (counted on
+    the typed table, two key columns only) exceeds ``hot_key_rows``; then it is
+    windowed per (key, month) with cross-segment state (``scd2_segmented``).
+    """
     def put(name: str, df: DataFrame) -> DataFrame:
         t = table(spark, warehouse, name)
         t.write(df)
@@ -52,7 +62,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
 
     typed = put("events_typed", typed_events(raw))
     stg = put("stg_events", stg_events(typed, as_of))
-    snaps = put("stg_event_snapshots", stg_event_snapshots(typed))
+    hottest = (typed.groupBy("event_id", "fetched_city").count()
+               .agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
+    segment = F.date_trunc("month", F.col("ingested_at")) if hottest > hot_key_rows else None
+    snaps = put("stg_event_snapshots", stg_event_snapshots(typed, segment=segment))
     artists = put("dim_artists", dim_artists(typed))
     venues = put("dim_venues", dim_venues(typed))
     dim_rows = {"dim_artists": artists.count(), "dim_venues": venues.count()}
@@ -61,4 +74,4 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
                                        artists, venues, broadcast_dims=True if small else None))
     put("fct_events_by_city", fct_events_by_city(fct))
     return PipelineResult({n: table(spark, warehouse, n).path_of(table(spark, warehouse, n).current_version())
-                           for n in MODEL_TABLES}, dim_rows, small)
+                           for n in MODEL_TABLES}, dim_rows, small, int(hottest), segment is not None)

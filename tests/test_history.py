@@ -83,3 +83,30 @@ def test_history_properties_on_fixture(spark):
     assert bad.count() == 0
     per_key = h.groupBy("event_id", "fetched_city").agg(F.count_if("is_current").alias("n"))
     assert per_key.where("n != 1").count() == 0
+
+
+def test_segmented_history_equals_plain_with_hot_key(spark):
+    """A hot key (400 observations) split into day and 6-hour segments gives
+    exactly the plain history, including changes at segment boundaries."""
+    import datetime as dt
+    import random
+
+    from pyspark.sql import functions as F
+
+    from evhist.operators.history import scd2, scd2_segmented
+
+    rnd = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(400):                                   # the hot key: hourly observations
+        rows.append(("HOT", t0 + dt.timedelta(hours=i), rnd.choice(["a", "b", None]),
+                     rnd.choice([1.0, 2.0, None]), rnd.choice(["x", "y"])))
+    for k in range(5):                                     # ordinary keys
+        for i in range(rnd.randint(1, 6)):
+            rows.append((f"K{k}", t0 + dt.timedelta(days=i), rnd.choice(["a", "b"]), 1.0, "x"))
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, s string, p double, c string")
+    plain = sorted(tuple(r) for r in scd2(df, ["k"], "ts", ["s", "p"], ["c"]).collect())
+    for seg in [F.to_date("ts"), F.date_trunc("hour", F.col("ts")),
+                F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / (6 * 3600))]:
+        got = sorted(tuple(r) for r in scd2_segmented(df, ["k"], "ts", ["s", "p"], ["c"], seg).collect())
+        assert got == plain
