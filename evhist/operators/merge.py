@@ -76,6 +76,12 @@ def high_water_mark(fct: DataFrame) -> DataFrame:
                               F.lit(HIGH_WATER_MARK_DEFAULT).cast("timestamp_ntz")).alias("high_water_mark"))
 
 
+def high_water_mark_value(fct: DataFrame):
+    """The high-water mark as a scalar (one aggregate row), for literal filters
+    that Catalyst pushes into the scan."""
+    return high_water_mark(fct).first()[0]
+
+
 def changed_keys(raw: DataFrame, batch: DataFrame, stored: DataFrame | None,
                  as_of: str | dt.date | None = None) -> DataFrame:
     """Keys whose fact rows must be recomputed after ``batch`` landed in ``raw``."""
@@ -84,8 +90,7 @@ def changed_keys(raw: DataFrame, batch: DataFrame, stored: DataFrame | None,
     keys = batch.select(*KEYS).distinct()
     if stored is None:
         return keys
-    hwm = high_water_mark(stored)
-    late = batch.join(F.broadcast(hwm), F.col("ingested_at") <= F.col("high_water_mark"), "left_semi")
+    late = batch.where(F.col("ingested_at") <= F.lit(high_water_mark_value(stored)))
     if not late.limit(1).collect():
         return keys
     touched = flatten(late, ["artist_id", "venue_id"])

@@ -18,7 +18,8 @@ from ..functions.paths import ALL_FIELDS, flatten, json_valid
 from ..functions.dates import plausible_dates
 from ..operators import quality as dq
 from ..operators.history import change_flags, dedup_per_run, latest_per_key, version_numbers
-from ..operators.merge import extend_frames, fct_incremental_frame, high_water_mark, merge_frames
+from ..operators.merge import (extend_frames, fct_incremental_frame, high_water_mark, high_water_mark_value,
+                               merge_frames)
 from ..operators.pit import pit_join
 from ..sources.feed import landed_feed, raw_feed, read_table
 from ..sources.landing import cap_per_city, land_pages, landed_to_raw, pages_from_landed
@@ -171,8 +172,7 @@ def q_merge_upsert(spark, sf_dir):
     """Append-style merge of newer versions by event_sk (the reference's mode)."""
     raw, _, stored = _split(spark, sf_dir)
     full = Models(raw, as_of=FIXTURE_AS_OF).fct_events
-    newer = full.join(F.broadcast(high_water_mark(stored)),
-                      F.col("valid_from") > F.col("high_water_mark"), "left_semi")
+    newer = full.where(F.col("valid_from") > F.lit(high_water_mark_value(stored)))
     return merge_frames(stored, newer, "event_sk")
 
 
