@@ -27,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import advance
 from ..sources.landing import PAGE_FILE_SCHEMA, land_pages, landed_to_raw, pages_frame, read_raw
+from ..session import shared_dir
 from ..sources.tables import StateDir
 
 
@@ -53,9 +54,13 @@ def process_batch(spark: SparkSession, files: DataFrame, batch_id: int, warehous
     advance(state_dir(spark, warehouse), read_raw(spark, raw_path(warehouse), batch_level=True), landed, as_of)
 
 
-def run_stream(spark: SparkSession, in_dir: str, warehouse: str, checkpoint: str,
+def run_stream(spark: SparkSession, in_dir: str, warehouse: str, checkpoint: str | None = None,
                as_of: str | dt.date | None = None, available_now: bool = True,
                max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the landing stream; the checkpoint defaults to a folder under the
+    cluster's shared ``spark.checkpoint.dir``."""
+    if checkpoint is None:
+        checkpoint = f"{shared_dir(spark)}/evhist-stream-checkpoint"
     reader = spark.readStream.format("text").schema(PAGE_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
