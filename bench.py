@@ -86,10 +86,15 @@ def main() -> None:
         df.collect()
     timings["pipe:dashboard_all"] = round(time.perf_counter() - t0, 3)
 
+    raw_rows = read_raw(spark, raw_path).count()
+    pipe_secs = timings["pipe:land_raw"] + timings["pipe:models"]
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": cpus,
-                      "dim_rows": res.dim_rows, "broadcast_dims": res.broadcast_dims}))
+                      "raw_rows": raw_rows,
+                      "pipeline_rows_per_sec": round(raw_rows / pipe_secs, 1),
+                      "dim_rows": res.dim_rows, "broadcast_dims": res.broadcast_dims,
+                      "segmented_history": res.segmented_history}))
     spark.stop()
 
 

@@ -205,7 +205,8 @@ def advance(state, raw: DataFrame, batch: DataFrame, as_of: str | dt.date | None
     if lo is None:
         return "empty"
     wm = state.read("watermark")
-    if lo > wm.first()[0]:
+    done_upto = wm.first()[0]
+    if done_upto is None or lo > done_upto:
         fct, art, ven = extend_frames(state.read("fct_events"), state.read("dim_artists"),
                                       state.read("dim_venues"), batch, as_of)
         mode = "extend"

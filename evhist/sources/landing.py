@@ -40,6 +40,8 @@ def dedup_run(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
         for k in keys:
             cond = cond & F.col(k).isNotNull()
         df = df.where(cond)
+    if not rest:
+        return df.select(*keys).distinct()
     ordering = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
     # One min_by per column: with a unique order all of them pick the same row,
     # and fixed-width columns keep fixed-width buffers, so Spark can plan a
