@@ -11,6 +11,7 @@ instead of raising under ANSI mode.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,12 @@ def typed_value(doc: Column, name: str, on_error: str = "null") -> Column:
     return raw.cast(target) if on_error == "fail" else raw.try_cast(target)
 
 
+@lru_cache(maxsize=None)
+def _field_of_doc(name: str, on_error: str) -> Column:
+    """``typed_value`` of the parsed ``_doc`` column, built once per process."""
+    return typed_value(F.col("_doc"), name, on_error).alias(name)
+
+
 def parse_payload(payload: Column, fields: Sequence[str], on_error: str = "null") -> Column:
     opts = {"mode": "FAILFAST"} if on_error == "fail" else {"mode": "PERMISSIVE"}
     return F.from_json(payload, payload_schema(fields), opts)
@@ -102,7 +109,7 @@ def flatten(raw: DataFrame, fields: Sequence[str] | None = None, on_error: str =
     doc = parse_payload(F.col("payload"), fields, on_error)
     staged = raw.select(*keep, *(["payload"] if keep_payload else []), doc.alias("_doc"))
     cols = [F.col(k) for k in keep]
-    cols += [typed_value(F.col("_doc"), f, on_error).alias(f) for f in fields]
+    cols += [_field_of_doc(f, on_error) for f in fields]
     if keep_payload:
         cols.append(F.col("payload"))
     return staged.select(*cols)

@@ -9,6 +9,8 @@ map-side-combined aggregate, so it scales with ``events``.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,9 +35,16 @@ def _opt(cond: Column, text: Column) -> Column:
 
 def landed_keys(events: DataFrame) -> DataFrame:
     """Keys and source fields of every landed observation (no JSON yet)."""
+    return events.select(*_landed_key_columns())
+
+
+@lru_cache(maxsize=1)
+def _landed_key_columns() -> tuple[Column, ...]:
+    # Column expressions are unresolved and reusable: build them once per process
+    # (each Column call is a round trip to the JVM).
     u, seq = F.col("user_id"), F.col("event_id")
     city_idx = ((u + seq % 2) % len(CITY_NAMES)).cast("int")
-    return events.select(
+    return (
         seq.alias("seq"),
         F.concat(F.lit("E"), F.lpad(_s(u), 6, "0")).alias("event_id"),
         F.element_at(F.array(*[F.lit(c) for c in CITY_NAMES]), city_idx + 1).alias("fetched_city"),
@@ -47,6 +56,7 @@ def landed_keys(events: DataFrame) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=1)
 def payload_expr() -> Column:
     """The event document text, built from the columns of ``landed_keys``."""
     u, v, d = F.col("u"), F.col("v"), F.col("d")

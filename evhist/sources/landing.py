@@ -137,17 +137,22 @@ def landed_to_raw(landed: DataFrame) -> DataFrame:
     return out.select("event_id", "fetched_city", "ingested_at", "payload")
 
 
-def append_raw(df: DataFrame, path: str, files_per_partition: int = 4) -> None:
+def raw_layout(df: DataFrame) -> DataFrame:
+    """The raw table's layout: ``ingest_date`` column plus a REBALANCE on the
+    partition columns.  AQE then sizes the writer tasks from measured bytes
+    (``advisoryPartitionSizeInBytes``): small (date, city) groups are merged
+    into one writer, a hot city is split across several, so files stay near
+    the advisory size whatever the skew."""
+    return (df.withColumn("ingest_date", F.to_date("ingested_at"))
+              .hint("rebalance", "ingest_date", "fetched_city"))
+
+
+def append_raw(df: DataFrame, path: str) -> None:
     """Append a run to the raw table, laid out by (ingest_date, city).
 
-    Rows are spread over ``files_per_partition`` writers per partition by a hash
-    of the event id, so one hot city does not end up in one task.  An empty
-    run writes no data files.  The job commit makes a run all-or-nothing.
+    An empty run writes no data files; the job commit makes a run all-or-nothing.
     """
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_partition))
-    (df.withColumn("ingest_date", F.to_date("ingested_at"))
-       .repartition("ingest_date", "fetched_city", salt)
-       .write.mode("append").partitionBy("ingest_date", "fetched_city").parquet(path))
+    raw_layout(df).write.mode("append").partitionBy("ingest_date", "fetched_city").parquet(path)
 
 
 RAW_FILE_SCHEMA = "event_id string, ingested_at timestamp_ntz, payload string"

@@ -22,11 +22,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import advance
-from ..sources.landing import PAGE_FILE_SCHEMA, land_pages, landed_to_raw, pages_frame, read_raw
+from ..sources.landing import PAGE_FILE_SCHEMA, land_pages, landed_to_raw, pages_frame, raw_layout, read_raw
 from ..session import shared_dir
 from ..sources.tables import StateDir
 
@@ -44,10 +43,7 @@ def process_batch(spark: SparkSession, files: DataFrame, batch_id: int, warehous
                   as_of: str | dt.date | None = None) -> None:
     batch = landed_to_raw(land_pages(pages_frame(files)))
     out = f"{raw_path(warehouse)}/batch_id={batch_id}"
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(4))
-    (batch.withColumn("ingest_date", F.to_date("ingested_at"))
-          .repartition("ingest_date", "fetched_city", salt)
-          .write.mode("overwrite").partitionBy("ingest_date", "fetched_city").parquet(out))
+    raw_layout(batch).write.mode("overwrite").partitionBy("ingest_date", "fetched_city").parquet(out)
     landed = spark.read.parquet(out).select("event_id", "fetched_city", "ingested_at", "payload")
     if not landed.limit(1).collect():
         return
