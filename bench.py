@@ -44,6 +44,7 @@ def main() -> None:
     from evhist.constants import FIXTURE_AS_OF
     from evhist.plans import catalog
     from evhist.plans import insights as K
+    from evhist.plans.models import read_fct
     from evhist.plans.pipeline import run_pipeline
     from evhist.session import build_session, shared_dir
     from evhist.sources.feed import raw_feed
@@ -71,7 +72,7 @@ def main() -> None:
     res = run_pipeline(spark, read_raw(spark, raw_path), f"{scratch}/warehouse", FIXTURE_AS_OF)
     timings["pipe:models"] = round(time.perf_counter() - t0, 3)
 
-    fct = spark.read.parquet(res.tables["fct_events"])
+    fct = read_fct(spark, res.tables["fct_events"])
     venues = spark.read.parquet(res.tables["dim_venues"])
     daily = spark.read.parquet(res.tables["fct_events_by_city"])
     filt = K.dashboard_filter(fct.where("is_current"))

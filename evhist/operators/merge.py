@@ -194,26 +194,29 @@ def advance(state, raw: DataFrame, batch: DataFrame, as_of: str | dt.date | None
     is newer than everything processed: cost ~ batch), ``replay`` (late rows:
     changed keys recomputed from raw), or ``empty``.
     """
-    from ..plans.models import Models, dim_artists, dim_venues
+    from ..plans.models import FCT_PARTITIONS, Models, dim_artists, dim_venues, fct_from_files, fct_layout
 
+    layout = {"fct_events": FCT_PARTITIONS}
     if not state.exists():
         m = Models(raw, as_of)
-        state.write({"fct_events": m.fct_events, "dim_artists": m.dim_artists,
-                     "dim_venues": m.dim_venues, "watermark": _watermark(raw)})
+        state.write({"fct_events": fct_layout(m.fct_events), "dim_artists": m.dim_artists,
+                     "dim_venues": m.dim_venues, "watermark": _watermark(raw)}, layout)
         return "full"
+    stored_fct = fct_from_files(state.read("fct_events"))
     lo = batch.agg(F.min("ingested_at")).first()[0]
     if lo is None:
         return "empty"
     wm = state.read("watermark")
     done_upto = wm.first()[0]
     if done_upto is None or lo > done_upto:
-        fct, art, ven = extend_frames(state.read("fct_events"), state.read("dim_artists"),
+        fct, art, ven = extend_frames(stored_fct, state.read("dim_artists"),
                                       state.read("dim_venues"), batch, as_of)
         mode = "extend"
     else:
-        fct = fct_incremental_frame(state.read("fct_events"), raw, batch, as_of)
+        fct = fct_incremental_frame(stored_fct, raw, batch, as_of)
         art, ven = dim_artists(raw), dim_venues(raw)
         mode = "replay"
-    state.write({"fct_events": fct, "dim_artists": art, "dim_venues": ven,
-                 "watermark": _watermark(batch).unionByName(wm).agg(F.max("watermark").alias("watermark"))})
+    state.write({"fct_events": fct_layout(fct), "dim_artists": art, "dim_venues": ven,
+                 "watermark": _watermark(batch).unionByName(wm).agg(F.max("watermark").alias("watermark"))},
+                layout)
     return mode

@@ -135,6 +135,29 @@ def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues:
     return f.select(*FCT_COLUMNS)
 
 
+FCT_PARTITIONS = ["is_current"]
+
+
+def fct_layout(fct: DataFrame) -> DataFrame:
+    """Write layout of the fact: partitioned by ``is_current`` (every dashboard
+    query reads current versions only, so it prunes to one folder), rows of a
+    file clustered by city and date so Parquet row-group statistics skip the
+    rest of a filtered read."""
+    return fct.sortWithinPartitions("is_current", "fetched_city", "event_date")
+
+
+def fct_from_files(df: DataFrame) -> DataFrame:
+    """A fact read back from ``FCT_PARTITIONS`` folders: partition discovery
+    yields ``is_current`` as text, so cast it back (pruning still applies)
+    and restore the model's column order."""
+    return df.withColumn("is_current", F.col("is_current").cast("boolean")).select(*FCT_COLUMNS)
+
+
+def read_fct(spark, path: str) -> DataFrame:
+    """Read a fact written with ``FCT_PARTITIONS``."""
+    return fct_from_files(spark.read.parquet(path))
+
+
 def fct_events_by_city(fct: DataFrame, approx: bool = False) -> DataFrame:
     """M6: current versions with a date, by city x date x genre (NULL genre is a group).
 

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import ALL_FIELDS, flatten
 from ..sources.tables import TableDir
-from .models import (EVENT_ATTRS, dim_artists, dim_venues, fct_events, fct_events_by_city,
-                     stg_event_snapshots, stg_events)
+from .models import (EVENT_ATTRS, FCT_PARTITIONS, dim_artists, dim_venues, fct_events,
+                     fct_events_by_city, fct_from_files, fct_layout, stg_event_snapshots, stg_events)
 
 MODEL_TABLES = ["events_typed", "stg_events", "stg_event_snapshots", "dim_artists", "dim_venues",
                 "fct_events", "fct_events_by_city"]
@@ -55,9 +55,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
     the typed table, two key columns only) exceeds ``hot_key_rows``; then it is
     windowed per (key, month) with cross-segment state (``scd2_segmented``).
     """
-    def put(name: str, df: DataFrame) -> DataFrame:
+    def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         t = table(spark, warehouse, name)
-        t.write(df)
+        t.write(df, partition_by)
         return t.read()
 
     typed = put("events_typed", typed_events(raw))
@@ -70,8 +70,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
     venues = put("dim_venues", dim_venues(typed))
     dim_rows = {"dim_artists": artists.count(), "dim_venues": venues.count()}
     small = max(dim_rows.values()) <= broadcast_max_rows
-    fct = put("fct_events", fct_events(snaps, stg.select("event_id", "fetched_city", *EVENT_ATTRS),
-                                       artists, venues, broadcast_dims=True if small else None))
+    fct = put("fct_events", fct_layout(fct_events(snaps, stg.select("event_id", "fetched_city", *EVENT_ATTRS),
+                                                  artists, venues, broadcast_dims=True if small else None)),
+              FCT_PARTITIONS)
+    fct = fct_from_files(fct)
     put("fct_events_by_city", fct_events_by_city(fct))
     return PipelineResult({n: table(spark, warehouse, n).path_of(table(spark, warehouse, n).current_version())
                            for n in MODEL_TABLES}, dim_rows, small, int(hottest), segment is not None)

@@ -103,11 +103,15 @@ class StateDir(TableDir):
             raise FileNotFoundError(f"no committed version under {self.root}")
         return self.spark.read.parquet(f"{self.path_of(v)}/{name}")
 
-    def write(self, tables: dict[str, DataFrame]) -> int:  # type: ignore[override]
+    def write(self, tables: dict[str, DataFrame],  # type: ignore[override]
+              partition_by: dict[str, list[str]] | None = None) -> int:
         versions = self._all_versions()
         nxt = (versions[-1] + 1) if versions else 1
         base = self.path_of(nxt)
         for name, df in tables.items():
-            df.write.mode("errorifexists").parquet(f"{base}/{name}")
+            w = df.write.mode("errorifexists")
+            if partition_by and name in partition_by:
+                w = w.partitionBy(*partition_by[name])
+            w.parquet(f"{base}/{name}")
         self._fs.create(self._Path(f"{base}/{self.MARKER}")).close()
         return nxt

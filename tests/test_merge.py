@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from evhist.operators.merge import (DuplicateKeyError, fct_incremental, fct_incremental_frame,
                                     merge_frames, merge_upsert)
-from evhist.plans.models import Models
+from evhist.plans.models import Models, fct_from_files
 from evhist.sources.feed import raw_feed
 from evhist.sources.tables import TableDir
 
@@ -105,9 +105,10 @@ def test_advance_extend_then_replay(spark, scratch):
     assert modes == ["full", "extend", "extend", "extend"]
     m = Models(raw, as_of="2024-01-30")
     for name, df in [("fct_events", m.fct_events), ("dim_artists", m.dim_artists), ("dim_venues", m.dim_venues)]:
-        assert rows(st.read(name)) == rows(df), name
+        got = fct_from_files(st.read(name)) if name == "fct_events" else st.read(name)
+        assert rows(got.select(*df.columns)) == rows(df), name
     assert advance(st, raw, raw.where(F.col("ingested_at") < ts(3)), "2024-01-30") == "replay"
-    assert rows(st.read("fct_events")) == rows(m.fct_events)
+    assert rows(fct_from_files(st.read("fct_events"))) == rows(m.fct_events)
 
 
 def test_extend_micro_new_and_changed_keys(spark):
