@@ -46,13 +46,16 @@ def main() -> None:
     from evhist.plans import insights as K
     from evhist.plans.models import read_fct
     from evhist.plans.pipeline import run_pipeline
-    from evhist.session import build_session, shared_dir
+    from evhist.session import build_session, scratch_path, shared_dir
     from evhist.sources.feed import raw_feed
     from evhist.sources.landing import append_raw, read_raw
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.driver.memory": "16g"})
-    scratch = shared_dir(spark, tempfile.mkdtemp(prefix="evhist-bench-", dir="/tmp"))
+    # a fresh folder per run below the shared checkpoint folder (a local temp
+    # folder only when the session names none)
+    shared_dir(spark, tempfile.mkdtemp(prefix="evhist-bench-", dir="/tmp"))
+    scratch = scratch_path(spark, "bench")
 
     timings: dict[str, float] = {}
     # warm-up (JIT, class loading) on the smallest fixture; not timed
