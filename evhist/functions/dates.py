@@ -18,9 +18,15 @@ def as_of_col(as_of: str | dt.date | None) -> Column:
     return F.lit(str(as_of)).cast("date")
 
 
+def is_plausible(col: Column | str, as_of: str | dt.date | None = None,
+                 back: int = PLAUSIBLE_YEARS_BACK, ahead: int = PLAUSIBLE_YEARS_AHEAD) -> Column:
+    """NULL, or within [as_of - back years, as_of + ahead years]."""
+    day = as_of_col(as_of)
+    c = F.col(col) if isinstance(col, str) else col
+    return c.isNull() | c.between(F.add_months(day, -12 * back), F.add_months(day, 12 * ahead))
+
+
 def plausible_dates(df: DataFrame, col: str = "event_date", as_of: str | dt.date | None = None,
                     back: int = PLAUSIBLE_YEARS_BACK, ahead: int = PLAUSIBLE_YEARS_AHEAD) -> DataFrame:
-    """Keep NULL dates and dates within [as_of - back years, as_of + ahead years]."""
-    day = as_of_col(as_of)
-    c = F.col(col)
-    return df.where(c.isNull() | c.between(F.add_months(day, -12 * back), F.add_months(day, 12 * ahead)))
+    """keep NULL dates and dates within the window."""
+    return df.where(is_plausible(col, as_of, back, ahead))

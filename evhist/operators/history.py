@@ -79,7 +79,8 @@ def version_numbers(df: DataFrame, keys: Sequence[str], order: str | Sequence[st
 
 def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
          tracked: Sequence[str], carried: Sequence[str] = (),
-         valid_to: str = "next_version", first_version: str = "always") -> DataFrame:
+         valid_to: str = "next_version", first_version: str = "always",
+         latest: Sequence[str] = ()) -> DataFrame:
     """A type-2 history, one row per (keys, version).
 
     ``valid_from`` is the first observation of a version; ``valid_to`` is the
@@ -87,11 +88,17 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     *observation* (``"next_observation"``, the reference SQL's literal result,
     T1).  ``is_current`` = ``valid_to IS NULL``.  Tracked and carried columns
     come from the version's first observation.
-    Output: keys, version, valid_from, valid_to, is_current, tracked, carried.
+    ``latest`` columns are attached to every version with their value from the
+    key's *latest* observation (``last`` over the key's whole frame — same
+    window, no extra shuffle), output as ``latest_<name>``.
+    Output: keys, version, valid_from, valid_to, is_current, tracked, carried[, latest_*].
     """
     keys, order = list(keys), _list(order)
     ts = order[0]
     w = _window(keys, order)
+    if latest:
+        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        df = df.withColumns({f"latest_{c}": F.last(c).over(whole) for c in latest})
     flagged = change_flags(df, keys, order, tracked, first_version)
     versioned = version_numbers(flagged, keys, order)
     # First row per version.  With the flag this is one filter, not a
@@ -107,7 +114,7 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
         raise ValueError(f"valid_to must be next_version or next_observation, not {valid_to!r}")
     return starts.select(*keys, "version", F.col(ts).alias("valid_from"), "valid_to",
                          F.col("valid_to").isNull().alias("is_current"),
-                         *tracked, *carried)
+                         *tracked, *carried, *[f"latest_{c}" for c in latest])
 
 
 def scd2_extend(current: DataFrame, new_obs: DataFrame, keys: Sequence[str], order: str,

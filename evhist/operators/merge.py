@@ -106,9 +106,12 @@ def fct_rows_for_keys(raw: DataFrame, keys: DataFrame, as_of: str | dt.date | No
                       rule: str = "documented", broadcast_dims: bool | int | None = None) -> DataFrame:
     """All fact versions of ``keys``; histories from the keys' raw rows only,
     dimensions from all raw rows."""
-    from ..plans.models import EVENT_ATTRS, dim_artists, dim_venues, fct_events, stg_event_snapshots, stg_events
+    from ..plans.models import (EVENT_ATTRS, dim_artists, dim_venues, fct_events, fct_events_fused,
+                                stg_event_snapshots, stg_events)
 
     sub = raw.join(keys, KEYS, "left_semi")
+    if rule == "documented":
+        return fct_events_fused(sub, dim_artists(raw), dim_venues(raw), as_of, broadcast_dims=broadcast_dims)
     return fct_events(stg_event_snapshots(sub, rule),
                       stg_events(sub, as_of, fields=EVENT_ATTRS, keep_payload=False),
                       dim_artists(raw), dim_venues(raw), broadcast_dims)

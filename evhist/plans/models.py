@@ -13,7 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import plausible_dates
+from ..functions.dates import is_plausible, plausible_dates
 from ..functions.keys import surrogate_key, ts_text
 from ..functions.paths import ALL_FIELDS, flatten
 from ..operators.history import dedup_per_run, latest_per_key, scd2, scd2_segmented
@@ -125,7 +125,11 @@ def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues:
     fetched_city) by their windows, so the attribute join needs no new shuffle.
     """
     attrs = stg.select(*KEYS, *EVENT_ATTRS)
-    f = snapshots.join(attrs, KEYS, "left")
+    return _attach_dims(snapshots.join(attrs, KEYS, "left"), artists, venues, broadcast_dims)
+
+
+def _attach_dims(f: DataFrame, artists: DataFrame, venues: DataFrame,
+                 broadcast_dims: bool | int | None) -> DataFrame:
     f = pit_join(f, artists, on="artist_id", columns=["artist_sk", "artist_name"],
                  broadcast=broadcast_dims)
     f = pit_join(f, venues, on="venue_id",
@@ -135,6 +139,24 @@ def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues:
     return f.select(*FCT_COLUMNS)
 
 
+def fct_events_fused(raw: DataFrame, artists: DataFrame, venues: DataFrame,
+                     as_of: str | dt.date | None = None, on_error: str = "null",
+                     broadcast_dims: bool | int | None = None) -> DataFrame:
+    """M5 in one pass over the observations: the history window also carries
+    each key's latest static attributes (``scd2(latest=...)``), so the fact
+    needs neither a separate latest-per-key shuffle nor the attribute join.
+    Same rows as ``fct_events(stg_event_snapshots, stg_events, ...)``: the
+    attributes are NULL when the latest observation's date is implausible,
+    exactly as the left join against the filtered ``stg_events`` gives."""
+    typed = flatten(raw, [*EVENT_TRACKED, *EVENT_CARRIED, *EVENT_ATTRS], on_error)
+    hist = scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED,
+                latest=[*EVENT_ATTRS, "event_date"])
+    plausible = is_plausible("latest_event_date", as_of)
+    f = hist.select(*KEYS, "version", "valid_from", "valid_to", "is_current", *EVENT_TRACKED, *EVENT_CARRIED,
+                    *[F.when(plausible, F.col(f"latest_{c}")).alias(c) for c in EVENT_ATTRS])
+    return _attach_dims(f, artists, venues, broadcast_dims)
+
+
 FCT_PARTITIONS = ["is_current"]
 
 
@@ -207,6 +229,10 @@ class Models:
 
     @cached_property
     def fct_events(self) -> DataFrame:
+        if self.rule == "documented" and self.segment is None:
+            # one window pass carries the latest attributes: no stg shuffle, no join
+            return fct_events_fused(self.raw, self.dim_artists, self.dim_venues, self.as_of,
+                                    broadcast_dims=self.broadcast_dims)
         return fct_events(self.snapshots, self.event_attrs, self.dim_artists, self.dim_venues,
                           self.broadcast_dims)
 
