@@ -45,7 +45,7 @@ def main() -> None:
     from evhist.plans import catalog
     from evhist.plans import insights as K
     from evhist.plans.models import read_fct
-    from evhist.plans.pipeline import run_pipeline
+    from evhist.plans.pipeline import run_checks, run_pipeline
     from evhist.session import build_session, scratch_path, shared_dir
     from evhist.sources.feed import raw_feed
     from evhist.sources.landing import append_raw, read_raw
@@ -92,6 +92,10 @@ def main() -> None:
 
     raw_rows = read_raw(spark, raw_path).count()
     pipe_secs = timings["pipe:land_raw"] + timings["pipe:models"]
+    t0 = time.perf_counter()
+    run_checks(spark, res, read_raw(spark, raw_path)).collect()
+    timings["pipe:dq_report"] = round(time.perf_counter() - t0, 3)
+
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf, "cpus": cpus,

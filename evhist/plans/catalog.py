@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import ACCEPTED_STATUSES, FIXTURE_AS_OF
+from ..constants import FIXTURE_AS_OF
 from ..functions.keys import surrogate_key, ts_text
 from ..functions.paths import ALL_FIELDS, flatten, json_valid
 from ..functions.dates import plausible_dates
@@ -24,6 +24,7 @@ from ..operators.pit import pit_join
 from ..sources.feed import landed_feed, raw_feed, read_table
 from ..sources.landing import cap_per_city, land_pages, landed_to_raw, pages_from_landed
 from . import insights as K
+from .checks import CHECKS
 from .models import EVENT_ATTRS, EVENT_TRACKED, KEYS, Models
 
 SPLIT_TS = "2024-01-20 00:00:00"
@@ -340,23 +341,6 @@ def q_price_changes(spark, sf_dir):
 
 # ---- data checks ------------------------------------------------------------------------------
 
-CHECKS = [
-    *[dq.Check("raw_events", "not_null", c) for c in ["event_id", "fetched_city", "ingested_at", "payload"]],
-    *[dq.Check("stg_events", "not_null", c) for c in ["event_id", "fetched_city", "event_name"]],
-    *[dq.Check("stg_event_snapshots", "not_null", c)
-      for c in ["event_id", "fetched_city", "version", "valid_from", "is_current"]],
-    *[dq.Check("dim_artists", "not_null", c) for c in ["artist_sk", "artist_id", "artist_name"]],
-    *[dq.Check("dim_venues", "not_null", c) for c in ["venue_sk", "venue_id", "venue_name"]],
-    *[dq.Check("fct_events", "not_null", c) for c in ["event_sk", "event_id"]],
-    dq.Check("stg_events", "unique", "event_id || '|' || fetched_city"),
-    dq.Check("dim_artists", "unique", "artist_sk"),
-    dq.Check("dim_venues", "unique", "venue_sk"),
-    dq.Check("fct_events", "unique", "event_sk"),
-    dq.Check("fct_events", "accepted_values", "event_status", severity="warn",
-             values=tuple(ACCEPTED_STATUSES)),
-]
-
-
 def model_tables(m: Models) -> dict[str, DataFrame]:
     return {"raw_events": m.raw, "stg_events": m.stg_events, "stg_event_snapshots": m.snapshots,
             "dim_artists": m.dim_artists, "dim_venues": m.dim_venues, "fct_events": m.fct_events}

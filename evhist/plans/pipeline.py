@@ -77,3 +77,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
     put("fct_events_by_city", fct_events_by_city(fct))
     return PipelineResult({n: table(spark, warehouse, n).path_of(table(spark, warehouse, n).current_version())
                            for n in MODEL_TABLES}, dim_rows, small, int(hottest), segment is not None)
+
+
+def run_checks(spark: SparkSession, result: PipelineResult, raw: DataFrame) -> DataFrame:
+    """Q4 after a run: the data tests over the written tables (column scans only)."""
+    from ..operators.quality import dq_report
+    from .checks import CHECKS
+    from .models import fct_from_files
+
+    tables = {name: spark.read.parquet(path) for name, path in result.tables.items()}
+    tables["fct_events"] = fct_from_files(tables["fct_events"])
+    tables["raw_events"] = raw
+    return dq_report(tables, CHECKS)

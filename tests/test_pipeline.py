@@ -39,3 +39,14 @@ def test_current_fact_reads_one_partition(spark, scratch):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(is_current" in plan and "(is_current#" in plan
     assert q.first().total_events > 0
+
+
+def test_checks_on_written_tables(spark, scratch):
+    from evhist.plans.pipeline import run_checks
+    append_raw(raw_feed(spark, SF001), f"{scratch}/raw")
+    raw = read_raw(spark, f"{scratch}/raw")
+    res = run_pipeline(spark, raw, f"{scratch}/wh", "2024-01-30")
+    rep = {(r.model, r.test, r.column_name): (r.status, r.failing_rows) for r in run_checks(spark, res, raw).collect()}
+    assert len(rep) == 25
+    assert rep[("fct_events", "accepted_values", "event_status")] == ("warn", 1)
+    assert all(v[0] == "pass" for k, v in rep.items() if k[1] != "accepted_values")
