@@ -118,3 +118,14 @@ def flatten(raw: DataFrame, fields: Sequence[str] | None = None, on_error: str =
 def json_valid(payload: Column) -> Column:
     """Does the text parse as JSON (``try_parse_json`` is not NULL)."""
     return F.try_parse_json(payload).isNotNull()
+
+
+def variant_value(payload: Column, path: str, type_: str = "string") -> Column:
+    """Ad-hoc path outside ``PAYLOAD_PATHS`` through VARIANT (Spark 4.x).
+
+    ``path`` is a JSON path such as ``"$._embedded.venues[0].timezone"``; the
+    text is parsed with ``try_parse_json`` (malformed -> NULL) and the leaf is
+    read with ``try_variant_get`` (missing or uncastable -> NULL).  A JSON
+    ``null`` leaf also gives NULL for typed reads, matching ``flatten``.
+    """
+    return F.try_variant_get(F.try_parse_json(payload), path, type_)

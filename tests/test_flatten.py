@@ -68,3 +68,20 @@ def test_surrogate_key_null_safe(spark):
     import hashlib
     assert ks[0] == hashlib.md5(b"|a").hexdigest()
     assert df.select(F.md5(F.concat_ws("|", "x", "y")).alias("k")).distinct().count() == 1  # why coalesce matters
+
+
+def test_variant_paths_agree_with_flatten(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import SF001
+    from evhist.functions.paths import variant_value
+    from evhist.sources.feed import raw_feed
+    raw = raw_feed(spark, SF001)
+    flat = flatten(raw, ["artist_name", "price_min", "venue_latitude", "event_date"])
+    via_variant = raw.select(
+        "event_id", "fetched_city", "ingested_at",
+        variant_value(F.col("payload"), "$._embedded.attractions[0].name").alias("artist_name"),
+        variant_value(F.col("payload"), "$.priceRanges[0].min", "double").alias("price_min"),
+        variant_value(F.col("payload"), "$._embedded.venues[0].location.latitude", "double").alias("venue_latitude"),
+        variant_value(F.col("payload"), "$.dates.start.localDate", "date").alias("event_date"))
+    assert flat.exceptAll(via_variant).count() == 0 and via_variant.exceptAll(flat).count() == 0
