@@ -89,3 +89,25 @@ def run_checks(spark: SparkSession, result: PipelineResult, raw: DataFrame) -> D
     tables["fct_events"] = fct_from_files(tables["fct_events"])
     tables["raw_events"] = raw
     return dq_report(tables, CHECKS)
+
+
+def run_daily(spark: SparkSession, batch: DataFrame, warehouse: str,
+              as_of: str | dt.date | None = None) -> str:
+    """The daily incremental run: work proportional to the new rows.
+
+    1. append the batch to ``raw_events`` (``ingest_date=/fetched_city=``);
+    2. parse only the batch and append it to ``events_typed`` (``ingest_date=``);
+    3. ``advance`` the fact, both dimensions and the watermark together
+       (extend mode for in-order runs; replay from raw for late rows).
+    Returns the mode ``advance`` used.
+    """
+    from ..operators.merge import advance
+    from ..sources.landing import append_raw, raw_layout, read_raw
+    from ..sources.tables import StateDir
+
+    root = warehouse.rstrip("/")
+    append_raw(batch, f"{root}/raw_events")
+    (raw_layout(typed_events(batch)).write.mode("append")
+     .partitionBy("ingest_date").parquet(f"{root}/events_typed_daily"))
+    raw = read_raw(spark, f"{root}/raw_events")
+    return advance(StateDir(spark, f"{root}/state"), raw, batch, as_of)

@@ -50,3 +50,20 @@ def test_checks_on_written_tables(spark, scratch):
     assert len(rep) == 25
     assert rep[("fct_events", "accepted_values", "event_status")] == ("warn", 1)
     assert all(v[0] == "pass" for k, v in rep.items() if k[1] != "accepted_values")
+
+
+def test_run_daily_equals_rebuild(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from evhist.plans.pipeline import run_daily
+    from evhist.sources.tables import StateDir
+    raw = raw_feed(spark, SF001)
+    split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    modes = [run_daily(spark, raw.where(F.col("ingested_at") < split), scratch, "2024-01-30"),
+             run_daily(spark, raw.where(F.col("ingested_at") >= split), scratch, "2024-01-30")]
+    assert modes == ["full", "extend"]
+    m = Models(raw, as_of="2024-01-30")
+    st = StateDir(spark, f"{scratch}/state")
+    assert rows(fct_from_files(st.read("fct_events"))) == rows(m.fct_events)
+    typed = spark.read.parquet(f"{scratch}/events_typed_daily")
+    assert typed.count() == 602 and "payload" in typed.columns
