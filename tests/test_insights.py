@@ -65,3 +65,22 @@ def test_upcoming_nulls_last(spark):
             df = df.withColumn(c, F.lit(None).cast("string"))
     got = [r["Date"] for r in K.upcoming_events(df, 1).collect()]
     assert got == [dt.date(2024, 1, 1)]
+
+
+def test_approximate_variants_agree_on_small_data(spark):
+    from conftest import SF001
+    from evhist.plans.models import Models
+    from evhist.sources.feed import raw_feed
+    m = Models(raw_feed(spark, SF001), as_of="2024-01-30")
+    exact = {(r.fetched_city, r.event_date, r.genre): (r.unique_artists, r.unique_venues)
+             for r in fct_events_by_city(m.fct_events).collect()}
+    approx = {(r.fetched_city, r.event_date, r.genre): (r.unique_artists, r.unique_venues)
+              for r in fct_events_by_city(m.fct_events, approx=True).collect()}
+    assert approx == exact                      # HLL++ is exact at these cardinalities
+    f = K.dashboard_filter(m.current)
+    e = {r.fetched_city: r for r in K.price_distribution(f).collect()}
+    a = {r.fetched_city: r for r in K.price_distribution(f, exact=False).collect()}
+    assert set(a) == set(e)
+    for city, r in a.items():
+        assert r.n == e[city].n and r.min_price == e[city].min_price and r.max_price == e[city].max_price
+        assert r.min_price <= r.q1 <= r.median <= r.q3 <= r.max_price
