@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 from .exact_dedup import exact_dedup
+from .packing import pack
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in sequences of at most 1024 tokens."""
+    return pack(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts; the largest doc_id stays."""
     docs = _table(spark, sf_dir, "documents")
@@ -21,6 +27,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
