@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import prepare
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .quality import classify
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out third."""
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts; the largest doc_id stays."""
     docs = _table(spark, sf_dir, "documents")
@@ -28,6 +34,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
 }
 
