@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .packing import pack
 from .quality import classify
 
@@ -32,10 +33,16 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(docs, carry={"text_sha256": sha})
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies (five-word shingles, similarity >= 0.8)."""
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
 }
 
 SQL = {
