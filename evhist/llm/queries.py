@@ -10,12 +10,18 @@ from .exact_dedup import exact_dedup
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import classify
+from .suffix_dedup import repeated_bytes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 100-byte strings that also start earlier."""
+    return repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their place in sequences of at most 1024 tokens."""
     return pack(_table(spark, sf_dir, "documents"))
@@ -39,6 +45,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
