@@ -109,7 +109,7 @@ def _signatures(bands, rows, k_shingle, weighting):
                 band = np.repeat(np.arange(bands, dtype=U)[None, :], j - i, 0)
                 for r in range(rows):
                     band = mix64(band ^ sig[:, r::rows])
-                weights = np.bincount(doc, w, j - i)
+                weights = np.bincount(doc, w, j - i).astype(float)
                 one, two = np.zeros(j - i, U), np.zeros(j - i, U)
                 np.add.at(one, doc, mix64(el + w.astype(U)))
                 np.add.at(two, doc, mix64((el + w.astype(U)) ^ U(0xA5A5A5A5A5A5A5A5)))
