@@ -1,4 +1,12 @@
-"""The training-corpus pipeline: filter, dedup, near-dedup, cut repeats, pack."""
+"""The training-corpus pipeline: filter, dedup, near-dedup, cut repeats, pack.
+
+Every stage takes all rows its predecessor kept and returns the columns of
+``documents`` (the last one the packed pieces).  Row keys: a stage decides by doc_id.
+Rows that share a doc_id are told apart by their text in the exact stage; in the
+near-duplicate stage an id goes only if none of its rows stays.  Null ids are an id of
+their own in the exact stage and always stay in the near-duplicate stage.  Empty tables
+pass through empty.
+"""
 
 from __future__ import annotations
 
@@ -7,18 +15,66 @@ from pyspark.sql import functions as F
 
 from evhist.llm.common import keep, prepare
 from evhist.llm.exact_dedup import exact_dedup
+from evhist.llm.minhash import near_duplicates
+from evhist.llm.packing import pack
+from evhist.llm.quality import accept
+from evhist.llm.suffix_dedup import cut_repeats
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not among ``ids`` (null-safe)."""
+    ids = ids.select(F.col("doc_id").alias("_gone"))
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier, learned from ``labels``, does not reject."""
+    prepare(spark)
+    return accept(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the largest doc_id stays."""
+    """Of equal texts the document with the largest doc_id."""
+    prepare(spark)
+    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    rows = keep(exact_dedup(docs, carry={"_sha": sha}), "decisions")
+    per = rows.groupBy("doc_id").agg(F.sum(F.col("kept").cast("int")).alias("_k"), F.count(F.lit(1)).alias("_n"))
+    per = keep(per.where("_k < _n"), "touched")
+    out = _without(docs, per)
+    mixed = per.where("_k > 0").select(F.col("doc_id").alias("_id"))
+    if not mixed.isEmpty():  # ids that several rows share: these rows are told apart by text
+        stay = rows.where("kept").join(mixed, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        stay = stay.select(F.col("doc_id").alias("_id"), F.col("_sha").alias("_s"))
+        again = docs.withColumn("_sha", sha).join(stay, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_s")), "left_semi")
+        out = out.unionByName(again.dropDuplicates(["doc_id", "_sha"]).drop("_sha"))
+    return out
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    prepare(spark)
+    rows = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("_any"))
+    return _without(docs, keep(rows.where("NOT _any").select("doc_id"), "near-copies"))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the 100-byte strings that also start earlier; n_chars follows."""
+    prepare(spark)
+    out = cut_repeats(docs)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
+    return out
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their place in sequences of at most 1024 tokens."""
     prepare(spark)
-    kept = exact_dedup(docs).where("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return pack(docs)
 
 
-STAGES = [("exact_dedup", exact)]
+STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("suffix_dedup", repeats), ("packing", packing)]
 
-#: No stage list with learned, sketched or tokenised stages can be said in SQL.
+#: A learned filter, near copies and token packing cannot be said in SQL.
 ORACLE_SQL = None
 
 
