@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 from .exact_dedup import exact_dedup
+from .lang_id import identify
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import classify
@@ -27,6 +28,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned outside the held-out quarter."""
+    return identify(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labels outside the held-out third."""
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -47,6 +53,7 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
