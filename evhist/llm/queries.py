@@ -12,6 +12,7 @@ from .minhash import near_duplicates
 from .packing import pack
 from .quality import classify
 from .suffix_dedup import repeated_bytes
+from .topk import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +51,11 @@ def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest integer inner products of every hundredth vector with all others."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
@@ -57,9 +63,24 @@ QUERIES = {
     "op5_quality_classifier": op5_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
+    "op10_exact_topk": op10_exact_topk,
 }
 
 SQL = {
+    "op10_exact_topk": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
