@@ -515,8 +515,8 @@ def _plan(docs: DataFrame, id_col, text_col, carry, length, gram, split, with_te
     found = entries.repartition("bucket").mapInArrow(_repeated, "d bigint, runs binary")
     found = found.groupBy("d").agg(F.collect_list("runs").alias("runs"))
     found = keep(found, "repeated-runs").select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "runs")
-    # both joins below deal out the texts alike, so Spark reuses one exchange for them
-    pieces = texts.join(found, "_d").select("_d", "_text", "runs").mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
+    # both joins below deal out the same columns alike, so Spark reuses one exchange of the texts
+    pieces = texts.join(found, "_d").select("_d", "_text", "runs", *names).mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
     marked = pieces.repartition("h").sortWithinPartitions("h").mapInArrow(_index(length, split), _STAGE4)
     kept = marked.repartition("route").sortWithinPartitions("win").mapInArrow(_first_windows, "d bigint, s bigint, n bigint")
     kept = kept.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("kept")).select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "kept")
