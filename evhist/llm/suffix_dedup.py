@@ -33,10 +33,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, byte_view, keep, mix64, prefix_hash, span_hash, to_signed
+from .common import byte_view, keep, mix64, prefix_hash, span_hash
 
 LENGTH = 100
 GRAM = 40
@@ -125,16 +126,15 @@ def scan(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def _by_doc(d: np.ndarray, table: np.ndarray):
-    """(id, packed rows) per document."""
-    order = np.argsort(d, kind="stable")
-    d, table = d[order], table[order]
-    heads = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.zeros(0, np.int64)
-    ends = np.append(heads[1:], len(d))
-    return d[heads], [table[a:b].tobytes() for a, b in zip(heads, ends)]
+def _dealt(entry: np.ndarray, where: np.ndarray):
+    """(bucket, packed entries) for every bucket that has any."""
+    order = np.argsort(where, kind="stable")
+    entry, where = entry[order], where[order]
+    heads = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
+    return where[heads], [entry[a:b].tobytes() for a, b in zip(heads, np.append(heads[1:], len(entry)))]
 
 
-_STAGE1 = "bucket int, d bigint, runs binary"
+_STAGE1 = "bucket int, known boolean, runs binary"
 
 
 def _anchors(length, gram, buckets):
@@ -157,53 +157,69 @@ def _anchors(length, gram, buckets):
             entry = np.zeros(len(single) + len(flags), ENTRY)
             entry["h"] = np.concatenate([h[single], flags])
             entry["d"][: len(single)], entry["s"][: len(single)], entry["n"][: len(single)] = ids[row[single]], s[single], n[single]
-            where = (mix64(entry["h"]) % U(buckets)).astype(np.int64)
-            entry, where = entry[o := np.argsort(where, kind="stable")], where[o]
-            heads = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
-            blobs = [entry[a:b].tobytes() for a, b in zip(heads, np.append(heads[1:], len(entry)))]
-            runs = np.zeros(len(known), RUN)
-            runs["h"], runs["s"], runs["n"] = h[known], s[known], n[known]
-            docs, packed = _by_doc(ids[row[known]], runs)
-            bucket = np.concatenate([where[heads], (mix64(docs.view(U)) % U(buckets)).astype(np.int64)]).astype(np.int32)
-            owner = pa.array(np.concatenate([np.zeros(len(heads), np.int64), docs]), pa.int64(), mask=np.arange(len(bucket)) < len(heads))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int32()), owner, pa.array(blobs + packed, pa.binary())], names=["bucket", "d", "runs"])
+            at, blobs = _dealt(entry, (mix64(entry["h"]) % U(buckets)).astype(np.int32))
+            runs = np.zeros(len(known), ENTRY)
+            runs["h"], runs["d"], runs["s"], runs["n"] = h[known], ids[row[known]], s[known], n[known]
+            to, packed = _dealt(runs, _home(runs["d"], buckets))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([at, to]), pa.int32()), pa.array(np.arange(len(at) + len(to)) >= len(at)), pa.array(blobs + packed, pa.binary())], names=["bucket", "known", "runs"])
 
     return run
 
 
-def _emit(docs, packed, size=20_000):
-    for i in range(0, len(docs), size):
-        yield pa.RecordBatch.from_arrays([pa.array(docs[i : i + size], pa.int64()), pa.array(packed[i : i + size], pa.binary())], names=["d", "runs"])
+def _home(d: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket in which a document's runs meet."""
+    return (mix64(d.astype(np.int64).view(U)) % U(buckets)).astype(np.int32)
 
 
-def _repeated(batches):
-    """Of a partition's buckets, the runs whose anchor was met twice, by document."""
-    entries = []
-    for batch in batches:
-        known = batch.filter(batch.column("d").is_valid())
-        if len(known):
-            yield known.select(["d", "runs"])
-        entries += [np.frombuffer(x, ENTRY) for x in batch.filter(batch.column("d").is_null()).column("runs").to_pylist()]
-    if not entries:
+def _repeated(buckets):
+    """Of a partition's entries, the runs whose anchor was met twice, dealt out by document."""
+
+    def run(batches):
+        entries = []
+        for batch in batches:
+            known = batch.filter(batch.column("known"))
+            if len(known):
+                yield known.select(["bucket", "runs"])
+            entries += [np.frombuffer(x, ENTRY) for x in batch.filter(pc.invert(batch.column("known"))).column("runs").to_pylist()]
+        if not entries:
+            return
+        table = np.concatenate(entries)
+        del entries
+        order = np.argsort(table["h"])
+        h = table["h"][order]
+        same = np.zeros(len(h), bool)
+        same[1:] = h[1:] == h[:-1]
+        again = same.copy()
+        again[:-1] |= same[1:]
+        table = table[order[again]]
+        table = table[table["n"] > 0]
+        to, packed = _dealt(table, _home(table["d"], buckets))
+        yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "runs"])
+
+    return run
+
+
+def _by_document(batches):
+    """One row per document with its candidate runs."""
+    parts = [np.frombuffer(x, ENTRY) for batch in batches for x in batch.column("runs").to_pylist()]
+    if not parts:
         return
-    table = np.concatenate(entries)
-    del entries
-    order = np.argsort(table["h"])
-    h = table["h"][order]
-    same = np.zeros(len(h), bool)
-    same[1:] = h[1:] == h[:-1]
-    again = same.copy()
-    again[:-1] |= same[1:]
-    table = table[order[again]]
-    table = table[table["n"] > 0]
+    table = np.concatenate(parts)
+    del parts
+    table = table[np.argsort(table["d"], kind="stable")]
+    d = table["d"]
     runs = np.zeros(len(table), RUN)
     for name in ("h", "s", "n"):
         runs[name] = table[name]
-    yield from _emit(*_by_doc(table["d"].astype(np.int64), runs))
+    heads = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]])) if len(d) else np.zeros(0, np.int64)
+    ends = np.append(heads[1:], len(d))
+    for i in range(0, len(heads), 5000):
+        a, b = heads[i : i + 5000], ends[i : i + 5000]
+        yield pa.RecordBatch.from_arrays([pa.array(d[a]), pa.array([runs[x:y].tobytes() for x, y in zip(a, b)], pa.binary())], names=["d", "runs"])
 
 
 def _runs(value) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, RUN) for x in value]) if value else np.zeros(0, RUN)
+    return np.frombuffer(value, RUN) if value else np.zeros(0, RUN)
 
 
 def _pieces(length):
@@ -512,8 +528,8 @@ def _plan(docs: DataFrame, id_col, text_col, carry, length, gram, split, with_te
     texts = keyed.select("_d", text, *(F.col(c).alias(n) for c, n in zip(carry, names)))
     buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     entries = texts.select("_d", "_text").mapInArrow(_anchors(length, gram, buckets), _STAGE1)
-    found = entries.repartition("bucket").mapInArrow(_repeated, "d bigint, runs binary")
-    found = found.groupBy("d").agg(F.collect_list("runs").alias("runs"))
+    found = entries.repartition("bucket").mapInArrow(_repeated(buckets), "bucket int, runs binary")
+    found = found.repartition("bucket").mapInArrow(_by_document, "d bigint, runs binary")
     found = keep(found, "repeated-runs").select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "runs")
     # both joins below deal out the same columns alike, so Spark reuses one exchange of the texts
     pieces = texts.join(found, "_d").select("_d", "_text", "runs", *names).mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
