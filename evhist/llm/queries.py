@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import prepare
 from .exact_dedup import exact_dedup
 from .lang_id import identify
+from .license_scan import scan_licenses
 from .minhash import near_duplicates
 from .packing import pack
 from .quality import classify
@@ -19,6 +20,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of license phrases and labels of license wordings in every document."""
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the 100-byte strings that also start earlier."""
     return repeated_bytes(_table(spark, sf_dir, "documents"))
@@ -57,6 +63,7 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
