@@ -11,6 +11,7 @@ from .lang_id import identify
 from .license_scan import scan_licenses
 from .minhash import near_duplicates
 from .packing import pack
+from .pieces import encode_documents
 from .quality import classify
 from .suffix_dedup import repeated_bytes
 from .topk import top_k
@@ -45,6 +46,11 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece counts and a checksum of the ids of every document, and whether they decode to its text."""
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of equal texts; the largest doc_id stays."""
     docs = _table(spark, sf_dir, "documents")
@@ -68,6 +74,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_topk": op10_exact_topk,
