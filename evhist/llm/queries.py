@@ -14,6 +14,7 @@ from .packing import pack
 from .pieces import encode_documents
 from .quality import classify
 from .suffix_dedup import repeated_bytes
+from .token_counts import build, masks, update
 from .topk import top_k
 
 
@@ -46,6 +47,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after masking its long digit runs."""
+    state = build(_table(spark, sf_dir, "documents"), edits=masks())
+    return update(state).drop("_text", "_tree").withColumnRenamed("_id", "doc_id")
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece counts and a checksum of the ids of every document, and whether they decode to its text."""
     return encode_documents(_table(spark, sf_dir, "documents"))
@@ -74,6 +81,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_language_id": op4_language_id,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_token_counts": op6_token_counts,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
