@@ -47,7 +47,7 @@ def main() -> None:
     from evhist.plans.models import read_fct
     from evhist.plans.pipeline import run_checks, run_pipeline
     from evhist.session import build_session, scratch_path, shared_dir
-    from evhist.sources.feed import raw_feed
+    from evhist.fixture.feed import raw_feed
     from evhist.sources.landing import append_raw, read_raw
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
@@ -101,8 +101,7 @@ def main() -> None:
                       "queries": timings, "sf": sf, "cpus": cpus,
                       "raw_rows": raw_rows,
                       "materialized_rows_per_sec": round(raw_rows / pipe_secs, 1),
-                      "dim_rows": res.dim_rows, "broadcast_dims": res.broadcast_dims,
-                      "segmented_history": res.segmented_history}))
+                      "tables": sorted(res.tables)}))
     spark.stop()
 
 

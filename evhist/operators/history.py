@@ -88,6 +88,8 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     *observation* (``"next_observation"``, the reference SQL's literal result,
     T1).  ``is_current`` = ``valid_to IS NULL``.  Tracked and carried columns
     come from the version's first observation.
+    Rows of one key and observation time are one observation, whatever landed
+    twice: the least by tracked and carried values counts.
     ``latest`` columns are attached to every version with their value from the
     key's *latest* observation (``last`` over the key's whole frame — same
     window, no extra shuffle), output as ``latest_<name>``.
@@ -96,6 +98,10 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     keys, order = list(keys), _list(order)
     ts = order[0]
     w = _window(keys, order)
+    # ties: sorted on the same keys first, so the windows below need no other sort
+    tied = _window(keys, [*order, *tracked, *carried, *latest])
+    df = df.withColumn("_again", F.lag(ts).over(tied).eqNullSafe(F.col(ts)) & F.col(ts).isNotNull())
+    df = df.where(~F.coalesce("_again", F.lit(False))).drop("_again")
     if latest:
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         df = df.withColumns({f"latest_{c}": F.last(c).over(whole) for c in latest})
@@ -135,6 +141,10 @@ def scd2_extend(current: DataFrame, new_obs: DataFrame, keys: Sequence[str], ord
     anchors = (current.join(new_obs.select(*keys).distinct(), keys, "left_semi")
                .select(*keys, F.col("valid_from").alias(order), version.cast("long").alias("version"),
                        *tracked, *carried, F.lit(True).alias("_anchor")))
+    # a repeated batch meets its own result: what an anchor already covers is left out
+    known = anchors.select(*keys, F.col(order).alias("_from"))
+    new_obs = (new_obs.dropDuplicates([*keys, order]).join(known, keys, "left")
+               .where(F.col("_from").isNull() | (F.col(order) > F.col("_from"))).drop("_from"))
     obs = new_obs.select(*keys, order, F.lit(None).cast("long").alias("version"),
                          *tracked, *carried, F.lit(False).alias("_anchor"))
     w = _window(keys, [order])
@@ -193,8 +203,7 @@ def scd2_segmented(df: DataFrame, keys: Sequence[str], order: str, tracked: Sequ
                      .withColumn("_next_start", F.first("_seg_first_start", ignorenulls=True).over(
                          w2.rowsBetween(1, Window.unboundedFollowing)))
                      .select(*keys, "_seg", "_first_flag", "_before", "_next_start"))
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    carried_state = carried_state.repartition(n, *[F.col(k) for k in keys], F.col("_seg"))
+    carried_state = carried_state.repartition(*[F.col(k) for k in keys], F.col("_seg"))
     joined = local.join(carried_state, [*keys, "_seg"])
     flag = F.when(F.col("_first"), F.col("_first_flag")).otherwise(F.col("_chg").cast("int"))
     run = w1.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -1,20 +1,19 @@
-"""Key-based upsert (J5) and the changed-key incremental fact.
+"""Key-based upsert (J5) and the incremental fact.
 
 Plain Parquet has no row-level MERGE, so an upsert is expressed as
-``target LEFT ANTI source ∪ source`` and written as the table's next version
-(``TableDir``).  Both sides shuffle on the key only; AQE broadcasts the key
-set of a small batch after measuring it.
+``target LEFT ANTI source U source``, over the buckets that the source's keys
+touch (``BucketTable``); the other buckets are neither read nor written.
 
 Incremental fact, "changed keys" mode (fixes the stale-current-row problem of
 a merge that only adds newer versions, SURVEY T2/T3):
 
 * changed keys = (event_id, fetched_city) of the batch's raw rows;
-* if the batch holds late rows (at or before the stored high-water mark), the
-  keys linked (via their latest artist/venue) to an artist or venue in those
-  rows are added, because a late row can move a dimension interval;
+* for late rows (at or before the stored high-water mark), the keys linked
+  (via their latest artist/venue) to an artist or venue in those rows are
+  added, because a late row can move a dimension interval;
 * every stored row of a changed key is deleted and all versions of the key
   are recomputed from raw (versions may shrink, so upsert-by-event_sk alone
-  is not enough), with the dimensions computed over all raw rows.
+  is not enough).
 
 For in-order batches the result equals a full rebuild with the same
 ``as_of``: an unobserved key keeps its latest attributes, and a dimension
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 
 from ..constants import HIGH_WATER_MARK_DEFAULT
 from ..functions.paths import flatten
-from ..sources.tables import TableDir
+from ..sources.tables import BUCKETS, BucketTable
 
 KEYS = ["event_id", "fetched_city"]
 
@@ -60,14 +59,13 @@ def merge_frames(target: DataFrame, source: DataFrame, key: str | Sequence[str])
     return keep.unionByName(source.select(*target.columns)).select(*target.columns)
 
 
-def merge_upsert(table: TableDir, source: DataFrame, key: str | Sequence[str],
-                 check_unique: bool = True) -> int:
-    """J5 on a table folder: writes the merged table as the next version."""
+def merge_upsert(table: BucketTable, source: DataFrame, check_unique: bool = True) -> None:
+    """J5 on a stored table: rewrites the buckets that the source's keys touch."""
     if check_unique:
-        assert_unique(source, key)
+        assert_unique(source, table.keys)
     if not table.exists():
-        return table.write(source)
-    return table.write(merge_frames(table.read(), source, key))
+        return table.replace_all(source)
+    return table.replace(merge_frames(table.read(table.touched(source)), source, table.keys))
 
 
 def high_water_mark(fct: DataFrame) -> DataFrame:
@@ -76,45 +74,43 @@ def high_water_mark(fct: DataFrame) -> DataFrame:
                               F.lit(HIGH_WATER_MARK_DEFAULT).cast("timestamp_ntz")).alias("high_water_mark"))
 
 
-def high_water_mark_value(fct: DataFrame):
-    """The high-water mark as a scalar (one aggregate row), for literal filters
-    that Catalyst pushes into the scan."""
-    return high_water_mark(fct).first()[0]
-
-
 def changed_keys(raw: DataFrame, batch: DataFrame, stored: DataFrame | None,
                  as_of: str | dt.date | None = None) -> DataFrame:
-    """Keys whose fact rows must be recomputed after ``batch`` landed in ``raw``."""
-    from ..plans.models import stg_events  # local: models imports operators
+    """Keys whose fact rows must be recomputed after ``batch`` landed in ``raw``.
 
+    Nothing runs while the frame is built: the high-water mark is a scalar subquery.
+    """
     keys = batch.select(*KEYS).distinct()
     if stored is None:
         return keys
-    late = batch.where(F.col("ingested_at") <= F.lit(high_water_mark_value(stored)))
-    if not late.limit(1).collect():
-        return keys
+    late = batch.where(F.col("ingested_at") <= high_water_mark(stored).scalar())
+    return keys.unionByName(linked_keys(raw, late, as_of)).distinct()
+
+
+def linked_keys(raw: DataFrame, late: DataFrame, as_of: str | dt.date | None = None) -> DataFrame:
+    """Keys whose latest artist or venue occurs in the late rows."""
+    from ..plans.models import stg_events  # local: models imports operators
+
     touched = flatten(late, ["artist_id", "venue_id"])
     attrs = stg_events(raw, as_of, fields=["artist_id", "venue_id"], keep_payload=False)
-    by_artist = attrs.join(touched.select("artist_id").where(F.col("artist_id").isNotNull()).distinct(),
-                           "artist_id", "left_semi")
-    by_venue = attrs.join(touched.select("venue_id").where(F.col("venue_id").isNotNull()).distinct(),
-                          "venue_id", "left_semi")
-    return keys.unionByName(by_artist.select(*KEYS)).unionByName(by_venue.select(*KEYS)).distinct()
+    by = [attrs.join(touched.select(c).where(F.col(c).isNotNull()).distinct(), c, "left_semi").select(*KEYS)
+          for c in ("artist_id", "venue_id")]
+    return by[0].unionByName(by[1])
 
 
 def fct_rows_for_keys(raw: DataFrame, keys: DataFrame, as_of: str | dt.date | None = None,
-                      rule: str = "documented", broadcast_dims: bool | int | None = None) -> DataFrame:
+                      rule: str = "documented", dims: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """All fact versions of ``keys``; histories from the keys' raw rows only,
-    dimensions from all raw rows."""
+    dimensions as given or from all raw rows."""
     from ..plans.models import (EVENT_ATTRS, dim_artists, dim_venues, fct_events, fct_events_fused,
                                 stg_event_snapshots, stg_events)
 
     sub = raw.join(keys, KEYS, "left_semi")
+    artists, venues = dims or (dim_artists(raw), dim_venues(raw))
     if rule == "documented":
-        return fct_events_fused(sub, dim_artists(raw), dim_venues(raw), as_of, broadcast_dims=broadcast_dims)
+        return fct_events_fused(sub, artists, venues, as_of)
     return fct_events(stg_event_snapshots(sub, rule),
-                      stg_events(sub, as_of, fields=EVENT_ATTRS, keep_payload=False),
-                      dim_artists(raw), dim_venues(raw), broadcast_dims)
+                      stg_events(sub, as_of, fields=EVENT_ATTRS, keep_payload=False), artists, venues)
 
 
 def fct_incremental_frame(stored: DataFrame | None, raw: DataFrame, batch: DataFrame,
@@ -128,17 +124,8 @@ def fct_incremental_frame(stored: DataFrame | None, raw: DataFrame, batch: DataF
     return kept.unionByName(fresh.select(*stored.columns)).select(*stored.columns)
 
 
-def fct_incremental(table: TableDir, raw: DataFrame, batch: DataFrame,
-                    as_of: str | dt.date | None = None, rule: str = "documented") -> int:
-    """J6 on a table folder; returns the written version."""
-    stored = table.read() if table.exists() else None
-    return table.write(fct_incremental_frame(stored, raw, batch, as_of, rule))
-
-
 # ---- extend mode: work proportional to the batch ---------------------------------
 
-STATE_TABLES = ("fct_events", "dim_artists", "dim_venues", "watermark")
-
 
 def _extend_dim(dim: DataFrame, runs: DataFrame, key: str, sk: str, tracked, carried, rows_fn) -> DataFrame:
     from .history import scd2_extend
@@ -149,24 +136,20 @@ def _extend_dim(dim: DataFrame, runs: DataFrame, key: str, sk: str, tracked, car
     return dim.join(replaced, sk, "left_anti").unionByName(rows_fn(ext)).select(*dim.columns)
 
 
-def extend_frames(fct: DataFrame, artists: DataFrame, venues: DataFrame, batch: DataFrame,
-                  as_of: str | dt.date | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """New (fct, dim_artists, dim_venues) after an in-order ``batch``.
+def extend_dims(artists: DataFrame, venues: DataFrame, typed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both dimensions (or the buckets of them that the batch touches) after an in-order batch."""
+    from ..plans.models import (VENUE_CARRIED, VENUE_TRACKED, artist_rows, artist_runs, venue_rows, venue_runs)
 
-    Reads only the batch, the stored current versions of the keys it touches
-    and the stored rows of those keys; the rest of the stored fact is carried
-    over by an anti join on the key.
-    """
-    from ..functions.paths import ALL_FIELDS
-    from ..plans.models import (EVENT_ATTRS, EVENT_CARRIED, EVENT_TRACKED, VENUE_CARRIED, VENUE_TRACKED,
-                                artist_rows, artist_runs, fct_events, stg_events, venue_rows, venue_runs)
+    return (_extend_dim(artists, artist_runs(typed), "artist_id", "artist_sk", ["artist_name"], [], artist_rows),
+            _extend_dim(venues, venue_runs(typed), "venue_id", "venue_sk", VENUE_TRACKED, VENUE_CARRIED, venue_rows))
+
+
+def extend_fact(fct: DataFrame, artists: DataFrame, venues: DataFrame, typed: DataFrame,
+                as_of: str | dt.date | None = None) -> DataFrame:
+    """The fact (or its touched buckets) after an in-order batch, with the dimensions already extended."""
+    from ..plans.models import EVENT_ATTRS, EVENT_CARRIED, EVENT_TRACKED, fct_events, stg_events
     from .history import scd2_extend
 
-    typed = flatten(batch, ALL_FIELDS)
-    new_artists = _extend_dim(artists, artist_runs(typed), "artist_id", "artist_sk", ["artist_name"], [],
-                              artist_rows)
-    new_venues = _extend_dim(venues, venue_runs(typed), "venue_id", "venue_sk", VENUE_TRACKED, VENUE_CARRIED,
-                             venue_rows)
     changed = typed.select(*KEYS).distinct()
     stored = fct.join(changed, KEYS, "left_semi")
     snap_cols = [*KEYS, "version", "valid_from", "valid_to", "is_current", *EVENT_TRACKED, *EVENT_CARRIED]
@@ -176,50 +159,104 @@ def extend_frames(fct: DataFrame, artists: DataFrame, venues: DataFrame, batch:
                       KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED)
     hist = stored.where(~F.col("is_current")).select(*snap_cols).unionByName(ext.select(*snap_cols))
     attrs = stg_events(typed, as_of, fields=EVENT_ATTRS, keep_payload=False)
-    rows = fct_events(hist, attrs, new_artists, new_venues)
-    new_fct = fct.join(changed, KEYS, "left_anti").unionByName(rows.select(*fct.columns)).select(*fct.columns)
-    return new_fct, new_artists, new_venues
+    rows = fct_events(hist, attrs, artists, venues)
+    return fct.join(changed, KEYS, "left_anti").unionByName(rows.select(*fct.columns)).select(*fct.columns)
 
 
-def _watermark(*frames: DataFrame) -> DataFrame:
-    parts = [f.select(F.col("ingested_at").alias("watermark")) for f in frames]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.agg(F.max("watermark").alias("watermark"))
+def extend_frames(fct: DataFrame, artists: DataFrame, venues: DataFrame, batch: DataFrame,
+                  as_of: str | dt.date | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """New (fct, dim_artists, dim_venues) after an in-order ``batch``, as frames."""
+    from ..functions.paths import ALL_FIELDS
+
+    typed = flatten(batch, ALL_FIELDS)
+    artists, venues = extend_dims(artists, venues, typed)
+    return extend_fact(fct, artists, venues, typed, as_of), artists, venues
+
+
+class State:
+    """The stored fact, both dimensions and the watermark below one folder."""
+
+    def __init__(self, spark, root: str, buckets: int = BUCKETS):
+        from ..plans.models import ARTIST_SCHEMA, FCT_SCHEMA, VENUE_SCHEMA
+
+        self.spark, self.root = spark, root.rstrip("/")
+        self.fct_events = BucketTable(spark, f"{self.root}/fct_events", FCT_SCHEMA, KEYS, buckets)
+        self.dim_artists = BucketTable(spark, f"{self.root}/dim_artists", ARTIST_SCHEMA, ["artist_id"], buckets)
+        self.dim_venues = BucketTable(spark, f"{self.root}/dim_venues", VENUE_SCHEMA, ["venue_id"], buckets)
+
+    def watermark(self):
+        """The newest run that is in the tables; None before the first one."""
+        from ..sources.tables import path_exists
+
+        path = f"{self.root}/watermark"
+        if not path_exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        return self.spark.read.schema("watermark timestamp_ntz").parquet(path).agg(F.max("watermark")).first()[0]
 
+    def advance_to(self, when) -> None:
+        """Written last: until then a repeated step finds the old mark and does the same again."""
+        frame = self.spark.range(1).select(F.lit(when).cast("timestamp_ntz").alias("watermark"))
+        frame.write.mode("append").parquet(f"{self.root}/watermark")
 
-def advance(state, raw: DataFrame, batch: DataFrame, as_of: str | dt.date | None = None) -> str:
+
+def _touched_ids(typed: DataFrame, key: str) -> DataFrame:
+    return typed.select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def advance(state: State, raw: DataFrame, batch: DataFrame, as_of: str | dt.date | None = None) -> str:
     """Bring the fact and both dimensions up to date after ``batch`` landed in ``raw``.
 
-    ``state`` is a ``StateDir``; the four tables are committed together.
-    Returns the mode used: ``full`` (first run), ``extend`` (every batch row
-    is newer than everything processed: cost ~ batch), ``replay`` (late rows:
-    changed keys recomputed from raw), or ``empty``.
+    ``raw`` and ``batch`` are observations, parsed or not; parsed ones
+    (``pipeline.typed_events``) are not parsed again.  Returns the mode used:
+    ``full`` (first run), ``extend`` (every batch row is newer than everything
+    processed), ``replay`` (late rows: changed keys recomputed from raw), or
+    ``empty``.  Only the buckets that the batch's keys and ids touch are
+    rewritten.  Every step gives the same tables when it is repeated, and the
+    watermark moves last, so a run that died may simply be started again.
     """
-    from ..plans.models import FCT_PARTITIONS, Models, dim_artists, dim_venues, fct_from_files, fct_layout
+    from ..functions.paths import ALL_FIELDS
+    from ..plans.models import Models, dim_artists, dim_venues
 
-    layout = {"fct_events": FCT_PARTITIONS}
-    if not state.exists():
-        m = Models(raw, as_of)
-        state.write({"fct_events": fct_layout(m.fct_events), "dim_artists": m.dim_artists,
-                     "dim_venues": m.dim_venues, "watermark": _watermark(raw)}, layout)
-        return "full"
-    stored_fct = fct_from_files(state.read("fct_events"))
-    lo = batch.agg(F.min("ingested_at")).first()[0]
+    lo, hi = batch.agg(F.min("ingested_at"), F.max("ingested_at")).first()
     if lo is None:
         return "empty"
-    wm = state.read("watermark")
-    done_upto = wm.first()[0]
-    if done_upto is None or lo > done_upto:
-        fct, art, ven = extend_frames(stored_fct, state.read("dim_artists"),
-                                      state.read("dim_venues"), batch, as_of)
-        mode = "extend"
-    else:
-        fct = fct_incremental_frame(stored_fct, raw, batch, as_of)
-        art, ven = dim_artists(raw), dim_venues(raw)
-        mode = "replay"
-    state.write({"fct_events": fct_layout(fct), "dim_artists": art, "dim_venues": ven,
-                 "watermark": _watermark(batch).unionByName(wm).agg(F.max("watermark").alias("watermark"))},
-                layout)
-    return mode
+    done = state.watermark()
+    if done is None:
+        m = Models(raw, as_of)
+        state.dim_artists.replace_all(m.dim_artists)
+        state.dim_venues.replace_all(m.dim_venues)
+        state.fct_events.replace_all(fct_rows(m, state))
+        state.advance_to(hi)
+        return "full"
+    typed = flatten(batch, ALL_FIELDS)
+    ids = {"artist_id": _touched_ids(typed, "artist_id"), "venue_id": _touched_ids(typed, "venue_id")}
+    parts = {"artist_id": state.dim_artists.touched(ids["artist_id"]), "venue_id": state.dim_venues.touched(ids["venue_id"])}
+    stored = (state.dim_artists.read(parts["artist_id"]), state.dim_venues.read(parts["venue_id"]))
+    if lo > done:
+        for table, frame in zip((state.dim_artists, state.dim_venues), extend_dims(*stored, typed)):
+            table.replace(frame)
+        dims = (state.dim_artists.read(parts["artist_id"]), state.dim_venues.read(parts["venue_id"]))
+        buckets = state.fct_events.touched(typed.select(*KEYS))
+        state.fct_events.replace(extend_fact(state.fct_events.read(buckets), *dims, typed, as_of))
+        state.advance_to(hi)
+        return "extend"
+    # late rows: the dimension rows of the ids seen, then the keys that are or were linked to them
+    for table, old, key, build in ((state.dim_artists, stored[0], "artist_id", dim_artists),
+                                   (state.dim_venues, stored[1], "venue_id", dim_venues)):
+        fresh = build(raw.join(ids[key], key, "left_semi") if key in raw.columns
+                      else flatten(raw, ALL_FIELDS).join(ids[key], key, "left_semi"))
+        table.replace(old.join(ids[key], key, "left_anti").unionByName(fresh.select(*old.columns)))
+    keys = typed.select(*KEYS).unionByName(linked_keys(raw, typed, as_of)).distinct()
+    buckets = state.fct_events.touched(keys)
+    held = state.fct_events.read(buckets)
+    fresh = fct_rows_for_keys(raw, keys, as_of, dims=(state.dim_artists.read(), state.dim_venues.read()))
+    state.fct_events.replace(held.join(keys, KEYS, "left_anti").unionByName(fresh.select(*held.columns)))
+    state.advance_to(max(hi, done))
+    return "replay"
+
+
+def fct_rows(m, state: State) -> DataFrame:
+    """The full fact of ``m``, with the dimensions read back from ``state``."""
+    from ..plans.models import fct_events_fused
+
+    return fct_events_fused(m.raw, state.dim_artists.read(), state.dim_venues.read(), m.as_of)

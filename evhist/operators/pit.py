@@ -6,13 +6,11 @@ join on the key plus a range residual, so Spark plans a hash or sort-merge
 join on the key, never a nested loop.  Work per fact row is bounded by the
 versions of its key (itself bounded by the number of runs).
 
-Broadcast policy: a history is broadcast only behind a size check —
-``broadcast=True`` (caller vouches for a bound), an int (row-count bound that
-is *checked* with a count), or ``None`` (default): no hint; AQE measures the
-history's shuffle output at run time and switches to a broadcast join only
-when it is below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  When it
-stays a sort-merge join, AQE's skew-join split handles a hot key on the fact
-side (left outer joins may split their left side).
+No hint is given: AQE measures the history's shuffle output and broadcasts it
+only below ``spark.sql.adaptive.autoBroadcastJoinThreshold``.  In a sort-merge
+join AQE's skew-join split handles a hot key on the fact side (left outer
+joins may split their left side), and facts without a key, which match
+nothing, are spread over all reducers instead of meeting in one.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from pyspark.sql import functions as F
 
 def pit_join(facts: DataFrame, history: DataFrame, on: str, ts: str = "valid_from",
              columns: Sequence[str] = (), how: str = "left",
-             history_on: str | None = None, broadcast: bool | int | None = None) -> DataFrame:
+             history_on: str | None = None) -> DataFrame:
     """Attach ``columns`` of the history version valid at ``facts[ts]``.
 
     ``on`` names the key in ``facts``; ``history_on`` in ``history`` (default
@@ -37,12 +35,11 @@ def pit_join(facts: DataFrame, history: DataFrame, on: str, ts: str = "valid_fro
                        F.col("valid_from").alias("_pit_from"),
                        F.col("valid_to").alias("_pit_to"),
                        *[F.col(c).alias(f"_pit_{c}") for c in columns])
-    if broadcast is True or (isinstance(broadcast, int) and not isinstance(broadcast, bool)
-                             and h.count() <= broadcast):
-        h = F.broadcast(h)
-    t = facts[ts]
-    cond = ((facts[on] == h["_pit_key"]) & (t >= h["_pit_from"])
-            & (h["_pit_to"].isNull() | (t < h["_pit_to"])))
+    t, key = facts[ts], facts[on]
+    if dict(facts.dtypes)[on] == "string":
+        # two code points that no key starts with, then the row's hash: never equal to a key
+        key = F.coalesce(key, F.concat(F.lit("\x00\x00"), F.xxhash64(*[facts[c] for c in facts.columns]).cast("string")))
+    cond = (key == h["_pit_key"]) & (t >= h["_pit_from"]) & (h["_pit_to"].isNull() | (t < h["_pit_to"]))
     joined = facts.join(h, cond, how)
     return joined.select(*[facts[c] for c in facts.columns],
                          *[F.col(f"_pit_{c}").alias(c) for c in columns])

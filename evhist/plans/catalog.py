@@ -12,17 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import FIXTURE_AS_OF
+from ..constants import FIXTURE_AS_OF, MAX_PAGES_PER_CITY
 from ..functions.keys import surrogate_key, ts_text
 from ..functions.paths import ALL_FIELDS, flatten, json_valid
 from ..functions.dates import plausible_dates
 from ..operators import quality as dq
 from ..operators.history import change_flags, dedup_per_run, latest_per_key, version_numbers
-from ..operators.merge import (extend_frames, fct_incremental_frame, high_water_mark, high_water_mark_value,
-                               merge_frames)
+from ..operators.merge import (extend_frames, fct_incremental_frame, high_water_mark, merge_frames)
 from ..operators.pit import pit_join
-from ..sources.feed import landed_feed, raw_feed, read_table
-from ..sources.landing import cap_per_city, land_pages, landed_to_raw, pages_from_landed
+from ..fixture.feed import landed_feed, raw_feed, read_table
+from ..fixture.pages import pages_from_landed
+from ..sources.landing import cap_per_city, documents, land_pages, landed_to_raw
 from . import insights as K
 from .checks import CHECKS
 from .models import EVENT_ATTRS, EVENT_TRACKED, KEYS, Models
@@ -72,12 +72,20 @@ def q_land_pages(spark, sf_dir):
 
 @query("cap_per_city")
 def q_cap_per_city(spark, sf_dir):
-    return cap_per_city(_landed_pages(spark, sf_dir))
+    """The request cap, asked for explicitly: ten pages of a hundred per (city, run)."""
+    return cap_per_city(_landed_pages(spark, sf_dir), MAX_PAGES_PER_CITY)
 
 
 @query("run_dedup")
 def q_run_dedup(spark, sf_dir):
-    return landed_to_raw(cap_per_city(_landed_pages(spark, sf_dir)))
+    return landed_to_raw(_landed_pages(spark, sf_dir))
+
+
+@query("raw_documents")
+def q_raw_documents(spark, sf_dir):
+    """Typed values written as JSON documents again."""
+    typed = flatten(raw_feed(spark, sf_dir), ["event_name", "event_status", "price_min", "genre"])
+    return documents(typed, ["event_name", "event_status", "price_min", "genre"])
 
 
 # ---- projections -------------------------------------------------------------
@@ -173,7 +181,7 @@ def q_merge_upsert(spark, sf_dir):
     """Append-style merge of newer versions by event_sk (the reference's mode)."""
     raw, _, stored = _split(spark, sf_dir)
     full = Models(raw, as_of=FIXTURE_AS_OF).fct_events
-    newer = full.where(F.col("valid_from") > F.lit(high_water_mark_value(stored)))
+    newer = full.where(F.col("valid_from") > high_water_mark(stored).scalar())
     return merge_frames(stored, newer, "event_sk")
 
 
@@ -222,6 +230,12 @@ def q_kpis(spark, sf_dir):
     return K.kpis(_filtered(spark, sf_dir))
 
 
+@query("kpi_display")
+def q_kpi_display(spark, sf_dir):
+    """The KPI row with its average price as shown, ``$x.xx`` or ``N/A``."""
+    return K.kpi_display(K.kpis(_filtered(spark, sf_dir)))
+
+
 @query("price_distribution")
 def q_price_distribution(spark, sf_dir):
     return K.price_distribution(_filtered(spark, sf_dir))

@@ -63,7 +63,13 @@ def kpis(f: DataFrame) -> DataFrame:
 def price_text(c: Column | str) -> Column:
     """Display form ``$x.xx``, ``N/A`` when there is no value."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.format_string("$%.2f", c), F.lit("N/A"))
+    return F.when(c.isNull(), F.lit("N/A")).otherwise(F.format_string("$%.2f", c))
+
+
+def kpi_display(k: DataFrame) -> DataFrame:
+    """K1 as shown: the average price as text."""
+    return k.select("total_events", "unique_artists", "unique_venues",
+                    price_text("avg_min_price").alias("avg_min_price"))
 
 
 def events_by_city(f: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ VENUE_CARRIED = ["venue_country_code", "venue_latitude", "venue_longitude"]
 EVENT_ATTRS = ["event_name", "event_url", "event_datetime_utc", "genre", "sub_genre",
                "venue_id", "artist_id"]
 
+# FIXED VALUES: output columns of the models, and their types where they are stored.
 STG_EVENTS_COLUMNS = ["event_id", "fetched_city", "ingested_at", *ALL_FIELDS, "payload"]
 
 FCT_COLUMNS = [
@@ -37,6 +38,19 @@ FCT_COLUMNS = [
     "event_name", "event_url", "event_datetime_utc", "genre", "sub_genre",
     "artist_name", "venue_name", "venue_city", "venue_state_code",
 ]
+_TYPES = {"version": "bigint", "valid_from": "timestamp_ntz", "valid_to": "timestamp_ntz", "is_current": "boolean",
+          "event_date": "date", "price_min": "double", "price_max": "double", "event_datetime_utc": "timestamp_ntz",
+          "venue_latitude": "double", "venue_longitude": "double"}
+
+
+def _schema(names: list[str]) -> str:
+    return ", ".join(f"{n} {_TYPES.get(n, 'string')}" for n in names)
+
+
+FCT_SCHEMA = _schema(FCT_COLUMNS)
+ARTIST_SCHEMA = _schema(["artist_sk", "artist_id", "artist_name", "valid_from", "valid_to", "is_current"])
+VENUE_SCHEMA = _schema(["venue_sk", "venue_id", *VENUE_TRACKED[:3], "venue_country_code", "venue_address",
+                        "venue_latitude", "venue_longitude", "valid_from", "valid_to", "is_current"])
 
 
 def stg_events(raw: DataFrame, as_of: str | dt.date | None = None, on_error: str = "null",
@@ -62,7 +76,9 @@ def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str
     splits each key's window into per-segment tasks for keys too hot for one task.
     """
     typed = flatten(raw, EVENT_TRACKED + EVENT_CARRIED, on_error)
-    if rule == "documented" and segment is not None:
+    if segment is not None and rule != "documented":
+        raise ValueError("a segmented history follows the documented rule only")
+    if segment is not None:
         return scd2_segmented(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED, segment)
     if rule == "documented":
         return scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED)
@@ -117,31 +133,26 @@ def dim_venues(raw: DataFrame, on_error: str = "null") -> DataFrame:
                            VENUE_TRACKED, VENUE_CARRIED))
 
 
-def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues: DataFrame,
-               broadcast_dims: bool | int | None = None) -> DataFrame:
+def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues: DataFrame) -> DataFrame:
     """M5: every event version with latest static attributes and PIT dimension keys.
 
     ``stg`` and ``snapshots`` are both hash-partitioned on (event_id,
     fetched_city) by their windows, so the attribute join needs no new shuffle.
     """
     attrs = stg.select(*KEYS, *EVENT_ATTRS)
-    return _attach_dims(snapshots.join(attrs, KEYS, "left"), artists, venues, broadcast_dims)
+    return _attach_dims(snapshots.join(attrs, KEYS, "left"), artists, venues)
 
 
-def _attach_dims(f: DataFrame, artists: DataFrame, venues: DataFrame,
-                 broadcast_dims: bool | int | None) -> DataFrame:
-    f = pit_join(f, artists, on="artist_id", columns=["artist_sk", "artist_name"],
-                 broadcast=broadcast_dims)
+def _attach_dims(f: DataFrame, artists: DataFrame, venues: DataFrame) -> DataFrame:
+    f = pit_join(f, artists, on="artist_id", columns=["artist_sk", "artist_name"])
     f = pit_join(f, venues, on="venue_id",
-                 columns=["venue_sk", "venue_name", "venue_city", "venue_state_code"],
-                 broadcast=broadcast_dims)
+                 columns=["venue_sk", "venue_name", "venue_city", "venue_state_code"])
     f = f.withColumn("event_sk", surrogate_key("event_id", "fetched_city", "version"))
     return f.select(*FCT_COLUMNS)
 
 
 def fct_events_fused(raw: DataFrame, artists: DataFrame, venues: DataFrame,
-                     as_of: str | dt.date | None = None, on_error: str = "null",
-                     broadcast_dims: bool | int | None = None) -> DataFrame:
+                     as_of: str | dt.date | None = None, on_error: str = "null") -> DataFrame:
     """M5 in one pass over the observations: the history window also carries
     each key's latest static attributes (``scd2(latest=...)``), so the fact
     needs neither a separate latest-per-key shuffle nor the attribute join.
@@ -154,7 +165,7 @@ def fct_events_fused(raw: DataFrame, artists: DataFrame, venues: DataFrame,
     plausible = is_plausible("latest_event_date", as_of)
     f = hist.select(*KEYS, "version", "valid_from", "valid_to", "is_current", *EVENT_TRACKED, *EVENT_CARRIED,
                     *[F.when(plausible, F.col(f"latest_{c}")).alias(c) for c in EVENT_ATTRS])
-    return _attach_dims(f, artists, venues, broadcast_dims)
+    return _attach_dims(f, artists, venues)
 
 
 FCT_PARTITIONS = ["is_current"]
@@ -204,7 +215,6 @@ class Models:
     raw: DataFrame
     as_of: str | dt.date | None = None
     rule: str = "documented"
-    broadcast_dims: bool | int | None = None
     segment: Column | None = None
 
     @cached_property
@@ -231,10 +241,8 @@ class Models:
     def fct_events(self) -> DataFrame:
         if self.rule == "documented" and self.segment is None:
             # one window pass carries the latest attributes: no stg shuffle, no join
-            return fct_events_fused(self.raw, self.dim_artists, self.dim_venues, self.as_of,
-                                    broadcast_dims=self.broadcast_dims)
-        return fct_events(self.snapshots, self.event_attrs, self.dim_artists, self.dim_venues,
-                          self.broadcast_dims)
+            return fct_events_fused(self.raw, self.dim_artists, self.dim_venues, self.as_of)
+        return fct_events(self.snapshots, self.event_attrs, self.dim_artists, self.dim_venues)
 
     @cached_property
     def fct_events_by_city(self) -> DataFrame:

@@ -232,18 +232,12 @@ WHERE fetched_city IN (SELECT fetched_city FROM cur WHERE fetched_city IS NOT NU
 
 # landing from page documents
 cte("paged", ["landed"], f"""
-SELECT fetched_city, ingested_at, seq // {PAGE_SIZE} AS page_no,
-       row_number() OVER (PARTITION BY fetched_city, ingested_at, seq // {PAGE_SIZE} ORDER BY seq) - 1 AS pos,
-       event_id, payload
-FROM landed""")
-cte("capped", ["paged"], f"""
-SELECT * FROM paged
-WHERE (fetched_city, ingested_at, page_no) IN (
-  SELECT (fetched_city, ingested_at, page_no) FROM (
-    SELECT fetched_city, ingested_at, page_no,
-           dense_rank() OVER (PARTITION BY fetched_city, ingested_at ORDER BY page_no) AS rnk
-    FROM (SELECT DISTINCT fetched_city, ingested_at, page_no FROM paged))
-  WHERE rnk <= {MAX_PAGES_PER_CITY})""")
+SELECT fetched_city, ingested_at, (nth - 1) // {PAGE_SIZE} AS page_no, (nth - 1) % {PAGE_SIZE} AS pos, event_id, payload
+FROM (SELECT *, row_number() OVER (PARTITION BY fetched_city, ingested_at ORDER BY seq) AS nth FROM landed)""")
+cte("capped", ["landed"], f"""
+SELECT fetched_city, ingested_at, (nth - 1) // {PAGE_SIZE} AS page_no, (nth - 1) % {PAGE_SIZE} AS pos, event_id, payload
+FROM (SELECT *, row_number() OVER (PARTITION BY fetched_city, ingested_at ORDER BY seq) AS nth FROM landed)
+WHERE nth <= {MAX_PAGES_PER_CITY * PAGE_SIZE}""")
 
 # incremental: the fact as stored before the split run
 cte("raw_before", ["raw_events"], f"SELECT * FROM raw_events WHERE ingested_at < {SPLIT}")
@@ -348,10 +342,13 @@ def oracle_sql() -> dict[str, str]:
     q["raw_events"] = _q("SELECT * FROM raw_events", "raw_events")
     q["land_pages"] = _q("SELECT fetched_city, ingested_at, page_no, pos, event_id, payload FROM paged", "paged")
     q["cap_per_city"] = _q("SELECT fetched_city, ingested_at, page_no, pos, event_id, payload FROM capped", "capped")
-    q["run_dedup"] = _q("""SELECT event_id, fetched_city, ingested_at, payload FROM capped
-        WHERE event_id IS NOT NULL
+    q["run_dedup"] = _q("""SELECT event_id, fetched_city, ingested_at, payload FROM paged
+        WHERE event_id <> ''
         QUALIFY row_number() OVER (PARTITION BY event_id, fetched_city, ingested_at ORDER BY page_no, pos) = 1""",
-                        "capped")
+                        "paged")
+    q["raw_documents"] = _q("""SELECT event_id, fetched_city, ingested_at,
+        CAST(json_object('event_name', event_name, 'event_status', event_status, 'price_min', price_min, 'genre', genre)
+             AS VARCHAR) AS document FROM typed""", "typed")
     # projections
     q["flatten_payload"] = _q(f"SELECT {typed_cols} FROM typed", "typed")
     q["json_valid"] = _q("SELECT event_id, fetched_city, ingested_at, json_valid(payload) AS is_valid_json "
@@ -411,6 +408,9 @@ def oracle_sql() -> dict[str, str]:
         SELECT event_date, fetched_city, CAST(sum(total_events) AS BIGINT) AS total_events FROM filt_daily
         WHERE event_date <= CAST({AS_OF} + INTERVAL {LOOKAHEAD_DAYS} DAY AS DATE)
         GROUP BY event_date, fetched_city""", "filt_daily")
+    q["kpi_display"] = _q("""SELECT count(*) AS total_events, count(DISTINCT artist_name) AS unique_artists,
+        count(DISTINCT venue_id) AS unique_venues,
+        coalesce(printf('$%.2f', avg(price_min)), 'N/A') AS avg_min_price FROM filt""", "filt")
     q["kpis"] = _q("""SELECT count(*) AS total_events, count(DISTINCT artist_name) AS unique_artists,
         count(DISTINCT venue_id) AS unique_venues, avg(price_min) AS avg_min_price FROM filt""", "filt")
     q["price_distribution"] = _q("""

@@ -1,14 +1,10 @@
-"""Materialized daily pipeline: raw table -> typed table -> model tables.
+"""Materialized pipeline: raw table -> typed table -> model tables.
 
 This is the production shape of the model graph.  The payload is parsed
 exactly once per observation into a typed table (every model then reads only
-the columns it needs, straight from Parquet); each model is written as the
-next version of its table folder; dimension tables are counted from their
-Parquet files (cheap) and broadcast into the fact's point-in-time joins only
-when that count is within ``broadcast_max_rows`` — beyond it the joins stay
-sort-merge joins and AQE may still broadcast after measuring them.
-Writing the models also cuts lineage, so a lost executor only recomputes the
-stage it was running.
+the columns it needs, straight from Parquet), and each model is written, which
+also cuts lineage: a lost executor only recomputes the stage it was running.
+Joins carry no hints; AQE broadcasts a dimension after measuring it.
 """
 
 from __future__ import annotations
@@ -16,11 +12,12 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.paths import ALL_FIELDS, flatten
-from ..sources.tables import TableDir
+from ..functions.paths import ALL_FIELDS, PAYLOAD_PATHS, flatten
+from ..sources.landing import RAW_FILE_SCHEMA, RAW_PARTITIONS, RUN_KEYS, dedup_run, raw_layout
+from ..sources.tables import path_exists
 from .models import (EVENT_ATTRS, FCT_PARTITIONS, dim_artists, dim_venues, fct_events,
                      fct_events_by_city, fct_from_files, fct_layout, stg_event_snapshots, stg_events)
 
@@ -31,14 +28,6 @@ MODEL_TABLES = ["events_typed", "stg_events", "stg_event_snapshots", "dim_artist
 @dataclass
 class PipelineResult:
     tables: dict[str, str]
-    dim_rows: dict[str, int]
-    broadcast_dims: bool
-    hottest_key_rows: int
-    segmented_history: bool
-
-
-def table(spark: SparkSession, warehouse: str, name: str) -> TableDir:
-    return TableDir(spark, f"{warehouse.rstrip('/')}/{name}")
 
 
 def typed_events(raw: DataFrame) -> DataFrame:
@@ -47,43 +36,36 @@ def typed_events(raw: DataFrame) -> DataFrame:
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
-                 as_of: str | dt.date | None = None, broadcast_max_rows: int = 2_000_000,
-                 hot_key_rows: int = 5_000_000) -> PipelineResult:
-    """Write every model; returns the table paths and the plan decisions taken.
+                 as_of: str | dt.date | None = None, segment: Column | None = None) -> PipelineResult:
+    """Write every model (a full refresh); returns the table paths.
 
-    The event history is windowed per key unless the hottest key (counted on
-    the typed table, two key columns only) exceeds ``hot_key_rows``; then it is
-    windowed per (key, month) with cross-segment state (``scd2_segmented``).
+    A key has one observation per run, so its history window holds as many rows
+    as there are runs.  Where runs are so frequent that this is too much,
+    ``segment`` (e.g. ``date_trunc('day', ingested_at)``) windows it in parts.
     """
+    root = warehouse.rstrip("/")
+    paths = {name: f"{root}/{name}" for name in MODEL_TABLES}
+
     def put(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-        t = table(spark, warehouse, name)
-        t.write(df, partition_by)
-        return t.read()
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(paths[name])
+        return spark.read.schema(df.schema).parquet(paths[name]).select(*df.columns)
 
-    typed = put("events_typed", typed_events(raw))
+    typed = put("events_typed", typed_events(one_per_run(raw)))
     stg = put("stg_events", stg_events(typed, as_of))
-    hottest = (typed.groupBy("event_id", "fetched_city").count()
-               .agg(F.coalesce(F.max("count"), F.lit(0))).first()[0])
-    segment = F.date_trunc("month", F.col("ingested_at")) if hottest > hot_key_rows else None
     snaps = put("stg_event_snapshots", stg_event_snapshots(typed, segment=segment))
     artists = put("dim_artists", dim_artists(typed))
     venues = put("dim_venues", dim_venues(typed))
-    dim_rows = {"dim_artists": artists.count(), "dim_venues": venues.count()}
-    small = max(dim_rows.values()) <= broadcast_max_rows
     fct = put("fct_events", fct_layout(fct_events(snaps, stg.select("event_id", "fetched_city", *EVENT_ATTRS),
-                                                  artists, venues, broadcast_dims=True if small else None)),
-              FCT_PARTITIONS)
-    fct = fct_from_files(fct)
+                                                  artists, venues)), FCT_PARTITIONS)
     put("fct_events_by_city", fct_events_by_city(fct))
-    return PipelineResult({n: table(spark, warehouse, n).path_of(table(spark, warehouse, n).current_version())
-                           for n in MODEL_TABLES}, dim_rows, small, int(hottest), segment is not None)
+    return PipelineResult(paths)
 
 
 def run_checks(spark: SparkSession, result: PipelineResult, raw: DataFrame) -> DataFrame:
     """Q4 after a run: the data tests over the written tables (column scans only)."""
     from ..operators.quality import dq_report
     from .checks import CHECKS
-    from .models import fct_from_files
 
     tables = {name: spark.read.parquet(path) for name, path in result.tables.items()}
     tables["fct_events"] = fct_from_files(tables["fct_events"])
@@ -91,23 +73,57 @@ def run_checks(spark: SparkSession, result: PipelineResult, raw: DataFrame) -> D
     return dq_report(tables, CHECKS)
 
 
+# ---- observations: the raw rows and their parsed fields in one append-only table -------
+
+OBSERVATION_SCHEMA = ", ".join([RAW_FILE_SCHEMA, *(f"{f} {PAYLOAD_PATHS[f][1]}" for f in ALL_FIELDS)])
+
+
+def one_per_run(rows: DataFrame) -> DataFrame:
+    """One row per (event, city, run), ids present; of repeated ones the least payload."""
+    named = rows.where(F.col("event_id") != "").select(*RUN_KEYS, "payload")
+    return dedup_run(named, RUN_KEYS, order="payload")
+
+
+def write_observations(rows: DataFrame, path: str, mode: str) -> None:
+    """Raw rows with their parsed fields, by (ingest_date, fetched_city)."""
+    (raw_layout(rows).write.mode(mode).option("partitionOverwriteMode", "static")
+     .partitionBy("ingest_date", "fetched_city").parquet(path))
+
+
+def read_observations(spark: SparkSession, path: str, batches: bool = False) -> DataFrame:
+    """Observations with a given schema: labels stay text, no rows is an empty frame."""
+    parts = ("batch_id bigint, " if batches else "") + RAW_PARTITIONS
+    df = spark.read.schema(f"{OBSERVATION_SCHEMA}, {parts}").parquet(path)
+    return df.select("event_id", "fetched_city", "ingested_at", *ALL_FIELDS, "payload",
+                     *(["batch_id"] if batches else []))
+
+
+def daily_paths(warehouse: str) -> dict[str, str]:
+    root = f"{warehouse.rstrip('/')}/daily"
+    return {name: f"{root}/{name}" for name in ("incoming", "observations", "state")}
+
+
 def run_daily(spark: SparkSession, batch: DataFrame, warehouse: str,
               as_of: str | dt.date | None = None) -> str:
-    """The daily incremental run: work proportional to the new rows.
+    """The daily incremental run: parses and writes in proportion to the new rows.
 
-    1. append the batch to ``raw_events`` (``ingest_date=/fetched_city=``);
-    2. parse only the batch and append it to ``events_typed`` (``ingest_date=``);
-    3. ``advance`` the fact, both dimensions and the watermark together
-       (extend mode for in-order runs; replay from raw for late rows).
-    Returns the mode ``advance`` used.
+    1. parse the batch once, one row per (event, city, run), to ``incoming``;
+    2. append those whose run is not stored yet to ``observations``;
+    3. ``advance`` the fact, both dimensions and the watermark.
+    A run that is repeated, or was cut off anywhere, gives the same tables.
+    Returns the mode ``advance`` used; an empty batch changes nothing.
     """
-    from ..operators.merge import advance
-    from ..sources.landing import append_raw, raw_layout, read_raw
-    from ..sources.tables import StateDir
-
-    root = warehouse.rstrip("/")
-    append_raw(batch, f"{root}/raw_events")
-    (raw_layout(typed_events(batch)).write.mode("append")
-     .partitionBy("ingest_date").parquet(f"{root}/events_typed_daily"))
-    raw = read_raw(spark, f"{root}/raw_events")
-    return advance(StateDir(spark, f"{root}/state"), raw, batch, as_of)
+    from ..operators.merge import State, advance
+
+    at = daily_paths(warehouse)
+    write_observations(typed_events(one_per_run(batch)), at["incoming"], "overwrite")
+    incoming = read_observations(spark, at["incoming"])
+    if incoming.isEmpty():
+        return "empty"
+    new = incoming
+    if path_exists(spark, at["observations"]):
+        new = incoming.join(read_observations(spark, at["observations"]).select(*RUN_KEYS), RUN_KEYS, "left_anti")
+    write_observations(new, at["observations"], "append")
+    stored = read_observations(spark, at["observations"])
+    landed = stored.join(incoming.select(*RUN_KEYS), RUN_KEYS, "left_semi")
+    return advance(State(spark, at["state"]), stored, landed, as_of)

@@ -29,12 +29,16 @@ BASE_CONF = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "evhist", extra: dict | None = None) -> SparkSession:
+    """A session with ``BASE_CONF``; the number of shuffle partitions stays the
+    cluster's own setting unless one is given (tests, laptops)."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "8g")
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -46,12 +50,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def apply_session_conf(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable part of ``BASE_CONF`` to an existing session."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.ui."):
-            continue
-        try:
+        if spark.conf.isModifiable(k):  # static settings of a foreign session stay
             spark.conf.set(k, v)
-        except Exception:  # static conf on a foreign session: leave it
-            pass
     return spark
 
 
@@ -59,15 +59,16 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Directory on shared storage for tables and lineage cuts.
 
     Reads ``spark.checkpoint.dir`` from the session; sets it from ``fallback``
-    only when it is unset (tests).  Never invents a node-local temp folder.
+    only when it is unset and the session is a local one (tests).  Never
+    invents a node-local temp folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        if fallback is None:
+        if fallback is None or not spark.sparkContext.master.startswith("local["):
             raise RuntimeError(
-                "spark.checkpoint.dir is not set; pass a shared fallback folder")
+                "spark.checkpoint.dir must name a folder that all executors share")
         os.makedirs(fallback, exist_ok=True)
         spark.conf.set("spark.checkpoint.dir", fallback)
         spark.sparkContext.setCheckpointDir(fallback)

@@ -2,21 +2,24 @@
 
 S1 page landing, S2 per-city page cap, S3 run stamping, S4 in-run dedup,
 S5/S6 partitioned append.  Pages are JSON documents on shared storage (one file
-or one row per page), not HTTP responses.
+or one row per page), not HTTP responses.  Nothing is dropped silently: a page
+that is no JSON document fails the run or goes to ``bad_pages``, and the page
+cap acts only where a caller asks for it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
-from ..constants import MAX_PAGES_PER_CITY, PAGE_SIZE
+from ..constants import MAX_PAGES_PER_CITY
 
-PAGE_SCHEMA = "struct<_embedded: struct<events: array<string>>>"
+PAGE_SCHEMA = "struct<_embedded: struct<events: array<string>>, _bad: string>"
+PAGE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
 ID_SCHEMA = "struct<id: string>"
+RUN_KEYS = ["event_id", "fetched_city", "ingested_at"]
 
 
 def _cols(names: str | Sequence[str]) -> list[str]:
@@ -27,11 +30,12 @@ def dedup_run(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
               drop_null_keys: bool = True) -> DataFrame:
     """Keep the first row per ``keys`` by ``order``.
 
-    A hash aggregate with ``min_by`` instead of ``row_number``: partial
-    aggregation collapses a hot key inside every map task before the shuffle,
-    so one key observed a billion times costs one row per task on the wire.
-    ``order`` must make the winner unique per key (add tie-break columns);
-    it is required anyway for a deterministic result.
+    An aggregate instead of ``row_number``: partial aggregation collapses a hot
+    key inside every map task before the shuffle, so one key observed a billion
+    times costs one row per task on the wire.  All columns travel in one
+    ``min(struct(order, rest))``, so the ordering is carried and compared once;
+    ``order`` must make the winner unique per key (ties fall to the other
+    columns, which keeps the result the same on every run).
     """
     keys, order = list(keys), _cols(order)
     rest = [c for c in df.columns if c not in keys]
@@ -42,99 +46,95 @@ def dedup_run(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
         df = df.where(cond)
     if not rest:
         return df.select(*keys).distinct()
-    ordering = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
-    # One min_by per column: with a unique order all of them pick the same row,
-    # and fixed-width columns keep fixed-width buffers, so Spark can plan a
-    # hash aggregate instead of a sort aggregate.
-    won = df.groupBy(*keys).agg(*[(F.min(c) if c in order and len(order) == 1
-                                   else F.min_by(c, ordering)).alias(c) for c in rest])
-    return won.select(*df.columns)
+    ordering = [c for c in order if c in rest]
+    packed = F.struct(*[F.col(c) for c in ordering], *[F.col(c) for c in rest if c not in ordering])
+    won = df.groupBy(*keys).agg(F.min(packed).alias("_won"))
+    return won.select(*[F.col(c) if c in keys else F.col(f"_won.{c}").alias(c) for c in df.columns])
 
 
-def pages_from_landed(landed: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
-    """Assemble page documents from landed observations (fixture side of S1).
+PAGE_FILE_SCHEMA = "value string, run string, city string, page int"
+RUN_FORMAT = "yyyyMMdd'T'HHmmss.SSSSSS"
+
+
+def run_stamp(run: Column) -> Column:
+    """The run's timestamp, to the microsecond, from its folder name
+    ``yyyyMMddTHHmmss[.ffffff]``; built from its parts, so no session zone is involved."""
+    part = lambda a, n: F.substring(run, a, n).cast("int")
+    seconds = F.substring(run, 14, 9).cast("decimal(8,6)")
+    return F.make_timestamp_ntz(part(1, 4), part(5, 2), part(7, 2), part(10, 2), part(12, 2), seconds)
 
-    A page is a block of ``page_size`` consecutive sequence numbers within one
-    (city, run); groups are bounded by ``page_size``, so no task ever holds an
-    unbounded group.  Output: fetched_city, ingested_at, page_no, page_text.
+
+def pages_frame(files: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """S2/S3 on stored pages: run stamp and city from the folders.
+
+    ``max_pages`` keeps the first pages of each (city, run); it is a partition
+    filter, so the others are never opened.  By default all pages are read.
     """
-    page_no = F.floor(F.col("seq") / page_size).cast("long")
-    grouped = (landed.withColumn("page_no", page_no)
-               .groupBy("fetched_city", "ingested_at", "page_no")
-               .agg(F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("_items")))
-    text = F.concat(F.lit('{"_embedded":{"events":['),
-                    F.array_join(F.transform("_items", lambda x: x["payload"]), ","),
-                    F.lit(']},"page":{"number":'), F.col("page_no").cast("string"), F.lit("}}"))
-    return grouped.select("fetched_city", "ingested_at", "page_no", text.alias("page_text"))
+    if max_pages is not None:
+        files = files.where(F.col("page") < max_pages)
+    return files.select(F.col("city").alias("fetched_city"), run_stamp(F.col("run")).alias("ingested_at"),
+                        F.col("page").cast("long").alias("page_no"), F.col("value").alias("page_text"))
 
 
-PAGE_FILE_SCHEMA = "value string, run string, city string, page int"
-RUN_FORMAT = "yyyyMMdd'T'HHmmss"
+def read_page_files(spark: SparkSession, path: str, max_pages: int | None = None) -> DataFrame:
+    """Stored pages, each file one document whatever its line breaks."""
+    files = spark.read.format("text").option("wholetext", True).schema(PAGE_FILE_SCHEMA).load(path)
+    return pages_frame(files, max_pages)
 
 
-def write_pages(pages: DataFrame, path: str) -> None:
-    """Store page documents as ``<path>/run=<stamp>/city=<label>/page=<n>/*.txt``.
+def read_pages(spark: SparkSession, path: str, max_pages: int | None = None,
+               on_bad: str = "fail") -> DataFrame:
+    """S1-S3 from page files: landed rows of all runs."""
+    return land_pages(read_page_files(spark, path, max_pages), on_bad)
 
-    One line per page document; ``page`` restarts at 0 per (city, run) like the
-    API's page index (ranked over page rows, never over event rows).
-    """
-    w = Window.partitionBy("fetched_city", "ingested_at").orderBy("page_no")
-    (pages.select(F.col("page_text").alias("value"),
-                  F.date_format("ingested_at", RUN_FORMAT).alias("run"),
-                  F.col("fetched_city").alias("city"),
-                  (F.dense_rank().over(w) - 1).alias("page"))
-     .write.mode("append").partitionBy("run", "city", "page").text(path))
+
+def _parsed(pages: DataFrame) -> DataFrame:
+    return pages.withColumn("_p", F.from_json("page_text", PAGE_SCHEMA, PAGE_OPTIONS))
 
 
-def pages_frame(files: DataFrame, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
-    """S2/S3 on stored pages: run stamp and city from the folders, page cap as
-    a partition filter (pages beyond the cap are never read)."""
-    return (files.where(F.col("page") < max_pages)
-            .select(F.col("city").alias("fetched_city"),
-                    F.to_timestamp("run", RUN_FORMAT).cast("timestamp_ntz").alias("ingested_at"),
-                    F.col("page").cast("long").alias("page_no"),
-                    F.col("value").alias("page_text")))
+def _is_bad() -> Column:
+    return F.col("_p").isNull() | F.col("_p._bad").isNotNull()
 
 
-def read_pages(spark: SparkSession, path: str, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
-    """S1-S3 from files written by ``write_pages``: landed rows of all runs."""
-    files = spark.read.format("text").schema(PAGE_FILE_SCHEMA).load(path)
-    return land_pages(pages_frame(files, max_pages))
+def bad_pages(pages: DataFrame) -> DataFrame:
+    """The pages that are no JSON document: fetched_city, ingested_at, page_no, page_text."""
+    return _parsed(pages).where(_is_bad()).select("fetched_city", "ingested_at", "page_no", "page_text")
 
 
-def land_pages(pages: DataFrame) -> DataFrame:
+def land_pages(pages: DataFrame, on_bad: str = "fail") -> DataFrame:
     """One row per ``_embedded.events[]`` element; missing/empty -> no rows.
 
     Output: seq-free landed rows (fetched_city, ingested_at, page_no, pos,
-    event_id, payload); ``payload`` keeps the element's JSON text.
+    event_id, payload); ``payload`` keeps the element's JSON text.  A page that
+    does not parse raises (``"fail"``) or is left to ``bad_pages`` (``"reject"``).
     """
-    parsed = pages.select("fetched_city", "ingested_at", "page_no",
-                          F.from_json("page_text", PAGE_SCHEMA).alias("_p"))
-    exploded = parsed.select("fetched_city", "ingested_at", "page_no",
-                             F.posexplode(F.col("_p._embedded.events")).alias("pos", "payload"))
+    if on_bad not in ("fail", "reject"):
+        raise ValueError(f"on_bad must be fail or reject, not {on_bad!r}")
+    events = F.col("_p._embedded.events")
+    if on_bad == "fail":
+        where = F.concat(F.lit("page is not a JSON document: city "), F.coalesce("fetched_city", F.lit("?")),
+                         F.lit(", run "), F.coalesce(F.col("ingested_at").cast("string"), F.lit("?")),
+                         F.lit(", page "), F.coalesce(F.col("page_no").cast("string"), F.lit("?")))
+        events = F.when(_is_bad(), F.raise_error(where)).otherwise(events)
+    else:
+        events = F.when(~_is_bad(), events)
+    exploded = _parsed(pages).select("fetched_city", "ingested_at", "page_no",
+                                     F.posexplode(events).alias("pos", "payload"))
     return exploded.select("fetched_city", "ingested_at", "page_no", "pos",
                            F.from_json("payload", ID_SCHEMA)["id"].alias("event_id"),
                            "payload")
 
 
 def cap_per_city(landed: DataFrame, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
-    """Keep the first ``max_pages`` pages of every (city, run).
-
-    Ranks *pages* (one row per page, a hundredth of the rows) rather than rows,
-    then keeps landed rows of the surviving pages with a semi join.
-    """
-    pages = landed.select("fetched_city", "ingested_at", "page_no").distinct()
-    w = Window.partitionBy("fetched_city", "ingested_at").orderBy("page_no")
-    kept = pages.withColumn("_rank", F.dense_rank().over(w)).where(F.col("_rank") <= max_pages)
-    return landed.join(kept.drop("_rank"), ["fetched_city", "ingested_at", "page_no"], "left_semi")
+    """Keep the first ``max_pages`` pages of every (city, run), by page number from 0."""
+    return landed.where(F.col("page_no") < max_pages)
 
 
 def landed_to_raw(landed: DataFrame) -> DataFrame:
-    """S4 on landed page rows: drop documents without id, first per key and run."""
-    ordered = landed.withColumn("_ord", F.struct("page_no", "pos"))
-    out = dedup_run(ordered.select("event_id", "fetched_city", "ingested_at", "_ord", "payload"),
-                    ["event_id", "fetched_city", "ingested_at"], order="_ord")
-    return out.select("event_id", "fetched_city", "ingested_at", "payload")
+    """S4 on landed page rows: drop documents without id (missing or empty), first per key and run."""
+    named = landed.where(F.col("event_id") != "").withColumn("_ord", F.struct("page_no", "pos"))
+    out = dedup_run(named.select(*RUN_KEYS, "_ord", "payload"), RUN_KEYS, order="_ord")
+    return out.select(*RUN_KEYS, "payload")
 
 
 def raw_layout(df: DataFrame) -> DataFrame:
@@ -156,16 +156,20 @@ def append_raw(df: DataFrame, path: str) -> None:
 
 
 RAW_FILE_SCHEMA = "event_id string, ingested_at timestamp_ntz, payload string"
+RAW_PARTITIONS = "ingest_date date, fetched_city string"
 
 
-def read_raw(spark: SparkSession, path: str, batch_level: bool = False) -> DataFrame:
-    """S7 over a table written by ``append_raw`` (or per stream batch).
+def read_raw(spark: SparkSession, path: str) -> DataFrame:
+    """S7 over a table written by ``append_raw``.
 
     The schema is given, so partition values keep their types (a city label is
-    always a string) and filters on ``ingest_date``/``fetched_city`` prune
-    folders before any file is opened.
+    always a string), a table without rows reads as empty, and filters on
+    ``ingest_date``/``fetched_city`` prune folders before any file is opened.
     """
-    parts = ("batch_id bigint, " if batch_level else "") + "ingest_date date, fetched_city string"
-    return (spark.read.schema(f"{RAW_FILE_SCHEMA}, {parts}").parquet(path)
+    return (spark.read.schema(f"{RAW_FILE_SCHEMA}, {RAW_PARTITIONS}").parquet(path)
             .select("event_id", "fetched_city", "ingested_at", "payload"))
 
+
+def documents(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows as JSON documents again (``to_json``), NULL values kept as ``null``."""
+    return raw.select(*RUN_KEYS, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("document"))

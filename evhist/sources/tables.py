@@ -1,117 +1,59 @@
-"""Replace-style table sink on shared storage.
-
-Every write of a table goes to a fresh ``<root>/v=<n>`` folder; the Spark job
-commit writes ``_SUCCESS`` last, and readers resolve the newest version that
-has it.  A crashed or running write is therefore never visible, and a folder
-is never overwritten while something may still read it.  Works on any Hadoop
-file system through the session's Hadoop configuration.
+"""Keyed Parquet tables in hash buckets, replaced bucket by bucket.
+
+A table's rows lie in ``bucket=<n>`` folders by the hash of their key.  An
+update reads and overwrites only the buckets of the keys it touches (Spark's
+dynamic partition overwrite: the new folders are staged and swapped in at job
+commit), so its cost follows the batch and no old copies pile up.  Several
+tables have no common commit; whoever updates them writes a marker last and
+makes its steps repeatable (``operators.merge.advance``).  A cluster with a
+transactional table format should use that instead.
 """
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_VERSION = re.compile(r"^v=(\d+)$")
+BUCKETS = 64
 
 
-class TableDir:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._Path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def _committed(self) -> list[int]:
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        out = []
-        for st in self._fs.listStatus(root):
-            m = _VERSION.match(st.getPath().getName())
-            if m and self._fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
 
-    def _all_versions(self) -> list[int]:
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        return sorted(int(m.group(1)) for st in self._fs.listStatus(root)
-                      if (m := _VERSION.match(st.getPath().getName())))
+class BucketTable:
+    """``schema`` is given, so a table without rows reads as empty and types never change."""
 
-    def current_version(self) -> int | None:
-        done = self._committed()
-        return done[-1] if done else None
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], buckets: int = BUCKETS):
+        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+        self.keys, self.buckets = list(keys), buckets
 
     def exists(self) -> bool:
-        return self.current_version() is not None
-
-    def path_of(self, version: int) -> str:
-        return f"{self.root}/v={version:06d}"
-
-    def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(self.path_of(v))
-
-    def write(self, df: DataFrame, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as the next version; returns its number."""
-        versions = self._all_versions()
-        nxt = (versions[-1] + 1) if versions else 1
-        w = df.write.mode("errorifexists")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path_of(nxt))
-        return nxt
-
-    def vacuum(self, keep: int = 2) -> None:
-        """Delete all but the newest ``keep`` committed versions (and stale attempts)."""
-        done = self._committed()
-        keep_set = set(done[-keep:])
-        newest = done[-1] if done else -1
-        for v in self._all_versions():
-            if v not in keep_set and v < newest:
-                self._fs.delete(self._Path(self.path_of(v)), True)
-
-
-class StateDir(TableDir):
-    """Several tables committed together: ``v=<n>/<name>/`` plus a ``_COMMITTED``
-    marker created after the last table is written.  Readers use the newest
-    version with the marker, so a crash between two table writes exposes
-    neither of them."""
-
-    MARKER = "_COMMITTED"
-
-    def _committed(self) -> list[int]:
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        out = []
-        for st in self._fs.listStatus(root):
-            m = _VERSION.match(st.getPath().getName())
-            if m and self._fs.exists(self._Path(st.getPath(), self.MARKER)):
-                out.append(int(m.group(1)))
-        return sorted(out)
-
-    def read(self, name: str) -> DataFrame:  # type: ignore[override]
-        v = self.current_version()
-        if v is None:
-            raise FileNotFoundError(f"no committed version under {self.root}")
-        return self.spark.read.parquet(f"{self.path_of(v)}/{name}")
-
-    def write(self, tables: dict[str, DataFrame],  # type: ignore[override]
-              partition_by: dict[str, list[str]] | None = None) -> int:
-        versions = self._all_versions()
-        nxt = (versions[-1] + 1) if versions else 1
-        base = self.path_of(nxt)
-        for name, df in tables.items():
-            w = df.write.mode("errorifexists")
-            if partition_by and name in partition_by:
-                w = w.partitionBy(*partition_by[name])
-            w.parquet(f"{base}/{name}")
-        self._fs.create(self._Path(f"{base}/{self.MARKER}")).close()
-        return nxt
+        return path_exists(self.spark, f"{self.path}/_SUCCESS")
+
+    def bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+
+    def touched(self, keys: DataFrame) -> list[int]:
+        """Buckets of the given keys (``buckets`` numbers at most)."""
+        return sorted(r[0] for r in keys.select(self.bucket()).distinct().collect())
+
+    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
+        df = self.spark.read.schema(f"{self.schema}, bucket int").parquet(self.path)
+        if buckets is not None:
+            df = df.where(F.col("bucket").isin(list(buckets)))  # a partition filter
+        return df.drop("bucket")
+
+    def _writer(self, df: DataFrame):
+        laid = df.withColumn("bucket", self.bucket()).hint("rebalance", "bucket")
+        return laid.write.mode("overwrite").partitionBy("bucket")
+
+    def replace_all(self, df: DataFrame) -> None:
+        self._writer(df).option("partitionOverwriteMode", "static").parquet(self.path)
+
+    def replace(self, df: DataFrame) -> None:
+        """Overwrite the buckets that ``df`` has rows of; ``df`` holds all their rows."""
+        self._writer(df).option("partitionOverwriteMode", "dynamic").parquet(self.path)

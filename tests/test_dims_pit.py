@@ -60,12 +60,19 @@ def test_pit_join_is_equi_join_not_nested_loop(spark):
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
-def test_broadcast_only_behind_size_check(spark):
-    facts = spark.createDataFrame([("k", R1)], "id string, valid_from timestamp_ntz")
-    hist = spark.createDataFrame([("k", R1, None, "v1")],
-                                 "id string, valid_from timestamp_ntz, valid_to timestamp_ntz, label string")
-    small = pit_join(facts, hist, on="id", columns=["label"], broadcast=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().optimizedPlan().toString() or \
-        "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-    big = pit_join(facts, hist, on="id", columns=["label"], broadcast=0)   # bound exceeded: no hint
-    assert "broadcast" not in big._jdf.queryExecution().logical().toString().lower()
+def test_no_hint_and_facts_without_key_are_spread(spark):
+    facts = spark.createDataFrame([(None, R1, i) for i in range(400)] + [("A", R1, -1)], "id string, valid_from timestamp_ntz, n int")
+    hist = spark.createDataFrame([("A", R1, None, "x"), (None, R1, None, "y")], "id string, valid_from timestamp_ntz, valid_to timestamp_ntz, label string")
+    out = pit_join(facts, hist, on="id", columns=["label"])
+    assert "hint" not in out._jdf.queryExecution().logical().toString().lower()
+    got = out.collect()
+    assert len(got) == 401 and [r.label for r in got if r.n == -1] == ["x"] and all(r.label is None for r in got if r.n >= 0)
+    was = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = pit_join(facts, hist, on="id", columns=["label"]).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 200
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)

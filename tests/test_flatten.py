@@ -75,7 +75,7 @@ def test_variant_paths_agree_with_flatten(spark):
 
     from conftest import SF001
     from evhist.functions.paths import variant_value
-    from evhist.sources.feed import raw_feed
+    from evhist.fixture.feed import raw_feed
     raw = raw_feed(spark, SF001)
     flat = flatten(raw, ["artist_name", "price_min", "venue_latitude", "event_date"])
     via_variant = raw.select(

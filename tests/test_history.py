@@ -64,7 +64,7 @@ def test_history_properties_on_fixture(spark):
 
     from conftest import SF01
     from evhist.plans.models import EVENT_TRACKED
-    from evhist.sources.feed import raw_feed
+    from evhist.fixture.feed import raw_feed
 
     h = stg_event_snapshots(raw_feed(spark, SF01))
     w = Window.partitionBy("event_id", "fetched_city").orderBy("version")

@@ -70,7 +70,7 @@ def test_upcoming_nulls_last(spark):
 def test_approximate_variants_agree_on_small_data(spark):
     from conftest import SF001
     from evhist.plans.models import Models
-    from evhist.sources.feed import raw_feed
+    from evhist.fixture.feed import raw_feed
     m = Models(raw_feed(spark, SF001), as_of="2024-01-30")
     exact = {(r.fetched_city, r.event_date, r.genre): (r.unique_artists, r.unique_venues)
              for r in fct_events_by_city(m.fct_events).collect()}

@@ -6,9 +6,10 @@ from fixtures import R1, doc
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from evhist.sources.feed import landed_feed, raw_feed, read_table
-from evhist.sources.landing import (append_raw, cap_per_city, land_pages, landed_to_raw, pages_from_landed,
-                                    read_pages, read_raw, write_pages)
+from evhist.fixture.feed import landed_feed, raw_feed, read_table
+from evhist.fixture.pages import pages_from_landed, write_pages
+from evhist.sources.landing import (append_raw, bad_pages, cap_per_city, documents, land_pages, landed_to_raw,
+                                    read_page_files, read_pages, read_raw)
 
 PAGES_SCHEMA = "fetched_city string, ingested_at timestamp_ntz, page_no long, page_text string"
 
@@ -30,7 +31,44 @@ def test_page_cap_keeps_first_ten_pages(spark):
     pages = spark.createDataFrame([("X", R1, n, page(doc(f"E{n}"))) for n in range(11)]
                                   + [("Y", R1, 50, page(doc("E50")))], PAGES_SCHEMA)
     kept = cap_per_city(land_pages(pages))
-    assert sorted(r.event_id for r in kept.collect()) == sorted([f"E{n}" for n in range(10)] + ["E50"])
+    assert sorted(r.event_id for r in kept.collect()) == sorted([f"E{n}" for n in range(10)])
+    assert sorted(r.event_id for r in cap_per_city(land_pages(pages), 2).collect()) == ["E0", "E1"]
+
+
+def test_nothing_is_capped_unless_asked(spark, scratch):
+    rows = [(i, f"E{i}", "X", R1, doc(f"E{i}")) for i in range(25)]
+    landed = spark.createDataFrame(rows, "seq long, event_id string, fetched_city string, ingested_at timestamp_ntz, payload string")
+    write_pages(pages_from_landed(landed, page_size=2), f"{scratch}/pages")
+    assert read_pages(spark, f"{scratch}/pages").count() == 25
+    assert read_pages(spark, f"{scratch}/pages", max_pages=10).count() == 20
+
+
+def test_whole_file_pages_and_bad_pages(spark, scratch):
+    import os
+
+    import pytest
+
+    good = json.dumps({"_embedded": {"events": [json.loads(doc("E1")), json.loads(doc("E2"))]}}, indent=2)
+    for n, text in enumerate([good, good[:-20], ""]):
+        os.makedirs(f"{scratch}/run=20240115T060000.000001/city=0412/page={n}")
+        with open(f"{scratch}/run=20240115T060000.000001/city=0412/page={n}/p.txt", "w") as f:
+            f.write(text)
+    with pytest.raises(Exception, match="page is not a JSON document"):
+        read_pages(spark, scratch).collect()
+    got = read_pages(spark, scratch, on_bad="reject").collect()
+    assert [(r.event_id, r.fetched_city, r.ingested_at.microsecond) for r in got] == [("E1", "0412", 1), ("E2", "0412", 1)]
+    bad = {r.page_no for r in bad_pages(read_page_files(spark, scratch)).collect()}
+    assert 1 in bad and 0 not in bad
+
+
+def test_empty_ids_are_dropped(spark):
+    pages = spark.createDataFrame([("X", R1, 0, page(doc(""), doc("E1")))], PAGES_SCHEMA)
+    assert [r.event_id for r in landed_to_raw(land_pages(pages)).collect()] == ["E1"]
+
+
+def test_documents_are_written_as_json(spark):
+    df = spark.createDataFrame([("E1", "X", R1, 2.5, None)], "event_id string, fetched_city string, ingested_at timestamp_ntz, a double, b string")
+    assert documents(df, ["a", "b"]).first().document == '{"a":2.5,"b":null}'
 
 
 def test_in_run_dedup(spark):
@@ -50,8 +88,9 @@ def test_pages_round_trip_through_files(spark, scratch):
     cols = ["event_id", "fetched_city", "ingested_at", "payload"]
     assert sorted(tuple(r) for r in back.select(cols).collect()) == \
         sorted(tuple(r) for r in raw_feed(spark, SF001).select(cols).collect())
-    plan = read_pages(spark, f"{scratch}/pages")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(page" in plan and "(page#" in plan   # cap prunes folders
+    capped = read_pages(spark, f"{scratch}/pages", max_pages=1)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(page" in plan and "(page#" in plan   # an explicit cap prunes folders
 
 
 def test_append_and_partition_pruning(spark, scratch):

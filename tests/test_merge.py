@@ -7,11 +7,11 @@ from fixtures import R1, R2, R3, R4, doc, raw_df
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from evhist.operators.merge import (DuplicateKeyError, fct_incremental, fct_incremental_frame,
-                                    merge_frames, merge_upsert)
-from evhist.plans.models import Models, fct_from_files
-from evhist.sources.feed import raw_feed
-from evhist.sources.tables import TableDir
+from evhist.operators.merge import (DuplicateKeyError, State, advance, fct_incremental_frame, merge_frames,
+                                    merge_upsert)
+from evhist.plans.models import Models
+from evhist.fixture.feed import raw_feed
+from evhist.sources.tables import BucketTable
 
 
 def rows(df):
@@ -19,24 +19,36 @@ def rows(df):
 
 
 def test_merge_upsert_update_insert_reject(spark, scratch):
-    t = TableDir(spark, scratch)
-    merge_upsert(t, spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), "k")
-    merge_upsert(t, spark.createDataFrame([("b", 20), ("c", 3)], "k string, v int"), "k")
+    t = BucketTable(spark, scratch, "k string, v int", ["k"], buckets=8)
+    frame = lambda *r: spark.createDataFrame(list(r), "k string, v int")
+    merge_upsert(t, frame(("a", 1), ("b", 2)))
+    merge_upsert(t, frame(("b", 20), ("c", 3)))
     assert rows(t.read()) == [("a", 1), ("b", 20), ("c", 3)]
-    assert t.current_version() == 2
     with pytest.raises(DuplicateKeyError):
-        merge_upsert(t, spark.createDataFrame([("d", 1), ("d", 2)], "k string, v int"), "k")
-    assert t.current_version() == 2
+        merge_upsert(t, frame(("d", 1), ("d", 2)))
+    assert rows(t.read()) == [("a", 1), ("b", 20), ("c", 3)]
+
+
+def _files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")}
+
 
+def test_upsert_rewrites_touched_buckets_only(spark, scratch):
+    t = BucketTable(spark, scratch, "k string, v int", ["k"], buckets=16)
+    t.replace_all(spark.createDataFrame([(f"k{i}", i) for i in range(200)], "k string, v int"))
+    before = _files(scratch)
+    one = spark.createDataFrame([("k7", 70)], "k string, v int")
+    merge_upsert(t, one)
+    after = _files(scratch)
+    assert len(t.touched(one)) == 1
+    assert {os.path.dirname(f) for f in before ^ after} == {f"{scratch}/bucket={t.touched(one)[0]}"}
+    assert rows(t.read()) == sorted((f"k{i}", 70 if i == 7 else i) for i in range(200))
 
-def test_uncommitted_version_is_invisible(spark, scratch):
-    t = TableDir(spark, scratch)
-    t.write(spark.createDataFrame([("a", 1)], "k string, v int"))
-    os.makedirs(t.path_of(2).replace("file:", ""))          # a crashed writer's folder
-    assert t.current_version() == 1 and rows(t.read()) == [("a", 1)]
-    assert t.write(spark.createDataFrame([("b", 2)], "k string, v int")) == 3
-    t.vacuum(keep=1)
-    assert t._all_versions() == [3]
+
+def test_a_table_without_rows_reads_as_empty(spark, scratch):
+    t = BucketTable(spark, scratch, "k string, v int", ["k"])
+    t.replace_all(spark.createDataFrame([], "k string, v int"))
+    assert t.exists() and t.read().count() == 0
 
 
 def _full(raw):
@@ -79,36 +91,63 @@ def test_incremental_equals_full_fixture(spark, split_day):
     assert rows(inc) == rows(_full(raw))
 
 
-def test_fct_incremental_on_table(spark, scratch):
+def test_nothing_runs_while_the_incremental_fact_is_built(spark):
     raw = raw_feed(spark, SF001)
-    t = TableDir(spark, scratch)
-    split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    first = raw.where(F.col("ingested_at") < split)
-    fct_incremental(t, first, first, "2024-01-30")
-    fct_incremental(t, raw, raw.where(F.col("ingested_at") >= split), "2024-01-30")
-    assert rows(t.read()) == rows(_full(raw))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "building")
+    fct_incremental_frame(_full(raw), raw, raw, "2024-01-30")
+    assert not tracker.getJobIdsForGroup("building")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def _equal_rebuild(st, raw):
+    m = Models(raw, as_of="2024-01-30")
+    for name, df in [("fct_events", m.fct_events), ("dim_artists", m.dim_artists), ("dim_venues", m.dim_venues)]:
+        assert rows(getattr(st, name).read().select(*df.columns)) == rows(df), name
 
 
 def test_advance_extend_then_replay(spark, scratch):
     """Extend mode (work ~ batch) equals the rebuild; a late batch falls back to replay."""
-    from evhist.operators.merge import advance
-    from evhist.sources.tables import StateDir
-
     raw = raw_feed(spark, SF001)
     ts = lambda d: F.lit(f"2024-01-{d:02d} 00:00:00").cast("timestamp_ntz")
     upto = lambda d: raw.where(F.col("ingested_at") < ts(d))
-    st = StateDir(spark, scratch)
+    st = State(spark, scratch, buckets=8)
     modes = [advance(st, upto(10), upto(10), "2024-01-30")]
     for a, b in [(10, 11), (11, 20), (20, 31)]:
         batch = raw.where((F.col("ingested_at") >= ts(a)) & (F.col("ingested_at") < ts(b)))
         modes.append(advance(st, upto(b), batch, "2024-01-30"))
     assert modes == ["full", "extend", "extend", "extend"]
-    m = Models(raw, as_of="2024-01-30")
-    for name, df in [("fct_events", m.fct_events), ("dim_artists", m.dim_artists), ("dim_venues", m.dim_venues)]:
-        got = fct_from_files(st.read(name)) if name == "fct_events" else st.read(name)
-        assert rows(got.select(*df.columns)) == rows(df), name
+    _equal_rebuild(st, raw)
     assert advance(st, raw, raw.where(F.col("ingested_at") < ts(3)), "2024-01-30") == "replay"
-    assert rows(fct_from_files(st.read("fct_events"))) == rows(m.fct_events)
+    _equal_rebuild(st, raw)
+    assert advance(st, raw, raw.limit(0), "2024-01-30") == "empty"
+
+
+def test_one_key_rewrites_its_bucket_and_a_cut_off_run_can_be_repeated(spark, scratch, monkeypatch):
+    old = [(f"E{i}", "X", R1, doc(f"E{i}", pmin=20, artist=(f"A{i}", "P"))) for i in range(30)]
+    new = [("E3", "X", R2, doc("E3", pmin=25, artist=("A3", "Q"))), ("E3", "X", R3, doc("E3", pmin=20, artist=("A3", "P")))]
+    raw = raw_df(spark, old + new)
+    st = State(spark, scratch, buckets=16)
+    advance(st, raw_df(spark, old), raw_df(spark, old), "2024-01-30")
+    before = _files(f"{scratch}/fct_events")
+    monkeypatch.setattr(State, "advance_to", lambda self, when: 1 / 0)  # dies before the mark is written
+    with pytest.raises(ZeroDivisionError):
+        advance(st, raw, raw_df(spark, new), "2024-01-30")
+    monkeypatch.undo()
+    assert advance(st, raw, raw_df(spark, new), "2024-01-30") == "extend"
+    changed = {os.path.dirname(f) for f in before ^ _files(f"{scratch}/fct_events")}
+    assert changed == {f"{scratch}/fct_events/bucket={b}" for b in st.fct_events.touched(raw_df(spark, new))}
+    _equal_rebuild(st, raw)
+
+
+def test_late_row_on_state(spark, scratch):
+    r = [("E1", "X", R1, doc(pmin=20, artist=("A1", "Old"))), ("E1", "X", R3, doc(pmin=20, artist=("A1", "Old"))),
+         ("E2", "X", R1, doc("E2", artist=("A1", "Old"))), ("E2", "X", R4, doc("E2", artist=("A1", "Old")))]
+    late = [("E1", "X", R2, doc(pmin=30, artist=("A1", "New")))]
+    st = State(spark, scratch, buckets=8)
+    advance(st, raw_df(spark, r), raw_df(spark, r), "2024-01-30")
+    assert advance(st, raw_df(spark, r + late), raw_df(spark, late), "2024-01-30") == "replay"
+    _equal_rebuild(st, raw_df(spark, r + late))
 
 
 def test_extend_micro_new_and_changed_keys(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from evhist.functions.dates import plausible_dates
 from evhist.plans.models import Models
-from evhist.sources.feed import raw_feed
+from evhist.fixture.feed import raw_feed
 
 
 def test_implausible_date(spark):

@@ -1,12 +1,15 @@
-"""Materialized pipeline: written tables equal the lazy models, whatever plan
-decisions (broadcast, segmented history) the size checks take."""
+"""Materialized pipeline: written tables equal the lazy models, with a plain or a
+segmented history; the daily run equals a rebuild, repeated or not."""
 
 import pytest
+from fixtures import R1, R2, doc, raw_df
+from pyspark.sql import functions as F
 
 from conftest import SF001
+from evhist.fixture.feed import raw_feed
+from evhist.operators.merge import State
 from evhist.plans.models import Models, fct_from_files
-from evhist.plans.pipeline import MODEL_TABLES, run_pipeline
-from evhist.sources.feed import raw_feed
+from evhist.plans.pipeline import MODEL_TABLES, daily_paths, read_observations, run_daily, run_pipeline
 from evhist.sources.landing import append_raw, read_raw
 
 
@@ -14,14 +17,12 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-@pytest.mark.parametrize("broadcast_max_rows,hot_key_rows", [(2_000_000, 5_000_000), (0, 5)])
-def test_pipeline_tables_equal_models(spark, scratch, broadcast_max_rows, hot_key_rows):
+@pytest.mark.parametrize("segment", [None, "month"])
+def test_pipeline_tables_equal_models(spark, scratch, segment):
     append_raw(raw_feed(spark, SF001), f"{scratch}/raw")
-    res = run_pipeline(spark, read_raw(spark, f"{scratch}/raw"), f"{scratch}/wh", "2024-01-30",
-                       broadcast_max_rows=broadcast_max_rows, hot_key_rows=hot_key_rows)
+    part = segment and F.date_trunc(segment, F.col("ingested_at"))
+    res = run_pipeline(spark, read_raw(spark, f"{scratch}/raw"), f"{scratch}/wh", "2024-01-30", segment=part)
     assert set(res.tables) == set(MODEL_TABLES)
-    assert res.broadcast_dims == (broadcast_max_rows > 0)
-    assert res.segmented_history == (hot_key_rows == 5)
     m = Models(raw_feed(spark, SF001), as_of="2024-01-30")
     for name, df in [("stg_event_snapshots", m.snapshots), ("fct_events", m.fct_events),
                      ("fct_events_by_city", m.fct_events_by_city), ("dim_venues", m.dim_venues)]:
@@ -52,18 +53,46 @@ def test_checks_on_written_tables(spark, scratch):
     assert all(v[0] == "pass" for k, v in rep.items() if k[1] != "accepted_values")
 
 
-def test_run_daily_equals_rebuild(spark, scratch):
-    from pyspark.sql import functions as F
+def _daily_equals_rebuild(spark, root, raw):
+    m = Models(raw, as_of="2024-01-30")
+    st = State(spark, daily_paths(root)["state"])
+    for name, df in [("fct_events", m.fct_events), ("dim_artists", m.dim_artists), ("dim_venues", m.dim_venues)]:
+        assert rows(getattr(st, name).read().select(*df.columns)) == rows(df), name
+
 
-    from evhist.plans.pipeline import run_daily
-    from evhist.sources.tables import StateDir
+def test_run_daily_equals_rebuild_and_can_be_repeated(spark, scratch):
     raw = raw_feed(spark, SF001)
     split = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
-    modes = [run_daily(spark, raw.where(F.col("ingested_at") < split), scratch, "2024-01-30"),
-             run_daily(spark, raw.where(F.col("ingested_at") >= split), scratch, "2024-01-30")]
-    assert modes == ["full", "extend"]
-    m = Models(raw, as_of="2024-01-30")
-    st = StateDir(spark, f"{scratch}/state")
-    assert rows(fct_from_files(st.read("fct_events"))) == rows(m.fct_events)
-    typed = spark.read.parquet(f"{scratch}/events_typed_daily")
-    assert typed.count() == 602 and "payload" in typed.columns
+    first, second = raw.where(F.col("ingested_at") < split), raw.where(F.col("ingested_at") >= split)
+    modes = [run_daily(spark, b, scratch, "2024-01-30") for b in (first, second, raw.limit(0), second)]
+    assert modes == ["full", "extend", "empty", "replay"]
+    _daily_equals_rebuild(spark, scratch, raw)
+    stored = read_observations(spark, daily_paths(scratch)["observations"])
+    assert stored.count() == 602 == stored.select("event_id", "fetched_city", "ingested_at").distinct().count()
+
+
+def test_a_run_in_two_batches_gives_one_observation(spark, scratch):
+    a = [("E1", "0412", R1, doc(pmin=20)), ("", "0412", R1, doc(""))]
+    b = [("E1", "0412", R1, doc(pmin=99)), ("E2", "0412", R1, doc("E2")), ("E1", "0412", R2, doc(pmin=20))]
+    run_daily(spark, raw_df(spark, a), scratch, "2024-01-30")
+    run_daily(spark, raw_df(spark, b), scratch, "2024-01-30")
+    _daily_equals_rebuild(spark, scratch, raw_df(spark, [a[0], *b[1:]]))
+    fct = State(spark, daily_paths(scratch)["state"]).fct_events.read()
+    assert fct.where("valid_from = valid_to").count() == 0
+    assert {r.fetched_city for r in fct.collect()} == {"0412"}
+
+
+def test_empty_raw_and_empty_first_run(spark, scratch):
+    none = raw_feed(spark, SF001).limit(0)
+    res = run_pipeline(spark, none, f"{scratch}/wh", "2024-01-30")
+    assert fct_from_files(spark.read.schema(Models(none).fct_events.schema).parquet(res.tables["fct_events"])).count() == 0
+    assert run_daily(spark, none, scratch, "2024-01-30") == "empty"
+    assert run_daily(spark, raw_df(spark, [("E1", "X", R1, doc())]), scratch, "2024-01-30") == "full"
+
+
+def test_payload_is_parsed_once_per_row(spark, scratch):
+    raw = raw_feed(spark, SF001)
+    run_daily(spark, raw, scratch, "2024-01-30")
+    stored = read_observations(spark, daily_paths(scratch)["observations"])
+    plan = Models(stored, as_of="2024-01-30").fct_events._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan

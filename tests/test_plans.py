@@ -11,7 +11,7 @@ from evhist.functions.paths import ALL_FIELDS
 from evhist.operators.history import latest_per_key
 from evhist.plans.models import EVENT_CARRIED, EVENT_TRACKED, KEYS, stg_event_snapshots
 from evhist.plans.pipeline import typed_events
-from evhist.sources.feed import raw_feed
+from evhist.fixture.feed import raw_feed
 from evhist.sources.landing import dedup_run
 
 

@@ -1,12 +1,17 @@
 """Streaming landing + changed-key fact equals the batch rebuild; replay is a no-op."""
 
+import json
+import os
+
+from fixtures import doc
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from evhist.plans.models import Models, fct_from_files
-from evhist.sources.feed import landed_feed, raw_feed, read_table
-from evhist.sources.landing import pages_from_landed, write_pages
-from evhist.streaming.stream import process_batch, run_stream, state_dir
+from evhist.plans.models import Models
+from evhist.fixture.feed import landed_feed, raw_feed, read_table
+from evhist.fixture.pages import pages_from_landed, write_pages
+from evhist.sources.landing import PAGE_FILE_SCHEMA
+from evhist.streaming.stream import process_batch, root_of, run_stream, state_of
 
 
 def rows(df):
@@ -22,15 +27,43 @@ def test_stream_equals_rebuild_and_replay_is_idempotent(spark, scratch):
     write_pages(pages.where(F.col("ingested_at") >= split), in_dir)
     run_stream(spark, in_dir, wh, ck, as_of="2024-01-30").awaitTermination()
 
-    state = state_dir(spark, wh)
+    state = state_of(spark, wh)
     m = Models(raw_feed(spark, SF001), as_of="2024-01-30")
-    got = rows(fct_from_files(state.read("fct_events")))
+    got = rows(state.fct_events.read())
     assert got == rows(m.fct_events)
-    assert rows(state.read("dim_artists")) == rows(m.dim_artists)
-    assert rows(state.read("dim_venues")) == rows(m.dim_venues)
+    assert rows(state.dim_artists.read()) == rows(m.dim_artists)
+    assert rows(state.dim_venues.read()) == rows(m.dim_venues)
 
     # replay the second batch (same id, same files): nothing changes
-    files = spark.read.format("text").schema("value string, run string, city string, page int") \
-        .load(in_dir).where(F.to_date(F.to_timestamp("run", "yyyyMMdd'T'HHmmss")) >= F.lit("2024-01-16"))
+    files = spark.read.format("text").option("wholetext", True).schema(PAGE_FILE_SCHEMA) \
+        .load(in_dir).where(F.substring("run", 1, 8) >= "20240116")
     process_batch(spark, files, 1, wh, as_of="2024-01-30")
-    assert rows(fct_from_files(state.read("fct_events"))) == got
+    assert rows(state.fct_events.read()) == got
+
+
+def _page(folder, run, city, page, text):
+    path = f"{folder}/run={run}/city={city}/page={page}"
+    os.makedirs(path, exist_ok=True)
+    with open(f"{path}/p.txt", "w") as f:
+        f.write(text)
+
+
+def _doc_page(*docs, indent=None):
+    return json.dumps({"_embedded": {"events": [json.loads(d) for d in docs]}}, indent=indent)
+
+
+def test_odd_pages_and_a_run_over_two_batches(spark, scratch):
+    in_dir, wh, ck = f"{scratch}/in", f"{scratch}/wh", f"{scratch}/ck"
+    run = "20240115T060000.123456"
+    _page(in_dir, run, "0412", 0, _doc_page(doc("E1", pmin=20), indent=2))
+    run_stream(spark, in_dir, wh, ck, as_of="2024-01-30").awaitTermination()
+    _page(in_dir, run, "0412", 1, _doc_page(doc("E1", pmin=99), doc("E2")))
+    _page(in_dir, run, "0412", 2, _doc_page(doc("E3"))[:-9])
+    run_stream(spark, in_dir, wh, ck, as_of="2024-01-30").awaitTermination()
+    _page(in_dir, "20240116T060000", "0412", 0, '{"page":{"number":0}}')  # no events: an empty batch
+    run_stream(spark, in_dir, wh, ck, as_of="2024-01-30").awaitTermination()
+    fct = state_of(spark, wh).fct_events.read().collect()
+    assert sorted((r.event_id, r.fetched_city, r.version, r.price_min) for r in fct) == [("E1", "0412", 1, 20.0), ("E2", "0412", 1, 20.0)]
+    assert all(r.valid_to is None and r.valid_from.microsecond == 123456 for r in fct)
+    bad = spark.read.parquet(f"{root_of(wh)}/rejected_pages").collect()
+    assert [(r.page_no, r.fetched_city) for r in bad] == [(2, "0412")]
