@@ -176,11 +176,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bucket = member.groupBy("key").agg(F.min("id").alias("c"), F.count(F.lit(1)).alias("_m")).where("_m > 1").drop("_m")
     meets = keep(_salt_join(member, bucket), "buckets")  # only buckets of two and more
 
+    ids = meets.select(F.col("id").alias("_id")).distinct()
+    # texts of bucket members, once for all checks below; both sides grow with the data, so no broadcast
+    texts = keep(text.join(ids.hint("merge"), "_id").dropDuplicates(["_id"]), "bucket-texts")
+
     star = meets.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b"), "w")
     star = star.groupBy("a", "b").agg(F.first("w").alias("w"))
     width = reps.select(F.col("_rep").alias("a"), F.col("_w").alias("wa"))
     size_ok = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y) - 1e-9
-    check = lambda pairs, name: keep(_with_texts(pairs, text).mapInArrow(_verify(shingle, weighting), f"a {kind}, b {kind}, j double"), name)
+    check = lambda pairs, name: keep(_with_texts(pairs, texts).mapInArrow(_verify(shingle, weighting), f"a {kind}, b {kind}, j double"), name)
     # every star pair is measured: its distance prunes the pairs below
     measured = check(star.join(width, "a").where(size_ok(F.col("w"), F.col("wa"))).select("a", "b"), "star-pairs")
     links = measured.where(F.col("j") >= threshold)
@@ -216,14 +220,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _salt_join(big: DataFrame, small: DataFrame, keys=("key",), how: str = "inner", by: str = "id", salts: int = 8) -> DataFrame:
     """Join with a table of few rows per key, a hot key's rows spread over ``salts`` tasks."""
     small = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return big.withColumn("_s", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(small, [*keys, "_s"], how).drop("_s")
+    return big.withColumn("_s", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(small.hint("merge"), [*keys, "_s"], how).drop("_s")
 
 
-def _with_texts(pairs: DataFrame, text: DataFrame) -> DataFrame:
-    """(a, b, both texts); only texts that occur in a pair are written out."""
-    pairs = keep(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
-    texts = keep(text.join(ids, "_id").dropDuplicates(["_id"]), "pair-texts")
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, both texts)."""
     left = texts.select(F.col("_id").alias("a"), F.col("_text").alias("_ta"))
     right = texts.select(F.col("_id").alias("b"), F.col("_text").alias("_tb"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_ta", "_tb")
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "_ta", "_tb")
