@@ -11,8 +11,9 @@ Joining: texts with equal shingle sets are collapsed first.  Texts that share a
 meet their bucket's least id only (a star), and those pairs are verified on the texts
 themselves.  After the stars' components are known, the pairs still needed are those of
 a bucket's other components with its largest one and among each other; they are pruned
-by length and by the triangle inequality of the Jaccard distance to the bucket's centre,
-both of which never lose a pair of similarity >= ``threshold``.  So a group of n near
+by length, by the triangle inequality of the Jaccard distance to the bucket's centre, and
+by the weight of elements that no other text in these buckets has, none of which ever
+loses a pair of similarity >= ``threshold``.  So a group of n near
 copies costs about n pairs a band, and no link that changes a class is lost.
 
 36 bands of 6 rows find a pair of similarity 0.8 with probability 0.99998.
@@ -147,6 +148,19 @@ def _weighed(column, k_shingle, weighting):
             yield el, (np.ones(len(el)) if weighting == "set" else c.astype(float))
 
 
+def _elements(k_shingle, weighting):
+    """Each text's elements and weights, to be exploded."""
+
+    def run(batches):
+        for batch in batches:
+            rows = list(_weighed(batch.column("_text"), k_shingle, weighting))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_id"), pa.array([to_signed(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([w for _, w in rows], pa.list_(pa.float64()))],
+                names=["id", "e", "ew"])
+
+    return run
+
+
 def _verify(k_shingle, weighting):
     def run(batches):
         for batch in batches:
@@ -196,10 +210,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per = state.groupBy("key", "root").count()
     major = per.groupBy("key").agg(F.max_by("root", "count").alias("major"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1").drop("_roots")
     state = keep(_salt_join(state, major).select("key", "id", "w", "root", "major", "d", "c"), "bucket-states")
-    minor = state.where("root <> major").select("key", F.col("id").alias("x"), F.col("w").alias("wx"), F.col("root").alias("rx"), F.col("d").alias("dx"))
+    # weight that a text has in common with any other one here: no link can cover more of it
+    shown = texts.join(state.select(F.col("id").alias("_id")).distinct().hint("merge"), "_id")
+    shown = shown.mapInArrow(_elements(shingle, weighting), f"id {kind}, e array<bigint>, ew array<double>")
+    each = shown.select("id", F.explode(F.arrays_zip("e", "ew")).alias("p")).select("id", "p.*")
+    single = each.groupBy("e").agg(F.count(F.lit(1)).alias("_m"), F.min("id").alias("id"), F.sum("ew").alias("ew")).where("_m = 1")
+    single = single.groupBy("id").agg(F.sum("ew").alias("_own"))
+    state = state.join(single.hint("merge"), "id", "left").withColumn("s", F.col("w") - F.coalesce("_own", F.lit(0.0))).drop("_own")
+    # a link with a text of weight v needs threshold / (1 + threshold) * (w + v) in common, and v >= threshold * w
+    state = keep(state.where(F.col("s") >= threshold * F.col("w") - 1e-9), "linkable")
+    minor = state.where("root <> major").select("key", F.col("id").alias("x"), F.col("w").alias("wx"), F.col("root").alias("rx"), F.col("d").alias("dx"), F.col("s").alias("sx"))
     # d is null where the lengths alone rule a link with the centre out; nothing is known then
     far = F.abs(F.col("d") - F.col("dx")) > 1 - threshold + 1e-9
-    more = minor.join(state, "key").where("root <> rx").where(size_ok(F.col("w"), F.col("wx"))).where(~F.coalesce(far, F.lit(False)))
+    common = F.least("s", "sx") >= threshold / (1 + threshold) * (F.col("w") + F.col("wx")) - 1e-9
+    more = minor.join(state, "key").where("root <> rx").where(common).where(size_ok(F.col("w"), F.col("wx"))).where(~F.coalesce(far, F.lit(False)))
     more = more.where("id <> c AND x <> c").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
     more = check(more, "other-pairs")
     links = links.unionByName(more.where(F.col("j") >= threshold)).select("a", "b")
