@@ -2,8 +2,8 @@
 
 A check is data: (model, test, column or expression, severity, extra args).
 Each check compiles to one aggregate DataFrame with a single ``failing_rows``
-figure, computed on executors; all not-null checks of one model share a
-single pass (one ``count_if`` per column).  The report is the union of the
+figure, computed on executors; all not-null checks of one model share one
+pass with its uniqueness check.  The report is the union of the
 per-check rows plus a status: ``fail``/``warn`` when ``failing_rows > 0``
 and the severity is ``error``/``warn``, else ``pass``.
 
@@ -41,9 +41,9 @@ def _expr(column: str) -> Column:
 def dq_not_null(df: DataFrame, cols: Sequence[str], model: str = "") -> DataFrame:
     """Q1: one row per column with its NULL count, from a single pass."""
     counts = df.agg(*[F.count_if(_expr(c).isNull()).alias(f"_c{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', _c{i}" for i, c in enumerate(cols))
-    return counts.selectExpr(f"stack({len(cols)}, {stack}) as (column_name, failing_rows)") \
-                 .select(F.lit(model).alias("model"), "column_name", "failing_rows")
+    row = lambda c, i: F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"),
+                                F.col(f"_c{i}").alias("failing_rows"))
+    return counts.select(F.inline(F.array(*[row(c, i) for i, c in enumerate(cols)])))
 
 
 def dq_unique(df: DataFrame, column: str, model: str = "") -> DataFrame:
@@ -55,6 +55,18 @@ def dq_unique(df: DataFrame, column: str, model: str = "") -> DataFrame:
         F.lit(model).alias("model"), F.lit(column).alias("column_name"), "failing_rows")
 
 
+def dq_model(df: DataFrame, cols: Sequence[str], unique: str, model: str = "") -> DataFrame:
+    """Q1 and Q2 of one model in one pass: NULL counts ride along with the uniqueness groups."""
+    nulls = [F.count_if(_expr(c).isNull()).alias(f"_c{i}") for i, c in enumerate(cols)]
+    groups = df.groupBy(_expr(unique).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *nulls)
+    found = groups.agg(F.count_if(F.col("_v").isNotNull() & (F.col("_n") > 1)).alias("_u"),
+                       *[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(cols))])
+    row = lambda test, c, n: F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"),
+                                      F.lit(c).alias("column_name"), F.col(n).alias("failing_rows"))
+    return found.select(F.inline(F.array(row("unique", unique, "_u"),
+                                         *[row("not_null", c, f"_c{i}") for i, c in enumerate(cols)])))
+
+
 def dq_accepted_values(df: DataFrame, column: str, values: Sequence[str], model: str = "") -> DataFrame:
     """Q3 detail: every non-NULL value outside ``values`` with its row count."""
     v = _expr(column)
@@ -72,29 +84,29 @@ def _status(severity: Column | str) -> Column:
 def dq_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """Q4: run ``checks`` against ``tables`` -> REPORT_COLUMNS, one row per check."""
     parts: list[DataFrame] = []
-    not_null: dict[str, list[Check]] = defaultdict(list)
-    for c in checks:
-        if c.test == "not_null":
-            not_null[c.model].append(c)
-    for model, cs in not_null.items():
-        res = dq_not_null(tables[model], [c.column for c in cs], model)
-        sev_col = F.create_map(*[F.lit(x) for c in cs for x in (c.column, c.severity)])[F.col("column_name")]
-        parts.append(res.select("model", F.lit("not_null").alias("test"), "column_name",
-                                sev_col.alias("severity"), "failing_rows"))
+    by_model: dict[str, list[Check]] = defaultdict(list)
     for c in checks:
-        if c.test == "unique":
-            res = dq_unique(tables[c.model], c.column, c.model)
-        elif c.test == "accepted_values":
-            res = (dq_accepted_values(tables[c.model], c.column, c.values, c.model)
-                   .agg(F.count(F.lit(1)).alias("failing_rows"))
-                   .select(F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"),
-                           "failing_rows"))
-        elif c.test == "not_null":
-            continue
-        else:
+        if c.test not in ("not_null", "unique", "accepted_values"):
             raise ValueError(f"unknown test {c.test!r}")
-        parts.append(res.select("model", F.lit(c.test).alias("test"), "column_name",
-                                F.lit(c.severity).alias("severity"), "failing_rows"))
+        by_model[c.model].append(c)
+    for model, cs in by_model.items():
+        df = tables[model]
+        nulls, uniques = ([c for c in cs if c.test == t] for t in ("not_null", "unique"))
+        severity = F.create_map(*[x for c in cs for x in (F.lit(f"{c.test} {c.column}"), F.lit(c.severity))])
+        found = []
+        if uniques:  # the first one carries the NULL counts
+            found.append(dq_model(df, [c.column for c in nulls], uniques[0].column, model))
+            found += [dq_unique(df, c.column, model).withColumn("test", F.lit("unique")) for c in uniques[1:]]
+        elif nulls:
+            found.append(dq_not_null(df, [c.column for c in nulls], model).withColumn("test", F.lit("not_null")))
+        for c in cs:
+            if c.test == "accepted_values":
+                bad = dq_accepted_values(df, c.column, c.values, model).agg(F.count(F.lit(1)).alias("failing_rows"))
+                found.append(bad.select(F.lit(model).alias("model"), F.lit(c.test).alias("test"),
+                                        F.lit(c.column).alias("column_name"), "failing_rows"))
+        rows = reduce(DataFrame.unionByName, found)
+        key = F.concat_ws(" ", "test", "column_name")
+        parts.append(rows.withColumn("severity", F.element_at(severity, key)))
     report = reduce(DataFrame.unionByName, parts)
     return report.select("model", "test", "column_name", "severity",
                          _status(F.col("severity")).alias("status"),

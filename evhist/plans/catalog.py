@@ -388,7 +388,7 @@ def q_dq_unique(spark, sf_dir):
 @query("dq_accepted_values")
 def q_dq_accepted(spark, sf_dir):
     m = models(spark, sf_dir)
-    c = CHECKS[-1]
+    c = next(c for c in CHECKS if c.test == "accepted_values")
     return dq.dq_accepted_values(m.fct_events, c.column, c.values, c.model)
 
 

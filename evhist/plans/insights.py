@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..constants import LOOKAHEAD_DAYS, TOP_GENRES_N, UPCOMING_ROWS
 from ..functions.dates import as_of_col
 
+# FIXED VALUES: shown columns and their headings.
 UPCOMING_DISPLAY = [
     ("event_name", "Event"), ("fetched_city", "City"), ("event_date", "Date"),
     ("artist_name", "Artist"), ("venue_name", "Venue"), ("genre", "Genre"),
@@ -102,36 +103,31 @@ def price_distribution(f: DataFrame, exact: bool = True, accuracy: int = 10000)
     aggregate — a hot city costs one row per distinct price, not per event.
     Exact quartiles interpolate linearly (``percentile`` weighted by the
     counts); whiskers are the most extreme prices inside the 1.5 x IQR
-    fences, from a join of the two small tables.  ``exact=False`` uses
+    fences, from the same counted rows in one pass.  ``exact=False`` uses
     ``percentile_approx`` for unbounded price domains.
     """
     priced = f.where(F.col("price_min").isNotNull())
     counts = priced.groupBy("fetched_city", "price_min").agg(F.count(F.lit(1)).alias("_n"))
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    if exact:
-        q = F.percentile("price_min", probs, F.col("_n"))
-        source, n = counts, F.sum("_n")
-    else:
-        q = F.percentile_approx("price_min", probs, accuracy)
-        source, n = priced, F.count(F.lit(1))
-    stats = (source.groupBy("fetched_city")
-             .agg(n.cast("long").alias("n"), F.min("price_min").alias("min_price"),
-                  q.alias("_q"), F.max("price_min").alias("max_price"))
-             .select("fetched_city", "n", "min_price",
-                     F.col("_q")[0].cast("double").alias("q1"),
-                     F.col("_q")[1].cast("double").alias("median"),
-                     F.col("_q")[2].cast("double").alias("q3"), "max_price"))
+    if exact:  # over the counted rows, in the partitioning that the last aggregate needs too
+        rows = counts.withColumn("_q", F.percentile("price_min", probs, F.col("_n")).over(Window.partitionBy("fetched_city")))
+    else:  # the sketch is taken over the rows, then joined to the counts
+        sketch = priced.groupBy("fetched_city").agg(F.percentile_approx("price_min", probs, accuracy).alias("_q"))
+        rows = counts.join(sketch, "fetched_city")
+    for i, name in enumerate(("q1", "median", "q3")):
+        rows = rows.withColumn(name, F.col("_q")[i].cast("double"))
     iqr = F.col("q3") - F.col("q1")
-    stats = (stats.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
-                  .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
+    rows = (rows.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
+                .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))
     p = F.col("price_min")
     inside = p.between(F.col("lower_fence"), F.col("upper_fence"))
-    whiskers = (counts.join(stats.select("fetched_city", "lower_fence", "upper_fence"), "fetched_city")
-                .groupBy("fetched_city")
-                .agg(F.min(F.when(inside, p)).alias("lower_whisker"),
-                     F.max(F.when(inside, p)).alias("upper_whisker"),
-                     F.sum(F.when(~inside, F.col("_n")).otherwise(0)).cast("long").alias("n_outliers")))
-    return stats.join(whiskers, "fetched_city")
+    same = [F.first(c).alias(c) for c in ("q1", "median", "q3", "lower_fence", "upper_fence")]
+    return (rows.groupBy("fetched_city")
+            .agg(F.sum("_n").cast("long").alias("n"), F.min(p).alias("min_price"), F.max(p).alias("max_price"), *same,
+                 F.min(F.when(inside, p)).alias("lower_whisker"), F.max(F.when(inside, p)).alias("upper_whisker"),
+                 F.sum(F.when(~inside, F.col("_n")).otherwise(0)).cast("long").alias("n_outliers"))
+            .select("fetched_city", "n", "min_price", "q1", "median", "q3", "max_price", "lower_fence", "upper_fence",
+                    "lower_whisker", "upper_whisker", "n_outliers"))
 
 
 def venue_map(venues: DataFrame, f: DataFrame) -> DataFrame:
@@ -148,10 +144,9 @@ def mappable_venues(venues: DataFrame) -> DataFrame:
 
 def filter_values(f: DataFrame) -> DataFrame:
     """Distinct non-NULL cities and genres (kind, value), sorted."""
-    cities = f.select(F.lit("city").alias("kind"), F.col("fetched_city").alias("value"))
-    genres = f.select(F.lit("genre").alias("kind"), F.col("genre").alias("value"))
-    return (cities.unionByName(genres).where(F.col("value").isNotNull()).distinct()
-            .orderBy("kind", "value"))
+    pair = lambda kind, c: F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"))
+    both = f.select(F.inline(F.array(pair("city", "fetched_city"), pair("genre", "genre"))))
+    return both.where(F.col("value").isNotNull()).distinct().orderBy("kind", "value")
 
 
 def date_bounds(f: DataFrame) -> DataFrame:
