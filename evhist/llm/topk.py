@@ -34,7 +34,8 @@ from .common import keep
 BLOCK = 4096
 QUERIES = 512
 LEVELS = 32
-RESCORE = 128  # vectors left undecided that are cheaper to rescore than to bound further
+RESCORE = 128  # vectors left undecided that are always rescored
+POSTING = 16  # visiting a posting costs about as much as this many components of an exact score
 K = 10
 
 
@@ -42,10 +43,10 @@ class ImpactIndex:
     """Segments of every dimension of a block of integer vectors."""
 
     def __init__(self, x: np.ndarray):
-        self.x = x
+        self.x, self.exact = x, x.astype(np.float64)
         n, dims = x.shape
-        self.order = np.argsort(x, 0, kind="stable").T.astype(np.int32)  # dimension by dimension
-        self.values = np.take_along_axis(x, self.order.T.astype(np.int64), 0).T
+        self.order = np.ascontiguousarray(np.argsort(x, 0, kind="stable").T.astype(np.int32))  # dimension by dimension
+        self.values = np.ascontiguousarray(np.take_along_axis(x, self.order.T.astype(np.int64), 0).T)
         spread = int(x.max() - x.min()) + 1 if x.size else 1
         step = max(1, -(-spread // LEVELS))
         level = np.floor_divide(self.values, step)
@@ -56,6 +57,7 @@ class ImpactIndex:
         self.end = np.append(flat[1:], dims * n) - self.dim * n
         low = level[self.dim, self.begin] * step
         self.low, self.high = low, low + step - 1  # what the quantised level admits
+        self.rows, self.parts = self.order.ravel(), self.values.ravel()  # one dimension after the other
 
     def search(self, q: np.ndarray, k: int, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, exact scores) of all possible members of the k best; ``barred`` rows take no part."""
@@ -70,8 +72,7 @@ class ImpactIndex:
         turn = turn[weight[turn] != 0]
         size = np.cumsum((self.end - self.begin)[turn])
         acc = np.zeros(n)
-        unseen = np.zeros((n, dims), np.float64)
-        unseen[:, q != 0] = 1.0
+        unseen = np.ones((n, dims))
         done, theta, share = 0, -np.inf, 8
         while True:
             upto = len(turn) if share <= 1 or not len(turn) else max(done, int(np.searchsorted(size, size[-1] / share)) + 1)
@@ -80,8 +81,8 @@ class ImpactIndex:
             if len(now):
                 count = self.end[now] - self.begin[now]
                 at = np.repeat(self.dim[now] * n + self.begin[now] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                row, dim = self.order.ravel()[at], np.repeat(self.dim[now], count)
-                acc += np.bincount(row, self.values.ravel()[at] * q[dim].astype(np.float64), n)
+                row, dim = self.rows[at], np.repeat(self.dim[now], count)
+                acc += np.bincount(row, self.parts[at] * q[dim].astype(np.float64), n)
                 unseen[row, dim] = 0.0
             done = upto
             rest = np.zeros(dims)  # the most that a dimension can still add
@@ -93,12 +94,16 @@ class ImpactIndex:
             bound[barred] = -np.inf
             best = np.argpartition(-bound, min(k, n - 1))[: k + 1]
             best = best[~barred[best]]
-            exact = np.sort(self.x[best] @ q)[::-1]
+            exact = np.sort(self.exact[best] @ q)[::-1]
             if len(exact) >= k:
                 theta = max(theta, float(exact[k - 1]))
             members = np.flatnonzero((bound >= theta) & ~barred)
-            if len(members) <= RESCORE or done >= len(turn):
-                return members, self.x[members] @ q
+            # stop when scoring the possible members costs less than the next postings
+            ahead = POSTING * size[-1] / share if done < len(turn) else 0
+            if len(members) <= RESCORE or done >= len(turn) or len(members) * dims <= ahead:
+                rows = self.exact if 2 * len(members) > n else self.exact[members]
+                score = rows @ q.astype(np.float64)  # exact below 2**53
+                return members, (score[members] if 2 * len(members) > n else score).astype(np.int64)
             share /= 2
 
 
