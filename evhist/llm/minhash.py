@@ -9,7 +9,8 @@ coordinate with a probability equal to their weighted Jaccard similarity.
 
 Joining: texts with equal shingle sets are collapsed first.  Texts that share a band
 meet their bucket's least id only (a star), and those pairs are verified on the texts
-themselves.  After the stars' components are known, the pairs still needed are those of
+themselves; a second star around the bucket's most ordinary text joins what the first
+left apart.  After the stars' components are known, the pairs still needed are those of
 a bucket's other components with its largest one and among each other; they are pruned
 by length, by the triangle inequality of the Jaccard distance to the bucket's centre, and
 by the weight of elements that no other text in these buckets has, none of which ever
@@ -219,11 +220,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     state = state.join(single.hint("merge"), "id", "left").withColumn("s", F.col("w") - F.coalesce("_own", F.lit(0.0))).drop("_own")
     # a link with a text of weight v needs threshold / (1 + threshold) * (w + v) in common, and v >= threshold * w
     state = keep(state.where(F.col("s") >= threshold * F.col("w") - 1e-9), "linkable")
+    common = lambda w, s, v, t: F.least(s, t) >= threshold / (1 + threshold) * (w + v) - 1e-9
+    # a second star: its centre is the text with the least weight of its own, near the middle of a group
+    own = F.struct((1 - F.col("s") / F.col("w")).alias("own"), "id", "root", "w", "s")
+    best = state.groupBy("key").agg(F.min(own).alias("b")).select("key", F.col("b.id").alias("x"), F.col("b.root").alias("rx"), F.col("b.w").alias("wx"), F.col("b.s").alias("sx"))
+    second = _salt_join(state, best).where("root <> rx").where(size_ok(F.col("w"), F.col("wx"))).where(common(F.col("w"), F.col("s"), F.col("wx"), F.col("sx")))
+    second = check(second.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct(), "second-star")
+    links = keep(links.unionByName(second.where(F.col("j") >= threshold)), "star-links")
+    roots = keep(components(links), "second-components")
+    state = state.drop("root", "major").join(roots.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+    major = state.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", "count").alias("major"), F.count(F.lit(1)).alias("_roots"))
+    state = keep(_salt_join(state, major.where("_roots > 1").drop("_roots")), "open-buckets")
     minor = state.where("root <> major").select("key", F.col("id").alias("x"), F.col("w").alias("wx"), F.col("root").alias("rx"), F.col("d").alias("dx"), F.col("s").alias("sx"))
     # d is null where the lengths alone rule a link with the centre out; nothing is known then
     far = F.abs(F.col("d") - F.col("dx")) > 1 - threshold + 1e-9
-    common = F.least("s", "sx") >= threshold / (1 + threshold) * (F.col("w") + F.col("wx")) - 1e-9
-    more = minor.join(state, "key").where("root <> rx").where(common).where(size_ok(F.col("w"), F.col("wx"))).where(~F.coalesce(far, F.lit(False)))
+    more = minor.join(state, "key").where("root <> rx").where(common(F.col("w"), F.col("s"), F.col("wx"), F.col("sx"))).where(size_ok(F.col("w"), F.col("wx"))).where(~F.coalesce(far, F.lit(False)))
     more = more.where("id <> c AND x <> c").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
     more = check(more, "other-pairs")
     links = links.unionByName(more.where(F.col("j") >= threshold)).select("a", "b")
