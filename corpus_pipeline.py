@@ -2,8 +2,8 @@
 
 Every stage takes all rows its predecessor kept and returns the columns of
 ``documents`` (the last one the packed pieces).  Row keys: a stage decides by doc_id.
-Rows that share a doc_id are told apart by their text in the exact stage; in the
-near-duplicate stage an id goes only if none of its rows stays.  Null ids are an id of
+Rows that share a doc_id are told apart by their text in the exact stage and by their
+shingles in the near-duplicate stage.  Null ids are an id of
 their own in the exact stage and always stay in the near-duplicate stage.  Empty tables
 pass through empty.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from evhist.llm.common import keep, prepare
 from evhist.llm.exact_dedup import exact_dedup
-from evhist.llm.minhash import near_duplicates
+from evhist.llm.minhash import SAME, near_duplicates, with_fingerprints
 from evhist.llm.packing import pack
 from evhist.llm.quality import accept
 from evhist.llm.suffix_dedup import cut_repeats
@@ -53,8 +53,21 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
     prepare(spark)
-    rows = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("_any"))
-    return _without(docs, keep(rows.where("NOT _any").select("doc_id"), "near-copies"))
+    sets = near_duplicates(docs, fingerprint=True).groupBy("doc_id", *SAME).agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n"))
+    # a set counts as repeated if several rows with its id have it; texts without words are no copies
+    sets = keep(sets.withColumn("_again", F.col("_kept") & F.col("doc_id").isNotNull() & (F.col("_w") > 0) & (F.col("_n") > 1)), "near-sets")
+    per = sets.groupBy("doc_id").agg(F.max("_kept").alias("_any"), F.min("_kept").alias("_all"), F.max("_again").alias("_again"))
+    per = keep(per.where("NOT _all OR _again"), "near-copies")
+    out = _without(docs, per)
+    mixed = per.where("_any").select(F.col("doc_id").alias("_id"))
+    if not mixed.isEmpty():  # ids that several rows share: these rows are told apart by their shingles
+        own = F.col("doc_id") == F.col("_id")
+        stay = sets.where("_kept").join(mixed, own, "left_semi").select(F.col("doc_id").alias("_id"), *SAME)
+        again = with_fingerprints(docs.join(mixed, own, "left_semi"))
+        again = again.withColumnRenamed("doc_id", "_id").join(stay, ["_id", *SAME], "left_semi").withColumnRenamed("_id", "doc_id")
+        one = again.where("_w > 0").groupBy("doc_id", *SAME).agg(F.min_by(F.struct(*docs.columns), "text").alias("_row")).select("_row.*")
+        out = out.unionByName(one).unionByName(again.where("_w = 0").select(*docs.columns))
+    return out
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

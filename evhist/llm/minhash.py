@@ -7,8 +7,10 @@ weights and below a rank that makes a few thousand of them likely, however long
 of the darts that hash to a coordinate the earliest is kept.  So two texts agree in a
 coordinate with a probability equal to their weighted Jaccard similarity.
 
-Joining: texts with equal shingle sets are collapsed first.  Texts that share a band
-meet their bucket's least id only (a star), and those pairs are verified on the texts
+Joining: texts with equal shingle sets are collapsed first, and each distinct set gets a
+number, in the order of its least id and then its fingerprint; everything below goes by
+that number, so texts that share an id stay apart.  Texts that share a band
+meet their bucket's least number only (a star), and those pairs are verified on the texts
 themselves; a second star around the bucket's most ordinary text joins what the first
 left apart.  After the stars' components are known, the pairs still needed are those of
 a bucket's other components with its largest one and among each other; they are pruned
@@ -20,7 +22,10 @@ copies costs about n pairs a band, and no link that changes a class is lost.
 36 bands of 6 rows find a pair of similarity 0.8 with probability 0.99998.
 
 Defined results: null text is empty; a text without words is alone in its class; 1 to 4
-words are one shingle; copies share a class; a null id is compared like any other but
+words are one shingle; copies share a class; different texts that share an id are texts
+of their own (so two classes may have the same class_id), and of a class's rows with the
+least id those of one shingle set are kept;
+a null id is compared like any other but
 only one null id is told apart from the rest; repeated rows appear each; an empty table
 gives no rows; other columns are ignored.
 """
@@ -31,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .common import blocks, byte_view, keep, mix64, shingles, to_signed, words
 from .components import components
@@ -38,6 +44,7 @@ from .components import components
 BANDS, ROWS = 36, 6
 SHINGLE, THRESHOLD = 5, 0.8
 U = np.uint64
+SAME = ["_w", "_f0", "_f1"]  # the fingerprint of a shingle set
 
 
 def elements(hashes: np.ndarray, doc: np.ndarray, weighting: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -98,6 +105,14 @@ def _throw(base, owner, w, low, width, reach, sig, k):
         base, owner, w, low, width, rank = base[on], owner[on], w[on], low[on], width[on], rank[on]
 
 
+def _fingerprint(el, doc, w, n):
+    """Weight and two sums of hashes that tell a text's weighted shingles from any other's."""
+    one, two = np.zeros(n, U), np.zeros(n, U)
+    np.add.at(one, doc, mix64(el + w.astype(U)))
+    np.add.at(two, doc, mix64((el + w.astype(U)) ^ U(0xA5A5A5A5A5A5A5A5)))
+    return np.bincount(doc, w, n).astype(float), one, two
+
+
 def _signatures(bands, rows, k_shingle, weighting):
     def run(batches):
         for batch in batches:
@@ -111,18 +126,15 @@ def _signatures(bands, rows, k_shingle, weighting):
                 band = np.repeat(np.arange(bands, dtype=U)[None, :], j - i, 0)
                 for r in range(rows):
                     band = mix64(band ^ sig[:, r::rows])
-                weights = np.bincount(doc, w, j - i).astype(float)
-                one, two = np.zeros(j - i, U), np.zeros(j - i, U)
-                np.add.at(one, doc, mix64(el + w.astype(U)))
-                np.add.at(two, doc, mix64((el + w.astype(U)) ^ U(0xA5A5A5A5A5A5A5A5)))
+                weights, one, two = _fingerprint(el, doc, w, j - i)
                 n_out.append(weights), f0.append(one), f1.append(two)
                 keys += [band[r] if weights[r] else band[r, :0] for r in range(j - i)]
             cat = lambda x, t: np.concatenate(x) if x else np.zeros(0, t)
             sizes = np.array([len(x) for x in keys], np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(to_signed(cat(keys, U))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(cat(n_out, float)), pa.array(to_signed(cat(f0, U))), pa.array(to_signed(cat(f1, U))), lists],
-                names=["_id", "_w", "_f0", "_f1", "_bands"])
+                [batch.column("_id"), batch.column("_h"), pa.array(cat(n_out, float)), pa.array(to_signed(cat(f0, U))), pa.array(to_signed(cat(f1, U))), lists],
+                names=["_id", "_h", *SAME, "_bands"])
 
     return run
 
@@ -156,7 +168,7 @@ def _elements(k_shingle, weighting):
         for batch in batches:
             rows = list(_weighed(batch.column("_text"), k_shingle, weighting))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array([to_signed(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([w for _, w in rows], pa.list_(pa.float64()))],
+                [batch.column("id"), pa.array([to_signed(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([w for _, w in rows], pa.list_(pa.float64()))],
                 names=["id", "e", "ew"])
 
     return run
@@ -172,32 +184,35 @@ def _verify(k_shingle, weighting):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighting: str = "set") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", fingerprint: bool = False) -> DataFrame:
     """id, class_id (least id of the class), class_size, n_links, kept of every row.
 
     ``weighting`` "set" weighs each distinct shingle 1 (plain Jaccard), "count" by its
     number of places.  ``n_links`` counts the verified links of the row's shingle set.
+    ``fingerprint`` adds the columns ``SAME``, which tell apart rows that share an id.
     """
-    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text"))
+    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).withColumn("_h", F.xxhash64("_text"))
     kind = dict(text.dtypes)["_id"]
-    sig = keep(text.mapInArrow(_signatures(bands, rows, shingle, weighting), f"_id {kind}, _w double, _f0 bigint, _f1 bigint, _bands array<bigint>"), "signatures")
-    same = ["_w", "_f0", "_f1"]
+    sig = keep(text.mapInArrow(_signatures(bands, rows, shingle, weighting), f"_id {kind}, _h bigint, _w double, _f0 bigint, _f1 bigint, _bands array<bigint>"), "signatures")
+    same = SAME
     worded = sig.where("_w > 0 AND _id IS NOT NULL")
-    reps = worded.groupBy(*same).agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_n"))
-    reps = keep(reps, "representatives")
-    chosen = worded.join(reps.select(*same, F.col("_rep").alias("_id")), [*same, "_id"], "left_semi").dropDuplicates(["_id"])
-    member = chosen.select(F.col("_id").alias("id"), F.col("_w").alias("w"), F.posexplode("_bands").alias("_b", "_k"))
+    reps = keep(worded.groupBy(*same).agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_n")), "shingle-sets")
+    # written once numbered: the numbers follow (least id, fingerprint), so a class's least number has its least id
+    reps = keep(reps.orderBy("_rep", *same).withColumn("id", F.monotonically_increasing_id()), "representatives")
+    kind = "bigint"
+    chosen = worded.join(reps.select(*same, F.col("_rep").alias("_id"), "id"), [*same, "_id"]).dropDuplicates([*same, "_id"])
+    member = chosen.select("id", F.col("_w").alias("w"), F.posexplode("_bands").alias("_b", "_k"))
     member = member.select("id", "w", F.xxhash64("_b", "_k").alias("key"))
     bucket = member.groupBy("key").agg(F.min("id").alias("c"), F.count(F.lit(1)).alias("_m")).where("_m > 1").drop("_m")
     meets = keep(_salt_join(member, bucket), "buckets")  # only buckets of two and more
 
-    ids = meets.select(F.col("id").alias("_id")).distinct()
+    ids = chosen.select("_id", "_h", "id").join(meets.select("id").distinct().hint("merge"), "id")
     # texts of bucket members, once for all checks below; both sides grow with the data, so no broadcast
-    texts = keep(text.join(ids.hint("merge"), "_id").dropDuplicates(["_id"]), "bucket-texts")
+    texts = keep(text.join(ids.hint("merge"), ["_id", "_h"]).dropDuplicates(["id"]).select("id", "_text"), "bucket-texts")
 
     star = meets.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b"), "w")
     star = star.groupBy("a", "b").agg(F.first("w").alias("w"))
-    width = reps.select(F.col("_rep").alias("a"), F.col("_w").alias("wa"))
+    width = reps.select(F.col("id").alias("a"), F.col("_w").alias("wa"))
     size_ok = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y) - 1e-9
     check = lambda pairs, name: keep(_with_texts(pairs, texts).mapInArrow(_verify(shingle, weighting), f"a {kind}, b {kind}, j double"), name)
     # every star pair is measured: its distance prunes the pairs below
@@ -212,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     major = per.groupBy("key").agg(F.max_by("root", "count").alias("major"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1").drop("_roots")
     state = keep(_salt_join(state, major).select("key", "id", "w", "root", "major", "d", "c"), "bucket-states")
     # weight that a text has in common with any other one here: no link can cover more of it
-    shown = texts.join(state.select(F.col("id").alias("_id")).distinct().hint("merge"), "_id")
+    shown = texts.join(state.select("id").distinct().hint("merge"), "id")
     shown = shown.mapInArrow(_elements(shingle, weighting), f"id {kind}, e array<bigint>, ew array<double>")
     each = shown.select("id", F.explode(F.arrays_zip("e", "ew")).alias("p")).select("id", "p.*")
     single = each.groupBy("e").agg(F.count(F.lit(1)).alias("_m"), F.min("id").alias("id"), F.sum("ew").alias("ew")).where("_m = 1")
@@ -241,17 +256,37 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = keep(links.distinct(), "links")
     classes = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("_links"))
-    of_rep = reps.select(*same, F.col("_rep").alias("id"), "_n").join(classes, "id", "left").join(degree, "id", "left")
-    of_rep = keep(of_rep.select(*same, F.coalesce("root", "id").alias("_class"), "_n", F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links")), "classes")
-    sizes = of_rep.groupBy("_class").agg(F.sum("_n").alias("_size"))
-    of_rep = of_rep.join(sizes, "_class").drop("_n")
-    out = _salt_join(sig.drop("_bands"), of_rep, same, "left", "_id")
-    alone = F.col("_class").isNull() | F.col("_id").isNull()
-    cls = F.when(alone, F.col("_id")).otherwise(F.col("_class"))
-    out = out.select(F.col("_id").alias(id_col), cls.alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("_size")).cast("bigint").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("_links")).cast("bigint").alias("n_links"), F.coalesce(F.col("_id") == cls, F.lit(True)).alias("kept"))
+    of_rep = reps.select(*same, "id", "_rep", "_n").join(classes, "id", "left").join(degree, "id", "left")
+    of_rep = of_rep.select(*same, "id", "_rep", F.coalesce("root", "id").alias("_class"), "_n", F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links"))
+    of_rep = keep(of_rep, "classes")
+    # a class is named by the least id of its first set
+    sizes = of_rep.groupBy("_class").agg(F.sum("_n").alias("_size"), F.min_by("_rep", "id").alias("_name"))
+    of_rep = of_rep.join(sizes, "_class").select(*same, "_name", "_size", "_links", (F.col("id") == F.col("_class")).alias("_first"))
+    out = _salt_join(sig.drop("_bands", "_h"), of_rep, same, "left", "_id")
+    alone = F.col("_first").isNull() | F.col("_id").isNull()
+    cls = F.when(alone, F.col("_id")).otherwise(F.col("_name"))
+    kept = alone | (F.col("_first") & F.col("_id").eqNullSafe(F.col("_name")))
+    out = out.select(F.col("_id").alias(id_col), cls.alias("class_id"), F.when(alone, F.lit(1)).otherwise(F.col("_size")).cast("bigint").alias("class_size"), F.when(alone, F.lit(0)).otherwise(F.col("_links")).cast("bigint").alias("n_links"), kept.alias("kept"), *(same if fingerprint else []))
     return out
 
 
+def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, weighting: str = "set") -> DataFrame:
+    """``docs`` with the columns ``SAME`` that ``near_duplicates`` finds for their texts."""
+
+    def run(batches):
+        for batch in batches:
+            data, offsets = byte_view(batch.column(text_col))
+            parts = [(np.zeros(0), np.zeros(0, U), np.zeros(0, U))]
+            for i, j in blocks(offsets, 2 << 20):
+                _, _, hashes, firsts = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                grams, n = shingles(hashes, firsts, shingle)
+                parts.append(_fingerprint(*elements(grams, np.repeat(np.arange(j - i), n), weighting), j - i))
+            w, one, two = (np.concatenate(x) for x in zip(*parts))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(w), pa.array(to_signed(one)), pa.array(to_signed(two))], names=[*batch.schema.names, *SAME])
+
+    return docs.mapInArrow(run, StructType([*docs.schema, *StructType.fromDDL("_w double, _f0 bigint, _f1 bigint")]))
+
+
 def _salt_join(big: DataFrame, small: DataFrame, keys=("key",), how: str = "inner", by: str = "id", salts: int = 8) -> DataFrame:
     """Join with a table of few rows per key, a hot key's rows spread over ``salts`` tasks."""
     small = small.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
@@ -260,6 +295,6 @@ def _salt_join(big: DataFrame, small: DataFrame, keys=("key",), how: str = "inne
 
 def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b, both texts)."""
-    left = texts.select(F.col("_id").alias("a"), F.col("_text").alias("_ta"))
-    right = texts.select(F.col("_id").alias("b"), F.col("_text").alias("_tb"))
+    left = texts.select(F.col("id").alias("a"), F.col("_text").alias("_ta"))
+    right = texts.select(F.col("id").alias("b"), F.col("_text").alias("_tb"))
     return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "_ta", "_tb")

@@ -79,6 +79,23 @@ def test_repeated_rows_null_id_empty_table(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def sentence(seed, n=40):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(4)) for _ in range(n))
+
+
+def test_different_texts_that_share_an_id(spark):
+    x, y = sentence(1), sentence(2)
+    ask = lambda rows: sorted((r.doc_id, r.class_id, r.class_size, r.kept) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    # 4 is near 3 with one of its texts only
+    assert ask([(3, x + " z"), (4, x), (4, y)]) == [(3, 3, 2, True), (4, 3, 2, False), (4, 4, 1, True)]
+    # both texts of 1 have a copy and a near copy under other ids
+    rows = [(1, x), (1, y), (2, x + " z"), (3, y + " z"), (4, x.upper()), (5, y.upper())]
+    assert ask(rows) == [(1, 1, 3, True)] * 2 + [(i, 1, 3, False) for i in (2, 3, 4, 5)]
+    # near copies under one id: one stays
+    assert ask([(7, x), (7, x + " z"), (8, x)]) == [(7, 7, 3, False), (7, 7, 3, True), (8, 7, 3, False)]
+
+
 @pytest.mark.parametrize("weights", ["ones", "counts", "reals"])
 def test_coordinates_agree_as_often_as_the_sets_are_alike(weights):
     rng = np.random.default_rng(5)

@@ -5,6 +5,7 @@ import public_tokenizers as P
 
 from .conftest import SF01
 from .test_minhash import brute as near_classes
+from .test_minhash import sentence
 from .test_suffix_dedup import brute as cut_of
 
 import corpus_pipeline as C
@@ -70,3 +71,15 @@ def test_odd_rows_pass_through(spark):
     for _, stage in C.STAGES:
         out = C.keep(stage(spark, out, SF01), "empty")
     assert out.count() == 0
+
+
+def test_near_stage_tells_rows_of_one_id_apart(spark):
+    x, y, z = sentence(1), sentence(2), sentence(3)
+    rows = [(3, x + " z"), (4, x), (4, y), (5, z), (5, z.upper()), (5, z + " z"), (6, z + " y"), (7, ""), (7, "!"), (8, y + " z"), (None, "d e f")]
+    docs = spark.createDataFrame([(i, t, "x", None, len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    out = C.near(spark, docs, SF01)
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert out.columns == docs.columns
+    fives = [t for i, t in got if i == 5]
+    assert len(fives) == 1 and fives[0] in (z.upper(), z + " z")
+    assert sorted((i or -1, t) for i, t in got if i != 5) == [(-1, "d e f"), (3, x + " z"), (4, y), (7, ""), (7, "!")]
