@@ -34,8 +34,8 @@ from .common import keep
 BLOCK = 4096
 QUERIES = 512
 LEVELS = 32
-RESCORE = 128  # vectors left undecided that are always rescored
-POSTING = 16  # visiting a posting costs about as much as this many components of an exact score
+RESCORE = 128  # vectors left undecided that are rescored
+TURNS = 8  # bounds are taken after every such part of the postings
 K = 10
 
 
@@ -73,9 +73,9 @@ class ImpactIndex:
         size = np.cumsum((self.end - self.begin)[turn])
         acc = np.zeros(n)
         unseen = np.ones((n, dims))
-        done, theta, share = 0, -np.inf, 8
+        done, theta, part = 0, -np.inf, 1
         while True:
-            upto = len(turn) if share <= 1 or not len(turn) else max(done, int(np.searchsorted(size, size[-1] / share)) + 1)
+            upto = len(turn) if part >= TURNS or not len(turn) else max(done, int(np.searchsorted(size, size[-1] * part / TURNS)) + 1)
             upto = min(upto, len(turn))
             now = turn[done:upto]
             if len(now):
@@ -98,13 +98,10 @@ class ImpactIndex:
             if len(exact) >= k:
                 theta = max(theta, float(exact[k - 1]))
             members = np.flatnonzero((bound >= theta) & ~barred)
-            # stop when scoring the possible members costs less than the next postings
-            ahead = POSTING * size[-1] / share if done < len(turn) else 0
-            if len(members) <= RESCORE or done >= len(turn) or len(members) * dims <= ahead:
-                rows = self.exact if 2 * len(members) > n else self.exact[members]
-                score = rows @ q.astype(np.float64)  # exact below 2**53
-                return members, (score[members] if 2 * len(members) > n else score).astype(np.int64)
-            share /= 2
+            if len(members) <= RESCORE or done >= len(turn):
+                self.visited = float(size[done - 1] / size[-1]) if done else 0.0  # share of the postings
+                return members, (self.exact[members] @ q.astype(np.float64)).astype(np.int64)  # exact below 2**53
+            part += 1
 
 
 def _pack(name):

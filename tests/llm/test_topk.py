@@ -58,3 +58,22 @@ def test_search_stops_early_and_stays_exact(kind):
         truth = np.sort(np.delete(x @ x[i], i))[::-1][:10]
         assert np.sort(score)[::-1][:10].tolist() == truth.tolist()
         assert len(rows) < 4000
+
+
+@pytest.mark.parametrize("kind", ["clustered", "heavy", "dense"])
+def test_bounds_leave_few_vectors_to_rescore(kind):
+    rng = np.random.default_rng(3)
+    if kind == "clustered":
+        x = (rng.normal(size=(40, 32))[rng.integers(40, size=4000)] * 300 + rng.normal(size=(4000, 32)) * 20).astype(np.int64)
+    elif kind == "heavy":
+        x = (rng.standard_t(2, size=(4000, 32)) * 100).astype(np.int64)
+    else:
+        x = (rng.normal(size=(4000, 64)) * 128).astype(np.int64)
+    index = ImpactIndex(x)
+    left, visited = [], []
+    for i in range(20):
+        rows, score = index.search(x[i], 10, np.arange(4000) == i)
+        assert np.sort(score)[::-1][:10].tolist() == np.sort(np.delete(x @ x[i], i))[::-1][:10].tolist()
+        left.append(len(rows)), visited.append(index.visited)
+    assert max(left) <= 128  # of 4000
+    assert np.mean(visited) < {"clustered": 0.4, "heavy": 0.6, "dense": 0.95}[kind]  # of the postings, when proof ended the search
