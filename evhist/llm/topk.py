@@ -13,8 +13,8 @@ Blocks hold about ``BLOCK`` vectors by hash of vector and id, query blocks ``QUE
 every block meets every query block (a stated query set against all rows), keyed by
 block, so no key is hot.  Each block gives k rows a query, ranked at the end.
 
-Defined results: vectors that are null, hold a null or non-finite component, or one
-whose integer does not fit a long, and rows with a null id take no part; scores must fit
+Defined results: vectors that are null or hold a null or non-finite component, and rows
+with a null id take no part; a finite component of 2**52 or more is an error; scores must fit
 a long; missing trailing components count as 0; rows alike in id and vector count once;
 rows that share an id with other vectors are rows of their own, but none is a candidate
 of a query with its id; other columns are ignored; an empty table gives no rows.
@@ -165,7 +165,9 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vec_c
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("e")).where("id IS NOT NULL AND e IS NOT NULL")
     scaled = F.transform("e", lambda x: F.floor(x * 1024.0))
-    fits = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 2.0**52))
+    finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    large = F.exists("e", lambda x: F.abs(x) >= 2.0**52)
+    fits = F.when(finite & large, F.raise_error(F.lit("top_k: a component of 2**52 or more does not fit")).cast("boolean")).otherwise(finite)
     rows = keep(rows.where(F.coalesce(fits, F.lit(False))).select("id", scaled.alias("v")).distinct(), "vectors")
     asked = rows.where(queries)
     blocks = max(1, -(-rows.count() // BLOCK))

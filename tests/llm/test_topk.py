@@ -77,3 +77,9 @@ def test_bounds_leave_few_vectors_to_rescore(kind):
         left.append(len(rows)), visited.append(index.visited)
     assert max(left) <= 128  # of 4000
     assert np.mean(visited) < {"clustered": 0.4, "heavy": 0.6, "dense": 0.95}[kind]  # of the postings, when proof ended the search
+
+
+def test_component_that_does_not_fit_is_an_error(spark):
+    df = spark.createDataFrame([(0, [1.0], 1, "z"), (1, [2.0**52], 1, "z")], SCHEMA)
+    with pytest.raises(Exception, match="does not fit"):
+        got(df)
