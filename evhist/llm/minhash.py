@@ -188,7 +188,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, class_id (least id of the class), class_size, n_links, kept of every row.
 
     ``weighting`` "set" weighs each distinct shingle 1 (plain Jaccard), "count" by its
-    number of places.  ``n_links`` counts the verified links of the row's shingle set.
+    number of places.  ``n_links`` counts the links of the row's shingle set that were verified to find its
+    class: pairs inside a component already found are not looked at, so it is no count
+    of all partners at ``threshold``.
     ``fingerprint`` adds the columns ``SAME``, which tell apart rows that share an id.
     """
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).withColumn("_h", F.xxhash64("_text"))
