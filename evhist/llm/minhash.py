@@ -25,8 +25,7 @@ Defined results: null text is empty; a text without words is alone in its class;
 words are one shingle; copies share a class; different texts that share an id are texts
 of their own (so two classes may have the same class_id), and of a class's rows with the
 least id those of one shingle set are kept;
-a null id is compared like any other but
-only one null id is told apart from the rest; repeated rows appear each; an empty table
+rows with a null id take no part: each is alone in its class and kept; repeated rows appear each; an empty table
 gives no rows; other columns are ignored.
 """
 
