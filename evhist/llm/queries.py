@@ -13,6 +13,7 @@ from .minhash import near_duplicates
 from .packing import pack
 from .pieces import encode_documents
 from .quality import classify
+from .sharding import shard_documents
 from .suffix_dedup import repeated_bytes
 from .token_counts import build, masks, update
 from .topk import top_k
@@ -75,6 +76,11 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and place of every document, and its shard when there is one more."""
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -86,6 +92,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_topk": op10_exact_topk,
+    "op12_sharding": op12_sharding,
 }
 
 SQL = {
