@@ -11,6 +11,7 @@ from .lang_id import identify
 from .license_scan import scan_licenses
 from .minhash import near_duplicates
 from .packing import pack
+from .periodic import run_report
 from .pieces import encode_documents
 from .quality import classify
 from .sharding import shard_documents
@@ -81,6 +82,11 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every document, with repeats planted in every tenth."""
+    return run_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -93,6 +99,7 @@ QUERIES = {
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_topk": op10_exact_topk,
     "op12_sharding": op12_sharding,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL = {
