@@ -65,6 +65,36 @@ def blocks(offsets: np.ndarray, target: int = 1 << 20):
         i = min(j, n)
 
 
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first of each text and their number) of the stretches of marked bytes.
+
+    ``offsets`` cuts the bytes into texts; a stretch ends where its text ends.
+    """
+    first, last = inside.copy(), inside.copy()
+    if len(inside):
+        first[1:] &= ~inside[:-1]
+        last[:-1] &= ~inside[1:]
+    cuts = offsets[1:-1]
+    at = cuts[cuts < len(inside)]
+    first[at] = inside[at]
+    at = cuts[cuts > 0] - 1
+    last[at] = inside[at]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.searchsorted(starts, offsets)
+
+
+def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of neighbouring stretches as an Arrow array."""
+    n = len(starts)
+    if not n:
+        return pa.array([], pa.large_binary())
+    # stretches and what lies between them alternate; every second value is a stretch
+    edges = np.empty(2 * n, np.int64)
+    edges[0::2], edges[1::2] = starts, ends
+    both = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
+    return both.take(pa.array(np.arange(0, 2 * n - 1, 2)))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser: equal in, equal out, all bits stirred."""
     x = x.astype(U64, copy=True)

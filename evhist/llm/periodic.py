@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, byte_view
+from .common import blocks, byte_view, spans, spelled
 
 LEAST = 12
 BLOCK = 1 << 20
@@ -47,33 +47,14 @@ _SPACE[0x09:0x0E] = _SPACE[0x20] = True
 SEPARATORS = r"[\x20\x09-\x0D]+"
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first word of each text and their number) of the words in ``data``."""
-    inside = ~_SPACE[data]
-    first, last = inside.copy(), inside.copy()
-    if len(data):
-        first[1:] &= ~inside[:-1]
-        last[:-1] &= ~inside[1:]
-    cuts = offsets[1:-1]
-    at = cuts[cuts < len(data)]
-    first[at] = inside[at]
-    at = cuts[cuts > 0] - 1
-    last[at] = inside[at]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    return starts, ends, np.searchsorted(starts, offsets)
-
-
-def word_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Equal numbers for equal words, by Arrow's dictionary (no hash decides)."""
-    n = len(starts)
-    if not n:
-        return np.zeros(0, np.int64)
-    # words and what lies between them alternate; every second value is a word
-    edges = np.empty(2 * n, np.int64)
-    edges[0::2], edges[1::2] = starts, ends
-    both = pa.LargeBinaryArray.from_buffers(pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))])
-    words = both.take(pa.array(np.arange(0, 2 * n - 1, 2)))
-    return pc.dictionary_encode(words).indices.to_numpy().astype(np.int64)
+def split_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first word of each text and their number, codes) of the words in ``data``.
+
+    Equal words have equal codes, by Arrow's dictionary; no hash decides.
+    """
+    starts, ends, firsts = spans(~_SPACE[data], offsets)
+    codes = pc.dictionary_encode(spelled(data, starts, ends)).indices.to_numpy()
+    return starts, ends, firsts, codes.astype(np.int64)
 
 
 class Ranks:
@@ -256,8 +237,8 @@ def _scanner(least: int, block: int):
             for i, j in blocks(offsets, block):
                 a = int(offsets[i])
                 part, cuts = data[a : int(offsets[j])], offsets[i : j + 1] - a
-                starts, ends, firsts = split_words(part, cuts)
-                s, e, p = find_runs(word_codes(part, starts, ends), firsts, least)
+                starts, ends, firsts, codes = split_words(part, cuts)
+                s, e, p = find_runs(codes, firsts, least)
                 edges = np.zeros(len(starts) + 1, np.int64)  # dropped: all of a run but its first period
                 np.add.at(edges, s + p, 1)
                 np.add.at(edges, e, -1)

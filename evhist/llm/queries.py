@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prepare
+from .divergence import audit
 from .exact_dedup import exact_dedup
 from .lang_id import identify
 from .license_scan import scan_licenses
@@ -77,6 +78,11 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms it uses most above it."""
+    return audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and place of every document, and its shard when there is one more."""
     return shard_documents(_table(spark, sf_dir, "documents"))
@@ -98,6 +104,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_topk": op10_exact_topk,
+    "op11_source_divergence": op11_source_divergence,
     "op12_sharding": op12_sharding,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -117,6 +124,37 @@ WITH v AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op11_source_divergence": r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+), g AS (SELECT DISTINCT lang, source FROM d), w AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), v AS (
+    SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), l AS (SELECT lang, count(*) AS v, sum(lang_n) AS total FROM v GROUP BY lang), c AS (
+    SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN v USING (lang, term) GROUP BY ALL
+), p AS (
+    SELECT g.lang, g.source, v.term, v.lang_n, coalesce(c.n, 0) AS n, l.v, l.total,
+           sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS own
+    FROM g JOIN v USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term
+), s AS (
+    SELECT *, 1 + (1000000000::HUGEINT * (n + 1)) // (own + v) AS p, 1 + (1000000000::HUGEINT * (lang_n + 1)) // (total + v) AS q FROM p
+), f AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+    FROM s a JOIN s b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pair AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+), term AS (
+    SELECT lang, source, 'term' AS part, term AS item, CAST(((p - q) * (p - q)) // q AS BIGINT) AS value FROM s WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+    FROM (SELECT * FROM pair UNION ALL SELECT * FROM term)
+)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200""",
     "op8_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
