@@ -19,6 +19,13 @@ For in-order batches the result equals a full rebuild with the same
 ``as_of``: an unobserved key keeps its latest attributes, and a dimension
 version opened at a new run only ever applies to fact versions starting at
 or after that run, which belong to keys observed in it.
+
+On stored tables (``State``, ``advance``) the cost follows the batch.  Two
+append-only logs are kept beside the fact and the dimensions: every key's parsed
+observations, by key, and a reverse index from each artist and venue to the keys
+that ever named it, by id.  A late row opens its ids' buckets of the index, the
+linked keys' buckets of the observations, and the buckets of the tables that
+change; all tables change in one logged swap.
 """
 
 from __future__ import annotations
@@ -31,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..constants import HIGH_WATER_MARK_DEFAULT
 from ..functions.paths import flatten
-from ..sources.tables import BUCKETS, BucketTable
+from ..sources.tables import BUCKETS, BucketLog, BucketTable, Swap, path_exists
 
 KEYS = ["event_id", "fetched_city"]
 
@@ -65,7 +72,8 @@ def merge_upsert(table: BucketTable, source: DataFrame, check_unique: bool = Tru
         assert_unique(source, table.keys)
     if not table.exists():
         return table.replace_all(source)
-    return table.replace(merge_frames(table.read(table.touched(source)), source, table.keys))
+    buckets = table.touched(source)
+    return table.replace(merge_frames(table.read(buckets), source, table.keys), buckets)
 
 
 def high_water_mark(fct: DataFrame) -> DataFrame:
@@ -173,21 +181,37 @@ def extend_frames(fct: DataFrame, artists: DataFrame, venues: DataFrame, batch:
     return extend_fact(fct, artists, venues, typed, as_of), artists, venues
 
 
+LINK_SCHEMA = "kind string, id string, event_id string, fetched_city string"
+LINKED_IDS = {"artist": "artist_id", "venue": "venue_id"}
+
+
+def link_rows(typed: DataFrame) -> DataFrame:
+    """(kind, id, key) of every artist and venue that the observations name."""
+    pairs = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(c).alias("id")) for kind, c in LINKED_IDS.items()))
+    return typed.select(*KEYS, F.inline(pairs)).where(F.col("id").isNotNull()).select("kind", "id", *KEYS).distinct()
+
+
 class State:
-    """The stored fact, both dimensions and the watermark below one folder."""
+    """The stored fact, both dimensions, the logs that keep them up and the watermark, below one folder.
+
+    One driver works on a folder at a time.
+    """
 
     def __init__(self, spark, root: str, buckets: int = BUCKETS):
+        from ..functions.paths import ALL_FIELDS, PAYLOAD_PATHS
         from ..plans.models import ARTIST_SCHEMA, FCT_SCHEMA, VENUE_SCHEMA
 
         self.spark, self.root = spark, root.rstrip("/")
-        self.fct_events = BucketTable(spark, f"{self.root}/fct_events", FCT_SCHEMA, KEYS, buckets)
-        self.dim_artists = BucketTable(spark, f"{self.root}/dim_artists", ARTIST_SCHEMA, ["artist_id"], buckets)
-        self.dim_venues = BucketTable(spark, f"{self.root}/dim_venues", VENUE_SCHEMA, ["venue_id"], buckets)
+        table = lambda name, schema, keys: BucketTable(spark, f"{self.root}/{name}", schema, keys, buckets, home=self.root)
+        self.fct_events = table("fct_events", FCT_SCHEMA, KEYS)
+        self.dim_artists = table("dim_artists", ARTIST_SCHEMA, ["artist_id"])
+        self.dim_venues = table("dim_venues", VENUE_SCHEMA, ["venue_id"])
+        fields = ", ".join(f"{f} {PAYLOAD_PATHS[f][1]}" for f in ALL_FIELDS)
+        self.observed = BucketLog(spark, f"{self.root}/observed", f"event_id string, fetched_city string, ingested_at timestamp_ntz, {fields}", KEYS, buckets)
+        self.links = BucketLog(spark, f"{self.root}/links", LINK_SCHEMA, ["kind", "id"], buckets)
 
     def watermark(self):
         """The newest run that is in the tables; None before the first one."""
-        from ..sources.tables import path_exists
-
         path = f"{self.root}/watermark"
         if not path_exists(self.spark, f"{path}/_SUCCESS"):
             return None
@@ -198,65 +222,116 @@ class State:
         frame = self.spark.range(1).select(F.lit(when).cast("timestamp_ntz").alias("watermark"))
         frame.write.mode("append").parquet(f"{self.root}/watermark")
 
+    def remember(self, typed: DataFrame) -> None:
+        """Add parsed observations, and the pairs of id and key that are new, to the logs."""
+        from ..functions.paths import ALL_FIELDS
+
+        self.observed.append(typed.select(*KEYS, "ingested_at", *ALL_FIELDS))
+        pairs = link_rows(typed)
+        if self.links.exists():
+            pairs = pairs.join(self.links.read(self.links.touched(pairs)), ["kind", "id", *KEYS], "left_anti")
+        self.links.append(pairs)
+
+    def linked(self, ids: DataFrame) -> DataFrame:
+        """Keys that ever named one of ``ids`` (kind, id)."""
+        return self.links.read(self.links.touched(ids)).join(ids, ["kind", "id"], "left_semi").select(*KEYS).distinct()
+
+    def history(self, keys: DataFrame, until) -> DataFrame:
+        """All observations of ``keys`` up to a run."""
+        rows = self.observed.read(self.observed.touched(keys)).where(F.col("ingested_at") <= F.lit(until).cast("timestamp_ntz"))
+        return rows.join(keys, KEYS, "left_semi")
+
 
 def _touched_ids(typed: DataFrame, key: str) -> DataFrame:
     return typed.select(key).where(F.col(key).isNotNull()).distinct()
 
 
+def _with_staged(table: BucketTable, staged: DataFrame, buckets: list[int], wanted: DataFrame) -> DataFrame:
+    """The buckets that ``wanted`` needs: staged ones where they change, else stored ones."""
+    rest = set(table.touched(wanted)) - set(buckets)
+    return staged.unionByName(table.read(rest)) if rest else staged
+
+
 def advance(state: State, raw: DataFrame, batch: DataFrame, as_of: str | dt.date | None = None) -> str:
     """Bring the fact and both dimensions up to date after ``batch`` landed in ``raw``.
 
     ``raw`` and ``batch`` are observations, parsed or not; parsed ones
-    (``pipeline.typed_events``) are not parsed again.  Returns the mode used:
-    ``full`` (first run), ``extend`` (every batch row is newer than everything
-    processed), ``replay`` (late rows: changed keys recomputed from raw), or
-    ``empty``.  Only the buckets that the batch's keys and ids touch are
-    rewritten.  Every step gives the same tables when it is repeated, and the
-    watermark moves last, so a run that died may simply be started again.
+    (``pipeline.typed_events``) are not parsed again.  ``raw`` is read in the first
+    run only.  Returns the mode used: ``full`` (first run), ``extend`` (every batch
+    row is newer than everything processed), ``replay`` (late rows: the keys they
+    concern are recomputed from their observations; newer rows of the batch then
+    extend), or ``empty``.  Only the buckets that the batch's keys and ids touch are
+    read and rewritten.  The tables of a step change together, every step gives the
+    same tables when it is repeated, and the watermark moves last: a run that died
+    anywhere is simply started again.
     """
     from ..functions.paths import ALL_FIELDS
-    from ..plans.models import Models, dim_artists, dim_venues
 
     lo, hi = batch.agg(F.min("ingested_at"), F.max("ingested_at")).first()
     if lo is None:
         return "empty"
     done = state.watermark()
     if done is None:
-        m = Models(raw, as_of)
-        state.dim_artists.replace_all(m.dim_artists)
-        state.dim_venues.replace_all(m.dim_venues)
-        state.fct_events.replace_all(fct_rows(m, state))
+        _build(state, raw, as_of)
+        state.remember(flatten(raw, ALL_FIELDS))
         state.advance_to(hi)
         return "full"
     typed = flatten(batch, ALL_FIELDS)
-    ids = {"artist_id": _touched_ids(typed, "artist_id"), "venue_id": _touched_ids(typed, "venue_id")}
-    parts = {"artist_id": state.dim_artists.touched(ids["artist_id"]), "venue_id": state.dim_venues.touched(ids["venue_id"])}
-    stored = (state.dim_artists.read(parts["artist_id"]), state.dim_venues.read(parts["venue_id"]))
-    if lo > done:
-        for table, frame in zip((state.dim_artists, state.dim_venues), extend_dims(*stored, typed)):
-            table.replace(frame)
-        dims = (state.dim_artists.read(parts["artist_id"]), state.dim_venues.read(parts["venue_id"]))
-        buckets = state.fct_events.touched(typed.select(*KEYS))
-        state.fct_events.replace(extend_fact(state.fct_events.read(buckets), *dims, typed, as_of))
-        state.advance_to(hi)
-        return "extend"
-    # late rows: the dimension rows of the ids seen, then the keys that are or were linked to them
-    for table, old, key, build in ((state.dim_artists, stored[0], "artist_id", dim_artists),
-                                   (state.dim_venues, stored[1], "venue_id", dim_venues)):
-        fresh = build(raw.join(ids[key], key, "left_semi") if key in raw.columns
-                      else flatten(raw, ALL_FIELDS).join(ids[key], key, "left_semi"))
-        table.replace(old.join(ids[key], key, "left_anti").unionByName(fresh.select(*old.columns)))
-    keys = typed.select(*KEYS).unionByName(linked_keys(raw, typed, as_of)).distinct()
+    state.remember(typed if state.observed.exists() else flatten(raw, ALL_FIELDS))
+    mark = F.lit(done).cast("timestamp_ntz")
+    if lo <= done:
+        _replay(state, typed.where(F.col("ingested_at") <= mark), done, as_of)
+    if hi > done:
+        _extend(state, typed.where(F.col("ingested_at") > mark), as_of)
+    state.advance_to(max(hi, done))
+    return "extend" if lo > done else "replay"
+
+
+def _build(state: State, raw: DataFrame, as_of) -> None:
+    from ..plans.models import Models, fct_events_fused
+
+    m = Models(raw, as_of)
+    swap = Swap(state.spark, state.root)
+    dims = [swap.stage(table, frame, range(table.buckets))
+            for table, frame in ((state.dim_artists, m.dim_artists), (state.dim_venues, m.dim_venues))]
+    swap.stage(state.fct_events, fct_events_fused(m.raw, *dims, m.as_of), range(state.fct_events.buckets))
+    swap.commit()
+
+
+def _extend(state: State, typed: DataFrame, as_of) -> None:
+    """In-order rows: the touched buckets only, the history is not read."""
+    tables = {"artist_id": state.dim_artists, "venue_id": state.dim_venues}
+    swap = Swap(state.spark, state.root)
+    parts = {key: table.touched(_touched_ids(typed, key)) for key, table in tables.items()}
+    frames = extend_dims(*(table.read(parts[key]) for key, table in tables.items()), typed)
+    dims = [swap.stage(table, frame, parts[key]) for (key, table), frame in zip(tables.items(), frames)]
+    buckets = state.fct_events.touched(typed.select(*KEYS))
+    stored = state.fct_events.read(buckets)
+    # stored versions of a touched key may name artists and venues that the batch does not
+    held = stored.join(typed.select(*KEYS).distinct(), KEYS, "left_semi")
+    dims = [_with_staged(table, dim, parts[key], _touched_ids(held, key)) for (key, table), dim in zip(tables.items(), dims)]
+    swap.stage(state.fct_events, extend_fact(stored, *dims, typed, as_of), buckets)
+    swap.commit()
+
+
+def _replay(state: State, late: DataFrame, done, as_of) -> None:
+    """Late rows: the versions of their ids, then all versions of their keys and of those linked to the ids."""
+    from ..plans.models import dim_artists, dim_venues, fct_events_fused
+
+    swap = Swap(state.spark, state.root)
+    keys = state.linked(link_rows(late).select("kind", "id").distinct()).unionByName(late.select(*KEYS)).distinct()
+    keys = swap.keep(keys, "keys")
+    rows = swap.keep(state.history(keys, done), "rows")
+    dims = []
+    for table, key, build in ((state.dim_artists, "artist_id", dim_artists), (state.dim_venues, "venue_id", dim_venues)):
+        ids = _touched_ids(late, key)
+        buckets = table.touched(ids)
+        old = table.read(buckets)
+        fresh = build(rows.join(ids, key, "left_semi"))  # whoever names the id is linked to it
+        staged = swap.stage(table, old.join(ids, key, "left_anti").unionByName(fresh.select(*old.columns)), buckets)
+        dims.append(_with_staged(table, staged, buckets, _touched_ids(rows, key)))
     buckets = state.fct_events.touched(keys)
     held = state.fct_events.read(buckets)
-    fresh = fct_rows_for_keys(raw, keys, as_of, dims=(state.dim_artists.read(), state.dim_venues.read()))
-    state.fct_events.replace(held.join(keys, KEYS, "left_anti").unionByName(fresh.select(*held.columns)))
-    state.advance_to(max(hi, done))
-    return "replay"
-
-
-def fct_rows(m, state: State) -> DataFrame:
-    """The full fact of ``m``, with the dimensions read back from ``state``."""
-    from ..plans.models import fct_events_fused
-
-    return fct_events_fused(m.raw, state.dim_artists.read(), state.dim_venues.read(), m.as_of)
+    fresh = fct_events_fused(rows, *dims, as_of)
+    swap.stage(state.fct_events, held.join(keys, KEYS, "left_anti").unionByName(fresh.select(*held.columns)), buckets)
+    swap.commit()

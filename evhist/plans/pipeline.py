@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import ALL_FIELDS, PAYLOAD_PATHS, flatten
-from ..sources.landing import RAW_FILE_SCHEMA, RAW_PARTITIONS, RUN_KEYS, dedup_run, raw_layout
+from ..sources.landing import RAW_FILE_SCHEMA, RAW_PARTITIONS, RUN_KEYS, dedup_run, of_days, raw_layout
 from ..sources.tables import path_exists
 from .models import (EVENT_ATTRS, FCT_PARTITIONS, dim_artists, dim_venues, fct_events,
                      fct_events_by_city, fct_from_files, fct_layout, stg_event_snapshots, stg_events)
@@ -90,10 +90,15 @@ def write_observations(rows: DataFrame, path: str, mode: str) -> None:
      .partitionBy("ingest_date", "fetched_city").parquet(path))
 
 
-def read_observations(spark: SparkSession, path: str, batches: bool = False) -> DataFrame:
-    """Observations with a given schema: labels stay text, no rows is an empty frame."""
+def read_observations(spark: SparkSession, path: str, batches: bool = False, days_of: DataFrame | None = None) -> DataFrame:
+    """Observations with a given schema: labels stay text, no rows is an empty frame.
+
+    ``days_of``: only those of the days that this frame's rows have (other folders stay closed).
+    """
     parts = ("batch_id bigint, " if batches else "") + RAW_PARTITIONS
     df = spark.read.schema(f"{OBSERVATION_SCHEMA}, {parts}").parquet(path)
+    if days_of is not None:
+        df = of_days(df, days_of)
     return df.select("event_id", "fetched_city", "ingested_at", *ALL_FIELDS, "payload",
                      *(["batch_id"] if batches else []))
 
@@ -105,11 +110,12 @@ def daily_paths(warehouse: str) -> dict[str, str]:
 
 def run_daily(spark: SparkSession, batch: DataFrame, warehouse: str,
               as_of: str | dt.date | None = None) -> str:
-    """The daily incremental run: parses and writes in proportion to the new rows.
+    """The daily incremental run: reads, parses and writes in proportion to the new rows.
 
     1. parse the batch once, one row per (event, city, run), to ``incoming``;
-    2. append those whose run is not stored yet to ``observations``;
-    3. ``advance`` the fact, both dimensions and the watermark.
+    2. append those not stored yet to ``observations``, of which only the batch's days
+       are opened;
+    3. ``advance`` the fact, both dimensions and the watermark, by the batch's buckets.
     A run that is repeated, or was cut off anywhere, gives the same tables.
     Returns the mode ``advance`` used; an empty batch changes nothing.
     """
@@ -122,8 +128,8 @@ def run_daily(spark: SparkSession, batch: DataFrame, warehouse: str,
         return "empty"
     new = incoming
     if path_exists(spark, at["observations"]):
-        new = incoming.join(read_observations(spark, at["observations"]).select(*RUN_KEYS), RUN_KEYS, "left_anti")
+        held = read_observations(spark, at["observations"], days_of=incoming)
+        new = incoming.join(held.select(*RUN_KEYS), RUN_KEYS, "left_anti")
     write_observations(new, at["observations"], "append")
-    stored = read_observations(spark, at["observations"])
-    landed = stored.join(incoming.select(*RUN_KEYS), RUN_KEYS, "left_semi")
-    return advance(State(spark, at["state"]), stored, landed, as_of)
+    landed = read_observations(spark, at["observations"], days_of=incoming).join(incoming.select(*RUN_KEYS), RUN_KEYS, "left_semi")
+    return advance(State(spark, at["state"]), read_observations(spark, at["observations"]), landed, as_of)

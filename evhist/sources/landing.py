@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import MAX_PAGES_PER_CITY
+from .tables import path_exists
 
 PAGE_SCHEMA = "struct<_embedded: struct<events: array<string>>, _bad: string>"
 PAGE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
@@ -125,6 +126,17 @@ def land_pages(pages: DataFrame, on_bad: str = "fail") -> DataFrame:
                            "payload")
 
 
+def land_or_reject(pages: DataFrame) -> DataFrame:
+    """``land_pages`` and ``bad_pages`` in one pass, for streams: a page that does not
+    parse gives one row with ``is_bad``, its text as the payload and no event id."""
+    text = F.coalesce("page_text", F.lit(""))
+    events = F.when(_is_bad(), F.array(text)).otherwise(F.col("_p._embedded.events"))
+    rows = _parsed(pages).select("fetched_city", "ingested_at", "page_no", _is_bad().alias("is_bad"),
+                                 F.posexplode(events).alias("pos", "payload"))
+    event_id = F.when(~F.col("is_bad"), F.from_json("payload", ID_SCHEMA)["id"])
+    return rows.select("fetched_city", "ingested_at", "page_no", "pos", event_id.alias("event_id"), "payload", "is_bad")
+
+
 def cap_per_city(landed: DataFrame, max_pages: int = MAX_PAGES_PER_CITY) -> DataFrame:
     """Keep the first ``max_pages`` pages of every (city, run), by page number from 0."""
     return landed.where(F.col("page_no") < max_pages)
@@ -155,6 +167,32 @@ def append_raw(df: DataFrame, path: str) -> None:
     raw_layout(df).write.mode("append").partitionBy("ingest_date", "fetched_city").parquet(path)
 
 
+def of_days(stored: DataFrame, batch: DataFrame) -> DataFrame:
+    """The rows of ``stored``, a table in ``ingest_date`` folders, from the days that ``batch`` holds.
+
+    The batch's days (one short row per calendar day, so broadcast) reach the scan as a
+    dynamic partition filter: folders of other days are not opened.
+    """
+    days = batch.where(F.col("event_id") != "").select(F.to_date("ingested_at").alias("ingest_date")).distinct()
+    return stored.join(F.broadcast(days), "ingest_date", "left_semi")
+
+
+def not_stored(df: DataFrame, stored: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose (event, city, run) ``stored`` does not hold; null-safe, opens the days of ``df`` only."""
+    held = of_days(stored, df).select(*[F.col(k).alias(f"_{k}") for k in RUN_KEYS])
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in RUN_KEYS]
+    return df.join(held, same, "left_anti")
+
+
+def append_new(df: DataFrame, path: str) -> None:
+    """Append the observations that are not stored yet; repeated, or after a death
+    in the middle of an append, it adds what is missing and nothing twice."""
+    spark = df.sparkSession
+    if path_exists(spark, path):
+        df = not_stored(df, spark.read.schema(f"{RAW_FILE_SCHEMA}, {RAW_PARTITIONS}").parquet(path))
+    append_raw(df, path)
+
+
 RAW_FILE_SCHEMA = "event_id string, ingested_at timestamp_ntz, payload string"
 RAW_PARTITIONS = "ingest_date date, fetched_city string"
 

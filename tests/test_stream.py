@@ -67,3 +67,33 @@ def test_odd_pages_and_a_run_over_two_batches(spark, scratch):
     assert all(r.valid_to is None and r.valid_from.microsecond == 123456 for r in fct)
     bad = spark.read.parquet(f"{root_of(wh)}/rejected_pages").collect()
     assert [(r.page_no, r.fetched_city) for r in bad] == [(2, "0412")]
+
+
+def test_a_batch_opens_no_earlier_batch(spark, scratch):
+    """Six batches, each after the files of all earlier observations were spoiled; input stays flat."""
+    in_dir, wh, ck = f"{scratch}/in", f"{scratch}/wh", f"{scratch}/ck"
+    docs, inputs, states = [], [], []
+    for day in range(1, 7):
+        run = f"2024010{day}T060000"
+        for page in range(2):  # E1 is on all pages of a run; page 1 of the run before comes late
+            text = _doc_page(doc("E1", pmin=10 * day + page), doc(f"E{day}{page}", artist=("A1", f"Name {day // 3}")))
+            late = page == 1 and day > 1
+            _page(in_dir, f"2024010{day - 1}T060000" if late else run, "X", 9 if page and day == 1 else page, text)
+        query = run_stream(spark, in_dir, wh, ck, as_of="2024-01-30")
+        query.awaitTermination()
+        ran = [p for p in query.recentProgress if p.numInputRows]
+        inputs += [p.numInputRows for p in ran]
+        states.append(ran[-1].stateOperators[0].numRowsUpdated)
+        docs += spark.read.parquet(f"{root_of(wh)}/observations/batch_id={day - 1}").select(
+            "event_id", F.lit("X").alias("fetched_city"), "ingested_at", "payload").collect()
+        for folder, _, names in os.walk(f"{root_of(wh)}/observations"):
+            for name in names:
+                if name.endswith(".parquet"):
+                    with open(f"{folder}/{name}", "wb") as f:
+                        f.write(b"spoiled")
+                    if os.path.exists(f"{folder}/.{name}.crc"):
+                        os.remove(f"{folder}/.{name}.crc")
+    assert inputs == [2] * 6 and max(states) <= 3
+    raw = spark.createDataFrame([tuple(r) for r in docs], "event_id string, fetched_city string, ingested_at timestamp_ntz, payload string")
+    assert raw.count() == raw.select("event_id", "ingested_at").distinct().count() == 6 + 12
+    assert rows(state_of(spark, wh).fct_events.read()) == rows(Models(raw, as_of="2024-01-30").fct_events)
