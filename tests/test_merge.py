@@ -45,6 +45,47 @@ def test_upsert_rewrites_touched_buckets_only(spark, scratch):
     assert rows(t.read()) == sorted((f"k{i}", 70 if i == 7 else i) for i in range(200))
 
 
+@pytest.mark.parametrize("dies_at", ["stage", "log", 0, 1, 3])
+def test_a_death_inside_a_swap_leaves_the_old_or_the_new_rows(spark, scratch, monkeypatch, dies_at):
+    """Staging and log: old rows.  From the log on, also between delete and rename: new ones."""
+    from evhist.sources import tables
+
+    old = spark.createDataFrame([(f"k{i}", i) for i in range(60)], "k string, v int")
+    new = old.where("v >= 30").withColumn("v", F.col("v") + 1000)  # k0 to k29 go
+    BucketTable(spark, scratch, "k string, v int", ["k"], buckets=5).replace_all(old)
+    real, calls = tables.rename, []
+
+    def rename(*args):
+        calls.append(args)
+        if len(calls) == dies_at + 1:
+            raise InterruptedError
+        real(*args)
+
+    t = BucketTable(spark, scratch, "k string, v int", ["k"], buckets=5)
+    if dies_at == "stage":
+        monkeypatch.setattr(tables, "path_exists", lambda *a: 1 / 0)
+    elif dies_at == "log":
+        monkeypatch.setattr(tables.Swap, "commit", lambda self: 1 / 0)
+    else:
+        monkeypatch.setattr(tables, "rename", rename)
+    with pytest.raises((InterruptedError, ZeroDivisionError)):
+        t.replace(new, range(5))
+    monkeypatch.undo()
+    after = BucketTable(spark, scratch, "k string, v int", ["k"], buckets=5)
+    assert rows(after.read()) == rows(old if isinstance(dies_at, str) else new)
+    after.replace_all(old)
+    assert rows(after.read()) == rows(old)
+    assert not os.path.exists(f"{scratch}/_swap") and not os.path.exists(f"{scratch}/_staged")
+
+
+def test_a_touched_bucket_without_rows_becomes_empty(spark, scratch):
+    t = BucketTable(spark, scratch, "k string, v int", ["k"], buckets=3)
+    t.replace_all(spark.createDataFrame([(f"k{i}", i) for i in range(20)], "k string, v int"))
+    gone = t.touched(spark.createDataFrame([("k7",)], "k string"))
+    t.replace(t.read().limit(0), gone)
+    assert t.read(gone).count() == 0 < t.read().count()
+
+
 def test_a_table_without_rows_reads_as_empty(spark, scratch):
     t = BucketTable(spark, scratch, "k string, v int", ["k"])
     t.replace_all(spark.createDataFrame([], "k string, v int"))
@@ -163,3 +204,83 @@ def test_extend_micro_new_and_changed_keys(spark):
     assert rows(fct) == rows(full.fct_events)
     assert rows(art) == rows(full.dim_artists)
     assert [r.version for r in fct.where("event_id = 'E1'").orderBy("version").collect()] == [1, 2, 3]
+
+
+def test_a_death_in_the_common_swap_of_a_state(spark, scratch, monkeypatch):
+    """The tables of a step change together, whatever it dies of; the step can then be repeated."""
+    from evhist.sources import tables
+
+    old = [(f"E{i}", "X", R1, doc(f"E{i}", artist=(f"A{i}", "P"), venue=(f"V{i}", "H"))) for i in range(12)]
+    new = [(f"E{i}", "X", R2, doc(f"E{i}", pmin=25, artist=(f"A{i}", "Q"), venue=(f"V{i}", "H"))) for i in range(3)]
+    raw, batch = raw_df(spark, old + new), raw_df(spark, new)
+    st = State(spark, scratch, buckets=4)
+    advance(st, raw_df(spark, old), raw_df(spark, old), "2024-01-30")
+    real, calls = tables.rename, []
+
+    def rename(*args):
+        calls.append(args)
+        if len(calls) == 3:
+            raise InterruptedError
+        real(*args)
+
+    monkeypatch.setattr(tables, "rename", rename)
+    with pytest.raises(InterruptedError):
+        advance(st, raw, batch, "2024-01-30")
+    monkeypatch.undo()
+    _equal_rebuild(State(spark, scratch, buckets=4), raw)  # reading finishes the moves
+    assert advance(State(spark, scratch, buckets=4), raw, batch, "2024-01-30") == "extend"
+    _equal_rebuild(State(spark, scratch, buckets=4), raw)
+
+
+def _spoil(path, spared):
+    """Overwrite the files of all buckets but ``spared``; returns what was in them."""
+    held = {}
+    for file in _files(path):
+        if int(file.split("bucket=")[1].split("/")[0]) not in spared:
+            with open(file, "rb") as f:
+                held[file] = f.read()
+            with open(file, "wb") as f:
+                f.write(b"spoiled")
+            crc = os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc")
+            if os.path.exists(crc):
+                with open(crc, "rb") as f:
+                    held[crc] = f.read()
+                os.remove(crc)
+    return held
+
+
+def test_a_late_row_opens_the_buckets_it_concerns_only(spark, scratch):
+    """E1 and E2 share an artist: a late row of E1 reads both keys, their ids and nothing else."""
+    own = lambda i: {"artist": ("AS" if i in (1, 2) else f"A{i}", "Old"), "venue": (f"V{i}", "Hall")}
+    r = [(f"E{i}", "X", when, doc(f"E{i}", **own(i))) for i in range(40) for when in (R1, R3)]
+    late = [("E1", "X", R2, doc("E1", pmin=30, artist=("AS", "New"), venue=("V1", "Hall")))]
+    st = State(spark, scratch, buckets=64)
+    advance(st, raw_df(spark, r), raw_df(spark, r), "2024-01-30")
+    frame = lambda schema, *values: spark.createDataFrame(list(values), schema)
+    keys = frame("event_id string, fetched_city string", ("E1", "X"), ("E2", "X"))
+    ids = frame("kind string, id string", ("artist", "AS"), ("venue", "V1"))
+    spared = {"observed": st.observed.touched(keys), "links": st.links.touched(ids), "fct_events": st.fct_events.touched(keys),
+              "dim_artists": st.dim_artists.touched(frame("artist_id string", ("AS",))),
+              "dim_venues": st.dim_venues.touched(frame("venue_id string", ("V1",), ("V2",)))}
+    assert max(map(len, spared.values())) <= 2
+    held = {}
+    for name, buckets in spared.items():
+        held |= _spoil(f"{scratch}/{name}", buckets)
+    assert len(held) > 100
+    assert advance(st, raw_df(spark, r + late), raw_df(spark, late), "2024-01-30") == "replay"
+    for file, data in held.items():
+        with open(file, "wb") as f:
+            f.write(data)
+    _equal_rebuild(st, raw_df(spark, r + late))
+    assert [x.artist_name for x in st.fct_events.read().where("event_id = 'E2'").collect()] == ["Old"]
+
+
+def test_late_and_new_rows_in_one_batch(spark, scratch):
+    r = [(f"E{i}", "X", when, doc(f"E{i}", artist=("A1", "Old"))) for i in range(3) for when in (R1, R3)]
+    more = [("E1", "X", R2, doc("E1", pmin=30, artist=("A1", "New"))), ("E1", "X", R4, doc("E1", artist=("A2", "Other"))),
+            ("E9", "X", R4, doc("E9", artist=("A1", "Newest"))), ("E2", "X", R2, doc("E2", artist=("A3", "Gone")))]
+    st = State(spark, scratch, buckets=4)
+    advance(st, raw_df(spark, r), raw_df(spark, r), "2024-01-30")
+    for _ in range(2):  # the second time as after a death before the mark
+        assert advance(st, raw_df(spark, r + more), raw_df(spark, more), "2024-01-30") == "replay"
+        _equal_rebuild(st, raw_df(spark, r + more))

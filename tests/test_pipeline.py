@@ -2,7 +2,7 @@
 segmented history; the daily run equals a rebuild, repeated or not."""
 
 import pytest
-from fixtures import R1, R2, doc, raw_df
+from fixtures import R1, R2, R3, doc, raw_df
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -96,3 +96,39 @@ def test_payload_is_parsed_once_per_row(spark, scratch):
     stored = read_observations(spark, daily_paths(scratch)["observations"])
     plan = Models(stored, as_of="2024-01-30").fct_events._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan
+
+
+def test_a_daily_run_opens_the_folder_of_its_day_only(spark, scratch):
+    """The other days' observation files are spoiled before the run, and the plan names the day filter."""
+    import glob
+
+    r = [(f"E{i}", "X", when, doc(f"E{i}", pmin=20 + k)) for i in range(5) for k, when in enumerate((R1, R2))]
+    today = [(f"E{i}", "X", R3, doc(f"E{i}", pmin=30)) for i in range(4)]
+    for when in (R1, R2):
+        run_daily(spark, raw_df(spark, [x for x in r if x[2] == when]), scratch, "2024-01-30")
+    path = daily_paths(scratch)["observations"]
+    held = {}
+    for file in glob.glob(f"{path}/ingest_date=*/*/*.parquet"):
+        with open(file, "rb") as f:
+            held[file] = f.read()
+        with open(file, "wb") as f:
+            f.write(b"spoiled")
+    assert run_daily(spark, raw_df(spark, today[:2]), scratch, "2024-01-30") == "extend"
+    assert run_daily(spark, raw_df(spark, today), scratch, "2024-01-30") == "replay"  # two are stored by now
+    for file, data in held.items():
+        with open(file, "wb") as f:
+            f.write(data)
+    stored = read_observations(spark, path)
+    assert stored.count() == 14 == stored.select("event_id", "ingested_at").distinct().count()
+    _daily_equals_rebuild(spark, scratch, raw_df(spark, r + today))
+    plan = read_observations(spark, path, days_of=raw_df(spark, today))._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+
+
+def test_append_new_adds_each_observation_once(spark, scratch):
+    from evhist.sources.landing import append_new
+
+    r = [(f"E{i}", c, when, doc(f"E{i}")) for i in range(3) for c in ("X", None) for when in (R1, R2)]
+    for part in (r[:7], r[:7], r):
+        append_new(raw_df(spark, part), scratch)
+    assert rows(read_raw(spark, scratch).select("event_id", "fetched_city", "ingested_at").fillna("-")) == sorted((e, c or "-", w) for e, c, w, _ in r)
