@@ -129,3 +129,33 @@ def variant_value(payload: Column, path: str, type_: str = "string") -> Column:
     ``null`` leaf also gives NULL for typed reads, matching ``flatten``.
     """
     return F.try_variant_get(F.try_parse_json(payload), path, type_)
+
+
+# ---- VARIANT: parsed once when stored, read path by path -----------------------------
+
+
+def variant_rows(raw: DataFrame, on_error: str = "null", keep: Sequence[str] = ("event_id", "fetched_city", "ingested_at")) -> DataFrame:
+    """``keep`` columns and ``doc``, the payload as VARIANT, to be stored.
+
+    ``on_error="fail"`` uses the raising ``parse_json``; else malformed text is NULL.
+    """
+    if on_error not in ("null", "fail"):
+        raise ValueError(f"on_error must be null or fail, not {on_error!r}")
+    parse = F.parse_json if on_error == "fail" else F.try_parse_json
+    return raw.select(*keep, parse(F.col("payload")).alias("doc"))
+
+
+def variant_path(name: str) -> str:
+    """JSON path of ``name``, e.g. ``$._embedded.venues[0].id``."""
+    return "$" + "".join(f"[{step}]" if isinstance(step, int) else f".{step}" for step in PAYLOAD_PATHS[name][0])
+
+
+def flatten_variant(rows: DataFrame, fields: Sequence[str] | None = None,
+                    keep: Sequence[str] = ("event_id", "fetched_city", "ingested_at")) -> DataFrame:
+    """X1-X6 from ``doc``: same columns and values as ``flatten``; the text is not parsed again."""
+    def leaf(name: str) -> Column:
+        text = F.try_variant_get("doc", variant_path(name), "string")
+        target = PAYLOAD_PATHS[name][1]
+        return (text if target == "string" else text.try_cast(target)).alias(name)
+
+    return rows.select(*keep, *(leaf(f) for f in fields or ALL_FIELDS))

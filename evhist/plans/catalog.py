@@ -14,20 +14,23 @@ from pyspark.sql import functions as F
 
 from ..constants import FIXTURE_AS_OF, MAX_PAGES_PER_CITY
 from ..functions.keys import surrogate_key, ts_text
-from ..functions.paths import ALL_FIELDS, flatten, json_valid
+from ..functions.paths import ALL_FIELDS, flatten, flatten_variant, json_valid, variant_rows
 from ..functions.dates import plausible_dates
 from ..operators import quality as dq
 from ..operators.history import change_flags, dedup_per_run, latest_per_key, version_numbers
-from ..operators.merge import (extend_frames, fct_incremental_frame, high_water_mark, merge_frames)
-from ..operators.pit import pit_join
+from ..operators.merge import (State, advance, extend_frames, fct_incremental_frame, high_water_mark, merge_frames)
+from ..operators.pit import pit_join, pit_merge
+from ..operators.sketches import daily_sketches, uniques_by_city
 from ..fixture.feed import landed_feed, raw_feed, read_table
 from ..fixture.pages import pages_from_landed
+from ..session import query_scratch
 from ..sources.landing import cap_per_city, documents, land_pages, landed_to_raw
 from . import insights as K
 from .checks import CHECKS
 from .models import EVENT_ATTRS, EVENT_TRACKED, KEYS, Models
 
 SPLIT_TS = "2024-01-20 00:00:00"
+LATE_DAY = "2024-01-12"
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -95,6 +98,21 @@ def q_flatten(spark, sf_dir):
     return flatten(raw_feed(spark, sf_dir), ALL_FIELDS)
 
 
+@query("flatten_variant")
+def q_flatten_variant(spark, sf_dir):
+    """The typed fields from a stored VARIANT column, parsed when it was written."""
+    path = query_scratch(spark, "variant")
+    variant_rows(raw_feed(spark, sf_dir)).write.parquet(path)
+    return flatten_variant(spark.read.parquet(path))
+
+
+@query("parse_json_strict")
+def q_parse_json_strict(spark, sf_dir):
+    """X7 in fail mode: a payload that is no JSON stops the query."""
+    rows = variant_rows(raw_feed(spark, sf_dir), on_error="fail")
+    return flatten_variant(rows, ["event_name", "event_status", "price_min"])
+
+
 @query("json_valid")
 def q_json_valid(spark, sf_dir):
     raw = raw_feed(spark, sf_dir)
@@ -163,6 +181,23 @@ def q_pit_venues(spark, sf_dir):
                     "venue_name", "venue_city", "venue_state_code")
 
 
+@query("pit_merge_artists")
+def q_pit_merge_artists(spark, sf_dir):
+    """The artist join in one pass: facts and versions sorted together."""
+    m = models(spark, sf_dir)
+    f = pit_merge(_with_attrs(m), m.dim_artists, on="artist_id", columns=["artist_sk", "artist_name"])
+    return f.select("event_id", "fetched_city", "version", "valid_from", "artist_id", "artist_sk", "artist_name")
+
+
+@query("pit_merge_venues")
+def q_pit_merge_venues(spark, sf_dir):
+    m = models(spark, sf_dir)
+    f = pit_merge(_with_attrs(m), m.dim_venues, on="venue_id",
+                  columns=["venue_sk", "venue_name", "venue_city", "venue_state_code"])
+    return f.select("event_id", "fetched_city", "version", "valid_from", "venue_id", "venue_sk",
+                    "venue_name", "venue_city", "venue_state_code")
+
+
 @query("venue_map")
 def q_venue_map(spark, sf_dir):
     m = models(spark, sf_dir)
@@ -203,6 +238,18 @@ def q_fct_extend(spark, sf_dir):
     return fct
 
 
+@query("fct_late_day")
+def q_fct_late_day(spark, sf_dir):
+    """Stored tables that got one day's rows last: by the reverse index and the swapped
+    buckets the fact equals the full rebuild."""
+    raw = raw_feed(spark, sf_dir)
+    late = F.to_date("ingested_at") == F.lit(LATE_DAY).cast("date")
+    state = State(spark, query_scratch(spark, "late-day"))
+    advance(state, raw.where(~late), raw.where(~late), FIXTURE_AS_OF)
+    advance(state, raw, raw.where(late), FIXTURE_AS_OF)
+    return state.fct_events.read()
+
+
 # ---- aggregations ----------------------------------------------------------------
 
 @query("fct_events_by_city")
@@ -215,6 +262,12 @@ def q_events_by_city(spark, sf_dir):
     return K.events_by_city(_filtered(spark, sf_dir))
 
 
+@query("uniques_by_city")
+def q_uniques_by_city(spark, sf_dir):
+    """Distinct artists and venues per city, rolled up from the daily sketches."""
+    return uniques_by_city(daily_sketches(models(spark, sf_dir).fct_events))
+
+
 @query("top_genres")
 def q_top_genres(spark, sf_dir):
     return K.top_genres(_filtered(spark, sf_dir))

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..constants import LOOKAHEAD_DAYS, TOP_GENRES_N, UPCOMING_ROWS
 from ..functions.dates import as_of_col
+from ..operators.quantile import exact_quantiles
 
 # FIXED VALUES: shown columns and their headings.
 UPCOMING_DISPLAY = [
@@ -101,21 +102,21 @@ def price_distribution(f: DataFrame, exact: bool = True, accuracy: int = 10000)
 
     Rows are first reduced to (city, price, count) with a map-side-combined
     aggregate — a hot city costs one row per distinct price, not per event.
-    Exact quartiles interpolate linearly (``percentile`` weighted by the
-    counts); whiskers are the most extreme prices inside the 1.5 x IQR
-    fences, from the same counted rows in one pass.  ``exact=False`` uses
-    ``percentile_approx`` for unbounded price domains.
+    Exact quartiles come from rank selection over prefix counts
+    (``operators.quantile``), so a hot city's prices spread over many tasks;
+    whiskers are the most extreme prices inside the 1.5 x IQR fences, from the
+    same counted rows.  ``exact=False`` uses ``percentile_approx``.
     """
     priced = f.where(F.col("price_min").isNotNull())
     counts = priced.groupBy("fetched_city", "price_min").agg(F.count(F.lit(1)).alias("_n"))
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    if exact:  # over the counted rows, in the partitioning that the last aggregate needs too
-        rows = counts.withColumn("_q", F.percentile("price_min", probs, F.col("_n")).over(Window.partitionBy("fetched_city")))
-    else:  # the sketch is taken over the rows, then joined to the counts
-        sketch = priced.groupBy("fetched_city").agg(F.percentile_approx("price_min", probs, accuracy).alias("_q"))
-        rows = counts.join(sketch, "fetched_city")
-    for i, name in enumerate(("q1", "median", "q3")):
-        rows = rows.withColumn(name, F.col("_q")[i].cast("double"))
+    probs, names = (0.25, 0.5, 0.75), ("q1", "median", "q3")
+    if exact:
+        quartiles = exact_quantiles(counts, "fetched_city", "price_min", "_n", probs, names)
+    else:
+        sketch = F.percentile_approx("price_min", F.array(*map(F.lit, probs)), accuracy)
+        quartiles = priced.groupBy("fetched_city").agg(sketch.alias("_q"))
+        quartiles = quartiles.select("fetched_city", *(F.col("_q")[i].cast("double").alias(n) for i, n in enumerate(names)))
+    rows = counts.join(quartiles, "fetched_city")
     iqr = F.col("q3") - F.col("q1")
     rows = (rows.withColumn("lower_fence", F.col("q1") - F.lit(1.5) * iqr)
                 .withColumn("upper_fence", F.col("q3") + F.lit(1.5) * iqr))

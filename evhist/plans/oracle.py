@@ -351,6 +351,9 @@ def oracle_sql() -> dict[str, str]:
              AS VARCHAR) AS document FROM typed""", "typed")
     # projections
     q["flatten_payload"] = _q(f"SELECT {typed_cols} FROM typed", "typed")
+    q["flatten_variant"] = q["flatten_payload"]
+    q["parse_json_strict"] = _q("SELECT event_id, fetched_city, ingested_at, event_name, event_status, price_min FROM typed",
+                                "typed")
     q["json_valid"] = _q("SELECT event_id, fetched_city, ingested_at, json_valid(payload) AS is_valid_json "
                          "FROM raw_events", "raw_events")
     q["surrogate_key"] = _q(f"SELECT event_id, fetched_city, ingested_at, "
@@ -398,7 +401,12 @@ def oracle_sql() -> dict[str, str]:
         UNION ALL SELECT * FROM src""", "fct_events_b", "fct_events")
     q["fct_incremental"] = _q(f"SELECT {_FCT_COLS} FROM fct_events", "fct_events")
     q["fct_extend"] = _q(f"SELECT {_FCT_COLS} FROM fct_events", "fct_events")
+    q["fct_late_day"] = q["fct_incremental"]
+    q["pit_merge_artists"], q["pit_merge_venues"] = q["pit_join_artists"], q["pit_join_venues"]
     # aggregations
+    q["uniques_by_city"] = _q("""SELECT fetched_city, count(DISTINCT artist_id) AS unique_artists,
+        count(DISTINCT venue_id) AS unique_venues
+        FROM fct_events WHERE event_date IS NOT NULL AND is_current GROUP BY fetched_city""", "fct_events")
     q["fct_events_by_city"] = _q("SELECT * FROM fct_events_by_city", "fct_events_by_city")
     q["events_by_city"] = _q("SELECT fetched_city, count(*) AS total_events FROM filt GROUP BY fetched_city",
                              "filt")

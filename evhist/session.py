@@ -9,6 +9,7 @@ is absent (tests, laptops) do we fall back to a caller-supplied folder.
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -86,3 +87,11 @@ def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
 def scratch_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:
     """A fresh, unique sub-folder of the shared directory."""
     return f"{shared_dir(spark, fallback)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def query_scratch(spark: SparkSession, name: str) -> str:
+    """A fresh sub-folder for a query that works on stored tables.  A local session
+    without the setting gets a temp folder; a cluster without it is an error."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    local = spark.sparkContext.master.startswith("local[")
+    return scratch_path(spark, name, tempfile.mkdtemp(prefix="evhist-") if unset and local else None)
