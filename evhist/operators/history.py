@@ -80,7 +80,7 @@ def version_numbers(df: DataFrame, keys: Sequence[str], order: str | Sequence[st
 def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
          tracked: Sequence[str], carried: Sequence[str] = (),
          valid_to: str = "next_version", first_version: str = "always",
-         latest: Sequence[str] = ()) -> DataFrame:
+         latest: Sequence[str] = (), unique: bool = False) -> DataFrame:
     """A type-2 history, one row per (keys, version).
 
     ``valid_from`` is the first observation of a version; ``valid_to`` is the
@@ -89,7 +89,8 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     T1).  ``is_current`` = ``valid_to IS NULL``.  Tracked and carried columns
     come from the version's first observation.
     Rows of one key and observation time are one observation, whatever landed
-    twice: the least by tracked and carried values counts.
+    twice: the least by tracked and carried values counts.  ``unique`` says that the
+    caller's rows are one per key and time already, which saves a window.
     ``latest`` columns are attached to every version with their value from the
     key's *latest* observation (``last`` over the key's whole frame — same
     window, no extra shuffle), output as ``latest_<name>``.
@@ -99,9 +100,10 @@ def scd2(df: DataFrame, keys: Sequence[str], order: str | Sequence[str],
     ts = order[0]
     w = _window(keys, order)
     # ties: sorted on the same keys first, so the windows below need no other sort
-    tied = _window(keys, [*order, *tracked, *carried, *latest])
-    df = df.withColumn("_again", F.lag(ts).over(tied).eqNullSafe(F.col(ts)) & F.col(ts).isNotNull())
-    df = df.where(~F.coalesce("_again", F.lit(False))).drop("_again")
+    if not unique:
+        tied = _window(keys, [*order, *tracked, *carried, *latest])
+        df = df.withColumn("_again", F.lag(ts).over(tied).eqNullSafe(F.col(ts)) & F.col(ts).isNotNull())
+        df = df.where(~F.coalesce("_again", F.lit(False))).drop("_again")
     if latest:
         whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         df = df.withColumns({f"latest_{c}": F.last(c).over(whole) for c in latest})

@@ -19,9 +19,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import BucketTable
+
 REPORT_COLUMNS = ["model", "test", "column_name", "severity", "status", "failing_rows"]
 
 
@@ -111,3 +113,86 @@ def dq_report(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataF
     return report.select("model", "test", "column_name", "severity",
                          _status(F.col("severity")).alias("status"),
                          F.col("failing_rows").cast("long").alias("failing_rows"))
+
+
+# ---- incremental checks: partial results per bucket ---------------------------------
+
+PARTIAL_SCHEMA = "model string, part int, test string, column_name string, value string, n bigint"
+_FILES = "files"  # the row that names the files a bucket's partials were taken from
+
+
+def check_log(spark: SparkSession, path: str) -> BucketTable:
+    """The stored partials: a few rows per bucket and check, whatever the tables hold."""
+    return BucketTable(spark, path, PARTIAL_SCHEMA, ["model"], buckets=1)
+
+
+def check_partials(rows: DataFrame, model: str, checks: Sequence[Check], part: str = "bucket") -> DataFrame:
+    """PARTIAL_SCHEMA rows of each ``part`` of a table, in one pass per uniqueness check.
+
+    Equal values of a ``unique`` column must lie in one part, as surrogate keys do
+    in the buckets of the key they are made of.
+    """
+    out = []
+    nulls = [c for c in checks if c.test == "not_null"]
+    uniques = [c for c in checks if c.test == "unique"]
+    counted = [F.count_if(_expr(c.column).isNull()).alias(f"_c{i}") for i, c in enumerate(nulls)]
+    row = lambda c, n: F.struct(F.lit(c.test).alias("test"), F.lit(c.column).alias("column_name"),
+                                F.lit(None).cast("string").alias("value"), F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias("n"))
+    for k, unique in enumerate(uniques or [None]):
+        own = nulls if k == 0 else []
+        if unique is None:
+            found = rows.groupBy(part).agg(F.lit(0).alias("_u"), *counted) if own else None
+        else:
+            groups = rows.groupBy(part, _expr(unique.column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"), *(counted if own else []))
+            found = groups.groupBy(part).agg(F.count_if(F.col("_v").isNotNull() & (F.col("_n") > 1)).alias("_u"),
+                                             *[F.sum(f"_c{i}").alias(f"_c{i}") for i in range(len(own))])
+        if found is not None:
+            structs = [row(c, f"_c{i}") for i, c in enumerate(own)] + ([row(unique, "_u")] if unique else [])
+            out.append(found.select(F.col(part).alias("part"), F.inline(F.array(*structs))))
+    for c in checks:
+        if c.test == "accepted_values":
+            v = _expr(c.column)
+            bad = rows.where(v.isNotNull() & ~v.isin(list(c.values))).groupBy(part, v.cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+            out.append(bad.select(F.col(part).alias("part"), F.lit(c.test).alias("test"), F.lit(c.column).alias("column_name"), "value", "n"))
+    rows = reduce(DataFrame.unionByName, out)
+    return rows.select(F.lit(model).alias("model"), "part", "test", "column_name", "value", "n")
+
+
+def refresh_checks(log: BucketTable, tables: Mapping[str, BucketTable], checks: Sequence[Check]) -> dict[str, list[int]]:
+    """Bring the partials up to date; returns the buckets that were read, by model.
+
+    A bucket is read again only if its files are others than those its partials name,
+    so nothing has to be remembered between runs, and a run that died is repeated.
+    """
+    spark = log.spark
+    old = log.read() if log.exists() else spark.createDataFrame([], PARTIAL_SCHEMA)
+    named = {(r.model, r.part): r.value for r in old.where(F.col("test") == _FILES).collect()}  # one row per bucket
+    done: dict[str, list[int]] = {}
+    fresh, gone = [], []
+    for model, table in tables.items():
+        now = table.files()
+        before = {part: value for (m, part), value in named.items() if m == model}
+        changed = sorted(b for b in now.keys() | before.keys() if now.get(b) != before.get(b))
+        done[model] = changed
+        if not changed:
+            continue
+        gone += [(model, b) for b in changed]
+        rows = table.read(changed, with_bucket=True)
+        own = [c for c in checks if c.model == model]
+        fresh.append(check_partials(rows, model, own))
+        marks = [(model, b, _FILES, None, now[b], 0) for b in changed if b in now]
+        fresh.append(spark.createDataFrame(marks, PARTIAL_SCHEMA))
+    if fresh:
+        kept = old.join(spark.createDataFrame(gone, "model string, part int"), ["model", "part"], "left_anti")
+        log.replace_all(reduce(DataFrame.unionByName, [kept.select(*[c.split()[0] for c in PARTIAL_SCHEMA.split(", ")]), *fresh]))
+    return done
+
+
+def report_of_partials(log: BucketTable, checks: Sequence[Check]) -> DataFrame:
+    """Q4 from the partials alone: the same rows as ``dq_report`` over the whole tables."""
+    listed = log.spark.createDataFrame([(c.model, c.test, c.column, c.severity) for c in checks],
+                                       "model string, test string, column_name string, severity string")
+    found = log.read().groupBy("model", "test", "column_name").agg(F.sum("n").alias("_n"), F.count_distinct("value").alias("_values"))
+    failing = F.when(F.col("test") == "accepted_values", F.col("_values")).otherwise(F.col("_n"))
+    rows = listed.join(found, ["model", "test", "column_name"], "left").withColumn("failing_rows", F.coalesce(failing, F.lit(0)).cast("long"))
+    return rows.select("model", "test", "column_name", "severity", _status(F.col("severity")).alias("status"), "failing_rows")

@@ -44,7 +44,7 @@ def query(name: str):
 
 
 def models(spark: SparkSession, sf_dir: str, **kw) -> Models:
-    return Models(raw_feed(spark, sf_dir), as_of=kw.pop("as_of", FIXTURE_AS_OF), **kw)
+    return Models(raw_feed(spark, sf_dir), as_of=kw.pop("as_of", FIXTURE_AS_OF), unique=True, **kw)
 
 
 def _filtered(spark, sf_dir) -> DataFrame:
@@ -207,7 +207,7 @@ def q_venue_map(spark, sf_dir):
 def _split(spark, sf_dir):
     raw = raw_feed(spark, sf_dir)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    before = Models(raw.where(F.col("ingested_at") < split), as_of=FIXTURE_AS_OF)
+    before = Models(raw.where(F.col("ingested_at") < split), as_of=FIXTURE_AS_OF, unique=True)
     return raw, raw.where(F.col("ingested_at") >= split), before.fct_events
 
 
@@ -215,7 +215,7 @@ def _split(spark, sf_dir):
 def q_merge_upsert(spark, sf_dir):
     """Append-style merge of newer versions by event_sk (the reference's mode)."""
     raw, _, stored = _split(spark, sf_dir)
-    full = Models(raw, as_of=FIXTURE_AS_OF).fct_events
+    full = Models(raw, as_of=FIXTURE_AS_OF, unique=True).fct_events
     newer = full.where(F.col("valid_from") > high_water_mark(stored).scalar())
     return merge_frames(stored, newer, "event_sk")
 
@@ -232,7 +232,7 @@ def q_fct_extend(spark, sf_dir):
     """Extend-mode incremental fact (stored fact + dims + in-order batch); equals the full rebuild."""
     raw = raw_feed(spark, sf_dir)
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    before = Models(raw.where(F.col("ingested_at") < split), as_of=FIXTURE_AS_OF)
+    before = Models(raw.where(F.col("ingested_at") < split), as_of=FIXTURE_AS_OF, unique=True)
     fct, _, _ = extend_frames(before.fct_events, before.dim_artists, before.dim_venues,
                               raw.where(F.col("ingested_at") >= split), FIXTURE_AS_OF)
     return fct

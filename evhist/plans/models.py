@@ -69,9 +69,11 @@ def stg_events(raw: DataFrame, as_of: str | dt.date | None = None, on_error: str
 
 
 def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str = "null",
-                        segment: Column | None = None) -> DataFrame:
+                        segment: Column | None = None, unique: bool = False) -> DataFrame:
     """M2: event history.  ``rule="literal"`` reproduces the reference SQL.
 
+    ``unique``: ``raw`` has one row per key and run (``one_per_run``, ``dedup_run``).
+
     ``segment`` (documented rule only), e.g. ``date_trunc('month', ingested_at)``,
     splits each key's window into per-segment tasks for keys too hot for one task.
     """
@@ -81,10 +83,10 @@ def stg_event_snapshots(raw: DataFrame, rule: str = "documented", on_error: str
     if segment is not None:
         return scd2_segmented(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED, segment)
     if rule == "documented":
-        return scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED)
+        return scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED, unique=unique)
     if rule == "literal":
         return scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED,
-                    valid_to="next_observation", first_version="literal")
+                    valid_to="next_observation", first_version="literal", unique=unique)
     raise ValueError(f"unknown rule {rule!r}")
 
 
@@ -124,13 +126,13 @@ def venue_rows(hist: DataFrame) -> DataFrame:
 
 def dim_artists(raw: DataFrame, on_error: str = "null") -> DataFrame:
     """M3: artist history (tracked: name)."""
-    return artist_rows(scd2(artist_runs(raw, on_error), ["artist_id"], "ingested_at", ["artist_name"]))
+    return artist_rows(scd2(artist_runs(raw, on_error), ["artist_id"], "ingested_at", ["artist_name"], unique=True))
 
 
 def dim_venues(raw: DataFrame, on_error: str = "null") -> DataFrame:
     """M4: venue history; tracked name/city/state/address, carried country/lat/lon."""
     return venue_rows(scd2(venue_runs(raw, on_error), ["venue_id"], "ingested_at",
-                           VENUE_TRACKED, VENUE_CARRIED))
+                           VENUE_TRACKED, VENUE_CARRIED, unique=True))
 
 
 def fct_events(snapshots: DataFrame, stg: DataFrame, artists: DataFrame, venues: DataFrame) -> DataFrame:
@@ -152,7 +154,7 @@ def _attach_dims(f: DataFrame, artists: DataFrame, venues: DataFrame) -> DataFra
 
 
 def fct_events_fused(raw: DataFrame, artists: DataFrame, venues: DataFrame,
-                     as_of: str | dt.date | None = None, on_error: str = "null") -> DataFrame:
+                     as_of: str | dt.date | None = None, on_error: str = "null", unique: bool = False) -> DataFrame:
     """M5 in one pass over the observations: the history window also carries
     each key's latest static attributes (``scd2(latest=...)``), so the fact
     needs neither a separate latest-per-key shuffle nor the attribute join.
@@ -161,7 +163,7 @@ def fct_events_fused(raw: DataFrame, artists: DataFrame, venues: DataFrame,
     exactly as the left join against the filtered ``stg_events`` gives."""
     typed = flatten(raw, [*EVENT_TRACKED, *EVENT_CARRIED, *EVENT_ATTRS], on_error)
     hist = scd2(typed, KEYS, "ingested_at", EVENT_TRACKED, EVENT_CARRIED,
-                latest=[*EVENT_ATTRS, "event_date"])
+                latest=[*EVENT_ATTRS, "event_date"], unique=unique)
     plausible = is_plausible("latest_event_date", as_of)
     f = hist.select(*KEYS, "version", "valid_from", "valid_to", "is_current", *EVENT_TRACKED, *EVENT_CARRIED,
                     *[F.when(plausible, F.col(f"latest_{c}")).alias(c) for c in EVENT_ATTRS])
@@ -216,6 +218,7 @@ class Models:
     as_of: str | dt.date | None = None
     rule: str = "documented"
     segment: Column | None = None
+    unique: bool = False  # raw has one row per key and run
 
     @cached_property
     def stg_events(self) -> DataFrame:
@@ -227,7 +230,7 @@ class Models:
 
     @cached_property
     def snapshots(self) -> DataFrame:
-        return stg_event_snapshots(self.raw, self.rule, segment=self.segment)
+        return stg_event_snapshots(self.raw, self.rule, segment=self.segment, unique=self.unique)
 
     @cached_property
     def dim_artists(self) -> DataFrame:
@@ -241,7 +244,7 @@ class Models:
     def fct_events(self) -> DataFrame:
         if self.rule == "documented" and self.segment is None:
             # one window pass carries the latest attributes: no stg shuffle, no join
-            return fct_events_fused(self.raw, self.dim_artists, self.dim_venues, self.as_of)
+            return fct_events_fused(self.raw, self.dim_artists, self.dim_venues, self.as_of, unique=self.unique)
         return fct_events(self.snapshots, self.event_attrs, self.dim_artists, self.dim_venues)
 
     @cached_property

@@ -53,7 +53,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, warehouse: str,
 
     typed = put("events_typed", typed_events(one_per_run(raw)))
     stg = put("stg_events", stg_events(typed, as_of))
-    snaps = put("stg_event_snapshots", stg_event_snapshots(typed, segment=segment))
+    snaps = put("stg_event_snapshots", stg_event_snapshots(typed, segment=segment, unique=True))
     artists = put("dim_artists", dim_artists(typed))
     venues = put("dim_venues", dim_venues(typed))
     fct = put("fct_events", fct_layout(fct_events(snaps, stg.select("event_id", "fetched_city", *EVENT_ATTRS),

@@ -129,12 +129,22 @@ class BucketTable:
         """Buckets of the given keys (``buckets`` numbers at most)."""
         return sorted(r[0] for r in keys.select(self.bucket()).distinct().collect())
 
-    def read(self, buckets: Iterable[int] | None = None) -> DataFrame:
+    def read(self, buckets: Iterable[int] | None = None, with_bucket: bool = False) -> DataFrame:
         redo(self.spark, self.home)
         df = self.spark.read.schema(f"{self.schema}, bucket int").parquet(self.path)
         if buckets is not None:
             df = df.where(F.col("bucket").isin(list(buckets)))  # a partition filter
-        return df.drop("bucket")
+        return df if with_bucket else df.drop("bucket")
+
+    def files(self) -> dict[int, str]:
+        """The names of each bucket's files, in one text; a replaced bucket has others."""
+        redo(self.spark, self.home)
+        fs, p = _fs(self.spark, f"{self.path}/bucket=*/part-*")
+        found: dict[int, list[str]] = {}
+        for status in fs.globStatus(p) or []:
+            at = status.getPath()
+            found.setdefault(int(at.getParent().getName().split("=")[1]), []).append(at.getName())
+        return {b: " ".join(sorted(names)) for b, names in found.items()}
 
     def replace_all(self, df: DataFrame) -> None:
         self.replace(df, range(self.buckets))
