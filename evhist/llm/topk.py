@@ -14,16 +14,15 @@ every block meets every query block (a stated query set against all rows), keyed
 block, so no key is hot.  Each block gives k rows a query, ranked at the end.
 
 Defined results: vectors that are null or hold a null or non-finite component, and rows
-with a null id take no part; a finite component of 2**52 or more is an error; scores must fit
-a long; missing trailing components count as 0; rows alike in id and vector count once;
-rows that share an id with other vectors are rows of their own, but none is a candidate
-of a query with its id; other columns are ignored; an empty table gives no rows.
+with a null id take no part; a component that does not fit a long once scaled, or a
+score among the k best that does not, is an error; missing trailing components count as 0;
+rows alike in id and vector are indexed once with their number and count each in the
+ranking; rows that share an id are never candidates of a query with that id, and all rows
+of a query's id share its k places; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -47,7 +46,7 @@ class ImpactIndex:
         n, dims = x.shape
         self.order = np.ascontiguousarray(np.argsort(x, 0, kind="stable").T.astype(np.int32))  # dimension by dimension
         self.values = np.ascontiguousarray(np.take_along_axis(x, self.order.T.astype(np.int64), 0).T)
-        spread = int(x.max() - x.min()) + 1 if x.size else 1
+        spread = int(x.max()) - int(x.min()) + 1 if x.size else 1
         step = max(1, -(-spread // LEVELS))
         level = np.floor_divide(self.values, step)
         cut = np.ones((dims, n), bool)
@@ -65,7 +64,9 @@ class ImpactIndex:
         most = float(np.abs(self.x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dims
         if not dims or n <= RESCORE or most >= 2.0**52:  # nothing to save, or past exact doubles
             rows = np.flatnonzero(~barred)
-            return rows, self.x[rows] @ q
+            if most < 2.0**62:
+                return rows, self.x[rows] @ q
+            return rows, self.x[rows].astype(object) @ q.astype(object)  # whole numbers of any size
         weight = q[self.dim]
         impact = np.maximum(weight * self.low, weight * self.high)
         turn = np.argsort(-impact, kind="stable")
@@ -108,22 +109,22 @@ def _pack(name):
     """One row a block: ids and integer components as bytes."""
 
     def run(batches):
-        now, ids, rows = None, [], []
+        now, ids, rows, n = None, [], [], []
 
         def row():
             dims = max(map(len, rows))
             x = np.zeros((len(rows), dims), np.int64)
             for i, r in enumerate(rows):
                 x[i, : len(r)] = r
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([dims], pa.int64())], names=[name, "ids", "x", "dims"])
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int64()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary()), pa.array([dims], pa.int64()), pa.array([np.array(n, np.int64).tobytes()], pa.binary())], names=[name, "ids", "x", "dims", "n"])
 
         for batch in batches:
-            for block, i, v in zip(batch.column(name).to_pylist(), batch.column("id").to_pylist(), batch.column("v")):
+            for block, i, v, c in zip(batch.column(name).to_pylist(), batch.column("id").to_pylist(), batch.column("v"), batch.column("n").to_pylist()):
                 if block != now and rows:
                     yield row()
-                    ids, rows = [], []
+                    ids, rows, n = [], [], []
                 now = block
-                ids.append(i)
+                ids.append(i), n.append(c)
                 rows.append(np.asarray(v.values))
         if rows:
             yield row()
@@ -136,23 +137,25 @@ def _search(k):
         have, index, ids = None, None, None
         for batch in batches:
             out = []
-            for block, raw_ids, raw, dims, q_ids, q_raw, q_dims in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "x", "dims", "q_ids", "q_x", "q_dims"))):
+            for block, raw_ids, raw, dims, raw_n, q_ids, q_raw, q_dims, q_n in zip(*(batch.column(c).to_pylist() for c in ("block", "ids", "x", "dims", "n", "q_ids", "q_x", "q_dims", "q_n"))):
                 wide = max(dims, q_dims)
                 if (block, wide) != have:
-                    ids = np.frombuffer(raw_ids, np.int64)
+                    ids, copies = np.frombuffer(raw_ids, np.int64), np.frombuffer(raw_n, np.int64)
                     x = np.zeros((len(ids), wide), np.int64)
                     x[:, :dims] = np.frombuffer(raw, np.int64).reshape(-1, dims)
                     index, have = ImpactIndex(x), (block, wide)
                 names = np.frombuffer(q_ids, np.int64)
                 queries = np.zeros((len(names), wide), np.int64)
                 queries[:, :q_dims] = np.frombuffer(q_raw, np.int64).reshape(-1, q_dims)
-                for name, q in zip(names.tolist(), queries):
+                for name, asked, q in zip(names.tolist(), np.frombuffer(q_n, np.int64).tolist(), queries):
                     rows, score = index.search(q, k, ids == name)
-                    order = np.lexsort((ids[rows], -score))[:k]
-                    mark = zlib.crc32(np.trim_zeros(q, "b").tobytes())  # tells apart queries that share an id
-                    out += [(name, mark, int(ids[rows[j]]), int(score[j])) for j in order]
+                    order = np.lexsort((ids[rows], -score))[:k] if score.dtype != object else sorted(range(len(rows)), key=lambda j: (-score[j], ids[rows[j]]))[:k]
+                    best = [(name, int(ids[rows[j]]), int(score[j]), min(k, asked * int(copies[rows[j]]))) for j in order]
+                    if any(abs(s) >= 1 << 63 for _, _, s, _ in best):
+                        raise ValueError(f"top_k: a score of query {name} does not fit a long")
+                    out += best
             cols = list(zip(*out)) if out else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "mark", "vec_id", "score"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["query_id", "vec_id", "score", "n"])
 
     return run
 
@@ -166,23 +169,25 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vec_c
     rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("e")).where("id IS NOT NULL AND e IS NOT NULL")
     scaled = F.transform("e", lambda x: F.floor(x * 1024.0))
     finite = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    large = F.exists("e", lambda x: F.abs(x) >= 2.0**52)
-    fits = F.when(finite & large, F.raise_error(F.lit("top_k: a component of 2**52 or more does not fit")).cast("boolean")).otherwise(finite)
-    rows = keep(rows.where(F.coalesce(fits, F.lit(False))).select("id", scaled.alias("v")).distinct(), "vectors")
+    large = F.exists("e", lambda x: F.abs(x) >= 2.0**53)
+    fits = F.when(finite & large, F.raise_error(F.lit("top_k: a component of 2**53 or more does not fit")).cast("boolean")).otherwise(finite)
+    rows = rows.where(F.coalesce(fits, F.lit(False))).select("id", scaled.alias("v"))
+    rows = keep(rows.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n")), "vectors")
     asked = rows.where(queries)
     blocks = max(1, -(-rows.count() // BLOCK))
     q_blocks = max(1, -(-asked.count() // QUERIES))
     place = lambda n: F.pmod(F.xxhash64("id", "v"), F.lit(n)).cast("bigint")
-    packed = lambda df, n, name: df.withColumn(name, place(n)).repartition(name).sortWithinPartitions(name).mapInArrow(_pack(name), f"{name} bigint, ids binary, x binary, dims bigint")
+    packed = lambda df, n, name: df.withColumn(name, place(n)).repartition(name).sortWithinPartitions(name).mapInArrow(_pack(name), f"{name} bigint, ids binary, x binary, dims bigint, n binary")
     was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     index = keep(packed(rows, blocks, "block"), "index")
-    asked = packed(asked, q_blocks, "q").select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.col("dims").alias("q_dims"))
+    asked = packed(asked, q_blocks, "q").select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.col("dims").alias("q_dims"), F.col("n").alias("q_n"))
     asked = keep(asked, "queries").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    pairs = index.join(asked, "block").select("block", "ids", "x", "dims", "q_ids", "q_x", "q_dims")
+    pairs = index.join(asked, "block").select("block", "ids", "x", "dims", "n", "q_ids", "q_x", "q_dims", "q_n")
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # rows of a few MB
-        partial = keep(pairs.mapInArrow(_search(k), "query_id bigint, mark bigint, vec_id bigint, score bigint"), "block-best")
+        partial = keep(pairs.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint, n bigint"), "block-best")
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
-    order = Window.partitionBy("query_id", "mark").orderBy(F.col("score").desc(), "vec_id")
-    return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    each = partial.select("query_id", "vec_id", "score", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("_copy"))
+    return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -10,13 +10,13 @@ SCHEMA = "vec_id long, embedding array<float>, v int, id string"
 
 
 def brute(rows, k=10):
-    x = {i: np.floor(1024 * np.asarray(v, np.float32).astype(float)).astype(np.int64) for i, v in rows}
-    out = set()
-    for q in x:
+    """Every row is a candidate, repeated ones too; the rows of a query's id share its places."""
+    x = [(i, [int(np.floor(1024 * float(c))) for c in np.asarray(v, np.float32)]) for i, v in rows]
+    found = {}
+    for q, a in x:
         if q % 100 == 0:
-            best = sorted(((-int(x[q] @ x[c]), c) for c in x if c != q))[:k]
-            out |= {(q, r + 1, c, -s) for r, (s, c) in enumerate(best)}
-    return out
+            found.setdefault(q, []).extend((-sum(m * n for m, n in zip(a, b)), c) for c, b in x if c != q)
+    return {(q, r + 1, c, -s) for q, best in found.items() for r, (s, c) in enumerate(sorted(best)[:k])}
 
 
 def got(df):
@@ -33,11 +33,32 @@ def test_ties_repeats_and_broken_vectors(spark):
     rows = [(i, rng.integers(-2, 3, 6).astype(float).tolist()) for i in range(350)]
     extra = [(900, None), (901, [1.0, None, 2.0]), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (None, [9.0] * 6), rows[7], rows[7], (100, rows[100][1])]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows + extra], SCHEMA)
-    assert got(df) == brute(rows)
+    assert got(df) == brute(rows + extra[5:])
     assert got(df.where("vec_id < 4")) == brute(rows[:4])
     assert got(df.limit(0)) == set()
 
 
+def test_repeats_and_large_values_agree_with_the_sql(spark, tmp_path):
+    import duckdb
+
+    from evhist.llm.queries import SQL
+
+    rows = [(0, [1.0, 2.0])] * 2 + [(0, [3.0, -1.0])] + [(1, [1.0, 1.0])] * 2 + [(2, [2.0, 0.0]), (100, [0.0, 1.0])] + [(7, [0.5, 0.25])] * 15
+    rows += [(8, [2.0**50, 1.0]), (9, [-(2.0**50), 3.0])]  # past 2**52 once scaled, scores fit
+    df = spark.createDataFrame([(*r, 1, "z") for r in rows], "vec_id long, embedding array<double>, v int, id string")
+    df.select("vec_id", "embedding").coalesce(1).write.parquet(f"{tmp_path}/e")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
+    small = df.where("abs(embedding[0]) < 100")
+    assert got(small) == brute([r for r in rows if abs(r[1][0]) < 100])
+    held = rows[3:7] + rows[-2:]  # 100 is the query here, its first component 0
+    df = spark.createDataFrame([(*r, 1, "z") for r in held], "vec_id long, embedding array<double>, v int, id string")
+    assert got(df) == brute(held)
+    con.execute(f"CREATE OR REPLACE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet' WHERE abs(embedding[1]) < 100")
+    con.execute(f"SELECT query_id, rank, vec_id, score FROM ({SQL['op10_exact_topk']})")
+    assert got(small) == set(con.fetchall())
+
+
 def test_ragged_and_large_components(spark):
     rows = [(0, [1.0, 2.0]), (1, [3.0]), (2, [1.0, 1.0, 5.0]), (3, []), (4, [2.0**30, 1.0])]
     df = spark.createDataFrame([(*r, 1, "z") for r in rows], SCHEMA)
