@@ -23,9 +23,11 @@ ignored.  Very long texts are kept whole; a tree grows by one node for 64 pre-to
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,6 +85,7 @@ class Tree:
     def __init__(self, sizes: list[int], counts: list[int]):
         self.sizes = [sizes[i : i + LEAF] for i in range(0, len(sizes), LEAF)]
         self.counts = [counts[i : i + LEAF] for i in range(0, len(counts), LEAF)]
+        self.hold = False  # while many edits are made, large leaves wait for the last one
         self._build()
 
     def _build(self):
@@ -121,7 +124,7 @@ class Tree:
     def replace(self, first: int, last: int, sizes: list[int], counts: list[int]) -> None:
         """Put new pre-tokens in the place of leaves first..last."""
         per = max(1, -(-len(sizes) // (last - first + 1)))
-        if per <= 2 * LEAF:  # the leaves stay, with other pre-tokens in them
+        if per <= 2 * LEAF or self.hold:  # the leaves stay, with other pre-tokens in them
             for k, leaf in enumerate(range(first, last + 1)):
                 self.sizes[leaf], self.counts[leaf] = sizes[k * per : (k + 1) * per], counts[k * per : (k + 1) * per]
                 self.update(leaf)
@@ -131,6 +134,14 @@ class Tree:
         self.counts[first : last + 1] = [counts[i : i + LEAF] for i in parts]
         self._build()
 
+    def settle(self) -> None:
+        """Cut the leaves that have grown too large, all at once."""
+        self.hold = False
+        if any(len(x) > 2 * LEAF for x in self.sizes):
+            cut = lambda leaves: [x[i : i + LEAF] for x in leaves for i in range(0, len(x), LEAF)]
+            self.sizes, self.counts = cut(self.sizes), cut(self.counts)
+            self._build()
+
     def pack(self) -> bytes:
         """Leaves as bytes: how many pre-tokens each holds, then all sizes and counts."""
         flat = [x for leaf in self.sizes for x in leaf], [x for leaf in self.counts for x in leaf]
@@ -149,11 +160,47 @@ class Tree:
         return tree
 
 
+class Text:
+    """A text that is edited from its end to its start: what lies behind the last edit is kept in pieces."""
+
+    def __init__(self, raw: bytes):
+        self.raw, self.cut, self.size = raw, len(raw), len(raw)
+        self.tail: list[bytes] = []  # the pieces after ``raw[:cut]``, last one first
+
+    def replace(self, start: int, end: int, new: bytes) -> None:
+        if end > self.cut:  # not in order: put the text together first
+            self.raw, self.tail = self.whole(), []
+            self.cut = self.size
+        self.tail += [x for x in (self.raw[end : self.cut], new) if x]
+        self.cut = start
+        self.size += len(new) - (end - start)
+
+    def part(self, start: int, end: int) -> bytes:
+        """Bytes [start, end) of the text as it is now."""
+        out, at, k = [self.raw[start : min(end, self.cut)]], self.cut, len(self.tail)
+        while at < end and k:
+            k -= 1
+            piece = self.tail[k]
+            if at + len(piece) > start:
+                out.append(piece[max(0, start - at) : end - at])
+            at += len(piece)
+        return b"".join(out)
+
+    def whole(self) -> bytes:
+        return self.raw[: self.cut] + b"".join(reversed(self.tail))
+
+
 def edit(tree: Tree, raw: bytes, start: int, end: int, new: bytes, counter: Counter) -> bytes:
     """Replace bytes [start, end) of ``raw`` by ``new``; updates the tree, returns the text."""
-    if not 0 <= start <= end <= len(raw):
-        raise ValueError(f"edit of bytes {start} to {end} in a text of {len(raw)}")
-    out = raw[:start] + new + raw[end:]
+    text = Text(raw)
+    _edit(tree, text, start, end, new, counter)
+    return text.whole()
+
+
+def _edit(tree: Tree, text: Text, start: int, end: int, new: bytes, counter: Counter) -> None:
+    if not 0 <= start <= end <= text.size:
+        raise ValueError(f"edit of bytes {start} to {end} in a text of {text.size}")
+    text.replace(start, end, new)
     shift = len(new) - (end - start)
     first, first_at = tree.find(max(0, start - CONTEXT))
     while first and first_at > start - CONTEXT:
@@ -182,18 +229,20 @@ def edit(tree: Tree, raw: bytes, start: int, end: int, new: bytes, counter: Coun
     known = admit(last, last_at)
     reach = last
     new_sizes, new_counts, pos = [], [], at
-    low = at if not at else at
-    window = 4096
+    low = at
+    window = 512
     stop = None
     while stop is None:
         # split a window of the new text that starts on a border; its last pre-tokens may be cut short
-        text_end = min(len(out), low + window)
-        while text_end < len(out) and out[text_end] & 0xC0 == 0x80:
-            text_end += 1
-        piece = out[low:text_end].decode("utf-8", "surrogateescape")
+        piece = text.part(low, low + window + 4)
+        size = min(len(piece), window)
+        while size < len(piece) and piece[size] & 0xC0 == 0x80:
+            size += 1
+        text_end = low + size
+        piece = piece[:size].decode("utf-8", "surrogateescape")
         new_sizes, new_counts, pos, stop = [], [], low, None
         spans = [m.group() for m in counter.split.finditer(piece)]
-        safe = len(spans) if text_end == len(out) else max(0, len(spans) - 3)
+        safe = len(spans) if text_end == text.size else max(0, len(spans) - 3)
         for token in spans[:safe]:
             size = len(token.encode("utf-8", "surrogateescape"))
             new_sizes.append(size)
@@ -205,7 +254,7 @@ def edit(tree: Tree, raw: bytes, start: int, end: int, new: bytes, counter: Coun
             if pos in borders and pos >= start + len(new):
                 stop = borders[pos]
                 break
-        if stop is None and text_end == len(out):
+        if stop is None and text_end == text.size:
             stop = borders.get(pos) or (len(tree.sizes) - 1, len(tree.sizes[-1]))
         window *= 4
     counter.encoded += len(new_counts)
@@ -213,7 +262,6 @@ def edit(tree: Tree, raw: bytes, start: int, end: int, new: bytes, counter: Coun
     leaf, k = stop
     leaf, k = (leaf, k) if leaf >= first else (first, len(tree.sizes[first]))
     tree.replace(first, leaf, tree.sizes[first][:head] + new_sizes + tree.sizes[leaf][k:], tree.counts[first][:head] + counts + tree.counts[leaf][k:])
-    return out
 
 
 def apply(tree: Tree, raw: bytes, edits: list[tuple[int, int, bytes]], counter: Counter) -> bytes:
@@ -221,9 +269,11 @@ def apply(tree: Tree, raw: bytes, edits: list[tuple[int, int, bytes]], counter:
     edits = sorted(edits, key=lambda e: (e[0], e[1]))
     if any(a[1] > b[0] for a, b in zip(edits, edits[1:])):
         raise ValueError("edits overlap")
+    text, tree.hold = Text(raw), True
     for start, end, new in reversed(edits):
-        raw = edit(tree, raw, start, end, new, counter)
-    return raw
+        _edit(tree, text, start, end, new, counter)
+    tree.settle()
+    return text.whole()
 
 
 # ---- Spark
@@ -301,18 +351,13 @@ def update_by_id(state: DataFrame, edits: DataFrame, ranks: str | None = None) -
     return update(state.join(per, "_id", "left"), ranks)
 
 
+def _digit_runs(texts: pd.Series) -> pd.Series:
+    """Place and replacement of every run, by one pass over each text."""
+    find = re.compile(rb"[0-9]{4,}").finditer
+    return pd.Series([[{"start": m.start(), "end": m.end(), "new": "<num>"} for m in find((t or "").encode())] for t in texts], dtype=object)
+
+
 def masks(text_col: str = "text") -> Column:
     """Edits that mask every run of four digits and more as <num>, from the text itself."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    gaps = F.split(text, "[0-9]{4,}", -1)
-    runs = F.regexp_extract_all(text, F.lit("[0-9]{4,}"), F.lit(0))
-    # place of each run: bytes of all gaps and runs before it
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint,new:string>>").alias("out"))
-
-    def step(acc, i):
-        a = acc["at"] + F.octet_length(F.get(gaps, i))
-        b = a + F.octet_length(F.get(runs, i))
-        one = F.struct(a.alias("start"), b.alias("end"), F.lit("<num>").alias("new"))
-        return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    return F.when(F.size(runs) == 0, F.lit(None)).otherwise(F.aggregate(F.sequence(F.lit(0), F.size(runs) - 1), start, step, lambda acc: acc["out"]))
+    found = F.pandas_udf(_digit_runs, "array<struct<start: bigint, end: bigint, new: string>>")
+    return found(F.col(text_col).cast("string"))

@@ -77,3 +77,28 @@ def test_edit_table_by_id(spark, counter):
     edits = spark.createDataFrame([(1, 4, 7, "2"), (1, 0, 3, "1")], "_id long, start long, end long, new string")
     got = {r._id: (r._text, r.n_tokens) for r in update_by_id(build(docs), edits).collect()}
     assert got == {1: ("1 2 three", full(counter, b"1 2 three")), 2: ("four five", full(counter, b"four five"))}
+
+
+def test_many_edits_of_one_text_take_time_in_proportion(counter):
+    """Every run of digits masked: the text is put together once, leaves are cut once."""
+    import time
+
+    took = []
+    for n in (20_000, 40_000):
+        raw = " ".join(f"w{i % 7} {10_000 + i}" for i in range(n)).encode()
+        edits = [(m.start(), m.end(), b"<num>") for m in re.finditer(rb"[0-9]{4,}", raw)]
+        tree = Tree(*counter.leaves(raw.decode()))
+        t = time.process_time()
+        out = apply(tree, raw, edits, counter)
+        took.append(time.process_time() - t)
+        assert out == re.sub(rb"[0-9]{4,}", b"<num>", raw) and tree.total == full(counter, out)
+        assert max(map(len, tree.sizes)) <= 128
+    assert len(edits) == 40_000 and took[1] < 3 * took[0]
+
+
+def test_one_long_text_through_spark(spark, counter):
+    raw = " ".join(f"w{i % 7} {10_000 + i}" for i in range(30_000))
+    df = spark.createDataFrame([(1, raw), (2, "x 1234")], "doc_id long, text string")
+    out = {r._id: r for r in update(build(df, edits=masks())).collect()}
+    new = re.sub("[0-9]{4,}", "<num>", raw)
+    assert out[1]._text == new and out[1].n_edits == 30_000 and out[1].n_tokens == full(counter, new.encode())
