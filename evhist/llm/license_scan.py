@@ -47,6 +47,7 @@ TEMPLATES = {
     "all-rights-reserved": "all rights reserved",
 }
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"  # no other letters are folded
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 COVER = 0.8  # share of a template's pairs that a span must hit
 GAP = 3  # diagonals this close are one span
@@ -75,14 +76,18 @@ def template_pairs(spark, base: dict[str, str], templates: dict[str, str]) -> Da
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base: dict[str, str] | None = None, templates: dict[str, str] | None = None) -> DataFrame:
     """id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row."""
     pairs = template_pairs(docs.sparkSession, BASE if base is None else base, TEMPLATES if templates is None else templates)
-    text = F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    text = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, UPPER.lower())
     rows = docs.select(F.col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"), F.array_remove(F.split(text, SEPARATORS, -1), "").alias("_w"))
-    # the hash of each word with the next one; after the last word comes the mark that carries their number
-    hashes = F.transform("_w", lambda w, i: F.xxhash64(w, F.get("_w", i + 1)))
-    marked = F.concat(hashes, F.array(F.xxhash64(F.lit(SIZE_ROW), F.lit(SIZE_ROW))))
-    hits = rows.select("_id", "_row", "_w", F.posexplode(marked).alias("_pos", "h")).join(F.broadcast(pairs), "h")
-    same = (F.get("_w", F.col("_pos")) == F.col("w1")) & (F.get("_w", F.col("_pos") + 1) == F.col("w2"))
-    size = (F.col("t") == -1) & (F.col("_pos") == F.size("_w"))
+    # each word with the next one and their hash; after the last word comes the mark that carries their number.
+    # The list of words itself ends here: a row that carried it would be copied once per word.
+    pair = lambda w, i: F.struct(F.xxhash64(w, F.get("_w", i + 1)).alias("h"), w.alias("w"), F.get("_w", i + 1).alias("next"))
+    none = F.lit(None).cast("string")
+    mark = F.struct(F.xxhash64(F.lit(SIZE_ROW), F.lit(SIZE_ROW)).alias("h"), none.alias("w"), none.alias("next"))
+    marked = rows.select("_id", "_row", F.concat(F.transform("_w", pair), F.array(mark)).alias("_m"))
+    hits = marked.select("_id", "_row", F.posexplode("_m").alias("_pos", "_p")).select("_id", "_row", "_pos", "_p.*")
+    hits = hits.join(F.broadcast(pairs), "h")
+    same = (F.col("w") == F.col("w1")) & (F.col("next") == F.col("w2"))
+    size = (F.col("t") == -1) & F.col("w").isNull()
     hits = hits.where(size | (F.col("t") >= 0) & same)
     hits = hits.select("_id", "_row", "t", "label", "base", "pairs", (F.col("_pos") - F.col("tpos")).alias("diag"), "bit")
     hits = hits.repartition("_row")

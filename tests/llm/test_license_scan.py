@@ -57,3 +57,18 @@ def test_templates_add_labels_despite_small_edits(spark):
 def test_no_python_in_the_plan(spark):
     plan = scan_licenses(spark.read.parquet(f"{SF01}/documents.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|CartesianProduct|BroadcastNestedLoop", plan)
+
+
+def test_one_long_text_takes_time_in_proportion_and_only_ascii_is_folded(spark):
+    import time
+
+    took = []
+    for n in (100_000, 200_000):
+        text = "cc by " + "word " * n + "mit license"
+        df = spark.createDataFrame([(1, text), (2, "GNU General public licenſe K\u212a mit licen\u017fe")], "doc_id long, text string")
+        t = time.time()
+        got = sorted(rows_of(df))
+        took.append(time.time() - t)
+        assert got[0] == (1, n + 4, 2, 0, n + 2, "cc-by,mit")
+        assert got[1][2] == 0
+    assert took[1] < 3 * took[0]
