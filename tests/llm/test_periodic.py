@@ -113,8 +113,11 @@ def test_blocks_do_not_matter(spark):
 def test_one_long_text_takes_time_in_proportion(make):
     took = []
     for n in (200_000, 400_000):
-        t = time.process_time()
-        runs = listed([make(n)], 12)
-        took.append(time.process_time() - t)
+        each = []
+        for _ in range(3):
+            t = time.process_time()
+            runs = listed([make(n)], 12)
+            each.append(time.process_time() - t)
+        took.append(min(each))
         assert len(runs) >= 1 and max(k for _, k, _ in runs) == n
     assert took[1] < 3.5 * took[0]
