@@ -56,7 +56,9 @@ class ImpactIndex:
         self.end = np.append(flat[1:], dims * n) - self.dim * n
         low = level[self.dim, self.begin] * step
         self.low, self.high = low, low + step - 1  # what the quantised level admits
-        self.rows, self.parts = self.order.ravel(), self.values.ravel()  # one dimension after the other
+        # postings one dimension after the other: row, component, place in a (row, dimension) table
+        self.rows, self.parts = self.order.ravel(), self.values.ravel().astype(np.float64)
+        self.cells = (self.order.astype(np.int64) * dims + np.arange(dims)[:, None]).ravel()
 
     def search(self, q: np.ndarray, k: int, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, exact scores) of all possible members of the k best; ``barred`` rows take no part."""
@@ -67,7 +69,7 @@ class ImpactIndex:
             if most < 2.0**62:
                 return rows, self.x[rows] @ q
             return rows, self.x[rows].astype(object) @ q.astype(object)  # whole numbers of any size
-        weight = q[self.dim]
+        weight, exact_q = q[self.dim], q.astype(np.float64)
         impact = np.maximum(weight * self.low, weight * self.high)
         turn = np.argsort(-impact, kind="stable")
         turn = turn[weight[turn] != 0]
@@ -82,9 +84,8 @@ class ImpactIndex:
             if len(now):
                 count = self.end[now] - self.begin[now]
                 at = np.repeat(self.dim[now] * n + self.begin[now] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                row, dim = self.rows[at], np.repeat(self.dim[now], count)
-                acc += np.bincount(row, self.parts[at] * q[dim].astype(np.float64), n)
-                unseen[row, dim] = 0.0
+                acc += np.bincount(self.rows[at], self.parts[at] * np.repeat(exact_q[self.dim[now]], count), n)
+                unseen.reshape(-1)[self.cells[at]] = 0.0
             done = upto
             rest = np.zeros(dims)  # the most that a dimension can still add
             if done < len(turn):
@@ -95,13 +96,13 @@ class ImpactIndex:
             bound[barred] = -np.inf
             best = np.argpartition(-bound, min(k, n - 1))[: k + 1]
             best = best[~barred[best]]
-            exact = np.sort(self.exact[best] @ q)[::-1]
+            exact = np.sort(self.exact[best] @ exact_q)[::-1]
             if len(exact) >= k:
                 theta = max(theta, float(exact[k - 1]))
             members = np.flatnonzero((bound >= theta) & ~barred)
             if len(members) <= RESCORE or done >= len(turn):
                 self.visited = float(size[done - 1] / size[-1]) if done else 0.0  # share of the postings
-                return members, (self.exact[members] @ q.astype(np.float64)).astype(np.int64)  # exact below 2**53
+                return members, (self.exact[members] @ exact_q).astype(np.int64)  # exact below 2**53
             part += 1
 
 
