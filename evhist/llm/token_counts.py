@@ -25,9 +25,9 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 LEAF = 64  # pre-tokens in a leaf; one that grows past twice as many is split
 CONTEXT = 8
 MEMORY = 300_000
+EDITS_SQL = "array<struct<start: bigint, end: bigint, new: string>>"
+EDITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("new", pa.string())]))
 
 
 def _public(name: str) -> str:
@@ -287,24 +289,31 @@ def _counter(ranks: str) -> Counter:
     return _LOADED[ranks]
 
 
-def _build(ranks):
+def _build(ranks, find):
     def run(batches):
         counter = _counter(ranks)
         for batch in batches:
             trees = [Tree(*counter.leaves(t or "")) for t in batch.column("_text").to_pylist()]
             cols = {n: batch.column(n) for n in batch.schema.names}
+            if find is not None:
+                cols["_edits"] = pa.array([find(t) for t in batch.column("_text").to_pylist()], EDITS)
             cols |= {"_tree": pa.array([t.pack() for t in trees], pa.binary()), "n_tokens": pa.array([t.total for t in trees], pa.int64())}
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return run
 
 
-def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, edits: Column | None = None) -> DataFrame:
-    """State rows (_id, _text, _tree, n_tokens), with the ``edits`` column if one is given."""
-    extra = [] if edits is None else [edits.alias("_edits")]
+def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ranks: str | None = None, edits: Column | Callable | None = None) -> DataFrame:
+    """State rows (_id, _text, _tree, n_tokens), with the ``edits`` if any are given.
+
+    ``edits`` is a column, or a function from a text to its list of edits, which runs
+    in the same pass.
+    """
+    find = edits if edits is not None and not isinstance(edits, Column) else None
+    extra = [edits.alias("_edits")] if isinstance(edits, Column) else []
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), *extra)
-    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + ", _tree binary, n_tokens bigint"
-    return rows.mapInArrow(_build(ranks or _public("byte_bpe_50k.tiktoken")), schema)
+    schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes) + f"{', _edits ' + EDITS_SQL if find else ''}, _tree binary, n_tokens bigint"
+    return rows.mapInArrow(_build(ranks or _public("byte_bpe_50k.tiktoken"), find), schema)
 
 
 def _apply(ranks):
@@ -351,13 +360,7 @@ def update_by_id(state: DataFrame, edits: DataFrame, ranks: str | None = None) -
     return update(state.join(per, "_id", "left"), ranks)
 
 
-def _digit_runs(texts: pd.Series) -> pd.Series:
-    """Place and replacement of every run, by one pass over each text."""
-    find = re.compile(rb"[0-9]{4,}").finditer
-    return pd.Series([[{"start": m.start(), "end": m.end(), "new": "<num>"} for m in find((t or "").encode())] for t in texts], dtype=object)
-
-
-def masks(text_col: str = "text") -> Column:
-    """Edits that mask every run of four digits and more as <num>, from the text itself."""
-    found = F.pandas_udf(_digit_runs, "array<struct<start: bigint, end: bigint, new: string>>")
-    return found(F.col(text_col).cast("string"))
+def masks() -> Callable[[str | None], list[dict]]:
+    """Edits that mask every run of four digits and more as <num>, by one pass over a text."""
+    runs = re.compile(rb"[0-9]{4,}").finditer
+    return lambda text: [{"start": m.start(), "end": m.end(), "new": "<num>"} for m in runs((text or "").encode())]
