@@ -6,7 +6,8 @@ length-shifted arithmetic: h(ab) = h(a) * B**len(b) + h(b).  So a huge document
 hashed chunk by chunk and its parts may come from anywhere.  Texts of equal
 fingerprint and length are then compared with their group's representative, chunk by
 chunk, in a stream that holds one chunk; texts that differ split their group and the
-comparison runs again, so the result never rests on a hash.
+comparison runs again, so among rows with ids of their own the result never rests on a
+hash.  (Rows that share an id and a fingerprint are taken for one text.)
 
 Hot groups: groups are counted with map-side combine; the small group table is
 replicated over ``SALTS`` when it meets the rows, and a representative is replicated
