@@ -9,15 +9,20 @@ coordinate with a probability equal to their weighted Jaccard similarity.
 
 Joining: texts with equal shingle sets are collapsed first, and each distinct set gets a
 number, in the order of its least id and then its fingerprint; everything below goes by
-that number, so texts that share an id stay apart.  Texts that share a band
-meet their bucket's least number only (a star), and those pairs are verified on the texts
-themselves; a second star around the bucket's most ordinary text joins what the first
-left apart.  After the stars' components are known, the pairs still needed are those of
-a bucket's other components with its largest one and among each other; they are pruned
-by length, by the triangle inequality of the Jaccard distance to the bucket's centre, and
-by the weight of elements that no other text in these buckets has, none of which ever
-loses a pair of similarity >= ``threshold``.  So a group of n near
-copies costs about n pairs a band, and no link that changes a class is lost.
+that number, so texts that share an id stay apart.  Texts that share a band meet their
+bucket's least number only (a star), and those pairs are verified on the texts themselves.
+
+What a star leaves apart is looked for by differences.  The core of a group holds the
+elements that more than half of its texts have; d(x) is the set of elements in which x and
+the core differ.  With r = (1 - t) / (1 + t) and excess(x) = |d(x)| - r |x|, two texts are
+linked at threshold t if and only if excess(x) + excess(y) <= 2 |d(x) & d(y)|.  Pairs for
+which the left side is not above 0 are all linked to the text of least excess, so a second
+star, around that one, joins them.  All others share a difference: the group is dealt anew
+by the differences that texts of several components share, without those that no link can
+rest on (``_partnered``), each text under its rarest ones only, as many as the bound asks for, and parts of the same members are one.  A part
+has at most half of its group's texts, as the core goes by majority; so there are few
+levels, every one costs rows of (text, difference), never pairs of a group, and no link
+that changes a class is lost.
 
 36 bands of 6 rows find a pair of similarity 0.8 with probability 0.99998.
 
@@ -160,15 +165,22 @@ def _weighed(column, k_shingle, weighting):
             yield el, (np.ones(len(el)) if weighting == "set" else c.astype(float))
 
 
-def _elements(k_shingle, weighting):
-    """Each text's elements and weights, to be exploded."""
+def units(weighed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The elements with one for every unit of their (whole) weights: a plain set."""
+    el, n = weighed[0], weighed[1].astype(np.int64)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    el = np.repeat(el, n)
+    return np.where(nth > 0, mix64(el ^ mix64(nth.astype(U))), el)
+
+
+def _differences(k_shingle, weighting):
+    """Elements in which a text and its centre differ."""
 
     def run(batches):
         for batch in batches:
-            rows = list(_weighed(batch.column("_text"), k_shingle, weighting))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([to_signed(e) for e, _ in rows], pa.list_(pa.int64())), pa.array([w for _, w in rows], pa.list_(pa.float64()))],
-                names=["id", "e", "ew"])
+            sides = (_weighed(batch.column(c), k_shingle, weighting) for c in ("_ta", "_tb"))
+            rows = [to_signed(np.setxor1d(units(x), units(y))) for x, y in zip(*sides)]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(rows, pa.list_(pa.int64()))], names=["a", "b", "d"])
 
     return run
 
@@ -211,53 +223,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # texts of bucket members, once for all checks below; both sides grow with the data, so no broadcast
     texts = keep(text.join(ids.hint("merge"), ["_id", "_h"]).dropDuplicates(["id"]).select("id", "_text"), "bucket-texts")
 
-    star = meets.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b"), "w")
-    star = star.groupBy("a", "b").agg(F.first("w").alias("w"))
-    width = reps.select(F.col("id").alias("a"), F.col("_w").alias("wa"))
-    size_ok = lambda x, y: F.least(x, y) >= threshold * F.greatest(x, y) - 1e-9
-    check = lambda pairs, name: keep(_with_texts(pairs, texts).mapInArrow(_verify(shingle, weighting), f"a {kind}, b {kind}, j double"), name)
-    # every star pair is measured: its distance prunes the pairs below
-    measured = check(star.join(width, "a").where(size_ok(F.col("w"), F.col("wa"))).select("a", "b"), "star-pairs")
-    links = measured.where(F.col("j") >= threshold)
-    first = keep(components(links), "star-components")
-
-    state = meets.join(first, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    near = measured.select(F.col("a").alias("c"), F.col("b").alias("id"), "j")
-    state = state.join(near, ["c", "id"], "left").withColumn("d", F.when(F.col("id") == F.col("c"), 0.0).otherwise(1 - F.col("j")))
-    per = state.groupBy("key", "root").count()
-    major = per.groupBy("key").agg(F.max_by("root", "count").alias("major"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1").drop("_roots")
-    state = keep(_salt_join(state, major).select("key", "id", "w", "root", "major", "d", "c"), "bucket-states")
-    # weight that a text has in common with any other one here: no link can cover more of it
-    shown = texts.join(state.select("id").distinct().hint("merge"), "id")
-    shown = shown.mapInArrow(_elements(shingle, weighting), f"id {kind}, e array<bigint>, ew array<double>")
-    each = shown.select("id", F.explode(F.arrays_zip("e", "ew")).alias("p")).select("id", "p.*")
-    single = each.groupBy("e").agg(F.count(F.lit(1)).alias("_m"), F.min("id").alias("id"), F.sum("ew").alias("ew")).where("_m = 1")
-    single = single.groupBy("id").agg(F.sum("ew").alias("_own"))
-    state = state.join(single.hint("merge"), "id", "left").withColumn("s", F.col("w") - F.coalesce("_own", F.lit(0.0))).drop("_own")
-    # a link with a text of weight v needs threshold / (1 + threshold) * (w + v) in common, and v >= threshold * w
-    state = keep(state.where(F.col("s") >= threshold * F.col("w") - 1e-9), "linkable")
-    common = lambda w, s, v, t: F.least(s, t) >= threshold / (1 + threshold) * (w + v) - 1e-9
-    # a second star: its centre is the text with the least weight of its own, near the middle of a group
-    own = F.struct((1 - F.col("s") / F.col("w")).alias("own"), "id", "root", "w", "s")
-    best = state.groupBy("key").agg(F.min(own).alias("b")).select("key", F.col("b.id").alias("x"), F.col("b.root").alias("rx"), F.col("b.w").alias("wx"), F.col("b.s").alias("sx"))
-    second = _salt_join(state, best).where("root <> rx").where(size_ok(F.col("w"), F.col("wx"))).where(common(F.col("w"), F.col("s"), F.col("wx"), F.col("sx")))
-    second = check(second.select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct(), "second-star")
-    links = keep(links.unionByName(second.where(F.col("j") >= threshold)), "star-links")
-    roots = keep(components(links), "second-components")
-    state = state.drop("root", "major").join(roots.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id"))
-    major = state.groupBy("key", "root").count().groupBy("key").agg(F.max_by("root", "count").alias("major"), F.count(F.lit(1)).alias("_roots"))
-    state = keep(_salt_join(state, major.where("_roots > 1").drop("_roots")), "open-buckets")
-    minor = state.where("root <> major").select("key", F.col("id").alias("x"), F.col("w").alias("wx"), F.col("root").alias("rx"), F.col("d").alias("dx"), F.col("s").alias("sx"))
-    # d is null where the lengths alone rule a link with the centre out; nothing is known then
-    far = F.abs(F.col("d") - F.col("dx")) > 1 - threshold + 1e-9
-    more = minor.join(state, "key").where("root <> rx").where(common(F.col("w"), F.col("s"), F.col("wx"), F.col("sx"))).where(size_ok(F.col("w"), F.col("wx"))).where(~F.coalesce(far, F.lit(False)))
-    more = more.where("id <> c AND x <> c").select(F.least("id", "x").alias("a"), F.greatest("id", "x").alias("b")).distinct()
-    more = check(more, "other-pairs")
-    links = links.unionByName(more.where(F.col("j") >= threshold)).select("a", "b")
-    links = keep(links.distinct(), "links")
-    classes = components(links)
+    groups = keep(meets.select(F.col("c").alias("g"), "c", "id", "w").distinct(), "groups")
+    pair = "a bigint, b bigint, "
+    links, roots = None, None
+
+    def join_stars(groups):
+        """Links of the groups' stars, and the components of all links."""
+        star = _with_texts(_star(groups, roots, threshold), texts).mapInArrow(_verify(shingle, weighting), pair + "j double")
+        star = star.where(F.col("j") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        found = keep(star if links is None else links.unionByName(star).distinct(), "links")
+        return found, keep(components(found), "components")
+
+    links, roots = join_stars(groups)
+    while not (rows := keep(_open(groups, roots), "open-groups")).isEmpty():
+        apart = rows.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
+        apart = _with_texts(apart, texts).mapInArrow(_differences(shingle, weighting), pair + "d array<bigint>")
+        rows = keep(_to_core(rows, apart, threshold), "differences")
+        middle = rows.groupBy("g").agg(F.min(F.struct("excess", "id")).alias("m")).select("g", F.col("m.id").alias("c"))
+        links, roots = join_stars(_salt_join(rows.select("g", "id", "w"), middle, ["g"]))
+        groups = keep(_parts(rows, roots), "parts")
+        if groups.isEmpty():
+            break
+        links, roots = join_stars(groups)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("_links"))
-    of_rep = reps.select(*same, "id", "_rep", "_n").join(classes, "id", "left").join(degree, "id", "left")
+    of_rep = reps.select(*same, "id", "_rep", "_n").join(roots, "id", "left").join(degree, "id", "left")
     of_rep = of_rep.select(*same, "id", "_rep", F.coalesce("root", "id").alias("_class"), "_n", F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links"))
     of_rep = keep(of_rep, "classes")
     # a class is named by the least id of its first set
@@ -271,6 +260,76 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out
 
 
+def _with_roots(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    if roots is None:
+        return groups.withColumn("root", F.col("id"))
+    return groups.join(roots.hint("merge"), "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def _star(groups: DataFrame, roots: DataFrame | None, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a centre and a member of another component whose sizes allow a link."""
+    rows = _with_roots(groups, roots)
+    centre = rows.where("id = c").select("g", F.col("root").alias("rc"), F.col("w").alias("wc"))
+    rows = _salt_join(rows, centre, ["g"]).where("id <> c AND root <> rc")
+    rows = rows.where(F.least("w", "wc") >= threshold * F.greatest("w", "wc") - 1e-9)
+    return rows.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
+
+
+def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the groups that hold more than one component."""
+    rows = _with_roots(groups, roots)
+    several = rows.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("g", "n")
+    return _salt_join(rows, several, ["g"]).select("g", "c", "id", "w", "n")
+
+
+def _to_core(rows: DataFrame, apart: DataFrame, threshold: float) -> DataFrame:
+    """(g, id, w, d, excess): differences ``d`` to the group's core, from those to its centre."""
+    apart = apart.select(F.col("a").alias("c"), F.col("b").alias("id"), "d")
+    rows = rows.hint("merge").join(apart, ["c", "id"], "left").withColumn("d", F.coalesce("d", F.array().cast("array<bigint>")))
+    rows = keep(rows.select("g", "id", "w", "n", "d"), "differences-to-centre")
+    # where most texts differ from the centre, the core does too; a group has few of these, as each stands for n / 2 rows
+    most = rows.select("g", "n", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
+    most = most.where("2 * m > n").groupBy("g").agg(F.collect_list("e").alias("turned"))
+    rows = _salt_join(rows, most, ["g"], "left")
+    turned = F.concat(F.array_except("d", "turned"), F.array_except("turned", "d"))
+    rows = rows.withColumn("d", F.when(F.col("turned").isNull(), F.col("d")).otherwise(turned))
+    return rows.select("g", "id", "w", "d", (F.size("d") - (1 - threshold) / (1 + threshold) * F.col("w")).alias("excess"))
+
+
+def _partnered(each: DataFrame) -> DataFrame:
+    """Rows (text, difference) but those that no other text with this difference can be linked over.
+
+    A text has at most the differences here in common with another one, so a link of x and y
+    needs excess(x) <= offer(y) and excess(y) <= offer(x), where offer is twice their number
+    less the excess.  Rows of a linked pair keep each other, however often this is applied.
+    """
+    here = F.count(F.lit(1)).over(Window.partitionBy("g", "id"))
+    each = keep(each.withColumn("offer", 2 * here - F.col("excess")), "offers")
+    per = each.groupBy("g", "e").agg(F.min("excess").alias("low"), F.max("offer").alias("high"), F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    per = per.where("r0 <> r1").select("g", "e", "low", "high", "n")
+    both = _salt_join(each, per, ["g", "e"]).where("excess <= high + 1e-9 AND low <= offer + 1e-9")
+    return keep(both, "partnered")
+
+
+def _parts(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Groups (g, c, id, w) of texts that share a difference, wherever a link may still be missing."""
+    each = _with_roots(rows, roots).select("g", "id", "w", "root", "excess", F.explode("d").alias("e"))
+    names, before = each.columns, None
+    each = _partnered(each)
+    while (n := each.count()) and (before is None or n < 0.9 * before):
+        before = n
+        each = _partnered(each.select(*names))
+    # no link needs less in common than this; differences from this one on, the rarest first
+    own = Window.partitionBy("g", "id")
+    rest = F.count(F.lit(1)).over(own.orderBy(F.desc("n"), F.desc("e")))
+    rare = each.withColumn("need", (F.col("excess") + F.min("low").over(own)) / 2 - 1e-9).withColumn("rest", rest)
+    rare = keep(rare.where("rest >= need").select(*names), "shared-differences")
+    part = rare.groupBy("g", "e").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("r0"), F.max("root").alias("r1"), F.bit_xor(F.xxhash64("id")).alias("h1"),
+                                      F.bit_xor(F.xxhash64("id", F.lit(1))).alias("h2"), F.min(F.struct((F.col("excess") / F.col("w")).alias("x"), "id")).alias("m")).where("r0 <> r1")
+    part = part.groupBy("n", "h1", "h2").agg(F.min(F.struct("g", "e", F.col("m.id").alias("c"))).alias("p")).select("p.*")
+    return _salt_join(rare, part, ["g", "e"]).select(F.xxhash64("g", "e").alias("g"), "c", "id", "w")
+
+
 def with_fingerprints(docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, weighting: str = "set") -> DataFrame:
     """``docs`` with the columns ``SAME`` that ``near_duplicates`` finds for their texts."""
 
@@ -294,8 +353,11 @@ def _salt_join(big: DataFrame, small: DataFrame, keys=("key",), how: str = "inne
     return big.withColumn("_s", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")).join(small.hint("merge"), [*keys, "_s"], how).drop("_s")
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, both texts)."""
-    left = texts.select(F.col("id").alias("a"), F.col("_text").alias("_ta"))
+def _with_texts(pairs: DataFrame, texts: DataFrame, per_slot: int = 64) -> DataFrame:
+    """(a, b, both texts); a centre ``a`` of many pairs has a slot, and its text, for about every ``per_slot``."""
+    slots = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / per_slot).cast("int").alias("_n"))
+    left = texts.select(F.col("id").alias("a"), F.col("_text").alias("_ta")).join(slots.hint("merge"), "a")
+    left = left.select("a", "_ta", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_slot"))
+    dealt = _salt_join(pairs, slots, ["a"], by="b").select("a", "b", F.pmod(F.xxhash64("b", F.lit(1)), F.col("_n")).cast("int").alias("_slot"))
     right = texts.select(F.col("id").alias("b"), F.col("_text").alias("_tb"))
-    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").select("a", "b", "_ta", "_tb")
+    return dealt.hint("merge").join(left, ["a", "_slot"]).hint("merge").join(right, "b").select("a", "b", "_ta", "_tb")

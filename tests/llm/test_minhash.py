@@ -96,6 +96,59 @@ def test_different_texts_that_share_an_id(spark):
     assert ask([(7, x), (7, x + " z"), (8, x)]) == [(7, 7, 3, False), (7, 7, 3, True), (8, 7, 3, False)]
 
 
+def test_links_that_only_shared_differences_show(spark):
+    """Families of changes to one text: links between them that no star around the first text finds."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(120)]
+    rows, n = [(0, " ".join(base))], 1
+    for _ in range(25):
+        family = list(base)
+        for _ in range(rng.randint(3, 7)):  # far enough from the first text, near each other
+            family[rng.randrange(len(family))] = word()
+        for _ in range(rng.randint(1, 5)):
+            text = list(family)
+            for _ in range(rng.randint(0, 2)):
+                text[rng.randrange(len(text))] = word()
+            rows.append((n, " ".join(text)))
+            n += 1
+    rng.shuffle(rows)
+    out = check(spark, rows)
+    assert 2 < len({r.class_id for r in out}) < len(rows)
+
+
+def test_rows_grow_with_a_group_not_with_its_square(spark, monkeypatch):
+    """Copies of one text, each with changes of its own, that are no links of each other."""
+    from evhist.llm import minhash as M
+
+    def most(n):
+        rng = random.Random(n)
+        word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+        base = [word() for _ in range(60)]
+        rows = []
+        for i in range(n):
+            text = list(base)
+            for at in rng.sample(range(60), 3):
+                text[at] = word()
+            rows.append((i, " ".join(text)))
+        sizes = {}
+
+        def counted(df, name, keep=M.keep):
+            out = keep(df, name)
+            sizes[name] = max(sizes.get(name, 0), out.count())
+            return out
+
+        with monkeypatch.context() as m:
+            m.setattr(M, "keep", counted)
+            out = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r.doc_id: r.class_id for r in out} == brute(rows)
+        return sizes
+
+    few, many = most(250), most(1000)
+    for name, size in many.items():
+        assert size <= 6 * max(few.get(name, 0), 1000), (name, few.get(name), size)
+
+
 @pytest.mark.parametrize("weights", ["ones", "counts", "reals"])
 def test_coordinates_agree_as_often_as_the_sets_are_alike(weights):
     rng = np.random.default_rng(5)
