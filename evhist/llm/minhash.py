@@ -9,20 +9,28 @@ coordinate with a probability equal to their weighted Jaccard similarity.
 
 Joining: texts with equal shingle sets are collapsed first, and each distinct set gets a
 number, in the order of its least id and then its fingerprint; everything below goes by
-that number, so texts that share an id stay apart.  Texts that share a band meet their
-bucket's least number only (a star), and those pairs are verified on the texts themselves.
-
-What a star leaves apart is looked for by differences.  The core of a group holds the
-elements that more than half of its texts have; d(x) is the set of elements in which x and
-the core differ.  With r = (1 - t) / (1 + t) and excess(x) = |d(x)| - r |x|, two texts are
-linked at threshold t if and only if excess(x) + excess(y) <= 2 |d(x) & d(y)|.  Pairs for
-which the left side is not above 0 are all linked to the text of least excess, so a second
-star, around that one, joins them.  All others share a difference: the group is dealt anew
-by the differences that texts of several components share, without those that no link can
-rest on (``_partnered``), each text under its rarest ones only, as many as the bound asks for, and parts of the same members are one.  A part
-has at most half of its group's texts, as the core goes by majority; so there are few
-levels, every one costs rows of (text, difference), never pairs of a group, and no link
-that changes a class is lost.
+that number, so texts that share an id stay apart.  Texts that share a band form a group
+around its centre, the least number, and the texts are read once, each with its centre's
+(a star), to verify that pair and to write down the elements in which the two differ.
+
+All other links are found from those differences alone.  For any set that all texts of a
+group are compared with, let d(x) be the elements in which x and that set differ.  With
+r = (1 - t) / (1 + t) and excess(x) = |d(x)| - r |x|, two texts are linked at threshold t
+if and only if excess(x) + excess(y) <= 2 |d(x) & d(y)|.
+
+A group of at most ``GROUP_TEXTS`` texts and ``GROUP_DIFFERENCES`` differences is one row
+for one task: a search from text to text through an index of the differences meets each
+text once and writes a forest of links (``forest``).
+
+A larger group is dealt anew until its parts are that small.  Its core holds the elements
+that more than half of its texts have, and d(x) is taken to the core.  Pairs for which the
+sum of excesses is not above 0 are all linked to the text of least excess, so a second
+star, around that one, joins them.  All others share a difference: the group is dealt by
+the differences that texts of several components share, without those that no link can
+rest on (``_partnered``), each text under its rarest ones only, as many as the bound asks
+for, and parts of the same members are one.  A part has at most half of its group's texts,
+as the core goes by majority; so there are few levels, every one costs rows of (text,
+difference), never pairs of a group.  Either way no link that changes a class is lost.
 
 36 bands of 6 rows find a pair of similarity 0.8 with probability 0.99998.
 
@@ -49,6 +57,7 @@ BANDS, ROWS = 36, 6
 SHINGLE, THRESHOLD = 5, 0.8
 U = np.uint64
 SAME = ["_w", "_f0", "_f1"]  # the fingerprint of a shingle set
+GROUP_TEXTS, GROUP_DIFFERENCES = 4096, 1 << 18  # what one task takes as a whole: some MB, about a second
 
 
 def elements(hashes: np.ndarray, doc: np.ndarray, weighting: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -174,13 +183,77 @@ def units(weighed: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def _differences(k_shingle, weighting):
-    """Elements in which a text and its centre differ."""
+    """Similarity of a text and its centre, and the elements in which they differ."""
 
     def run(batches):
         for batch in batches:
-            sides = (_weighed(batch.column(c), k_shingle, weighting) for c in ("_ta", "_tb"))
-            rows = [to_signed(np.setxor1d(units(x), units(y))) for x, y in zip(*sides)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(rows, pa.list_(pa.int64()))], names=["a", "b", "d"])
+            sims, rows = [], []
+            for x, y in zip(*(_weighed(batch.column(c), k_shingle, weighting) for c in ("_ta", "_tb"))):
+                sims.append(similarity(x, y))
+                rows.append(to_signed(np.setxor1d(units(x), units(y), assume_unique=True)))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64()), pa.array(rows, pa.list_(pa.int64()))], names=["a", "b", "j", "d"])
+
+    return run
+
+
+def forest(weight: np.ndarray, root: np.ndarray, d: np.ndarray, owner: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """Links (i, j) that join a group's texts into classes; texts of one ``root`` are joined already.
+
+    Text ``owner[k]`` differs from a common set in element ``d[k]``.  Each text is looked up
+    once, and counts what it shares with those not reached yet.
+    """
+    n = len(weight)
+    element, d = np.unique(d, return_inverse=True)
+    most = np.flatnonzero(2 * np.bincount(d, minlength=len(element)) > n)
+    if len(most):  # where most texts differ, the others shall
+        turned = np.zeros((len(most), n), bool)
+        at = np.isin(d, most)
+        turned[np.searchsorted(most, d[at]), owner[at]] = True
+        which, other = np.nonzero(~turned)
+        d, owner = np.concatenate([d[~at], most[which]]), np.concatenate([owner[~at], other])
+    excess = np.bincount(owner, minlength=n) - (1 - threshold) / (1 + threshold) * weight - 5e-10
+    shared = np.bincount(d, minlength=len(element))[d] > 1 if len(d) else np.zeros(0, bool)
+    d, owner = d[shared], owner[shared]
+    posting = owner[np.argsort(d, kind="stable")]
+    ends = np.cumsum(np.bincount(d, minlength=len(element)))
+    own = d[np.argsort(owner, kind="stable")]
+    first = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=n))])
+    _, part = np.unique(root, return_inverse=True)
+    members = np.split(np.argsort(part, kind="stable"), np.cumsum(np.bincount(part))[:-1])
+    left, links = np.ones(n, bool), []
+    for seed in np.argsort(excess, kind="stable"):
+        if not left[seed]:
+            continue
+        queue = [int(i) for i in members[part[seed]]]
+        left[queue] = False
+        while queue and left.any():
+            x = queue.pop()
+            lists = [posting[(ends[e - 1] if e else 0) : ends[e]] for e in own[first[x] : first[x + 1]]]
+            common = np.bincount(np.concatenate(lists), minlength=n) if lists else 0
+            found = np.flatnonzero(left & (excess + excess[x] <= 2 * common))
+            for p, at in zip(*np.unique(part[found], return_index=True)):
+                links.append((x, int(found[at])))
+                queue += [int(i) for i in members[p]]
+                left[members[p]] = False
+    return links
+
+
+def _forests(threshold):
+    """Links of whole groups, a row each."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for texts in batch.column("texts"):
+                texts = texts.values
+                ids, weight, root = (texts.field(c).to_numpy(zero_copy_only=False) for c in ("id", "w", "root"))
+                lists = texts.field("d")
+                sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+                links = forest(weight, root, lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), sizes), threshold)
+                if links:
+                    pairs = ids[np.array(links)]
+                    a.append(pairs.min(1)), b.append(pairs.max(1))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
     return run
 
@@ -195,7 +268,7 @@ def _verify(k_shingle, weighting):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", fingerprint: bool = False) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, shingle: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", fingerprint: bool = False, group_texts: int = GROUP_TEXTS, group_differences: int = GROUP_DIFFERENCES) -> DataFrame:
     """id, class_id (least id of the class), class_size, n_links, kept of every row.
 
     ``weighting`` "set" weighs each distinct shingle 1 (plain Jaccard), "count" by its
@@ -203,6 +276,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     class: pairs inside a component already found are not looked at, so it is no count
     of all partners at ``threshold``.
     ``fingerprint`` adds the columns ``SAME``, which tell apart rows that share an id.
+    ``group_texts`` and ``group_differences`` bound what one task takes as a whole; the result
+    does not depend on them, but for ``n_links``.
     """
     text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("binary").alias("_text")).withColumn("_h", F.xxhash64("_text"))
     kind = dict(text.dtypes)["_id"]
@@ -223,28 +298,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # texts of bucket members, once for all checks below; both sides grow with the data, so no broadcast
     texts = keep(text.join(ids.hint("merge"), ["_id", "_h"]).dropDuplicates(["id"]).select("id", "_text"), "bucket-texts")
 
-    groups = keep(meets.select(F.col("c").alias("g"), "c", "id", "w").distinct(), "groups")
-    pair = "a bigint, b bigint, "
-    links, roots = None, None
-
-    def join_stars(groups):
-        """Links of the groups' stars, and the components of all links."""
-        star = _with_texts(_star(groups, roots, threshold), texts).mapInArrow(_verify(shingle, weighting), pair + "j double")
-        star = star.where(F.col("j") >= threshold).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        found = keep(star if links is None else links.unionByName(star).distinct(), "links")
-        return found, keep(components(found), "components")
-
-    links, roots = join_stars(groups)
+    groups = meets.select(F.col("c").alias("g"), "c", "id", "w").distinct()
+    links, roots = sig.sparkSession.createDataFrame([], "a bigint, b bigint"), None
     while not (rows := keep(_open(groups, roots), "open-groups")).isEmpty():
         apart = rows.where("id <> c").select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
-        apart = _with_texts(apart, texts).mapInArrow(_differences(shingle, weighting), pair + "d array<bigint>")
-        rows = keep(_to_core(rows, apart, threshold), "differences")
-        middle = rows.groupBy("g").agg(F.min(F.struct("excess", "id")).alias("m")).select("g", F.col("m.id").alias("c"))
-        links, roots = join_stars(_salt_join(rows.select("g", "id", "w"), middle, ["g"]))
-        groups = keep(_parts(rows, roots), "parts")
-        if groups.isEmpty():
+        apart = _with_texts(apart, texts).mapInArrow(_differences(shingle, weighting), "a bigint, b bigint, j double, d array<bigint>")
+        rows = keep(_to_centre(rows, apart), "differences-to-centre")
+        size = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("d")).alias("m"))
+        large = keep(size.where((F.col("n") > group_texts) | (F.col("m") > group_differences)).select("g"), "large-groups")
+        whole = rows.where("n > 2").join(large, "g", "left_anti").groupBy("g").agg(F.collect_list(F.struct("id", "w", "root", "d")).alias("texts"))
+        links = links.unionByName(whole.mapInArrow(_forests(threshold), "a bigint, b bigint"))
+        last = large.isEmpty()
+        star = rows.where("n = 2")
+        if not last:
+            rows = keep(_salt_join(rows.where("n > 2"), large, ["g"]), "large-differences")
+            star = star.unionByName(rows)
+        star = star.where(F.col("j") >= threshold)
+        links = links.unionByName(star.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")))
+        if not last:
+            rows = keep(_to_core(rows, threshold), "differences")
+            middle = rows.groupBy("g").agg(F.min(F.struct("excess", "id")).alias("m")).select("g", F.col("m.id").alias("c"))
+            star = _star(_salt_join(rows.select("g", "id", "w"), middle, ["g"]), roots, threshold)
+            star = _with_texts(star, texts).mapInArrow(_verify(shingle, weighting), "a bigint, b bigint, j double").where(F.col("j") >= threshold)
+            links = links.unionByName(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
+        links = keep(links.distinct(), "links")
+        roots = keep(components(links), "components")
+        if last:
             break
-        links, roots = join_stars(groups)
+        groups = keep(_parts(rows, roots), "parts")
+    if roots is None:
+        roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("_links"))
     of_rep = reps.select(*same, "id", "_rep", "_n").join(roots, "id", "left").join(degree, "id", "left")
     of_rep = of_rep.select(*same, "id", "_rep", F.coalesce("root", "id").alias("_class"), "_n", F.coalesce("_links", F.lit(0)).cast("bigint").alias("_links"))
@@ -275,18 +358,22 @@ def _star(groups: DataFrame, roots: DataFrame | None, threshold: float) -> DataF
     return rows.select(F.col("c").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _open(groups: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the groups that hold more than one component."""
+def _open(groups: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Members of the groups that hold more than one component, with their number n and root."""
     rows = _with_roots(groups, roots)
     several = rows.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo <> hi").select("g", "n")
-    return _salt_join(rows, several, ["g"]).select("g", "c", "id", "w", "n")
+    return _salt_join(rows, several, ["g"]).select("g", "c", "id", "w", "n", "root")
+
+
+def _to_centre(rows: DataFrame, apart: DataFrame) -> DataFrame:
+    """``rows`` with similarity and differences to their centre (a pair's similarity says all)."""
+    apart = apart.select(F.col("a").alias("c"), F.col("b").alias("id"), "j", "d")
+    none = F.array().cast("array<bigint>")
+    return rows.hint("merge").join(apart, ["c", "id"], "left").withColumn("d", F.when((F.col("n") == 2) | F.col("d").isNull(), none).otherwise(F.col("d")))
 
 
-def _to_core(rows: DataFrame, apart: DataFrame, threshold: float) -> DataFrame:
+def _to_core(rows: DataFrame, threshold: float) -> DataFrame:
     """(g, id, w, d, excess): differences ``d`` to the group's core, from those to its centre."""
-    apart = apart.select(F.col("a").alias("c"), F.col("b").alias("id"), "d")
-    rows = rows.hint("merge").join(apart, ["c", "id"], "left").withColumn("d", F.coalesce("d", F.array().cast("array<bigint>")))
-    rows = keep(rows.select("g", "id", "w", "n", "d"), "differences-to-centre")
     # where most texts differ from the centre, the core does too; a group has few of these, as each stands for n / 2 rows
     most = rows.select("g", "n", F.explode("d").alias("e")).groupBy("g", "e").agg(F.count(F.lit(1)).alias("m"), F.first("n").alias("n"))
     most = most.where("2 * m > n").groupBy("g").agg(F.collect_list("e").alias("turned"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from evhist.llm.components import components
-from evhist.llm.minhash import dart_minhash, near_duplicates, similarity
+from evhist.llm.minhash import THRESHOLD, dart_minhash, forest, near_duplicates, similarity
 
 from .conftest import SF01
 
@@ -117,6 +117,58 @@ def test_links_that_only_shared_differences_show(spark):
     assert 2 < len({r.class_id for r in out}) < len(rows)
 
 
+def families(rng, n_families=14, length=120):
+    """Changes to one text: families far from it, near each other."""
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    base = [word() for _ in range(length)]
+    out = [base]
+    for _ in range(n_families):
+        family = list(base)
+        for _ in range(rng.randint(2, 7)):
+            family[rng.randrange(length)] = word()
+        for _ in range(rng.randint(1, 5)):
+            text = list(family)
+            for _ in range(rng.randint(0, 2)):
+                text[rng.randrange(length)] = word()
+            out.append(text)
+    return out
+
+
+@pytest.mark.parametrize("bounds", [(0, 0), (6, 1 << 18), (4096, 150)])
+def test_groups_beyond_one_task(spark, bounds):
+    """Groups dealt anew by differences give the classes of groups searched as a whole."""
+    rows = list(enumerate(" ".join(t) for t in families(random.Random(17))))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = near_duplicates(df, group_texts=bounds[0], group_differences=bounds[1]).collect()
+    want = brute(rows)
+    assert {r.doc_id: r.class_id for r in out} == want and 1 < len(set(want.values())) < len(rows)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_forest_against_all_pairs(seed):
+    rng = random.Random(seed)
+    sets = [frozenset(hash(tuple(t[i : i + 5])) for i in range(len(t) - 4)) for t in families(rng, 1 + seed, rng.choice([30, 60, 120]))]
+    sets = list(dict.fromkeys(sets))
+    # any set will do to compare with: a member, another member, none at all
+    core = [sets[0], sets[-1], frozenset()][seed % 3]
+    diff = [sorted(s ^ core) for s in sets]
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in diff])
+    joined = np.array([0 if i < 2 and seed % 2 else i for i in range(len(sets))])
+    links = forest(np.array([len(s) for s in sets], float), joined, np.array([e for x in diff for e in x], np.int64), owner, THRESHOLD)
+
+    def classes(pairs):
+        root = list(range(len(sets)))
+        for a, b in pairs:
+            a, b = root[a], root[b]
+            root = [a if r == b else r for r in root]
+        return [root.index(r) for r in root]
+
+    alike = [(i, j) for i, x in enumerate(sets) for j, y in enumerate(sets) if i < j and len(x & y) >= THRESHOLD * len(x | y)]
+    before = [(0, int(i)) for i in np.flatnonzero(joined == 0)]
+    assert set(tuple(sorted(p)) for p in links) <= set(alike)
+    assert classes(links + before) == classes(alike + before)
+
+
 def test_rows_grow_with_a_group_not_with_its_square(spark, monkeypatch):
     """Copies of one text, each with changes of its own, that are no links of each other."""
     from evhist.llm import minhash as M
