@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -136,6 +137,27 @@ def merge(unit: str, score: dict[str, tuple[float, int]], of_byte: list[int]) ->
     return out
 
 
+def merge_short(unit: str, rank: dict[str, float], id_of: dict[str, int], of_byte: list[int]) -> list[int]:
+    """``merge`` of a short unit without a queue: segments and scores of neighbours as plain lists."""
+    parts, get = list(unit), rank.get
+    pairs = [get(a + b, NO_EDGE) for a, b in zip(parts, parts[1:])]
+    while pairs and (best := max(pairs)) > NO_EDGE:
+        i = pairs.index(best)  # the leftmost of equals
+        parts[i] = now = parts[i] + parts.pop(i + 1)
+        del pairs[i]
+        if i < len(pairs):
+            pairs[i] = get(now + parts[i + 1], NO_EDGE)
+        if i:
+            pairs[i - 1] = get(parts[i - 1] + now, NO_EDGE)
+    out = []
+    for p in parts:
+        if p in id_of:
+            out.append(id_of[p])
+        else:
+            out += [of_byte[b] for b in p.encode()]
+    return out
+
+
 UNITS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -143,17 +165,37 @@ def units_of(text: str) -> list[str]:
     return UNITS.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
-def decoder(names: list[str], of_byte: list[int]):
-    """ids -> text, the mark as a space and the first one dropped; broken bytes as U+FFFD."""
+def spelling(names: list[str], of_byte: list[int]) -> pa.Array:
+    """The bytes that every id stands for, the mark as a space."""
     raw = [n.replace(MARK, " ").encode() for n in names]
     for b, i in enumerate(of_byte):
         raw[i] = bytes([b])
+    return pa.array(raw, pa.large_binary())
+
+
+def decoded(ids: np.ndarray, cuts: np.ndarray, spelt: pa.Array) -> list[bytes]:
+    """The bytes of the ids of every row, which ``cuts`` parts; the first space is dropped."""
+    _, offsets, data = spelt.take(pa.array(ids)).buffers()
+    at = np.frombuffer(offsets, np.int64)[cuts].tolist() if len(ids) else [0] * len(cuts)
+    data = data.to_pybytes() if data is not None else b""
+    return [data[a + (data[a : min(a + 1, b)] == b" ") : b] for a, b in zip(at, at[1:])]
+
+
+class Units(dict):
+    """Ids of units as bytes (4 little-endian ones each): the common ones and up to MEMORY others."""
 
-    def decode(ids) -> str:
-        text = b"".join(map(raw.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+    def __init__(self, score, of_byte):
+        self.score, self.of_byte, self.common = score, of_byte, {}
+        self.rank, self.id_of = {p: s for p, (s, _) in score.items()}, {p: i for p, (_, i) in score.items()}
 
-    return decode
+    def __missing__(self, unit):
+        if len(self) >= MEMORY + len(self.common):
+            self.clear()
+            self.update(self.common)
+        short = len(unit) <= LONGEST_UNIT
+        ids = merge_short(unit, self.rank, self.id_of, self.of_byte) if short else merge(unit, self.score, self.of_byte)
+        got = self[unit] = array("i", ids).tobytes()
+        return got
 
 
 _LOADED: dict = {}
@@ -162,34 +204,24 @@ _LOADED: dict = {}
 def _load(model):
     if model not in _LOADED:
         usable, of_byte, names = piece_table(model)
-        _LOADED[model] = ({p: (s, i) for p, i, s in usable}, of_byte, decoder(names, of_byte), {})
+        _LOADED[model] = (Units({p: (s, i) for p, i, s in usable}, of_byte), spelling(names, of_byte))
     return _LOADED[model]
 
 
 def _encode(model, common, with_ids):
     def run(batches):
-        score, of_byte, decode, memory = _load(model)
+        units, spelt = _load(model)
+        units.common = common
+        units.update(common)
         for batch in batches:
-            count, crc, same, all_ids = [], [], [], []
-            for text in batch.column("_text").to_pylist():
-                text, ids = text or "", []
-                for unit in units_of(text):
-                    got = common.get(unit)
-                    if got is None:
-                        got = memory.get(unit)
-                        if got is None:
-                            got = merge(unit, score, of_byte)
-                            if len(memory) >= MEMORY:
-                                memory.clear()
-                            memory[unit] = got
-                    ids += got
-                count.append(len(ids)), crc.append(zlib.crc32(np.array(ids, "<u4").tobytes()))
-                same.append(decode(ids) == text.replace(MARK, " "))
-                if with_ids:
-                    all_ids.append(ids)
-            cols = {"_id": batch.column("_id"), "n_pieces": pa.array(count, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()), "round_trip": pa.array(same, pa.bool_())}
+            texts = [t or "" for t in batch.column("_text").to_pylist()]
+            packed = [b"".join(map(units.__getitem__, units_of(t))) for t in texts]
+            ids = np.frombuffer(b"".join(packed), "<i4")
+            cuts = np.cumsum([0] + [len(p) // 4 for p in packed])
+            same = [d == t.replace(MARK, " ").encode() for d, t in zip(decoded(ids, cuts, spelt), texts)]
+            cols = {"_id": batch.column("_id"), "n_pieces": pa.array(np.diff(cuts), pa.int64()), "ids_crc32": pa.array(map(zlib.crc32, packed), pa.int64()), "round_trip": pa.array(same, pa.bool_())}
             if with_ids:
-                cols["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
+                cols["ids"] = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids, pa.int32()))
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
     return run
@@ -203,16 +235,18 @@ def encode_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     units = rows.where("_text <> ''").select(F.explode(F.regexp_extract_all(marked, F.lit(f"{MARK}+[^{MARK}]*"), F.lit(0))).alias("unit"))
     counted = units.groupBy("unit").count().where(F.length("unit") <= LONGEST_UNIT)
     frequent = keep(counted.orderBy(F.col("count").desc(), "unit").limit(common).select("unit"), "frequent-units")
-    table = {r["unit"]: r["ids"] for r in encode_units(frequent.repartition("unit"), model).collect()}  # ``common`` rows at most
+    table = {r["unit"]: np.array(r["ids"], "<i4").tobytes() for r in encode_units(frequent.repartition("unit"), model).collect()}  # ``common`` rows at most
     schema = f"_id {dict(rows.dtypes)['_id']}, n_pieces bigint, ids_crc32 bigint, round_trip boolean" + ", ids array<int>" * with_ids
     return rows.mapInArrow(_encode(model, table, with_ids), schema).withColumnRenamed("_id", id_col)
 
 
 def _decode(model):
     def run(batches):
-        decode = _load(model)[2]
+        spelt = _load(model)[1]
         for batch in batches:
-            texts = [decode(x or ()) for x in batch.column("_ids").to_pylist()]
+            rows = [x or () for x in batch.column("_ids").to_pylist()]
+            ids = np.array([i for x in rows for i in x], np.int64)
+            texts = [d.decode("utf-8", "replace") for d in decoded(ids, np.cumsum([0] + [len(x) for x in rows]), spelt)]
             yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(texts, pa.string())], names=["_id", "text"])
 
     return run

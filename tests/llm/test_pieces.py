@@ -40,3 +40,39 @@ def test_documents_match_the_library_and_come_back(spark):
     back = {r.doc_id: r.text for r in decode_documents(enc).collect()}
     assert all(back[i] == (t or "").replace(MARK, " ") for i, t in enumerate(texts))
     assert encode_documents(df.limit(0)).count() == 0
+
+
+def test_a_unit_met_again_costs_a_lookup(spark):
+    """Documents of repeated words take little longer than cutting them into units."""
+    import time
+
+    import pyarrow as pa
+
+    from evhist.llm.pieces import _encode
+
+    text = " ".join(f"word{i % 100}" for i in range(200_000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], names=["_id", "_text"])
+
+    def least(job):
+        times = []
+        for _ in range(3):
+            t = time.process_time()
+            job()
+            times.append(time.process_time() - t)
+        return min(times)
+
+    cut = least(lambda: units_of(text))
+    out = next(_encode(MODEL, {}, False)(iter([batch])))
+    assert out.column("n_pieces").to_pylist() == [len(LIB.encode(text))] and out.column("round_trip").to_pylist() == [True]
+    assert least(lambda: list(_encode(MODEL, {}, False)(iter([batch])))) < 2.8 * cut
+
+
+def test_short_units_without_a_queue(spark):
+    from evhist.llm.pieces import merge_short
+
+    rng = random.Random(2)
+    usable, of_byte, _ = piece_table(MODEL)
+    score, rank, id_of = {p: (s, i) for p, i, s in usable}, {p: s for p, _, s in usable}, {p: i for p, i, _ in usable}
+    for _ in range(3000):
+        u = MARK * rng.randint(1, 4) + "".join(rng.choice("etaoinshr;\n{1你🎉\x00") for _ in range(rng.randint(0, 30)))
+        assert merge_short(u, rank, id_of, of_byte) == merge(u, score, of_byte), u
