@@ -3,11 +3,12 @@
 Vectors become integers, floor(1024 * x).  A block of vectors keeps, for every
 dimension, its vectors in order of their component, cut into segments of one quantised
 level.  A query visits the segments of all dimensions by descending quantised impact
-(the most that the level can add to a score) and adds the components it meets to its
-accumulators.  What a vector may still gain is bounded by the impacts of the next
-unvisited segments of the dimensions in which it was not met.  Work on a block stops
-only on proof: when all but a few vectors are bounded below the k-th best exact score
-found so far; these few are rescored exactly.
+(the most that the level can add to a score), so what it has visited of a dimension is
+one end of that dimension's postings.  A vector's bound is the impact of the next
+unvisited segment of every dimension, corrected by the components met.  Work on a block
+stops only on proof: when all but a few vectors are bounded below the k-th best exact
+score found so far; these few are rescored exactly.  Bounds are first taken as deep as
+the block's query before had to go, and one part deeper until the proof holds.
 
 Blocks hold about ``BLOCK`` vectors by hash of vector and id, query blocks ``QUERIES``;
 every block meets every query block (a stated query set against all rows), keyed by
@@ -34,7 +35,7 @@ BLOCK = 4096
 QUERIES = 512
 LEVELS = 32
 RESCORE = 128  # vectors left undecided that are rescored
-TURNS = 8  # bounds are taken after every such part of the postings
+TURNS = 8  # bounds are taken at such parts of the postings
 K = 10
 
 
@@ -56,15 +57,14 @@ class ImpactIndex:
         self.end = np.append(flat[1:], dims * n) - self.dim * n
         low = level[self.dim, self.begin] * step
         self.low, self.high = low, low + step - 1  # what the quantised level admits
-        # postings one dimension after the other: row, component, place in a (row, dimension) table
-        self.rows, self.parts = self.order.ravel(), self.values.ravel().astype(np.float64)
-        self.cells = (self.order.astype(np.int64) * dims + np.arange(dims)[:, None]).ravel()
+        self.order, self.values = self.order.astype(np.int64), self.values.astype(np.float64)
+        self.start = 1  # parts of the postings that the query before needed
 
     def search(self, q: np.ndarray, k: int, barred: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, exact scores) of all possible members of the k best; ``barred`` rows take no part."""
         n, dims = self.x.shape
         most = float(np.abs(self.x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dims
-        if not dims or n <= RESCORE or most >= 2.0**52:  # nothing to save, or past exact doubles
+        if not dims or n <= RESCORE or most >= 2.0**50:  # nothing to save, or bounds past exact doubles
             rows = np.flatnonzero(~barred)
             if most < 2.0**62:
                 return rows, self.x[rows] @ q
@@ -73,26 +73,17 @@ class ImpactIndex:
         impact = np.maximum(weight * self.low, weight * self.high)
         turn = np.argsort(-impact, kind="stable")
         turn = turn[weight[turn] != 0]
-        size = np.cumsum((self.end - self.begin)[turn])
-        acc = np.zeros(n)
-        unseen = np.ones((n, dims))
-        done, theta, part = 0, -np.inf, 1
+        count = (self.end - self.begin)[turn]
+        size = np.cumsum(count)
+        theta, part = -np.inf, self.start
         while True:
-            upto = len(turn) if part >= TURNS or not len(turn) else max(done, int(np.searchsorted(size, size[-1] * part / TURNS)) + 1)
-            upto = min(upto, len(turn))
-            now = turn[done:upto]
-            if len(now):
-                count = self.end[now] - self.begin[now]
-                at = np.repeat(self.dim[now] * n + self.begin[now] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-                acc += np.bincount(self.rows[at], self.parts[at] * np.repeat(exact_q[self.dim[now]], count), n)
-                unseen.reshape(-1)[self.cells[at]] = 0.0
-            done = upto
+            done = len(turn) if part >= TURNS or not len(turn) else min(len(turn), int(np.searchsorted(size, size[-1] * part / TURNS)) + 1)
             rest = np.zeros(dims)  # the most that a dimension can still add
             if done < len(turn):
                 later = turn[done:]
-                first = np.unique(self.dim[later], return_index=True)
-                rest[first[0]] = impact[later[first[1]]]
-            bound = acc + unseen @ rest
+                dim, first = np.unique(self.dim[later], return_index=True)
+                rest[dim] = impact[later[first]]
+            bound = self._bounds(exact_q, np.bincount(self.dim[turn[:done]], count[:done], dims).astype(np.int64), rest)
             bound[barred] = -np.inf
             best = np.argpartition(-bound, min(k, n - 1))[: k + 1]
             best = best[~barred[best]]
@@ -102,9 +93,20 @@ class ImpactIndex:
             members = np.flatnonzero((bound >= theta) & ~barred)
             if len(members) <= RESCORE or done >= len(turn):
                 self.visited = float(size[done - 1] / size[-1]) if done else 0.0  # share of the postings
+                self.start = max(1, min(part, TURNS) - (len(members) <= RESCORE // 8))
                 return members, (self.exact[members] @ exact_q).astype(np.int64)  # exact below 2**53
             part += 1
 
+    def _bounds(self, q: np.ndarray, met: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """What every row can score: ``met[d]`` postings of the dimensions are visited, the best ones of each."""
+        n = len(self.x)
+        ends = [(slice(n - m, n) if w > 0 else slice(m)) for w, m in zip(q.tolist(), met.tolist())]
+        rows = np.concatenate([o[e] for o, e in zip(self.order, ends)])
+        gain = np.concatenate([v[e] for v, e in zip(self.values, ends)])
+        gain *= np.repeat(q, met)
+        gain -= np.repeat(rest, met)
+        return np.bincount(rows, gain, n) + rest.sum()
+
 
 def _pack(name):
     """One row a block: ids and integer components as bytes."""

@@ -100,6 +100,21 @@ def test_bounds_leave_few_vectors_to_rescore(kind):
     assert np.mean(visited) < {"clustered": 0.4, "heavy": 0.6, "dense": 0.95}[kind]  # of the postings, when proof ended the search
 
 
+@pytest.mark.parametrize("kind", ["clustered", "dense"])
+def test_bounds_are_taken_once_or_twice_a_query(kind, monkeypatch):
+    """A block starts as deep as its query before had to go, not at the first part again."""
+    rng = np.random.default_rng(5)
+    x = (rng.normal(size=(40, 64))[rng.integers(40, size=4000)] * 300 + rng.normal(size=(4000, 64)) * 20 if kind == "clustered" else rng.normal(size=(4000, 64)) * 128).astype(np.int64)
+    x[:, 7] = 0
+    index, calls, plain = ImpactIndex(x), [], ImpactIndex._bounds
+    monkeypatch.setattr(ImpactIndex, "_bounds", lambda self, q, met, rest: calls.append(met.sum()) or plain(self, q, met, rest))
+    for i in range(60):
+        q = -x[i] if i % 3 == 0 else x[i] * (np.arange(64) % 5 > 0)
+        rows, score = index.search(q, 10, np.arange(4000) == i)
+        assert np.sort(score)[::-1][:10].tolist() == np.sort(np.delete(x @ q, i))[::-1][:10].tolist()
+    assert len(calls) <= 60 * 2 + 8
+
+
 def test_component_that_does_not_fit_is_an_error(spark):
     df = spark.createDataFrame([(0, [1.0], 1, "z"), (1, [2.0**52], 1, "z")], SCHEMA)
     with pytest.raises(Exception, match="does not fit"):
