@@ -2,22 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import PAGE_SIZE
 from ..sources.landing import RUN_FORMAT
 
+GROUP = ["fetched_city", "ingested_at"]
+STRETCH_ROWS = 250_000
 
-def pages_from_landed(landed: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+
+def numbered(landed: DataFrame, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+    """``landed`` with ``_at``, a row's place from 0 in its (city, run) by ``seq``.
+
+    No (city, run) meets in one task: ``seq`` is cut into stretches of about ``stretch_rows``
+    rows, rows are numbered within (city, run, stretch), and the counts of the stretches
+    before, one row each, are added.
+    """
+    seq = F.coalesce(F.col("seq").cast("double"), F.lit(float("-inf")))  # nulls come first
+    placed = landed.withColumn("_seq", seq)
+    n = -(-landed.count() // stretch_rows)
+    cuts = placed.approxQuantile("_seq", [i / n for i in range(1, n)], 0.25 / n) if n > 1 else []
+    splits = [float("-inf"), *sorted({c for c in cuts if abs(c) < float("inf")}), float("inf")]
+    if len(splits) > 2:
+        placed = Bucketizer(splits=splits, inputCol="_seq", outputCol="_stretch", handleInvalid="keep").transform(placed)
+        placed = placed.withColumn("_stretch", F.col("_stretch").cast("int"))
+    else:
+        placed = placed.withColumn("_stretch", F.lit(0))
+    placed = placed.drop("_seq")
+    part = [*GROUP, "_stretch"]
+    before = Window.partitionBy(*GROUP).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = placed.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
+    ahead = ahead.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(part)], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_ahead"))
+    rows = placed.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy("seq")))
+    same = [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(part)]
+    return rows.join(ahead, same).select(*landed.columns, (F.col("_ahead") + F.col("_rn") - 1).alias("_at"))
+
+
+def pages_from_landed(landed: DataFrame, page_size: int = PAGE_SIZE, payload: Column | None = None) -> DataFrame:
     """Page documents: ``page_size`` observations each, numbered within (city, run).
 
+    ``payload``, if given, is built from the columns of ``landed`` once rows have their
+    page, so that only narrow rows are numbered.
     Output: fetched_city, ingested_at, page_no (from 0), page_text.
     """
-    w = Window.partitionBy("fetched_city", "ingested_at").orderBy("seq")
-    page_no = F.floor((F.row_number().over(w) - 1) / page_size).cast("long")
-    grouped = (landed.withColumn("page_no", page_no)
-               .groupBy("fetched_city", "ingested_at", "page_no")
+    rows = numbered(landed).withColumn("page_no", F.floor(F.col("_at") / page_size).cast("long"))
+    if payload is not None:
+        rows = rows.select("seq", *GROUP, "page_no", payload.alias("payload"))
+    grouped = (rows.groupBy(*GROUP, "page_no")
                .agg(F.array_sort(F.collect_list(F.struct("seq", "payload"))).alias("_items")))
     text = F.concat(F.lit('{"_embedded":{"events":['),
                     F.array_join(F.transform("_items", lambda x: x["payload"]), ","),

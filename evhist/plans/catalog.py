@@ -21,7 +21,7 @@ from ..operators.history import change_flags, dedup_per_run, latest_per_key, ver
 from ..operators.merge import (State, advance, extend_frames, fct_incremental_frame, high_water_mark, merge_frames)
 from ..operators.pit import pit_join, pit_merge
 from ..operators.sketches import daily_sketches, uniques_by_city
-from ..fixture.feed import landed_feed, raw_feed, read_table
+from ..fixture.feed import landed_keys, payload_expr, raw_feed, read_table
 from ..fixture.pages import pages_from_landed
 from ..session import query_scratch
 from ..sources.landing import cap_per_city, documents, land_pages, landed_to_raw
@@ -63,8 +63,8 @@ def q_raw_events(spark, sf_dir):
 
 
 def _landed_pages(spark, sf_dir) -> DataFrame:
-    landed = landed_feed(read_table(spark, sf_dir, "events"))
-    out = land_pages(pages_from_landed(landed))
+    keys = landed_keys(read_table(spark, sf_dir, "events"))
+    out = land_pages(pages_from_landed(keys, payload=payload_expr()))
     return out.withColumn("pos", F.col("pos").cast("long"))
 
 

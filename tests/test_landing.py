@@ -1,13 +1,14 @@
 """Page landing (S1-S3), in-run dedup (S4), partitioned raw append."""
 
 import json
+import re
 
 from fixtures import R1, doc
 from pyspark.sql import functions as F
 
 from conftest import SF001
 from evhist.fixture.feed import landed_feed, raw_feed, read_table
-from evhist.fixture.pages import pages_from_landed, write_pages
+from evhist.fixture.pages import numbered, pages_from_landed, write_pages
 from evhist.sources.landing import (append_raw, bad_pages, cap_per_city, documents, land_pages, landed_to_raw,
                                     read_page_files, read_pages, read_raw)
 
@@ -43,6 +44,22 @@ def test_nothing_is_capped_unless_asked(spark, scratch):
     assert read_pages(spark, f"{scratch}/pages", max_pages=10).count() == 20
 
 
+def test_a_city_and_run_is_numbered_in_several_tasks(spark):
+    seqs = [*range(0, 4000, 3), 7, 7, 7, None, None, -5, 2**62]
+    rows = [(s, c, r, str(i)) for c, r in [("X", R1), ("Y", R1), (None, None)] for i, s in enumerate(seqs)]
+    landed = spark.createDataFrame(rows, "seq long, fetched_city string, ingested_at timestamp_ntz, payload string")
+    out = numbered(landed, stretch_rows=300)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"row_number\(\) windowspecdefinition\(fetched_city#\d+, ingested_at#\d+, _stretch#", plan)
+    got = out.collect()
+    order = sorted(seqs, key=lambda s: (s is not None, s or 0))
+    for city in ("X", "Y", None):
+        mine = sorted((r for r in got if r.fetched_city == city), key=lambda r: r["_at"])
+        assert [r["_at"] for r in mine] == list(range(len(seqs)))
+        assert [r.seq for r in mine] == order
+    assert numbered(landed.limit(0)).count() == 0
+
+
 def test_whole_file_pages_and_bad_pages(spark, scratch):
     import os
 
