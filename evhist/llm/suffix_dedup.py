@@ -19,7 +19,8 @@ smaller id, or earlier in the same text).  All texts are judged as they came in.
 Hot strings: an anchor that repeats within a batch enters the anchor count once per
 batch; equal pieces are sent once per batch; a part holds distinct pieces only, and an
 anchor with more than ``split`` of them (one passage in very many contexts) is dealt out
-again window by window, by the window's own hash.  Parts stream in bounded chunks.
+again window by window, by the window's own hash.  Parts stream in bounded chunks.  Texts
+are shuffled once, deflated one by one, and unpacked a bounded number of bytes at a time.
 
 Defined results: null text is empty; texts below ``length`` bytes stay whole; the order
 of documents is that of their ids, a null id first; rows that share an id are ordered
@@ -30,6 +31,7 @@ result; an empty table gives no rows; other columns are ignored or carried uncha
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,13 +39,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_view, keep, mix64, prefix_hash, span_hash
+from .common import blocks, byte_view, keep, mix64, prefix_hash, span_hash
 
 LENGTH = 100
 GRAM = 40
 SPLIT = 20_000
 CHUNK_BYTES = 2 << 20
 SLICE = 4 << 20  # longer texts are scanned in overlapping slices
+OPEN_BYTES = 8 << 20  # of texts unpacked at a time
 U = np.uint64
 
 ENTRY = np.dtype([("h", "<u8"), ("d", "<i8"), ("s", "<u4"), ("n", "u1")])
@@ -222,19 +225,35 @@ def _runs(value) -> np.ndarray:
     return np.frombuffer(value, RUN) if value else np.zeros(0, RUN)
 
 
+def _packed(batches):
+    """Texts for the shuffle: their size in 8 bytes, then their bytes deflated."""
+    for batch in batches:
+        at = batch.schema.get_field_index("_text")
+        texts = (x.as_buffer() for x in batch.column(at))
+        packed = pa.array([len(t).to_bytes(8, "little") + zlib.compress(t, 1) for t in texts], pa.binary())
+        yield batch.set_column(at, "_text", packed)
+
+
+def _unpacked(batches):
+    """(rows, their texts), as many rows at a time as hold OPEN_BYTES, one at least."""
+    for batch in batches:
+        packed = batch.column("_text").to_pylist()
+        offsets = np.cumsum([0] + [int.from_bytes(x[:8], "little") for x in packed])
+        for i, j in blocks(offsets, OPEN_BYTES):
+            yield batch.slice(i, j - i), [zlib.decompress(x[8:]) for x in packed[i:j]]
+
+
 def _pieces(length):
     """The text of every candidate run, equal ones of a batch once, at their first place."""
 
     def run(batches):
-        for batch in batches:
-            data, offsets = byte_view(batch.column("_text"))
-            raw = data.tobytes()
+        for batch, texts in _unpacked(batches):
             ids = batch.column("_d").to_pylist()
             first: dict = {}
             for r, value in enumerate(batch.column("runs").to_pylist()):
-                d, base = ids[r], int(offsets[r])
+                d, text = ids[r], texts[r]
                 for h, s, n in _runs(value).tolist():
-                    key = (h, raw[base + s : base + s + n - 1 + length])
+                    key = (h, text[s : s + n - 1 + length])
                     was = first.get(key)
                     if was is None or (d, s) < was:
                         first[key] = (d, s)
@@ -479,12 +498,9 @@ def removed_spans(size: int, runs: np.ndarray, kept: list, length: int) -> np.nd
 
 def _cut(length, with_text):
     def run(batches):
-        for batch in batches:
-            data, offsets = byte_view(batch.column("_text"))
-            raw = data.tobytes()
+        for batch, whole in _unpacked(batches):
             size, gone, spans, sha, texts = [], [], [], [], []
-            for r, (runs, kept) in enumerate(zip(batch.column("runs").to_pylist(), batch.column("kept").to_pylist())):
-                text = raw[offsets[r] : offsets[r + 1]]
+            for text, runs, kept in zip(whole, batch.column("runs").to_pylist(), batch.column("kept").to_pylist()):
                 cuts = removed_spans(len(text), _runs(runs), [(x["s"], x["n"]) for x in kept or ()], length)
                 if len(cuts):
                     ends = [0, *cuts[:, 1].tolist()]
@@ -532,13 +548,15 @@ def _plan(docs: DataFrame, id_col, text_col, carry, length, gram, split, with_te
     found = found.repartition("bucket").mapInArrow(_by_document, "d bigint, runs binary")
     found = keep(found, "repeated-runs").select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "runs")
     # both joins below deal out the same columns alike, so Spark reuses one exchange of the texts
-    pieces = texts.join(found, "_d").select("_d", "_text", "runs", *names).mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
+    types = dict(texts.dtypes)
+    packed = texts.mapInArrow(_packed, ", ".join(f"{n} {t}" for n, t in types.items()))
+    packed = packed.select(F.coalesce("_d", F.lit(0).cast("bigint")).alias("_d"), "_text", *names)
+    pieces = packed.join(found, "_d").select("_d", "_text", "runs", *names).mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
     marked = pieces.repartition("h").sortWithinPartitions("h").mapInArrow(_index(length, split), _STAGE4)
     kept = marked.repartition("route").sortWithinPartitions("win").mapInArrow(_first_windows, "d bigint, s bigint, n bigint")
     kept = kept.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("kept")).select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "kept")
-    types = dict(texts.dtypes)
     schema = ", ".join(f"{n} {types[n]}" for n in names) + ", n_bytes bigint, n_removed bigint, n_spans bigint, " + ("kept_text string" if with_text else "kept_sha256 string")
-    joined = texts.join(found, "_d", "left").join(kept, "_d", "left").select(*names, "_text", "runs", "kept")
+    joined = packed.join(found, "_d", "left").join(kept, "_d", "left").select(*names, "_text", "runs", "kept")
     return joined.mapInArrow(_cut(length, with_text), schema), names
 
 

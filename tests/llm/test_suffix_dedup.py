@@ -107,3 +107,19 @@ def test_index_links_and_compresses():
             seen.add(p[i : i + 50])
     d, s, n = kept_windows(places, 50)
     assert {(x, y + i) for x, y, m in zip(d.tolist(), s.tolist(), n.tolist()) for i in range(m)} == want
+
+
+def test_texts_are_shuffled_deflated_and_opened_in_bounded_groups(monkeypatch):
+    import pyarrow as pa
+
+    from evhist.llm import suffix_dedup
+
+    texts = [b"", b"a" * 50_000, "naïve text 你好 ".encode() * 40, b"", bytes(range(256)) * 3, b"a" * 900] * 5
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], names=["_d", "_text"])
+    packed = next(suffix_dedup._packed(iter([batch])))
+    assert sum(map(len, packed.column("_text").to_pylist())) < sum(map(len, texts)) / 10
+    monkeypatch.setattr(suffix_dedup, "OPEN_BYTES", 2000)
+    groups = list(suffix_dedup._unpacked(iter([packed, packed.slice(0, 0)])))
+    assert [t for _, g in groups for t in g] == texts
+    assert [d for b, _ in groups for d in b.column("_d").to_pylist()] == list(range(len(texts)))
+    assert all(len(g) == 1 or sum(map(len, g)) <= 2000 for _, g in groups)
