@@ -551,12 +551,14 @@ def _plan(docs: DataFrame, id_col, text_col, carry, length, gram, split, with_te
     types = dict(texts.dtypes)
     packed = texts.mapInArrow(_packed, ", ".join(f"{n} {t}" for n, t in types.items()))
     packed = packed.select(F.coalesce("_d", F.lit(0).cast("bigint")).alias("_d"), "_text", *names)
+    # (a broadcast would open the texts in the stage that deflates them, with twice the workers at once)
+    found = found.hint("merge")
     pieces = packed.join(found, "_d").select("_d", "_text", "runs", *names).mapInArrow(_pieces(length), "h bigint, piece binary, d bigint, s bigint")
     marked = pieces.repartition("h").sortWithinPartitions("h").mapInArrow(_index(length, split), _STAGE4)
     kept = marked.repartition("route").sortWithinPartitions("win").mapInArrow(_first_windows, "d bigint, s bigint, n bigint")
     kept = kept.groupBy("d").agg(F.collect_list(F.struct("s", "n")).alias("kept")).select(F.coalesce("d", F.lit(0).cast("bigint")).alias("_d"), "kept")
     schema = ", ".join(f"{n} {types[n]}" for n in names) + ", n_bytes bigint, n_removed bigint, n_spans bigint, " + ("kept_text string" if with_text else "kept_sha256 string")
-    joined = packed.join(found, "_d", "left").join(kept, "_d", "left").select(*names, "_text", "runs", "kept")
+    joined = packed.join(found, "_d", "left").join(kept.hint("merge"), "_d", "left").select(*names, "_text", "runs", "kept")
     return joined.mapInArrow(_cut(length, with_text), schema), names
 
 
