@@ -7,11 +7,15 @@ import tempfile
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path, shared_dir
 
 U64 = np.uint64
 
+#: Bytes that a hash table built by the driver and sent to every executor may take.
+REPLICATED = 32 << 20
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Bound the Arrow batches handed to workers, by rows and by bytes."""
@@ -40,6 +44,17 @@ def keep(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def light(table: DataFrame) -> bool:
+    """Whether a stored table takes at most ``REPLICATED`` bytes as a hash table, by its rows and strings.
+
+    Spark goes by the files, which are packed, and takes no account of an explode above them.
+    """
+    fixed = ("bigint", "int", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz")
+    long = [F.coalesce(F.octet_length(F.col(n).cast("string")), F.lit(0)).cast("bigint") for n, t in table.dtypes if t not in fixed]
+    rows, more = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(long, F.lit(0).cast("bigint"))), F.lit(0))).first()
+    return rows * (64 + 16 * len(table.columns)) + 2 * more <= REPLICATED  # keys are held twice
+
+
 def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of all values, n + 1 offsets) of a string or binary Arrow array; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -9,9 +9,11 @@ chunk, in a stream that holds one chunk; texts that differ split their group and
 comparison runs again, so among rows with ids of their own the result never rests on a
 hash.  (Rows that share an id and a fingerprint are taken for one text.)
 
-Hot groups: groups are counted with map-side combine; the small group table is
-replicated over ``SALTS`` when it meets the rows, and a representative is replicated
-once per ``SLOT_BYTES`` of its copies, so no task gets a whole large group.
+Hot groups: groups are counted with map-side combine; the group table goes to every
+executor while it is small as a hash table, and past that bound is replicated over
+``SALTS`` and sorted and shuffled with the rows, so the driver never holds more than the
+bound; a representative is replicated once per ``SLOT_BYTES`` of its copies, so no task
+gets a whole large group.
 
 Defined results: null text is empty; all empty texts are equal; a null id sorts below
 all others; of repeated rows with the same id and text one is kept; an empty table
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import byte_view, keep
+from .common import byte_view, keep, light
 
 CHUNK = 1024
 PRIMES = (2147483647, 2147483629)
@@ -122,11 +124,13 @@ def _compare(batches):
         yield pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
 
 
-def _salted(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
-    """Join rows with a small table of groups; a hot group's rows go to SALTS tasks."""
+def _salted(big: DataFrame, small: DataFrame, keys: list[str], few: bool, how: str = "left") -> DataFrame:
+    """Join rows with a table of groups: of ``few``, rows stay where they are; else a hot group's rows go to SALTS tasks."""
+    if few:
+        return big.join(F.broadcast(small), keys, how)
     big = big.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)))
     small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return big.join(small, [*keys, "_salt"], how).drop("_salt")
+    return big.join(small.hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: dict[str, Column] | None = None, primes: tuple[int, int] = PRIMES) -> DataFrame:
@@ -149,7 +153,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         labelled = fp if split is None else _relabel(fp, split, fkeys)
         groups = labelled.groupBy(*fkeys, "_cls").agg(F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_n"))
         groups = keep(groups.where("_n > 1"), "groups")
-        wrong = keep(_mismatches(full, split, groups, fkeys), "mismatches")
+        few = light(groups)
+        wrong = keep(_mismatches(full, split, groups, fkeys, few), "mismatches")
         if wrong.isEmpty():
             break
         step = wrong.groupBy("_id", *fkeys, "_cls").agg(F.min_by("_sign", "_c").alias("_sign"))
@@ -157,7 +162,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         if split is not None:  # a text split before keeps its path unless it was split again
             step = step.unionByName(split.join(step, ["_id", *fkeys], "left_anti"))
         split = keep(step, "split")
-    out = _salted(labelled, groups, [*fkeys, "_cls"])
+    out = _salted(labelled, groups, [*fkeys, "_cls"], few)
     out = out.withColumn("_keep_id", F.when(F.col("_n").isNull(), F.col("_id")).otherwise(F.col("_keep")))
     out = out.withColumn("_size", F.coalesce("_n", F.lit(1)).cast("long"))
     last = F.col("_id").eqNullSafe(F.col("_keep_id"))
@@ -174,10 +179,10 @@ def _relabel(fp: DataFrame, split: DataFrame, fkeys: list[str]) -> DataFrame:
     return fp.drop("_cls").join(split.distinct(), keys, "left").withColumn("_cls", F.coalesce("_cls", F.lit("")))
 
 
-def _mismatches(full: DataFrame, split: DataFrame | None, groups: DataFrame, fkeys: list[str]) -> DataFrame:
+def _mismatches(full: DataFrame, split: DataFrame | None, groups: DataFrame, fkeys: list[str], few: bool) -> DataFrame:
     """Rows whose text differs from their group's representative, with chunk and sign."""
     texts = full.withColumn("_cls", F.lit("")) if split is None else _relabel(full, split, fkeys)
-    rows = _salted(texts, groups, [*fkeys, "_cls"], "inner")
+    rows = _salted(texts, groups, [*fkeys, "_cls"], few, "inner")
     slots = F.ceil((F.col("_n") * F.col("_bytes") + 1) / F.lit(SLOT_BYTES)).cast("bigint")
     head = F.col("_id").eqNullSafe(F.col("_keep"))
     rows = rows.withColumn("_role", F.when(head, 0).otherwise(1))

@@ -47,3 +47,23 @@ def test_fingerprints_compose_across_chunks():
     for x in data[: 2 * CHUNK + 5].tolist():
         slow = (slow * base + x + 1) % prime
     assert int(fingerprints(data[: 2 * CHUNK + 5], np.array([0, 2 * CHUNK + 5]), base, prime)[0]) == slow
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_groups_reach_the_rows_in_bounded_bytes(spark, monkeypatch, most):
+    """Few groups are replicated as they are, not once a salt; past the bound nothing is replicated."""
+    from evhist.llm import common
+    from evhist.llm import exact_dedup as module
+
+    plans = []
+    monkeypatch.setattr(common, "REPLICATED", most, raising=False)
+    monkeypatch.setattr(module, "keep", lambda df, name: plans.append((name, df._jdf.queryExecution().sparkPlan().toString())) or common.keep(df, name))
+    rows = [(i, f"text {i % 40}") for i in range(120)] + [(None, "text 1"), (500, "alone")]
+    out = exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.keep_id, r.group_size) for r in out.collect()} == {(i, max(j for j, u in rows if u == t and j is not None), sum(u == t for _, u in rows)) for i, t in rows}
+    plans.append(("out", out._jdf.queryExecution().sparkPlan().toString()))
+    for plan in (p for name, p in plans if name in ("mismatches", "out")):
+        if most:
+            assert "BroadcastHashJoin" in plan and "_salt" not in plan
+        else:
+            assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan and "_salt" in plan
