@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evhist.llm.common import keep, prepare
+from evhist.llm.common import keep, light, prepare
 from evhist.llm.exact_dedup import exact_dedup
 from evhist.llm.minhash import SAME, near_duplicates, with_fingerprints
 from evhist.llm.packing import pack
@@ -22,8 +22,9 @@ from evhist.llm.suffix_dedup import cut_repeats
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows whose doc_id is not among ``ids`` (null-safe)."""
+    """Rows whose doc_id is not among ``ids`` (null-safe), a stored table."""
     ids = ids.select(F.col("doc_id").alias("_gone"))
+    ids = ids.hint("broadcast" if light(ids) else "merge")
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_gone"]), "left_anti")
 
 

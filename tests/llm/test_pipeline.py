@@ -83,3 +83,24 @@ def test_near_stage_tells_rows_of_one_id_apart(spark):
     fives = [t for i, t in got if i == 5]
     assert len(fives) == 1 and fives[0] in (z.upper(), z + " z")
     assert sorted((i or -1, t) for i, t in got if i != 5) == [(-1, "d e f"), (3, x + " z"), (4, y), (7, ""), (7, "!")]
+
+
+def test_ids_are_taken_out_alike_replicated_or_sorted(spark, monkeypatch):
+    from evhist.llm import common
+
+    docs = spark.createDataFrame([(i % 90 if i % 7 else None, f"t{i}") for i in range(200)], "doc_id long, text string")
+    ids = C.keep(spark.createDataFrame([(i,) for i in range(0, 90, 2)] + [(None,)], "doc_id long"), "t-ids")
+    want = sorted((r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None and r.doc_id % 2)
+    assert common.light(ids) and rows_of(C._without(docs, ids)) == want
+    monkeypatch.setattr(common, "REPLICATED", 0)
+    out = C._without(docs, ids)
+    assert rows_of(out) == want and "Broadcast" not in out._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_a_table_is_light_by_its_rows_and_strings_not_its_files(spark):
+    from evhist.llm import common
+
+    same = C.keep(spark.range(500_000).selectExpr("1L AS doc_id"), "t-same")  # a few KB of files
+    wide = C.keep(spark.range(1000).selectExpr("repeat('a', 20000) AS doc_id"), "t-wide")
+    assert not common.light(same) and not common.light(wide)
+    assert common.light(same.limit(100_000)) and common.light(wide.limit(100)) and common.light(same.limit(0))
