@@ -11,8 +11,9 @@ score found so far; these few are rescored exactly.  Bounds are first taken as d
 the block's query before had to go, and one part deeper until the proof holds.
 
 Blocks hold about ``BLOCK`` vectors by hash of vector and id, query blocks ``QUERIES``;
-every block meets every query block (a stated query set against all rows), keyed by
-block, so no key is hot.  Each block gives k rows a query, ranked at the end.
+every block meets every query block (a stated query set against all rows), as stored
+parts against stored parts: neither is replicated, shuffled or sent by the driver.  Each
+block gives k rows a query, ranked at the end.
 
 Defined results: vectors that are null or hold a null or non-finite component, and rows
 with a null id take no part; a component that does not fit a long once scaled, or a
@@ -184,8 +185,7 @@ def top_k(vectors: DataFrame, queries, k: int = K, id_col: str = "vec_id", vec_c
     was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     index = keep(packed(rows, blocks, "block"), "index")
     asked = packed(asked, q_blocks, "q").select(F.col("ids").alias("q_ids"), F.col("x").alias("q_x"), F.col("dims").alias("q_dims"), F.col("n").alias("q_n"))
-    asked = keep(asked, "queries").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-    pairs = index.join(asked, "block").select("block", "ids", "x", "dims", "n", "q_ids", "q_x", "q_dims", "q_n")
+    pairs = index.hint("shuffle_replicate_nl").crossJoin(keep(asked, "queries"))
     try:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")  # rows of a few MB
         partial = keep(pairs.mapInArrow(_search(k), "query_id bigint, vec_id bigint, score bigint, n bigint"), "block-best")

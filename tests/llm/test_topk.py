@@ -119,3 +119,17 @@ def test_component_that_does_not_fit_is_an_error(spark):
     df = spark.createDataFrame([(0, [1.0], 1, "z"), (1, [2.0**52], 1, "z")], SCHEMA)
     with pytest.raises(Exception, match="does not fit"):
         got(df)
+
+
+def test_blocks_meet_queries_without_a_broadcast(spark, monkeypatch):
+    """Queries times blocks are never a table, least of all one that the driver sends out."""
+    from evhist.llm import topk
+
+    plans, keep = {}, topk.keep
+    monkeypatch.setattr(topk, "BLOCK", 50)
+    monkeypatch.setattr(topk, "QUERIES", 2)
+    monkeypatch.setattr(topk, "keep", lambda df, name: plans.update({name: df._jdf.queryExecution().sparkPlan().toString()}) or keep(df, name))
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.integers(-9, 9, 8).astype(float).tolist()) for i in range(650)]
+    assert got(spark.createDataFrame([(*r, 1, "z") for r in rows], SCHEMA)) == brute(rows)
+    assert "Broadcast" not in plans["block-best"] and "explode" not in plans["block-best"]
